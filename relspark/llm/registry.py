@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import embeddings
+from . import embeddings, quality
 
-QUERIES = {f.__name__: f for f in (embeddings.op1_embedding_neardup,)}
+QUERIES = {f.__name__: f for f in (embeddings.op1_embedding_neardup, quality.op6_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}

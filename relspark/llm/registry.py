@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import embeddings, quality
+from . import embeddings, language, quality, toxicity
 
-QUERIES = {f.__name__: f for f in (embeddings.op1_embedding_neardup, quality.op6_quality_rules)}
+QUERIES = {f.__name__: f for f in (embeddings.op1_embedding_neardup, toxicity.op2_toxicity, language.op5_language_id, quality.op6_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}

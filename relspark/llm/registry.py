@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from . import embeddings, language, quality, toxicity
+from . import embeddings, language, packing, pieces, pii, quality, toxicity
 
-QUERIES = {f.__name__: f for f in (embeddings.op1_embedding_neardup, toxicity.op2_toxicity, language.op5_language_id, quality.op6_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        embeddings.op1_embedding_neardup,
+        toxicity.op2_toxicity,
+        packing.op3_best_fit_packing,
+        pii.op4_pii,
+        language.op5_language_id,
+        quality.op6_quality_rules,
+        pieces.op10_sentencepiece,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}

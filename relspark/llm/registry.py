@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, language, packing, pieces, pii, quality, toxicity
+from . import embeddings, language, licenses, packing, pieces, pii, quality, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -13,8 +13,9 @@ QUERIES = {
         pii.op4_pii,
         language.op5_language_id,
         quality.op6_quality_rules,
+        licenses.op9_license_scan,
         pieces.op10_sentencepiece,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_license_scan": licenses.ORACLE_SQL}

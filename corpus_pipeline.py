@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from relspark.llm.common import materialize, table
+from relspark.llm.minhash import neardup_stage
+from relspark.llm.packing import packing_stage
+from relspark.llm.pii import pii_stage
+from relspark.llm.quality import quality_stage
+from relspark.llm.substrings import suffix_stage
 
-STAGES: list = []
+#: Each stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of ``documents``.
+STAGES = [
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", neardup_stage),
+    ("suffix-array dedup", suffix_stage),
+    ("PII", pii_stage),
+    ("best-fit packing", packing_stage),
+]
 
 #: The stages learn a classifier and run tokenizers, which SQL can't state.
 ORACLE_SQL = None
@@ -15,6 +27,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the last stage returns for ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, language, licenses, minhash, packing, pieces, pii, quality, toxicity
+from . import embeddings, language, licenses, minhash, packing, pieces, pii, quality, substrings, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         pii.op4_pii,
         language.op5_language_id,
         quality.op6_quality_rules,
+        substrings.op7_suffix_dedup,
         minhash.op8_minhash_neardup,
         licenses.op9_license_scan,
         pieces.op10_sentencepiece,

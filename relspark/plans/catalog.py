@@ -1,24 +1,10 @@
-"""Registry of the engine's queries: name -> plan, and the SQL that states the same rows."""
+"""All plans of the engine: importing this module fills the registry."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import ranking  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "top_releases"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "release_scan"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of a scale-factor folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _release_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", "p_name")
-
-
-QUERIES["release_scan"] = _release_scan
-ORACLE_SQL["release_scan"] = "SELECT p_partkey, p_name FROM part"
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]

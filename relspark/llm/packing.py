@@ -118,7 +118,7 @@ def _fillings(left: _Histogram, room: int, most_waste: int, width: int = 4, trie
     left over would still fit is dominated by the one that takes it, and so never listed. ``tries`` bounds the search
     around one piece.
     """
-    best: list[tuple[int, tuple[int, ...]]] = []
+    best: list[tuple[int, tuple[int, ...]]] = [_largest_first(left, room)]
     budget = tries
 
     def extend(room: int, top: int, chosen: tuple[int, ...]) -> bool:
@@ -144,23 +144,31 @@ def _fillings(left: _Histogram, room: int, most_waste: int, width: int = 4, trie
     return [c for w, c in dict.fromkeys(best) if w <= most_waste][:width] or [best[0][1]]
 
 
+def _largest_first(left: _Histogram, room: int) -> tuple[int, tuple[int, ...]]:
+    """The room that is left, and the pieces, if always the largest one that fits is taken."""
+    chosen: list[int] = []
+    x = left.below(room)
+    while x:
+        if left.n[x] > chosen.count(x):
+            chosen.append(x)
+            room -= x
+            x = left.below(min(room, x))
+        else:
+            x = left.below(x - 1)
+    return room, tuple(chosen)
+
+
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """The incumbent: around the largest piece, always the largest one that still fits."""
     left, out = _Histogram(counts), []
     while left.bits:
         first = left.below(capacity)
-        chosen = [first]
-        room = capacity - first
-        while x := left.below(room):
-            while x and left.n[x] <= chosen.count(x):
-                x = left.below(x - 1)
-            if not x:
-                break
-            chosen.append(x)
-            room -= x
+        left.take((first,), 1)
+        chosen = (first, *_largest_first(left, capacity - first)[1])
+        left.take((first,), -1)
         times = min(left.n[x] // chosen.count(x) for x in set(chosen))
-        left.take(tuple(chosen), times)
-        out.append((tuple(chosen), times))
+        left.take(chosen, times)
+        out.append((chosen, times))
     return out
 
 

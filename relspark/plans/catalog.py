@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ranking  # noqa: F401
+from . import aggregates, catalogs, expressions, identity, maintenance, ranking  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "top_releases"

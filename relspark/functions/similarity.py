@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 _UMLAUTS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue", "&": "and"})
 
@@ -39,19 +40,19 @@ def _partial(a: str, b: str) -> float:
     return max(_ratio(short, long[k : k + len(short)]) for k in range(len(long) - len(short) + 1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalise_title(text: pd.Series) -> pd.Series:
     """Umlauts spelled out, marks stripped, letters, digits and plus signs kept, lower case."""
     return text.map(_normalised)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clean_title(text: pd.Series) -> pd.Series:
     """Like :func:`normalise_title`, word by word, with single blanks between words."""
     return text.map(lambda t: None if t is None else " ".join(filter(None, (_normalised(w) for w in re.split(r"[\s._\-]+", t)))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compatible_form(text: pd.Series) -> pd.Series:
     """NFKC form with separators as blanks, brackets and file endings dropped, lower case."""
 
@@ -66,11 +67,11 @@ def compatible_form(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fuzzy_partial(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _partial(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -66,7 +66,7 @@ def latest_slice(rows: DataFrame, at: str, cursor: Column, minutes: int, before:
 
 
 def publish(df: DataFrame, root: str, version: str, checks: dict[str, Column]) -> dict[str, int]:
-    """Write a version, assert its contract, and only then point ``_CURRENT`` at it.
+    """Write a version, assert its contract, and only then point ``CURRENT`` at it.
 
     The pointer is replaced by a rename of the file system that holds ``root``; a failed check leaves the old version
     current. Returns the number of rows that break each check.
@@ -80,21 +80,21 @@ def publish(df: DataFrame, root: str, version: str, checks: dict[str, Column]) -
     if row["rows"] == 0 or any(broken.values()):
         raise ValueError(f"version {version} breaks its contract: {broken or 'no rows'}")
     jvm = spark._jvm
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT")
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
     fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT.{version}")
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT.{version}")
     out = fs.create(fresh, True)
     out.write(bytearray(version.encode()))
     out.close()
     fs.delete(pointer, False)
     if not fs.rename(fresh, pointer):
-        raise OSError(f"{root}/_CURRENT could not be replaced")
+        raise OSError(f"{root}/CURRENT could not be replaced")
     return broken
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """The version that ``_CURRENT`` points at."""
-    version = spark.read.text(f"{root}/_CURRENT").first()[0]
+    """The version that ``CURRENT`` points at."""
+    version = spark.read.text(f"{root}/CURRENT").first()[0]
     return spark.read.parquet(f"{root}/{version}")
 
 

@@ -23,7 +23,7 @@ from .words import WordTable, word_hashes
 HASHES = 64
 #: Hashes in a band: 16 bands of 4 miss a pair at similarity 0.85 with probability 8e-6.
 ROWS = 4
-#: Signature hashes compared between two looks at the posterior.
+#: Signature hashes compared between two looks at the posterior, and survivors verified at a time.
 BATCH = 16
 #: Posterior probability below which a pair is given up at a look.
 MISS = 1e-5
@@ -32,8 +32,6 @@ SHINGLE = 3
 PERCENT = 85
 #: Members of a bucket that one task compares with each other, or that one task verifies against one set.
 BLOCK = 1024
-#: Survivors that one round verifies between two components of a bucket; later rounds take the next ones.
-TURN = 32
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -152,33 +150,49 @@ def _prune(percent: int):
     return run
 
 
-def _cross(percent: int, offset: int):
-    """Surviving pairs between different components of one block pair of a bucket, best first, one turn of each component pair."""
+def _links(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the other sets reach the threshold with one set, on full sets; all are sorted and without repeats."""
+    sizes = np.array([len(o) for o in others], np.int64)
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * both >= percent * (len(own) + sizes - both)
+
+
+def _cross(percent: int):
+    """Links between different components of one block pair of a bucket: survivors, best first, until components meet.
+
+    Nothing but a spanning set of verified links leaves the task. A pair is looked at in the first band that it shares.
+    """
     stops = looks(percent / 100)
 
     def run(rows: pa.Table) -> pa.Table:
-        rep, comp, chunk = (np.asarray(rows.column(c)) for c in ("rep", "component", "chunk"))
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        rep, chunk = np.asarray(rows.column("rep")), np.asarray(rows.column("chunk"))
+        _, root = np.unique(np.asarray(rows.column("component")), return_inverse=True)
+        i, j, band = (rows.column(c)[0].as_py() for c in ("i", "j", "band"))
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+        left, right, edges = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j), []
         for x in left:
-            other = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) if i == j else True)]
-            first = (sig[other, :BATCH] == sig[x, :BATCH]).sum(axis=1)
-            other = other[first >= stops[0][1]]
-            other = other[_survive(np.broadcast_to(sig[x], (len(other), HASHES)), sig[other], stops)]
-            if len(other):
-                found.append((np.full(len(other), x), other, (sig[other] == sig[x]).sum(axis=1)))
-        if not found:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        x, y, matches = (np.concatenate(f) for f in zip(*found, strict=True))
-        low, high = np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y])
-        order = np.lexsort((np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y]), -matches, high, low))
-        x, y, low, high = x[order], y[order], low[order], high[order]
-        fresh = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
-        turn = np.arange(len(x)) - np.maximum.accumulate(np.where(fresh, np.arange(len(x)), 0))
-        at = (turn >= offset) & (turn < offset + TURN)
-        return pa.table({"a": np.minimum(rep[x], rep[y])[at], "b": np.maximum(rep[x], rep[y])[at]})
+            other = right[(root[right] != root[x]) & ((rep[right] > rep[x]) if i == j else True)]
+            if not len(other):
+                continue
+            same = sig[other] == sig[x]
+            earlier = same[:, : ROWS * band].reshape(len(other), band, ROWS).all(axis=2).any(axis=1)
+            good = ~earlier
+            for n, least in stops:
+                good &= same[:, :n].sum(axis=1) >= least
+            other, matches = other[good], same[good].sum(axis=1)
+            other = other[np.argsort(-matches, kind="stable")]
+            while len(other):
+                some, other = other[:BATCH], other[BATCH:]
+                for y in some[_links(sets[x], [sets[k] for k in some], percent)]:
+                    if root[y] != root[x]:
+                        edges.append((rep[x], rep[y]))
+                        root[root == root[y]] = root[x]
+                other = other[root[other] != root[x]]
+        a, b = (np.array(e, np.int64) for e in zip(*edges, strict=True)) if edges else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": a, "b": b})
 
     return run
 
@@ -189,14 +203,9 @@ def _exact(percent: int):
     def run(rows: pa.Table) -> pa.Table:
         role, rep = np.asarray(rows.column("role")), np.asarray(rows.column("rep"))
         sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-        centres, edges = [k for k in range(len(sets)) if role[k] == 0], []
-        for c in centres:
-            for k in range(len(sets)):
-                if role[k]:
-                    both = len(np.intersect1d(sets[c], sets[k], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[c]) + len(sets[k]) - both):
-                        edges.append((rep[c], rep[k]))
-        a, b = (np.array(x, np.int64) for x in zip(*edges, strict=True)) if edges else (np.zeros(0, np.int64),) * 2
+        centres, members = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        hits = [(np.full(int(h.sum()), rep[c]), rep[members[h]]) for c in centres if len(members) for h in [_links(sets[c], [sets[k] for k in members], percent)]]
+        a, b = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else (np.zeros(0, np.int64),) * 2
         return pa.table({"a": a, "b": b})
 
     return run
@@ -223,7 +232,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, shingle: int =
     reps = marks.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("m"))
     reps = materialize(reps.select(*key, F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "representatives")
     bands = [F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(HASHES // ROWS)]
-    banded = reps.select("rep", F.explode(F.array(*bands)).alias("bucket"))
+    banded = reps.select("rep", F.posexplode(F.array(*bands)).alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("centre")).where("size > 1")
     members = materialize(banded.join(full, "bucket"), "buckets")
     suspects = members.select("rep").distinct()
@@ -234,23 +243,15 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, shingle: int =
     star = members.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     star = star.join(signed.toDF("a", "sig_a"), "a").join(signed.toDF("b", "sig_b"), "b").mapInArrow(_prune(percent), "a long, b long")
     edges = materialize(_verified(star, sets, percent), "links")
-    component, offset = materialize(connected_components(edges), "components"), 0
-    while True:
-        of = component.withColumnRenamed("node", "rep")
-        rest = members.where("rep != centre and size > 2").join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("g")).where("lo < hi")
-        rest = rest.join(mixed.select("bucket", "g"), "bucket").join(signed, "rep").withColumn("chunk", F.pmod(F.xxhash64("rep"), "g").cast("int"))
-        rest = rest.select("bucket", "rep", "component", "sig", "chunk", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o"))
-        rest = rest.select("bucket", "rep", "component", "sig", "chunk", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"))
-        pairs = materialize(rest.groupBy("bucket", "i", "j").applyInArrow(_cross(percent, offset), "a long, b long").distinct(), "cross")
-        if pairs.isEmpty():
-            break
-        more = materialize(_verified(pairs, sets, percent), "links")
-        if more.isEmpty():
-            offset += TURN
-            continue
-        edges, offset = edges.union(more), 0
-        component = materialize(connected_components(edges), "components")
+    component = materialize(connected_components(edges), "components")
+    # Members that the stars leave in different components of a bucket; their smallest one has met all of them.
+    rest = members.where("rep != centre and size > 2").join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("g")).where("lo < hi")
+    rest = rest.join(mixed.select("bucket", "g"), "bucket").withColumn("chunk", F.pmod(F.xxhash64("rep"), "g").cast("int"))
+    rest = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).withColumn("i", F.least("chunk", "o")).withColumn("j", F.greatest("chunk", "o"))
+    rest = rest.join(signed, "rep").join(sets, "rep").select("bucket", "band", "rep", "component", "chunk", "i", "j", "sig", "shingles")
+    more = rest.groupBy("bucket", "i", "j").applyInArrow(_cross(percent), "a long, b long")
+    component = materialize(connected_components(edges.union(more)), "components")
     classes = reps.select(*key, "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     found = marks.select("doc_id", *key).join(classes, key, "left")
     component_id = F.coalesce("component", "doc_id")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out, slices, table, texts
 from .words import Sparse, WordTable, code_points, fit_logistic, gram_hashes, per_document, platt, sigmoid, word_hashes
@@ -177,8 +178,8 @@ def score(documents: DataFrame, model: Model, columns: list[str], keep_at: float
     A null or empty text has no words and fails the base rules. Texts are read whole, in slices of about 1 MB.
     """
     rows = documents.select(*dict.fromkeys([*columns, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in columns)
-    return rows.mapInArrow(_scorer(model, columns, keep_at), f"{schema}, {_SCHEMA}")
+    schema = T.StructType([*(rows.schema[c] for c in columns), *T.StructType.fromDDL(_SCHEMA).fields])
+    return rows.mapInArrow(_scorer(model, columns, keep_at), schema)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +190,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the classifier keep."""
-    columns = list(docs.columns)
-    scored = score(docs, train(docs, table(spark, sf_dir, "labels")), columns)
-    return scored.where("kept").select(*columns)
+    # The row travels as one struct, so that no column of its own meets a computed one.
+    whole = docs.select(F.struct(*docs.columns).alias("row_itself"), "text")
+    scored = score(whole, train(docs, table(spark, sf_dir, "labels")), ["row_itself"])
+    return scored.where("kept").select("row_itself.*")

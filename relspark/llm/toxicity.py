@@ -90,20 +90,22 @@ def label_model(votes: np.ndarray, anchor: np.ndarray, rounds: int = 60) -> tupl
     """
     known = ~np.isnan(anchor)
     all_votes = np.column_stack([votes, np.where(known, anchor, 0)]).astype(float)
-    post = np.where(known, np.clip(np.nan_to_num(anchor), 0.02, 0.98), 0.1)
+    # Where the labellers are silent their column says nothing.
+    heard = np.column_stack([np.ones(votes.shape), known]).astype(float)
+    post = np.where(known, np.clip(np.nan_to_num(anchor), 0.02, 0.98), votes.mean(axis=1))
     corr = np.eye(all_votes.shape[1])
     for _ in range(rounds):
         prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
-        rates = np.clip(np.stack([(all_votes.T @ (1 - post) + 0.5) / ((1 - post).sum() + 1), (all_votes.T @ post + 0.5) / (post.sum() + 1)]), 1e-4, 1 - 1e-4)
+        rates = np.clip(np.stack([(all_votes.T @ p + 0.5) / (heard.T @ p + 1) for p in (1 - post, post)]), 1e-4, 1 - 1e-4)
         cov = np.zeros_like(corr)
         for c, p in ((0, 1 - post), (1, post)):
-            r = all_votes - rates[c]
+            r = (all_votes - rates[c]) * heard
             cov += (r * p[:, None]).T @ r / max(len(post), 1)
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         corr = cov / sd[:, None] / sd[None, :]
         weight = 1 / np.maximum(1.0, np.abs(corr).sum(axis=0))
         weight[-1] = 1.0
-        part = all_votes @ (weight * (np.log(rates[1]) - np.log(rates[0]))) + (1 - all_votes) @ (weight * (np.log1p(-rates[1]) - np.log1p(-rates[0])))
+        part = all_votes @ (weight * (np.log(rates[1]) - np.log(rates[0]))) + (heard - all_votes) @ (weight * (np.log1p(-rates[1]) - np.log1p(-rates[0])))
         new = sigmoid(np.log(prior / (1 - prior)) + part)
         done, post = np.abs(new - post).max() < 1e-6, new
         if done:
@@ -150,7 +152,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
         votes[:, i] = np.bincount(rows, member[i, columns], len(got)) > 0
     votes = np.column_stack([votes, np.array([r["p"] for r in got])])
     posterior, rates, corr = label_model(votes, np.array([float(r["y"]) for r in got]))
-    weights, bias = fit_logistic(Sparse(rows, columns, values, (len(got), len(keys))), posterior, ridge=1e-4, rounds=300)
+    weights, bias = fit_logistic(Sparse(rows, columns, values, (len(got), len(keys))), posterior, ridge=1e-4, rounds=600)
     return Model({k: float(weights[i]) for k, i in index.items() if abs(weights[i]) > 1e-6}, bias, {"names": [*lexicons, "shout", "marks", "second person"], "rates": rates, "correlations": corr})
 
 

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,12 +210,13 @@ def _cut(bits: int, buckets: int):
         turn = np.argsort(bucket, kind="stable")
         cuts = np.r_[np.flatnonzero(np.r_[True, bucket[turn][1:] != bucket[turn][:-1]]), len(turn)] if len(turn) else np.zeros(1, int)
         made: list[tuple] = []
-        me = rows.column("pack")[0].as_py()
+        me, press = rows.column("pack")[0].as_py(), zstandard.ZstdCompressor(level=3).compress
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            # Neighbours in the text stay neighbours in the blob, which then compresses well.
             own = turn[a:b]
             places = np.concatenate([order[starts[k] : starts[k] + times[k]] for k in own])
             made.append(
-                (me, int(bucket[own[0]]), hashed[first[own]].tobytes(), np.array([len(snippets[k]) for k in own], np.uint8).tobytes(), owner[own].tobytes(), b"".join(snippets[k] for k in own), times[own].astype(np.uint32).tobytes(), lo[places].astype(np.int64).tobytes())
+                (me, int(bucket[own[0]]), hashed[first[own]].astype(np.uint32).tobytes(), np.array([len(snippets[k]) for k in own], np.uint8).tobytes(), press(owner[own].tobytes()), press(b"".join(snippets[k] for k in own)), times[own].astype(np.uint32).tobytes(), lo[places].astype(np.int64).tobytes())
             )
         columns = list(zip(*made, strict=True)) or [[]] * 8
         return pa.table([pa.array(c, pa.int64() if k < 2 else pa.binary()) for k, c in enumerate(columns)], names=names)
@@ -303,12 +305,13 @@ def earliest(snippets: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
 
 def _judge(rows: pa.Table) -> pa.Table:
     """Runs of windows with the same smallest document, for each snippet that a pack sent."""
-    docs = [np.frombuffer(d, np.int64) for d in rows.column("docs").to_pylist()]
+    unpress = zstandard.ZstdDecompressor().decompress
+    docs = [np.frombuffer(unpress(d), np.int64) for d in rows.column("docs").to_pylist()]
     sizes = [np.frombuffer(s, np.uint8).astype(np.int64) for s in rows.column("sizes").to_pylist()]
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows.column("keys").to_pylist()])
+    keys = np.concatenate([np.frombuffer(k, np.uint32) for k in rows.column("keys").to_pylist()])
     flat_docs, seen, which, snippets, key_of = np.concatenate(docs), {}, [], [], []
     at = 0
-    for data, size in zip(rows.column("data").to_pylist(), sizes, strict=True):
+    for data, size in zip(map(unpress, rows.column("data").to_pylist()), sizes, strict=True):
         ends = np.cumsum(size).tolist()
         for a, b in zip([0, *ends[:-1]], ends, strict=True):
             s = data[a:b]
@@ -318,7 +321,7 @@ def _judge(rows: pa.Table) -> pa.Table:
                 key_of.append(keys[at])
             which.append(k)
             at += 1
-    which, key_of = np.array(which), np.array(key_of, np.uint64)
+    which, key_of = np.array(which), np.array(key_of, np.uint32)
     owner = np.full(len(snippets), _LAST)
     np.minimum.at(owner, which, flat_docs)
     # Windows of a snippet that is alone with its anchor have that snippet's document; all others are merged.
@@ -372,7 +375,7 @@ def _covered(pack: Pack, answers: pa.Table) -> np.ndarray:
 
 
 _DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_TEXT = "doc_id long, kept_text string"
+_TEXT = "doc_id long, text_hash long, kept_text string"
 
 
 def _apply(as_text: bool):
@@ -388,11 +391,12 @@ def _apply(as_text: bool):
                 i = None if i == _LAST else i
                 if as_text:
                     # A cut inside a character leaves no half of it.
-                    out.append((i, kept.decode("utf-8", "ignore")))
+                    mark = xxhash.xxh64_intdigest(pack.data[a:b].tobytes(), seed=42)
+                    out.append((i, mark - (mark >> 63 << 64), kept.decode("utf-8", "ignore")))
                 else:
                     spans = int(own[0]) + int((own[1:] & ~own[:-1]).sum()) if n else 0
                     out.append((i, b - a, n, spans, hashlib.sha256(kept).hexdigest()))
-        kinds = [pa.int64(), pa.string()] if as_text else [pa.int64()] * 4 + [pa.string()]
+        kinds = [pa.int64()] * 2 + [pa.string()] if as_text else [pa.int64()] * 4 + [pa.string()]
         columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in (_TEXT if as_text else _DIGEST).split(", ")])
 
@@ -427,7 +431,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that an earlier one has; ``n_chars`` follows the text."""
-    kept = remove_repeats(docs, as_text=True)
-    rest = docs.drop("text", "n_chars").join(kept, "doc_id", "left").withColumnRenamed("kept_text", "text").withColumn("n_chars", F.length("text").cast("long"))
-    return rest.select(*docs.columns)
+    """Documents without the bytes that an earlier one has; ``n_chars`` follows the text (null becomes empty).
+
+    A row finds its text again by its id and the hash of the text it had, so repeated ids and null ids keep their own.
+    """
+    kept = remove_repeats(docs, as_text=True).distinct()
+    whole = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.struct(*docs.columns).alias("row_itself"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash"))
+    joined = whole.join(kept.toDF("its_id", "its_hash", "kept_text"), same)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return joined.select(*[new.get(c, F.col("row_itself")[c]).alias(c) for c in docs.columns])

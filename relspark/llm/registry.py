@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, language, licenses, minhash, packing, pieces, pii, quality, substrings, toxicity
+from . import embeddings, language, licenses, minhash, oracles, packing, pieces, pii, quality, substrings, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -20,4 +20,9 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_license_scan": licenses.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_neardup": oracles.EMBEDDINGS,
+    "op7_suffix_dedup": oracles.SUFFIXES,
+    "op8_minhash_neardup": oracles.MINHASH,
+    "op9_license_scan": licenses.ORACLE_SQL,
+}

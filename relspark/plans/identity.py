@@ -18,18 +18,19 @@ def files_grouped(spark, sf_dir):
     return found.select("o_orderkey", F.array_join(F.transform("children", lambda c: F.concat_ws(":", c["l_linenumber"].cast("string"), c["l_partkey"].cast("string"))), ",").alias("files"), F.size("children").cast("long").alias("n"))
 
 
-@query("""WITH v AS (SELECT p_name AS title, p_partkey AS variant, p_size % 10 AS vy, p_retailprice AS evidence FROM part), q AS (SELECT DISTINCT l_partkey % 500 AS probe, p_name AS title, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE l_partkey % 10 END AS yr FROM lineitem JOIN part ON p_partkey = l_partkey % 500 WHERE l_orderkey % 11 = 0 AND l_partkey < 500),
+@query("""WITH v AS (SELECT p_name AS title, p_partkey AS variant, p_size % 10 AS vy, p_retailprice AS evidence FROM part), q AS (SELECT p_partkey AS probe, p_name AS title, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey % 10 END AS yr FROM part),
 r AS (SELECT probe, variant, row_number() OVER (PARTITION BY probe ORDER BY evidence DESC, variant) AS rn FROM q JOIN v USING (title) WHERE yr IS NULL OR vy IS NULL OR yr = vy) SELECT probe, variant FROM r WHERE rn = 1""")
 def variant_lookup(spark, sf_dir):
     """One variant of a title for each probe: equal or unknown year, strongest evidence."""
     part = table(spark, sf_dir, "part")
-    probes = table(spark, sf_dir, "lineitem").where("l_orderkey % 11 = 0 and l_partkey < 500").select((F.col("l_partkey") % 500).alias("probe"), "l_partkey").distinct()
-    probes = probes.join(part.select(F.col("p_partkey").alias("probe"), F.col("p_name").alias("title")), "probe").select("probe", "title", F.when(F.col("l_partkey") % 4 != 0, F.col("l_partkey") % 10).alias("yr"))
-    variants = part.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("variant"), (F.col("p_size") % 10).alias("vy"), F.col("p_retailprice").alias("evidence"))
+    probes = part.select(F.col("p_partkey").alias("probe"), F.col("p_name").alias("title"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_partkey") % 10).alias("yr"))
+    # The strongest variant of a title and year is the only one that can win: at most ten a title meet the probes.
+    variants = part.groupBy(F.col("p_name").alias("title"), (F.col("p_size") % 10).alias("vy")).agg(F.max(F.struct(F.col("p_retailprice").alias("evidence"), (-F.col("p_partkey")).alias("n"))).alias("b"))
+    variants = variants.select("title", "vy", "b.evidence", (-F.col("b.n")).alias("variant"))
     return idt.best_match(probes, variants, ["title"], "probe", "yr", "vy", [F.desc("evidence"), F.col("variant")]).select("probe", "variant")
 
 
-_PREFIX = """v AS (SELECT p_name AS variant, max(p_retailprice) AS evidence FROM part GROUP BY 1), q AS (SELECT p_partkey AS probe, p_name || ' season ' || CAST(p_size AS VARCHAR) AS title FROM part WHERE p_partkey % 10 = 0),
+_PREFIX = """v AS (SELECT p_name AS variant, max(p_retailprice) AS evidence FROM part GROUP BY 1), q AS (SELECT p_partkey AS probe, p_name || ' season ' || CAST(p_size AS VARCHAR) AS title FROM part),
 f AS (SELECT probe, array_to_string(w[1:len(w) - k], ' ') AS prefix FROM (SELECT probe, string_split(title, ' ') AS w FROM q), unnest(range(0, 4)) u(k) WHERE len(w) - k >= 1),
 m AS (SELECT probe, variant, prefix, row_number() OVER (PARTITION BY probe ORDER BY length(prefix) DESC, evidence DESC, variant) AS rn FROM f JOIN v ON starts_with(variant, prefix) WHERE length(prefix) >= 3)"""
 
@@ -38,7 +39,7 @@ m AS (SELECT probe, variant, prefix, row_number() OVER (PARTITION BY probe ORDER
 def prefix_lookup(spark, sf_dir):
     """Progressive prefixes of a title, longest first."""
     part = table(spark, sf_dir, "part")
-    probes = part.where("p_partkey % 10 = 0").selectExpr("p_partkey AS probe", "concat(p_name, ' season ', cast(p_size as string)) AS title")
+    probes = part.selectExpr("p_partkey AS probe", "concat(p_name, ' season ', cast(p_size as string)) AS title")
     variants = part.groupBy(F.col("p_name").alias("variant")).agg(F.max("p_retailprice").alias("evidence"))
     return idt.prefix_match(probes, variants, "probe", "title", "variant", [F.desc("evidence"), F.col("variant")]).select("probe", "variant", "prefix")
 
@@ -49,7 +50,7 @@ u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c) SELEC
 def cascade_match(spark, sf_dir):
     """Exact year, then a year of tolerance, then any: the first tier with an answer."""
     q = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("probe"), (F.col("o_custkey") % 200).alias("k"), F.year("o_orderdate").alias("yr"))
-    t = table(spark, sf_dir, "part").select((F.col("p_partkey") % 200).alias("k"), (1995 + F.col("p_size") % 8).alias("ty"), F.col("p_partkey").alias("cand"))
+    t = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 200).alias("k"), (1995 + F.col("p_size") % 8).alias("ty")).agg(F.min("p_partkey").alias("cand"))
     gap = F.abs(F.col("yr") - F.col("ty"))
     # One join gives all tiers: the smallest candidate of each probe and tier, then the lowest tier.
     tier = F.when(gap == 0, 0).when(gap <= 1, 1).otherwise(2)
@@ -98,13 +99,13 @@ def two_step_tags(spark, sf_dir):
     return idt.two_step_tags(rows, hashes, groups, "request_id", "id", "release_group").select("id", "tagged")
 
 
-@query("""WITH c AS (SELECT o_orderkey AS probe, p_partkey AS cand, (p_size % 30 + 70) / 100.0 AS sim, CASE WHEN p_size % 5 = 0 THEN NULL ELSE abs(p_size % 4 - 1) END AS gap, p_retailprice / 100 AS pop FROM orders JOIN part ON o_custkey % 100 = p_partkey % 100),
+@query("""WITH c AS (SELECT DISTINCT l_orderkey AS probe, p_partkey AS cand, (p_size % 30 + 70) / 100.0 AS sim, CASE WHEN p_size % 5 = 0 THEN NULL ELSE abs(p_size % 4 - 1) END AS gap, p_retailprice / 100 AS pop FROM lineitem JOIN part ON l_partkey = p_partkey),
 s AS (SELECT *, 300 * sim + CASE WHEN gap = 0 THEN 120 WHEN gap = 1 THEN 40 WHEN gap IS NOT NULL THEN -70 ELSE 0 END + least(pop, 50) AS score FROM c), r AS (SELECT *, row_number() OVER w AS rn, first_value(cand) OVER w AS top FROM s WINDOW w AS (PARTITION BY probe ORDER BY score DESC, cand)),
 x AS (SELECT *, max(CASE WHEN cand <> top THEN score END) OVER (PARTITION BY probe) AS second FROM r)
 SELECT probe, cand, round(score, 4)::DOUBLE AS score, CASE WHEN coalesce(score - second < 25, false) OR sim < 0.74 OR coalesce(gap > 1, false) OR coalesce(gap = 1 AND sim < 0.92, false) THEN 'ambiguous' WHEN sim >= 0.98 THEN 'exact' ELSE 'strong' END AS status FROM x WHERE rn = 1""")
 def candidate_decision(spark, sf_dir):
     """Top candidate against its runner-up."""
-    c = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("probe"), (F.col("o_custkey") % 100).alias("k")).join(table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey") % 100), "k")
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("probe"), "l_partkey").distinct().join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     c = c.select("probe", F.col("p_partkey").alias("cand"), ((F.col("p_size") % 30 + 70) / 100.0).alias("sim"), F.when(F.col("p_size") % 5 != 0, F.abs(F.col("p_size") % 4 - 1)).alias("gap"), (F.col("p_retailprice") / 100).alias("pop"))
     best = idt.decide_candidate(c, "probe", F.col("sim"), F.col("gap"), F.col("pop"), "cand")
     return best.select("probe", "cand", F.round("score", 4).alias("score"), "status")
@@ -123,13 +124,13 @@ def best_file(spark, sf_dir):
     return best.select("k", F.col("l_linenumber").alias("file_index"), "l_partkey", F.round("file_score", 4).alias("file_score"))
 
 
-@query("""WITH k AS (SELECT c_custkey FROM customer), a AS (SELECT o_custkey AS c_custkey, max(o_orderpriority) AS title, list_sort(list(DISTINCT o_orderstatus)) AS names FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), b AS (SELECT o_custkey AS c_custkey, min(o_orderpriority) AS title, list_sort(list(DISTINCT o_orderpriority)) AS names FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1)
+@query("""WITH k AS (SELECT c_custkey FROM customer), a AS (SELECT o_custkey AS c_custkey, max(o_orderpriority) AS title, list_sort(list(DISTINCT o_orderstatus)) AS names FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_custkey AS c_custkey, min(o_orderpriority) AS title, list_sort(list(DISTINCT o_orderpriority)) AS names FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
 SELECT c_custkey, coalesce(a.title, b.title) AS title, array_to_string(list_concat(coalesce(a.names, []), coalesce(b.names, [])), ',') AS names FROM k LEFT JOIN a USING (c_custkey) LEFT JOIN b USING (c_custkey)""")
 def metadata_merge(spark, sf_dir):
     """Providers in order: first value stands, names are concatenated."""
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    a = orders.where("o_orderkey % 3 = 0").groupBy("c_custkey").agg(F.max("o_orderpriority").alias("title"), F.array_sort(F.collect_set("o_orderstatus")).alias("names"))
-    b = orders.where("o_orderkey % 3 = 1").groupBy("c_custkey").agg(F.min("o_orderpriority").alias("title"), F.array_sort(F.collect_set("o_orderpriority")).alias("names"))
+    a = orders.where("o_orderstatus = 'F'").groupBy("c_custkey").agg(F.max("o_orderpriority").alias("title"), F.array_sort(F.collect_set("o_orderstatus")).alias("names"))
+    b = orders.where("o_orderstatus = 'O'").groupBy("c_custkey").agg(F.min("o_orderpriority").alias("title"), F.array_sort(F.collect_set("o_orderpriority")).alias("names"))
     merged = idt.merged_metadata(table(spark, sf_dir, "customer").select("c_custkey"), [a, b], "c_custkey", ["title"], ["names"])
     return merged.select("c_custkey", "title", F.array_join("names", ",").alias("names"))
 
@@ -142,14 +143,13 @@ def title_keys(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", ps.title_key(t).alias("title_key"), ps.lookup_title(t).alias("lookup_title"), ps.compound_key(F.lit("movie"), ps.title_key(t), F.lit(None)).alias("movie_key"))
 
 
-@query("""WITH a AS (SELECT p_partkey AS a, p_name AS x FROM part WHERE p_partkey <= 100), b AS (SELECT p_partkey AS b, p_name AS y FROM part WHERE p_partkey > 100 AND p_partkey <= 200)
-SELECT a, b, round(len(list_intersect(string_split(x, ' '), string_split(y, ' '))) / len(list_distinct(list_concat(string_split(x, ' '), string_split(y, ' ')))), 6)::DOUBLE AS score FROM a JOIN b ON split_part(x, ' ', 1) = split_part(y, ' ', 1)""")
+@query("""WITH n AS (SELECT DISTINCT p_name AS x FROM part) SELECT a.x AS a, b.x AS b, round(len(list_intersect(string_split(a.x, ' '), string_split(b.x, ' '))) / len(list_distinct(list_concat(string_split(a.x, ' '), string_split(b.x, ' ')))), 6)::DOUBLE AS score
+FROM n a JOIN n b ON split_part(a.x, ' ', 1) = split_part(b.x, ' ', 1) AND a.x <> b.x""")
 def jaccard_pairs(spark, sf_dir):
-    """Word similarity of candidates that share the first word."""
-    part = table(spark, sf_dir, "part").withColumn("w", F.substring_index("p_name", " ", 1))
-    a = part.where("p_partkey <= 100").select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), "w")
-    b = part.where("p_partkey > 100 and p_partkey <= 200").select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), "w")
-    return a.join(b, "w").select("a", "b", F.round(ps.jaccard(F.col("x"), F.col("y")), 6).alias("score"))
+    """Word similarity of distinct titles that share the first word."""
+    names = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("w", F.substring_index("p_name", " ", 1))
+    pairs = names.withColumnRenamed("p_name", "a").join(names.withColumnRenamed("p_name", "b"), "w").where("a <> b")
+    return pairs.select("a", "b", F.round(ps.jaccard(F.col("a"), F.col("b")), 6).alias("score"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")

@@ -9,22 +9,22 @@ from ..operators import maintenance as mt
 from .registry import query, table
 
 
-@query("""WITH n AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT o_orderkey + 1000000, o_custkey, 'Y', 1.0 FROM orders WHERE o_orderkey % 100 = 1)
+@query("""WITH n AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT o_orderkey + 100000000, o_custkey, 'Y', 1.0 FROM orders WHERE o_orderpriority = '1-URGENT')
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice FROM n UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey = o.o_orderkey)""")
 def upsert_replace(spark, sf_dir):
     """Staged rows replace or extend a table."""
     old = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    new = old.where("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("X")).withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    more = old.where("o_orderkey % 100 = 1").select((F.col("o_orderkey") + 1000000).alias("o_orderkey"), "o_custkey", F.lit("Y").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
+    new = old.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X")).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    more = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), "o_custkey", F.lit("Y").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
     return mt.upsert(old, new.union(more), ["o_orderkey"]).withColumn("o_totalprice", F.round("o_totalprice", 2))
 
 
-@query("""WITH a AS (SELECT o_custkey, max(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END) AS v, count(*) AS n, max(o_orderdate) AS t FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), b AS (SELECT o_custkey, max(CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END) AS v, count(*) AS n, max(o_orderdate) AS t FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1)
+@query("""WITH a AS (SELECT o_custkey, max(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END) AS v, count(*) AS n, max(o_orderdate) AS t FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_custkey, max(CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END) AS v, count(*) AS n, max(o_orderdate) AS t FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
 SELECT o_custkey, coalesce(b.v, a.v) AS v, CAST(coalesce(a.n, 0) + coalesce(b.n, 0) AS BIGINT) AS evidence FROM a FULL JOIN b USING (o_custkey)""")
 def upsert_accumulate(spark, sf_dir):
     """Evidence adds up, known values stand unless a newer one is known."""
-    part = lambda k, odd: table(spark, sf_dir, "orders").where(f"o_orderkey % 3 = {k}").groupBy("o_custkey").agg(F.max(F.when(F.col("o_orderkey") % 2 == odd, F.col("o_orderpriority"))).alias("v"), F.count("*").alias("evidence"), F.max("o_orderdate").alias("at"))
-    return mt.accumulate(part(0, 0), part(1, 1), ["o_custkey"], "evidence", "at", ["v"]).select("o_custkey", "v", "evidence")
+    part = lambda k, odd: table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == k).groupBy("o_custkey").agg(F.max(F.when(F.col("o_orderkey") % 2 == odd, F.col("o_orderpriority"))).alias("v"), F.count("*").alias("evidence"), F.max("o_orderdate").alias("at"))
+    return mt.accumulate(part("F", 0), part("O", 1), ["o_custkey"], "evidence", "at", ["v"]).select("o_custkey", "v", "evidence")
 
 
 @query("SELECT o_orderkey + 5 AS o_orderkey FROM orders WHERE (o_orderkey + 5) NOT IN (SELECT o_orderkey FROM orders)")
@@ -34,14 +34,14 @@ def insert_absent(spark, sf_dir):
     return mt.insert_absent(old, old.select((F.col("o_orderkey") + 5).alias("o_orderkey")), ["o_orderkey"])
 
 
-@query("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS a, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END AS b FROM orders), s AS (SELECT o_orderkey, 'S' AS a, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'P' END AS b FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS a, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END AS b FROM orders), s AS (SELECT o_orderkey, 'S' AS a, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'P' END AS b FROM orders WHERE o_orderstatus = 'F')
 SELECT o_orderkey, coalesce(o.a, s.a) AS a, coalesce(o.b, s.b) AS b, CAST(CASE WHEN o.a IS NULL AND s.a IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN o.b IS NULL AND s.b IS NOT NULL THEN 1 ELSE 0 END AS INT) AS filled FROM o LEFT JOIN s USING (o_orderkey)""")
 def fill_only_update(spark, sf_dir):
     """Only nulls are filled."""
     k = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders")
     old = orders.select("o_orderkey", F.when(k % 4 != 0, F.col("o_orderstatus")).alias("a"), F.when(k % 6 != 0, F.col("o_orderpriority")).alias("b"))
-    staged = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("S").alias("a"), F.when(k % 5 != 0, "P").alias("b"))
+    staged = orders.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("S").alias("a"), F.when(k % 5 != 0, "P").alias("b"))
     return mt.fill_only(old, staged, "o_orderkey", ["a", "b"])
 
 

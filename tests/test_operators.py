@@ -188,3 +188,10 @@ def test_streams(spark, tmp_path):
     assert [(r["count"], r.fires) for r in spark.table("fires").orderBy("ts").collect()] == [(1, False), (2, False), (3, True), (1, False)]
     jobs.upsert_stream(stream, str(tmp_path / "out"), ["user_id", "ts"], str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out/v1")).count() == 4
+
+
+def test_title_match(spark):
+    from relspark.operators import matching as mc
+
+    df = spark.createDataFrame([(1, "The Käse", ["the kaese"]), (2, "Other", ["the kaese"]), (3, None, ["x"]), (4, "the kaesa", ["nothing", "the kaese"])], "id int, title string, wanted array<string>")
+    assert {r.id: r.title_ok for r in mc.title_match(df, "title", "wanted").collect()} == {1: True, 2: False, 3: False, 4: True}

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_written: list[str] = []
+
 #: Rows of ``documents``; every pipeline stage but the last returns these columns.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,10 +33,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back, so lost executors cost one task at most."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete what :func:`materialize` has written in this process; call it when no result needs it any more."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parts(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

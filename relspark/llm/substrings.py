@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, parts, table
+from .common import parts, table
 
 LENGTH = 50
 K = 24
@@ -216,7 +216,7 @@ def _cut(bits: int, buckets: int):
             own = turn[a:b]
             places = np.concatenate([order[starts[k] : starts[k] + times[k]] for k in own])
             made.append(
-                (me, int(bucket[own[0]]), hashed[first[own]].astype(np.uint32).tobytes(), np.array([len(snippets[k]) for k in own], np.uint8).tobytes(), press(owner[own].tobytes()), press(b"".join(snippets[k] for k in own)), times[own].astype(np.uint32).tobytes(), lo[places].astype(np.int64).tobytes())
+                (me, int(bucket[own[0]]), hashed[first[own]].astype(np.uint32).tobytes(), np.array([len(snippets[k]) for k in own], np.uint8).tobytes(), press(owner[own].tobytes()), press(b"".join(snippets[k] for k in own)), times[own].astype(np.uint32).tobytes(), lo[places].astype(np.uint32).tobytes())
             )
         columns = list(zip(*made, strict=True)) or [[]] * 8
         return pa.table([pa.array(c, pa.int64() if k < 2 else pa.binary()) for k, c in enumerate(columns)], names=names)
@@ -344,14 +344,14 @@ def _judge(rows: pa.Table) -> pa.Table:
         own = which[a:b].tolist()
         lengths.append(b"".join(runs[k][0] for k in own))
         least.append(np.concatenate([runs[k][1] for k in own]).tobytes() if own else b"")
-    return pa.table([rows.column("pack"), rows.column("bucket"), pa.array(lengths, pa.binary()), pa.array(least, pa.binary())], names=["pack", "bucket", "lengths", "least"])
+    return pa.table([rows.column("pack"), rows.column("times"), rows.column("places"), pa.array(lengths, pa.binary()), pa.array(least, pa.binary())], names=["pack", "times", "places", "lengths", "least"])
 
 
 def _covered(pack: Pack, answers: pa.Table) -> np.ndarray:
     """True for each byte of the pack that is removed."""
     steps = np.zeros(len(pack.data) + 1, np.int32)
     for times, places, lengths, least in zip(*(answers.column(c).to_pylist() for c in ("times", "places", "lengths", "least")), strict=True):
-        times, places, least = np.frombuffer(times, np.uint32).astype(np.int64), np.frombuffer(places, np.int64), np.frombuffer(least, np.int64)
+        times, places, least = np.frombuffer(times, np.uint32).astype(np.int64), np.frombuffer(places, np.uint32).astype(np.int64), np.frombuffer(least, np.int64)
         counts, sizes, at = np.empty(len(times), np.int64), [], 0
         for k in range(len(times)):
             n = lengths[at]
@@ -419,9 +419,9 @@ def remove_repeats(documents: DataFrame, as_text: bool = False) -> DataFrame:
     packed = packed.repartition(max(parts(spark), min(packs, 4 * parts(spark))), "pack")
     announced = packed.groupBy("pack").applyInArrow(_announce(bits), _SENT)
     answers = announced.groupBy("bucket").applyInArrow(_shared, "pack long, bucket long, bits binary, n long")
-    cut = materialize(packed.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_cut(bits, buckets), _CUT), "snippets")
-    judged = cut.select("pack", "bucket", "keys", "sizes", "docs", "data").groupBy("bucket").applyInArrow(_judge, "pack long, bucket long, lengths binary, least binary")
-    verdict = cut.select("pack", "bucket", "times", "places").join(judged, ["pack", "bucket"])
+    # One plan: the exchange of the packs is written once and read by all three passes over them.
+    cut = packed.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_cut(bits, buckets), _CUT)
+    verdict = cut.groupBy("bucket").applyInArrow(_judge, "pack long, times binary, places binary, lengths binary, least binary")
     return packed.groupBy("pack").cogroup(verdict.groupBy("pack")).applyInArrow(_apply(as_text), _TEXT if as_text else _DIGEST)
 
 

@@ -200,3 +200,56 @@ def literal_pattern(text: str) -> tuple[str, bool]:
     body, flags = text[1:].rsplit("/", 1)
     inline = "".join(f for f in flags if f in "ims")
     return (f"(?{inline}){body}" if inline else body), "n" in flags
+
+
+def media_score(size: Column, resolution: Column, content: Column, scores: dict[str, float], factors: dict[str, float]) -> Column:
+    """Table score of the resolution times the factor of the class, raised by a known size, between 0 and 1."""
+    lookup = lambda key, table, other: F.coalesce(F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key], F.lit(other))
+    score = lookup(resolution, scores, 0.1) * lookup(content, factors, 1.0) + F.when(F.coalesce(size, F.lit(0)) > 0, 0.1).otherwise(0.0)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+
+
+def any_pattern(name: Column, patterns: Sequence[str]) -> Column:
+    """Whether one of the patterns is in the name; null names have none."""
+    return F.coalesce(name.rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False)) if patterns else F.lit(False)
+
+
+def mapped(value: Column, names: dict[str, str]) -> Column:
+    """Case-blind translation by a table (language codes, provider aliases); unknown values stay as they are."""
+    return F.coalesce(F.create_map(*[F.lit(x) for k, v in names.items() for x in (k.lower(), v)])[F.lower(F.trim(value))], value)
+
+
+def leading_year(text: Column) -> Column:
+    """First year of a text such as ``1999-2003``; 0 if there is none."""
+    return F.coalesce(F.nullif(F.regexp_extract(text, r"((?:19|20)\d{2})", 1), F.lit("")).cast("int"), F.lit(0))
+
+
+def roman_variants(title: Column, most: int = 10) -> Column:
+    """The title, and its forms with Roman and Arabic numbers exchanged, word by word."""
+    roman = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x")[:most]
+    words = F.split(title, " ")
+    there = F.create_map(*[F.lit(x) for n, r in enumerate(roman, 1) for x in (r, str(n))])
+    back = F.create_map(*[F.lit(x) for n, r in enumerate(roman, 1) for x in (str(n), r)])
+    form = lambda table: F.array_join(F.transform(words, lambda w: F.coalesce(table[w], w)), " ")
+    return F.array_distinct(F.array(title, form(there), form(back)))
+
+
+def in_script(text: Column, script: str = "Cyrillic") -> Column:
+    """Whether a text has a letter of a script."""
+    return text.rlike(rf"\p{{Is{script}}}")
+
+
+def preprocessed(title: Column, wanted: Column) -> Column:
+    """Title up to a slash, bar or AKA, and without a trailing bracket, unless a wanted title uses them itself."""
+    uses = lambda pattern: F.exists(wanted, lambda t: t.rlike(pattern))
+    cut = title
+    for pattern in (r"[/|]", r"(?i)\baka\b", r"\([^)]*\)\s*$"):
+        cut = F.when(uses(pattern), cut).otherwise(F.trim(F.regexp_replace(cut, pattern + (r".*$" if "$" not in pattern else ""), "")))
+    return F.when(F.length(cut) > 0, cut).otherwise(title)
+
+
+def refined_series_title(title: Column, season: Column, dropped: Sequence[str]) -> Column:
+    """Series title without the given words, and without a trailing number that repeats the season."""
+    kept = F.array_join(F.filter(F.split(title, " "), lambda w: ~w.isin(*dropped) if dropped else F.lit(True)), " ")
+    tail = F.regexp_extract(kept, r" 0*(\d+)$", 1)
+    return F.when(F.nullif(tail, F.lit("")).cast("int") == season, F.regexp_replace(kept, r" \d+$", "")).otherwise(kept)

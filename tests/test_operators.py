@@ -195,3 +195,12 @@ def test_title_match(spark):
 
     df = spark.createDataFrame([(1, "The Käse", ["the kaese"]), (2, "Other", ["the kaese"]), (3, None, ["x"]), (4, "the kaesa", ["nothing", "the kaese"])], "id int, title string, wanted array<string>")
     assert {r.id: r.title_ok for r in mc.title_match(df, "title", "wanted").collect()} == {1: True, 2: False, 3: False, 4: True}
+
+
+def test_more_parsing(spark):
+    got = one(
+        spark, ps.media_score(F.lit(5), F.lit("1080p"), F.lit("movie"), {"1080p": 0.8}, {"movie": 1.0}), ps.any_pattern(F.lit("[Grp] x - 01"), [r"^\[[^\]]+\]"]), ps.mapped(F.lit(" EN"), {"en": "English"}),
+        ps.leading_year(F.lit("1999-2003")), ps.leading_year(F.lit(None).cast("string")), ps.roman_variants(F.lit("rocky ii")), ps.in_script(F.lit("abЖ")),
+        ps.preprocessed(F.lit("One / Two"), F.array(F.lit("one"))), ps.preprocessed(F.lit("A/B"), F.array(F.lit("a/b"))), ps.preprocessed(F.lit("Name (x)"), F.array(F.lit("name"))), ps.refined_series_title(F.lit("show complete 02"), F.lit(2), ["complete"]),
+    )
+    assert got == (pytest.approx(0.9), True, "English", 1999, 0, ["rocky ii", "rocky 2"], True, "One", "A/B", "Name", "show")

@@ -1,8 +1,9 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Every pass gives each vector a key of 64 random hyperplane signs, sorts all vectors by (label, key) over the whole
-cluster and compares each with a bounded window of followers. Verified pairs of all passes are united into components;
-the links inside a component are then counted in blocks, so that ``n_links`` is exact for everything the passes found.
+cluster and compares each with a bounded window of followers. Verified pairs of all passes are united into components.
+A cover then compares all distinct vectors of a label with each other in pairs of blocks: it counts every link and hands
+on those between different components, so the result does not rest on what comes near in a pass, at any size or density.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from .components import connected_components
 
 BITS = 64
 THRESHOLD = 0.93
-#: A pass finds a pair at cosine 0.93 with probability 0.88 ** (sorted bits that must agree); 20 passes of 40 followers
-#: miss less than one in a thousand of them for labels of up to a few hundred thousand distinct vectors.
+#: A pass finds a pair at cosine 0.93 with probability 0.88 ** (sorted bits that must agree). What the passes miss, which
+#: grows with a label's size and concentration, is left to the cover.
 PASSES = 20
 WINDOW = 40
-#: Members of a component in one block of the counting step.
-BLOCK = 1024
+#: Vectors of a label in one block of the cover; a label of more than ``BLOCKS`` such blocks has larger ones, up to
+#: ``LARGE`` vectors, because every vector is sent once for each block of its label.
+BLOCK, BLOCKS, LARGE = 16384, 64, 131072
+#: Products that a cover task holds at a time.
+PRODUCTS = 1 << 22
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -148,24 +152,58 @@ def _across(window: int, threshold: float):
     return run
 
 
-def _counts(threshold: float):
-    """Weighted links inside one pair of blocks of a component."""
+def _cover(threshold: float):
+    """All links inside one pair of blocks: weighted counts (``rep, links``) and links between components (``a, b``).
+
+    Products are single-precision; those within their rounding error of the threshold are taken again in double.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
-        chunk, own, i, j = (np.asarray(rows.column(c)) for c in ("chunk", "n", "i", "j"))
-        rep, unit = np.asarray(rows.column("rep")), _unit(rows.column("vec").combine_chunks())
-        left, right = np.flatnonzero(chunk == i[0]), np.flatnonzero(chunk == j[0])
+        chunk, own, rep, component = (np.asarray(rows.column(c)) for c in ("chunk", "n", "rep", "component"))
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        vec = rows.column("vec").combine_chunks()
+        unit = np.empty((len(rep), rows.column("dim")[0].as_py()), np.float32)
+        for lo in range(0, len(rep), BLOCK):
+            unit[lo : lo + BLOCK] = _unit(vec.slice(lo, BLOCK))
+        slack = (unit.shape[1] + 8) * 2.0**-23
+        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        across = np.ascontiguousarray(unit[right].T)
         found = np.zeros(len(rep), np.int64)
-        for lo in range(0, len(left), 2048):
-            at = left[lo : lo + 2048]
-            hit = unit[at] @ unit[right].T >= threshold
-            if i[0] == j[0]:
-                hit &= rep[at][:, None] != rep[right][None, :]
-                found[at] += hit @ own[right]
-            else:
-                found[at] += hit @ own[right]
-                found[right] += own[at] @ hit
-        return pa.table({"rep": rep, "links": found})
+        ends = [np.zeros((0, 2), np.int64)]
+        step = max(1, PRODUCTS // max(1, len(right)))
+        for lo in range(0, len(left), step):
+            product = unit[left[lo : lo + step]] @ across
+            at = np.flatnonzero(product >= threshold - slack)
+            near = product.ravel()[at] < threshold + slack
+            x, y = np.divmod(at, max(1, len(right)))
+            x, y = left[lo + x], right[y]
+            once = rep[x] < rep[y] if i == j else np.ones(len(x), bool)
+            x, y, near = x[once], y[once], near[once]
+            if near.any():
+                at, inverse = np.unique(np.r_[x[near], y[near]], return_inverse=True)
+                exact, half = _unit(vec.take(pa.array(at))), int(near.sum())
+                hit = np.ones(len(x), bool)
+                for k in range(0, half, BLOCK):
+                    stop = min(half, k + BLOCK)
+                    hit[np.flatnonzero(near)[k:stop]] = np.einsum("ij,ij->i", exact[inverse[k:stop]], exact[inverse[half + k : half + stop]]) >= threshold
+                x, y = x[hit], y[hit]
+            np.add.at(found, x, own[y])
+            np.add.at(found, y, own[x])
+            apart = component[x] != component[y]
+            if apart.any():
+                ends.append(np.unique(np.stack([component[x[apart]], component[y[apart]]], axis=1), axis=0))
+        node, at = np.unique(np.concatenate(ends), return_inverse=True)
+        at = at.reshape(-1, 2)
+        root = _roots(len(node), at[:, 0], at[:, 1])
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        some = np.flatnonzero(found)
+        counts, edges = pa.nulls(len(some), pa.int64()), pa.nulls(len(moved), pa.int64())
+        return pa.concat_tables(
+            [
+                pa.table([pa.array(rep[some]), pa.array(found[some]), counts, counts], names=["rep", "links", "a", "b"]),
+                pa.table([edges, edges, pa.array(node[moved]), pa.array(node[root[moved]])], names=["rep", "links", "a", "b"]),
+            ]
+        )
 
     return run
 
@@ -197,14 +235,20 @@ def near_duplicates(
     walked = materialize(ranged.mapInArrow(_windows(window, threshold, schema), f"a long, b long, border int, {payload}"), "windows")
     across = walked.where("border is not null").groupBy("border").applyInArrow(_across(window, threshold), "a long, b long")
     edges = walked.where("a is not null").select("a", "b").union(across)
-    component = connected_components(edges).withColumnRenamed("node", "rep")
-    roots = component.select("component").distinct()
-    members = component.union(roots.select("component", "component"))
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("g"))
-    block = members.join(sizes, "component").join(copies, "rep").withColumn("chunk", F.pmod(F.xxhash64("rep"), "g").cast("int"))
-    block = block.select("component", "rep", "n", "vec", "chunk", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other"))
-    block = block.select("component", "rep", "n", "vec", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    links = block.groupBy("component", "i", "j").applyInArrow(_counts(threshold), "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
+    component = materialize(connected_components(edges).withColumnRenamed("node", "rep"), "components")
+    key = ["label", "dim"]
+    sizes = copies.groupBy(*key).agg(F.count("*").alias("m")).where("m > 1")
+    blocks = F.greatest(F.ceil(F.col("m") / LARGE), F.least(F.ceil(F.col("m") / BLOCK), F.lit(BLOCKS))).cast("int")
+    block = copies.join(sizes.select(*key, blocks.alias("g")), key).join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    block = block.withColumn("chunk", F.pmod(F.xxhash64("rep"), "g").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    block = block.select(*key, "rep", "n", "vec", "component", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    covered = block.groupBy(*key, "i", "j").applyInArrow(_cover(threshold), "rep long, links long, a long, b long")
+    covered = materialize(covered, "cover")
+    links = covered.where("rep is not null").groupBy("rep").agg(F.sum("links").alias("links"))
+    # What the cover adds joins whole components of the passes.
+    joined = connected_components(covered.where("a is not null")).toDF("component", "joined")
+    member = component.select("rep").union(joined.select("component")).distinct().join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    component = member.join(joined, "component", "left").select("rep", F.coalesce("joined", "component").alias("component"))
     classes = copies.join(component, "rep", "left").join(links, "rep", "left")
     classes = classes.select("label", "dim", "vec", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("component"))
     found = rows.join(classes, ["label", "dim", "vec"], "left")

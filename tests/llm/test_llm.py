@@ -89,6 +89,26 @@ def test_embeddings_match_brute_force(spark):
         assert got[i] == (len(links[i]), min(seen), i == min(seen))
 
 
+def test_embeddings_of_a_concentrated_label_miss_nothing(spark):
+    """One topic cone at mutual cosine 0.8: hyperplane signs agree for nearly all vectors, so passes miss planted pairs."""
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    topic = unit(rng.standard_normal(64))
+    base = unit(np.sqrt(0.8) * topic + np.sqrt(0.2) * unit(rng.standard_normal((3000, 64))))
+    turn = rng.standard_normal((3000, 64))
+    turn = unit(turn - (turn * base).sum(axis=1, keepdims=True) * base)
+    vectors = np.concatenate([base, 0.931 * base + np.sqrt(1 - 0.931**2) * turn])
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    hit = vectors @ vectors.T >= 0.93
+    expected = hit.sum(axis=1) - 1
+    for options in ({}, {"passes": 1, "window": 1}):
+        got = embeddings.near_duplicates(df, **options).toPandas().set_index("vec_id").sort_index()
+        assert got.n_links.tolist() == expected.tolist()
+        root = got.component_id.to_numpy()
+        a, b = np.nonzero(hit)
+        assert (root[a] == root[b]).all() and got.kept.sum() == len(set(root))
+
+
 def brute_pii(t):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     out = []

@@ -268,8 +268,17 @@ STAGE_PERCENT, STAGE_SHINGLE = 80, 5
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the smallest id (whole copies of that row once)."""
+    """One row of each near-duplicate class, the one with the smallest id; a row without an id stays only if none has one.
+
+    Rows are compared by their texts, not by their ids: rows that share an id but are no near copies all stay, and rows
+    without an id are decided like others. A text without words is dropped only as a whole copy (same id, same text).
+    """
     columns = list(docs.columns)
-    found = near_duplicates(docs, STAGE_PERCENT, STAGE_SHINGLE).where("kept").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*columns)
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*columns).alias("doc")), "rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "doc.text"), STAGE_PERCENT, STAGE_SHINGLE)
+    found = found.select(F.col("doc_id").alias("row"), "component_id", F.col("n_shingles").alias("size"))
+    named = found.join(rows.select("row", F.col("doc.doc_id").alias("id"), F.sha2("doc.text", 256).alias("mark")), "row")
+    bare = F.col("size") == 0
+    same = [F.when(~bare, F.col("component_id")), F.when(bare, F.col("id")), F.when(bare, F.col("mark")), F.when(bare & F.col("id").isNull(), F.col("row"))]
+    first = named.groupBy(*[c.alias(f"same{k}") for k, c in enumerate(same)]).agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select("doc.*").select(*columns)

@@ -59,6 +59,14 @@ def test_stages_keep_columns_and_rows(spark):
     assert pii.pii_stage(spark, docs, SF).columns == docs.columns
 
 
+def test_stage_decides_rows_of_repeated_and_null_ids_by_their_texts(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(7, a), (7, b), (7, b), (9, a + " end"), (3, c), (None, c + " end"), (None, "alone " * 3), (None, "alone " * 3), (5, ""), (5, ""), (5, None), (6, ""), (None, ""), (None, "")]
+    got = [tuple(r) for r in minhash.neardup_stage(spark, rows_of(spark, rows), SF).collect()]
+    expected = [(7, a), (7, b), (3, c), (None, "alone " * 3), (5, ""), (5, None), (6, ""), (None, ""), (None, "")]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (5, 5), (None, 3)] + [(1000, k) for k in range(1001, 1100)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

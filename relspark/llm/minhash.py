@@ -9,7 +9,7 @@ compared a batch at a time; a pair goes when the posterior probability that it r
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,11 @@ from .common import materialize, slices, table, texts
 from .components import connected_components
 from .words import WordTable, word_hashes
 
-HASHES = 64
-#: Hashes in a band: 16 bands of 4 miss a pair at similarity 0.85 with probability 8e-6.
+#: Hashes in a band.
 ROWS = 4
 #: Signature hashes compared between two looks at the posterior, and survivors verified at a time.
 BATCH = 16
-#: Posterior probability below which a pair is given up at a look.
+#: Posterior probability below which a pair is given up at a look; also the most that bands may miss at the threshold.
 MISS = 1e-5
 SHINGLE = 3
 #: Similarity threshold in percent.
@@ -35,6 +34,17 @@ BLOCK = 1024
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
+def bands(percent: int) -> int:
+    """Bands that miss a pair at the threshold with probability ``MISS`` at most: 16 at 85 %, 22 at 80 %."""
+    agree = (percent / 100) ** ROWS
+    return ceil(log(MISS) / log1p(-agree)) if agree < 1 else 1
+
+
+def hashes(percent: int) -> int:
+    """Hashes of a signature: those of the bands, and at least one look's."""
+    return max(BATCH, ROWS * bands(percent))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -66,12 +76,12 @@ def _shingles(docs: list[bytes], index: WordTable, size: int = SHINGLE) -> list[
     return out
 
 
-def _signatures(shingle: int):
+def _signatures(shingle: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _word_table()
         rng = np.random.default_rng(8)
-        factor = rng.integers(1, 1 << 63, HASHES, np.uint64) | np.uint64(1)
-        shift = rng.integers(0, 1 << 63, HASHES, np.uint64)
+        factor = rng.integers(1, 1 << 63, size, np.uint64) | np.uint64(1)
+        shift = rng.integers(0, 1 << 63, size, np.uint64)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = _shingles([t.encode("utf-8", "replace") for t in texts(part.column("text"))], index, shingle)
@@ -79,10 +89,10 @@ def _signatures(shingle: int):
                 some = n > 0
                 flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
                 heads = (np.cumsum(n) - n)[some]
-                signature = np.zeros((len(sets), HASHES), np.uint32)
+                signature = np.zeros((len(sets), size), np.uint32)
                 marks = np.zeros((len(sets), 2), np.uint64)
                 if some.any():
-                    for k in range(HASHES):
+                    for k in range(size):
                         value = ((flat * factor[k] + shift[k]) >> np.uint64(32)).astype(np.uint32)
                         signature[some, k] = np.minimum.reduceat(value, heads)
                     marks[some, 0] = np.add.reduceat(_mix(flat + _A), heads)
@@ -122,9 +132,9 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     return n + 1
 
 
-def looks(threshold: float) -> list[tuple[int, int]]:
+def looks(percent: int) -> list[tuple[int, int]]:
     """Hashes compared and matches needed at each look."""
-    return [(n, least_matches(n, threshold, MISS)) for n in range(BATCH, HASHES + 1, BATCH)]
+    return [(n, least_matches(n, percent / 100, MISS)) for n in range(BATCH, hashes(percent) + 1, BATCH)]
 
 
 def _survive(left: np.ndarray, right: np.ndarray, stops: list[tuple[int, int]]) -> np.ndarray:
@@ -139,11 +149,11 @@ def _survive(left: np.ndarray, right: np.ndarray, stops: list[tuple[int, int]])
 
 
 def _prune(percent: int):
-    stops = looks(percent / 100)
+    stops, size = looks(percent), hashes(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, size) for c in ("sig_a", "sig_b"))
             kept = pa.array(_survive(left, right, stops))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
 
@@ -164,13 +174,13 @@ def _cross(percent: int):
 
     Nothing but a spanning set of verified links leaves the task. A pair is looked at in the first band that it shares.
     """
-    stops = looks(percent / 100)
+    stops, size = looks(percent), hashes(percent)
 
     def run(rows: pa.Table) -> pa.Table:
         rep, chunk = np.asarray(rows.column("rep")), np.asarray(rows.column("chunk"))
         _, root = np.unique(np.asarray(rows.column("component")), return_inverse=True)
         i, j, band = (rows.column(c)[0].as_py() for c in ("i", "j", "band"))
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, size)
         sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
         left, right, edges = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j), []
         for x in left:
@@ -227,12 +237,12 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, shingle: int =
     their number never multiplies pairs; rows that share an id count as one document. An empty table stays empty.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = materialize(docs.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, f1 long, f2 long, sig binary"), "signatures")
+    marks = materialize(docs.mapInArrow(_signatures(shingle, hashes(percent)), "doc_id long, n_shingles long, f1 long, f2 long, sig binary"), "signatures")
     key = ["n_shingles", "f1", "f2"]
     reps = marks.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("m"))
     reps = materialize(reps.select(*key, F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")), "representatives")
-    bands = [F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(HASHES // ROWS)]
-    banded = reps.select("rep", F.posexplode(F.array(*bands)).alias("band", "bucket"))
+    keys = [F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(bands(percent))]
+    banded = reps.select("rep", F.posexplode(F.array(*keys)).alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("centre")).where("size > 1")
     members = materialize(banded.join(full, "bucket"), "buckets")
     suspects = members.select("rep").distinct()

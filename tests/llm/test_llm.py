@@ -233,6 +233,12 @@ def shingles(t, n):
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
+def test_bands_follow_the_threshold():
+    for percent in (70, 80, 85, 100):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.bands(percent) <= minhash.MISS
+    assert minhash.bands(85) == 16 and minhash.bands(minhash.STAGE_PERCENT) == 22
+
+
 def test_minhash_matches_brute_force(spark, corpus):
     rnd, made = random.Random(5), list(corpus)
     words = [f"w{k}" for k in range(50)]

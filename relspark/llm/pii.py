@@ -25,13 +25,15 @@ _ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | _DI
 _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
-_VALUE = _ALNUM | frozenset("_-")
-#: Words after which an identifier of an account or person stands.
-CUES = ("account", "api key", "api_key", "iban", "passport", "passwd", "password", "secret", "ssn", "token", "user id", "user_id")
+_VALUE = _ALNUM | frozenset("_-+/.=")
+#: Words after which a secret or a name of a user stands, with digits or without.
+SECRETS = (*(f"{a}{mark}{b}" for a, b in (("api", "key"), ("user", "id")) for mark in ("", " ", "_", "-")), "passwd", "password", "secret", "token")
+#: Words after which an identifier of an account or person stands, in any case; those that are no secrets take a digit.
+CUES = (*SECRETS, "account", "iban", "passport", "ssn")
 
 
 def anchors() -> ahocorasick.Automaton:
-    """Automaton of all anchors; values are their class, and the length of a cue."""
+    """Automaton of all anchors in lower case; values are their class, and the length of a cue."""
     found = ahocorasick.Automaton()
     for d in "0123456789":
         found.add_word(d, ("digit", 1))
@@ -39,8 +41,7 @@ def anchors() -> ahocorasick.Automaton:
     found.add_word("+", ("plus", 1))
     found.add_word("://", ("scheme", 3))
     for cue in CUES:
-        for form in {cue, cue.title(), cue.upper(), cue.capitalize()}:
-            found.add_word(form, ("cue", len(cue)))
+        found.add_word(cue, ("secret" if cue in SECRETS else "cue", len(cue)))
     found.make_automaton()
     return found
 
@@ -122,20 +123,34 @@ def _phones(t: str, plus: list[int]) -> Iterator[tuple[int, int]]:
             yield p, e
 
 
-def _accounts(t: str, cues: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """A value of 6 to 64 characters with a digit, after a cue and ``:``, ``=`` or ``#`` (quotes and blanks allowed)."""
+def _accounts(t: str, cues: list[tuple[int, int, bool]]) -> Iterator[tuple[int, int]]:
+    """A value of at least 6 characters after a cue and ``:``, ``=`` or ``#`` (quotes and blanks allowed).
+
+    It needs a digit unless the cue is one of a secret. A full stop that ends it is the sentence's.
+    """
     free, n = 0, len(t)
-    for s, e in cues:
+    run = last = 0  # End of the run of value characters that was read last, and behind its last digit.
+    for s, e, secret in cues:
         if s and t[s - 1] in _ALNUM:
             continue
-        signs, limit = 0, min(n, e + 8)
-        while e < limit and t[e] in " :=#\"'":
+        signs = 0
+        while e < n and t[e] in " :=#\"'":
             signs += t[e] in ":=#"
             e += 1
-        q = e
-        while q < n and q - e <= 64 and t[q] in _VALUE:
-            q += 1
-        if signs and e >= free and 6 <= q - e <= 64 and any(c in _DIGITS for c in t[e:q]):
+        if not signs or e < free:
+            continue
+        for q in range(max(e, run), n):
+            if t[q] not in _VALUE:
+                run = q
+                break
+            if t[q] in _DIGITS:
+                last = q + 1
+        else:
+            run = n
+        q = run
+        while q > e and t[q - 1] == ".":
+            q -= 1
+        if q - e >= 6 and (secret or last > e):
             yield e, q
             free = q
 
@@ -159,7 +174,10 @@ def _urls(t: str, schemes: list[int]) -> Iterator[tuple[int, int]]:
 def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind number, end), sorted; positions are code points."""
     at, plus, digits, schemes, cues = [], [], [], [], []
-    for end, (kind, n) in automaton.iter(text):
+    low = text.lower()
+    if len(low) != len(text):  # Letters whose small form is longer keep their place.
+        low = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+    for end, (kind, n) in automaton.iter(low):
         if kind == "digit":
             digits.append(end)
         elif kind == "at":
@@ -169,7 +187,7 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
         elif kind == "scheme":
             schemes.append(end - 2)
         else:
-            cues.append((end - n + 1, end + 1))
+            cues.append((end - n + 1, end + 1, kind == "secret"))
     if not (at or plus or digits or schemes or cues):
         return []
     runs = _runs(digits) if digits else []

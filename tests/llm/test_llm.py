@@ -117,6 +117,16 @@ def test_embeddings_of_a_concentrated_label_miss_nothing(spark):
         assert (root[a] == root[b]).all() and got.kept.sum() == len(set(root))
 
 
+def test_account_values_are_masked_whole():
+    automaton = pii.anchors()
+    key = "Zm9v.YmFy/" * 9 + "q+Q="
+    for cue, value in (("API key", "abc123x"), ("API_key", "abc123x"), ("User ID", "jane_doe"), ("pAsSwOrD", "hunterhunter"), ("token", key), ("\u0130 Secret", "abc123x"), ("IBAN", "DE44500105175407324931")):
+        for mark in (": ", "=", '          :          "'):
+            assert pii._redacted(f"the {cue}{mark}{value}. End", automaton) == f"the {cue}{mark}[ACCOUNT]. End"
+    for plain in ("account: savings", "secret 123456", "broken: 1234567", "token: ab12"):
+        assert pii._redacted(plain, automaton) == plain
+
+
 def brute_pii(t):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     out = []

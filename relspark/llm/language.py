@@ -23,7 +23,6 @@ MAX_ROWS = 1500
 ROUNDS = 12
 #: Neighbouring n-grams overlap: a word's log-likelihood is divided by this before it enters the mixture.
 TEMPER = 2.0
-MOST_LANGUAGES = 3
 
 
 def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +81,8 @@ def mixture(logs: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS) -> tupl
     """Chosen proportions of each document, and the number of languages that penalised likelihood selects.
 
     ``logs`` holds a word's log-likelihood in each language. The full mixture orders the languages; nested sets of one to
-    ``MOST_LANGUAGES`` are then fitted and compared by log-likelihood less half a log of the words per free proportion.
+    all of them are then fitted and compared by log-likelihood less half a log of the words per free proportion. Sets end
+    where even each word's best language could not make up for the penalty.
     """
     n_docs, n_langs = len(offsets) - 1, logs.shape[1]
     n = np.diff(offsets)
@@ -101,7 +101,10 @@ def mixture(logs: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS) -> tupl
     full, _ = fit(np.ones((n_docs, n_langs)), rounds)
     order = np.argsort(-full, axis=1, kind="stable")
     best, best_value, size = None, None, np.ones(n_docs, np.int64)
-    for k in range(1, min(MOST_LANGUAGES, n_langs) + 1):
+    most = per_document(top, offsets)
+    for k in range(1, n_langs + 1):
+        if k > 1 and not (most - 0.5 * (k - 1) * np.log(np.maximum(n, 2)) > best_value).any():
+            break
         mask = np.zeros((n_docs, n_langs))
         np.put_along_axis(mask, order[:, :k], 1.0, axis=1)
         share, value = fit(mask, rounds if k > 1 else 1)

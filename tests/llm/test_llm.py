@@ -127,6 +127,13 @@ def test_account_values_are_masked_whole():
         assert pii._redacted(plain, automaton) == plain
 
 
+def test_text_in_four_languages_has_four():
+    logs = np.full((400, 5), -12.0)
+    logs[np.arange(400), np.arange(400) % 4] = -2.0
+    share, size = language.mixture(logs, np.array([0, 400]))
+    assert size.tolist() == [4] and np.allclose(share[0], [0.25] * 4 + [0.0], atol=1e-3)
+
+
 def brute_pii(t):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     out = []

@@ -177,7 +177,8 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
 
     Depth-first branch-and-bound: each level fills sequences around the largest piece left, as often as the filling can be
     repeated. A branch ends when its waste exceeds what a solution better than the incumbent may waste; the search ends at
-    the lower bound (tokens over capacity, rounded up) or after ``nodes`` fillings. Lengths outside 1..capacity raise.
+    the lower bound (tokens over capacity, rounded up) or after ``nodes`` fillings, not counting those before it first goes
+    back. Lengths outside 1..capacity raise.
     """
     counts = {int(k): int(v) for k, v in counts.items() if v > 0}
     if not counts:
@@ -190,6 +191,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     size = sum(t for _, t in best)
     left, path, waste = _Histogram(counts), [], 0
     stack: list[list] = []
+    first_descent = True
 
     def open_() -> None:
         first = left.below(capacity)
@@ -201,6 +203,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     open_()
     while stack and size > bound and nodes > 0:
         if not stack[-1]:
+            first_descent = False
             stack.pop()
             if path:
                 lengths, times, lost = path.pop()
@@ -208,7 +211,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
                 waste -= lost
             continue
         lengths = stack[-1].pop(0)
-        nodes -= 1
+        nodes -= not first_descent
         times = min(left.n[x] // lengths.count(x) for x in set(lengths))
         lost = (capacity - sum(lengths)) * times
         # The last sequence may stay open: its waste is no loss against the rounded bound.

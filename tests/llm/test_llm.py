@@ -250,6 +250,12 @@ def shingles(t, n):
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
+def test_packing_counts_fillings_after_the_first_descent():
+    counts = {6: 2, 3: 3, 2: 4, 1: 1}
+    assert sum(t for _, t in packing.best_fit(counts, 10)) == 4
+    assert sum(t for _, t in packing.complete(counts, 10, nodes=1)) == 3
+
+
 def test_bands_follow_the_threshold():
     for percent in (70, 80, 85, 100):
         assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.bands(percent) <= minhash.MISS

@@ -24,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="relspark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -38,11 +40,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that nothing reads any more."""
+    for df in tables:
+        for name in df.inputFiles()[:1]:
+            folder = name.split("/")[-2]
+            for path in [p for p in _written if p.endswith(f"/{folder}")]:
+                _written.remove(path)
+                _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete what :func:`materialize` has written in this process; call it when no result needs it any more."""
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _written.pop())
 
 
 def parts(spark: SparkSession) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     seen = None
     while (state := _fingerprint(now)) != seen:
         seen = state
-        now = materialize(_small_star(_large_star(now)), "edges")
+        before, now = now, materialize(_small_star(_large_star(now)), "edges")
+        discard(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 

@@ -259,7 +259,7 @@ def test_packing_counts_fillings_after_the_first_descent():
 def test_bands_follow_the_threshold():
     for percent in (70, 80, 85, 100):
         assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.bands(percent) <= minhash.MISS
-    assert minhash.bands(85) == 16 and minhash.bands(minhash.STAGE_PERCENT) == 22
+    assert minhash.bands(85) == 25 and minhash.bands(minhash.STAGE_PERCENT) == 38
 
 
 def test_minhash_matches_brute_force(spark, corpus):

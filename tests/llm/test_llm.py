@@ -336,14 +336,30 @@ def test_language_mixture(spark):
     assert got[1].n_languages >= 2 and got[4].lang_pred == "fr" and (got[2].lang_pred, got[3].lang_pred) == ("und", "und")
 
 
-def test_label_model_downweights_copies():
+def test_label_model_sees_no_labels_and_discounts_copies():
     rng = np.random.default_rng(6)
-    y = rng.random(3000) < 0.3
-    good = [np.where(y, rng.random(3000) < 0.8, rng.random(3000) < 0.05) for _ in range(3)]
-    noise = rng.random(3000) < 0.3
+    y = rng.random(4000) < 0.3
+    good = [np.where(y, rng.random(4000) < 0.8, rng.random(4000) < 0.05) for _ in range(6)]
+    noise = rng.random(4000) < 0.3
     votes = np.column_stack([*good, noise, noise, noise]).astype(float)
-    post, rates, corr = toxicity.label_model(votes, np.where(np.arange(3000) < 400, y, np.nan))
-    assert ((post > 0.5) == y).mean() > 0.9 and corr[3, 4] > 0.9 and rates[1, 0] > 0.7
+    post, rates, corr, parent = toxicity.label_model(votes)
+    assert ((post > 0.5) == y).mean() > 0.95 and corr[6, 7] > 0.9 and rates[1, 0] > 0.7 > 0.4 > rates[1, 6]
+    assert sum(parent[k] in (6, 7, 8) for k in (6, 7, 8)) == 2
+
+
+def test_label_model_is_expectation_maximisation():
+    """Without dependent voters the posterior is a fixed point of plain EM, written out row by row."""
+    rng = np.random.default_rng(7)
+    y = rng.random(600) < 0.4
+    votes = np.column_stack([np.where(y, rng.random(600) < a, rng.random(600) < b) for a, b in ((0.9, 0.1), (0.8, 0.05), (0.7, 0.2), (0.85, 0.1))]).astype(float)
+    post, rates, _, parent = toxicity.label_model(votes, rounds=500)
+    assert (parent == -1).all()
+    prior = post.mean()
+    for v, p in zip(votes, post, strict=True):
+        odds = prior / (1 - prior)
+        for k, x in enumerate(v):
+            odds *= rates[1, k] / rates[0, k] if x else (1 - rates[1, k]) / (1 - rates[0, k])
+        assert abs(odds / (1 + odds) - p) < 5e-3
 
 
 def test_license_scan_matches_sql(spark):

@@ -20,6 +20,8 @@ ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
 #: Learning documents (about) of each language.
 MAX_ROWS = 1500
+#: Values of ``lang`` that get a model at most, the commonest first: a dirty column does not grow the model.
+MAX_LANGUAGES = 512
 ROUNDS = 12
 #: Neighbouring n-grams overlap: a word's log-likelihood is divided by this before it enters the mixture.
 TEMPER = 2.0
@@ -36,15 +38,17 @@ def _count(languages: list[str]):
     at = {name: i for i, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), len(ORDERS) * BUCKETS))
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(texts(batch.column("text")), batch.column("lang").to_pylist(), strict=True):
                 words, counts = np.unique(np.array(text.encode("utf-8", "replace").split() or [b""], dtype=object), return_counts=True)
                 if words[0] or len(words) > 1:
                     bucket, word = _grams(list(words))
-                    total[at[lang]] += np.bincount(bucket, counts[word], total.shape[1])
-        lang, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[lang, bucket])], names=["lang", "bucket", "n"])
+                    more = np.bincount(bucket, counts[word], len(ORDERS) * BUCKETS)
+                    totals[at[lang]] = totals[at[lang]] + more if at[lang] in totals else more
+        for lang, total in totals.items():
+            bucket = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), lang, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[bucket])], names=["lang", "bucket", "n"])
 
     return run
 
@@ -59,10 +63,11 @@ class Model:
 def train(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """n-gram models from at most about ``max_rows`` learning documents of each language, counted on the executors.
 
-    The driver gets one number for each language and bucket. Rows with null text or language are left out.
+    The driver gets one number for each language and bucket, of ``MAX_LANGUAGES`` languages at most. Rows with null text or
+    language are left out, repeated rows count each time, and an empty table gives a model that calls every text ``und``.
     """
     known = documents.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, len(ORDERS) * BUCKETS)))
@@ -152,7 +157,11 @@ def _scorer(model: Model):
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, n_languages``; ``und`` with score 0 for texts that are null or hold no letter."""
+    """``doc_id, held_out, lang_pred, score, n_languages``; ``und`` with score 0 for texts that are null or hold no letter.
+
+    Of languages with equal proportions the first by name is predicted. Whole texts are read however long; repeated rows
+    are predicted each, an empty table stays empty, and other columns are not read.
+    """
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, n_languages int"
     found = documents.select("doc_id", "text").mapInArrow(_scorer(model), schema)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_languages")

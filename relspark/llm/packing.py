@@ -28,8 +28,11 @@ CAPACITY = 2048
 END = 0
 #: Chunks that a worker remembers before it starts anew.
 MEMORY = 200_000
-#: Fillings that the search may try beyond the first descent.
+#: Fillings that the search may try beyond the first descent: the only bound on it.
 NODES = 8_000
+#: Fillings kept around one piece, and steps taken to find them, in the first pass; each further pass has twice and four times
+#: as many, until a pass leaves nothing out.
+WIDTH, STEPS = 4, 400
 _SPECIAL = "<|endoftext|>"
 
 
@@ -86,7 +89,11 @@ def _pieces(json_path: str, ranks_path: str, capacity: int):
 
 
 def tokenize(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of every document: ``doc_id, piece, start, length, ids_crc32``; null text is empty and still ends with a token."""
+    """Pieces of every document: ``doc_id, piece, start, length, ids_crc32``; null text is empty and still ends with a token.
+
+    Long texts are encoded whole and then cut; repeated rows give their pieces each, an empty table stays empty, and other
+    columns are not read.
+    """
     run = _pieces(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity)
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -111,37 +118,43 @@ class _Histogram:
         return (self.bits & ((1 << (limit + 1)) - 1)).bit_length() - 1 if limit > 0 and self.bits & ((1 << (limit + 1)) - 1) else 0
 
 
-def _fillings(left: _Histogram, room: int, most_waste: int, width: int = 4, tries: int = 400) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first.
+def _fillings(left: _Histogram, room: int, most_waste: int, width: int, steps: int) -> tuple[list[tuple[int, ...]], bool]:
+    """Undominated fillings of ``room``, least waste first, and whether these are all that can matter.
 
     Lengths are chosen in falling order. One piece that fills the room dominates all else; a filling into which a piece
-    left over would still fit is dominated by the one that takes it, and so never listed. ``tries`` bounds the search
-    around one piece.
+    left over would still fit is dominated by the one that takes it, and so never listed. Fillings that waste more than
+    ``most_waste`` cannot lead below the incumbent.
     """
     best: list[tuple[int, tuple[int, ...]]] = [_largest_first(left, room)]
-    budget = tries
+    budget, whole = steps, True
 
     def extend(room: int, top: int, chosen: tuple[int, ...]) -> bool:
-        nonlocal budget
+        nonlocal budget, whole
         x = left.below(min(room, top))
+        while x and left.n[x] <= chosen.count(x):
+            x = left.below(x - 1)
         if not x:
-            best.append((room, chosen))
+            # A longer piece that was passed over may still fit: then this filling is dominated.
+            fits = left.below(room)
+            while fits and left.n[fits] <= chosen.count(fits):
+                fits = left.below(fits - 1)
+            if not fits:
+                best.append((room, chosen))
             return room == 0
-        while x and budget > 0:
+        while x:
+            if budget <= 0:
+                whole = False
+                return False
             budget -= 1
             if left.n[x] > chosen.count(x) and extend(room - x, x, (*chosen, x)):
                 return True
             x = left.below(x - 1)
-            # Choosing only shorter pieces wastes at least what the two largest cannot cover.
-            if len(chosen) >= 5:
-                break
-        if not x and not any(c[1][: len(chosen)] == chosen for c in best):
-            best.append((room, chosen))
         return False
 
-    extend(room, room, ())
+    perfect = extend(room, room, ())
     best.sort(key=lambda b: (b[0], len(b[1]), tuple(-x for x in b[1])))
-    return [c for w, c in dict.fromkeys(best) if w <= most_waste][:width] or [best[0][1]]
+    good = [c for w, c in dict.fromkeys(best) if w <= most_waste]
+    return good[:width] or [best[0][1]], perfect or (whole and len(good) <= width)
 
 
 def _largest_first(left: _Histogram, room: int) -> tuple[int, tuple[int, ...]]:
@@ -159,46 +172,81 @@ def _largest_first(left: _Histogram, room: int) -> tuple[int, tuple[int, ...]]:
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
-    """The incumbent: around the largest piece, always the largest one that still fits."""
-    left, out = _Histogram(counts), []
-    while left.bits:
-        first = left.below(capacity)
-        left.take((first,), 1)
-        chosen = (first, *_largest_first(left, capacity - first)[1])
-        left.take((first,), -1)
-        times = min(left.n[x] // chosen.count(x) for x in set(chosen))
-        left.take(chosen, times)
-        out.append((chosen, times))
-    return out
+    """The incumbent: pieces in falling order, each into the fullest sequence that still has room for it.
+
+    Sequences with the same content are one entry, so the work follows the number of lengths and not of pieces.
+    """
+    rooms: dict[int, list[Pattern]] = {capacity: [((), sum(counts.values()))]}
+    for x in sorted((k for k, c in counts.items() if c > 0), reverse=True):
+        rest = counts[x]
+        for room in sorted(r for r in rooms if r >= x):
+            # A sequence that takes the piece is then the fullest one, so it takes as many as fit.
+            each = room // x
+            entries = rooms.pop(room)
+            while entries and rest:
+                content, times = entries.pop()
+                full = min(times, rest // each)
+                if full:
+                    rooms.setdefault(room - each * x, []).append(((*content, *(x,) * each), full))
+                    rest -= full * each
+                    times -= full
+                if times and 0 < rest < each:
+                    rooms.setdefault(room - rest * x, []).append(((*content, *(x,) * rest), 1))
+                    rest, times = 0, times - 1
+                if times:
+                    entries.append((content, times))
+            if entries:
+                rooms.setdefault(room, []).extend(entries)
+            if not rest:
+                break
+    return [(content, times) for entries in rooms.values() for content, times in entries if content]
 
 
 def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
     """Patterns ``(lengths, times)`` that hold all pieces in as few sequences as the search finds.
 
     Depth-first branch-and-bound: each level fills sequences around the largest piece left, as often as the filling can be
-    repeated. A branch ends when its waste exceeds what a solution better than the incumbent may waste; the search ends at
-    the lower bound (tokens over capacity, rounded up) or after ``nodes`` fillings, not counting those before it first goes
-    back. Lengths outside 1..capacity raise.
+    repeated. A branch ends when its waste exceeds what a solution better than the incumbent may waste. Passes grow
+    broader until one has left nothing out, the lower bound (tokens over capacity, rounded up) is reached, or ``nodes``
+    fillings have been tried, not counting those before a pass first goes back. Lengths outside 1..capacity raise.
     """
     counts = {int(k): int(v) for k, v in counts.items() if v > 0}
     if not counts:
         return []
     if min(counts) < 1 or max(counts) > capacity:
         raise ValueError("lengths must be between 1 and the capacity")
-    total = sum(k * v for k, v in counts.items())
-    bound = -(-total // capacity)
     best = best_fit(counts, capacity)
+    width, steps = WIDTH, STEPS
+    while sum(t for _, t in best) > lower_bound(counts, capacity) and nodes > 0:
+        best, nodes, whole = _search(counts, capacity, best, nodes, width, steps)
+        if whole:
+            break
+        width, steps = 2 * width, 4 * steps
+    return best
+
+
+def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Sequences that no packing can do without."""
+    return -(-sum(k * v for k, v in counts.items()) // capacity)
+
+
+def _search(counts: dict[int, int], capacity: int, best: list[Pattern], nodes: int, width: int, steps: int) -> tuple[list[Pattern], int, bool]:
+    """One pass: the best patterns, the fillings still allowed, and whether no filling that matters was left out."""
+    total, bound = sum(k * v for k, v in counts.items()), lower_bound(counts, capacity)
     size = sum(t for _, t in best)
     left, path, waste = _Histogram(counts), [], 0
     stack: list[list] = []
-    first_descent = True
+    first_descent = whole = True
 
     def open_() -> None:
+        nonlocal whole
         first = left.below(capacity)
         left.take((first,), 1)
-        found = _fillings(left, capacity - first, (size - 1) * capacity - total - waste)
+        found, all_ = _fillings(left, capacity - first, (size - 1) * capacity - total - waste, width, steps)
         left.take((first,), -1)
-        stack.append([(first, *f) for f in found])
+        whole = whole and all_
+        # A filling is tried as often as it can be repeated, then once.
+        stack.append([((first, *f), many) for f in found for many in (True, False)])
 
     open_()
     while stack and size > bound and nodes > 0:
@@ -210,9 +258,13 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
                 left.take(lengths, -times)
                 waste -= lost
             continue
-        lengths = stack[-1].pop(0)
+        lengths, many = stack[-1].pop(0)
+        most = min(left.n[x] // lengths.count(x) for x in set(lengths))
+        if not many and most == 1:
+            continue
         nodes -= not first_descent
-        times = min(left.n[x] // lengths.count(x) for x in set(lengths))
+        times = most if many else 1
+        whole = whole and most <= 2
         lost = (capacity - sum(lengths)) * times
         # The last sequence may stay open: its waste is no loss against the rounded bound.
         if waste + lost > (size - 1) * capacity - total and sum(left.n[x] for x in set(lengths)) > len(lengths) * times:
@@ -227,7 +279,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
         if found < size:
             best, size = [(p, t) for p, t, _ in path], found
         stack.append([])
-    return best
+    return best, nodes, whole and not stack
 
 
 def _assigner(patterns: list[Pattern]):
@@ -283,5 +335,5 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequence and offset."""
+    """Pieces of the documents with their sequence and offset; nulls, repeated rows and empty tables as for :func:`tokenize`."""
     return pack(materialize(tokenize(docs), "pieces"))

@@ -2,7 +2,8 @@
 
 A text becomes units: a run of word marks and what follows it, since no piece of such a model holds a mark after another
 character (checked when the model is read). Distinct units are encoded together: flat numpy symbol arrays, the minimum
-pair rank of each unit, all leftmost merges of that pair at once, compaction, until no pair remains.
+pair rank of each unit, all leftmost merges of that pair at once, compaction, until no pair remains. Long units go through
+the same rounds with links in place of compaction.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ MARK = "▁"
 BOS, EOS = 1, 2
 #: Units that a worker remembers before it starts anew.
 MEMORY = 200_000
-#: Longer units are merged from a heap: their rounds would be as many as their pairs.
+#: Longer units run their rounds one by one from a queue of ranks, which finds a round's pairs without a scan of the unit.
 LONG = 256
 _NONE = np.int64(1 << 40)
 
@@ -144,8 +145,8 @@ class PieceModel:
         return out
 
     def _emit_long(self, u: str) -> tuple[bytes, bytes]:
-        sym, start = (np.array(x, np.int64) for x in self._heap(u))
         codes = np.frombuffer(u.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sym, start = self._queued(self.of_code[codes])
         return self._emit(np.zeros(len(sym), np.int64), start, sym, codes, 1)[0]
 
     def _emit(self, unit: np.ndarray, start: np.ndarray, sym: np.ndarray, codes: np.ndarray, n: int) -> list[tuple[bytes, bytes]]:
@@ -184,41 +185,57 @@ class PieceModel:
         risky = np.isin(unit[hit], unit[hit[bad]])
         return hit[first | ~risky]
 
-    def _heap(self, u: str) -> tuple[list[int], list[int]]:
-        """The same merges one at a time, for one long unit, in n log n."""
-        sym = [self.symbol.get(c, -1) for c in u]
-        n = len(sym)
-        left, right, dead = list(range(-1, n - 1)), list(range(1, n + 1)), [False] * n
-        pair: dict[int, tuple[int, int]] = {}
-        heap: list[tuple[int, int, int, int, int]] = []
-        rank, merged = self.lookup(np.array(sym[:-1], np.int64), np.array(sym[1:], np.int64))
-        for i in np.flatnonzero(rank < _NONE).tolist():
-            heap.append((int(rank[i]), i, sym[i], sym[i + 1], int(merged[i])))
-        heapq.heapify(heap)
-
-        def push(i: int) -> None:
-            j = right[i]
-            if 0 <= i and j < n and sym[i] >= 0 and sym[j] >= 0:
-                key = sym[i] << 20 | sym[j]
-                if key not in pair:
-                    r, m = self.lookup(np.array([sym[i]]), np.array([sym[j]]))
-                    pair[key] = (int(r[0]), int(m[0]))
-                if pair[key][0] < _NONE:
-                    heapq.heappush(heap, (pair[key][0], i, sym[i], sym[j], pair[key][1]))
-
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            j = right[i]
-            if dead[i] or j >= n or sym[i] != a or sym[j] != b:
+    def _queued(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of one long unit after all rounds, and where each begins.
+
+        The rounds are the same as for other units: the minimum pair rank, all its leftmost merges at once. Symbols are
+        linked instead of compacted and positions wait under their rank, so a round costs what it merges.
+        """
+        n = len(symbols)
+        sym, alive = np.r_[symbols, -1], np.ones(n, bool)
+        left, right = np.arange(-1, n), np.arange(1, n + 2)
+        rank, merged = np.full(n, _NONE), np.full(n, -1, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            rank[at], merged[at] = self.lookup(sym[at], sym[right[at]])
+            at = at[rank[at] < _NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            heads = np.flatnonzero(np.r_[True, np.diff(rank[at]) != 0]) if len(at) else at
+            for some in np.split(at, heads[1:]) if len(at) else ():
+                put(int(rank[some[0]]), some)
+
+        def put(r: int, at: np.ndarray) -> None:
+            if r not in waiting:
+                heapq.heappush(ranks, r)
+            waiting.setdefault(r, []).append(at)
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[alive[at] & (rank[at] == r)]
+            if not len(at):
                 continue
-            sym[i], dead[j], right[i] = m, True, right[j]
-            if right[i] < n:
-                left[right[i]] = i
-            if left[i] >= 0:
-                push(left[i])
-            push(i)
-        kept = [i for i in range(n) if not dead[i]]
-        return [sym[i] for i in kept], kept
+            fresh = np.r_[True, right[at[:-1]] != at[1:]]
+            turn = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            hit = at[turn % 2 == 0]
+            if len(hit) > 1:
+                m, after = merged[hit], sym[right[right[hit]]]
+                before = np.where(left[hit] >= 0, sym[left[hit]], -1)
+                opened = np.minimum(np.minimum(self.lookup(before, m)[0], self.lookup(m, after)[0]), self.lookup(m, m)[0])
+                if (opened <= r).any():
+                    # A merge opens a pair that is due no later: the leftmost goes alone, the others wait on.
+                    hit = hit[:1]
+                    put(r, at[1:])
+            gone = right[hit]
+            sym[hit], alive[gone] = merged[hit], False
+            right[hit] = right[gone]
+            left[right[hit]] = hit
+            wait(np.unique(np.r_[hit, left[hit][left[hit] >= 0]]))
+        kept = np.flatnonzero(alive)
+        return sym[kept], kept
 
     def decode(self, ids: list[int]) -> str:
         """Text of a sequence of ids; the mark that encoding put first goes, broken byte runs become U+FFFD."""
@@ -321,13 +338,20 @@ def _lister(path: str):
 
 
 def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, ids, decoded`` of every text; null is empty and gives the begin and end ids alone."""
+    """``doc_id, ids, decoded`` of every text; null is empty and gives the begin and end ids alone.
+
+    Texts are encoded whole however long; repeated rows give the same each, an empty table stays empty, and other columns
+    are not read.
+    """
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string"
     return documents.select("doc_id", "text").mapInArrow(_lister(path or public_tokenizers.path("piece_bpe_32k.model")), schema)
 
 
 def digests(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, from the same encoder, without listing the ids."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, from the same encoder, without listing the ids.
+
+    Null, empty, long and repeated texts as for :func:`encode`.
+    """
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return documents.select("doc_id", "text").mapInArrow(_runner(path or public_tokenizers.path("piece_bpe_32k.model")), schema)
 

@@ -7,9 +7,10 @@
 2. Around each shared anchor a pack cuts the snippet of the windows that this anchor stands for, each distinct snippet
    once with its smallest document.
 3. A bucket of anchors gets all its snippets. Shards of them are sorted into Burrows-Wheeler transforms, which are merged
-   by refining their interleave one symbol at a time: after h rounds the order is that of the first h symbols, and a
-   border that first shows in round h is a common prefix of h - 1. After ``LENGTH`` rounds every block is a repeated
-   interval, whose smallest document goes back to the packs. No suffix is sorted again.
+   by refining their interleave ``STEP`` symbols a round: after h rounds the order is that of the first ``STEP * h``
+   symbols, and suffixes that a border first parts in a round have a common prefix that ends within its symbols. After
+   ``LENGTH`` symbols every block is a repeated interval, whose smallest document goes back to the packs. No suffix is
+   sorted again.
 """
 
 from __future__ import annotations
@@ -30,8 +31,11 @@ LENGTH = 50
 K = 24
 #: Text bytes of a pack, anchor keys and snippet bytes of a bucket (about).
 PACK, KEYS, SNIPPETS = 4 << 20, 1 << 20, 4 << 20
-#: Suffixes that one shard of a bucket sorts.
-SHARD = 1 << 18
+#: Suffixes that one shard sorts, and (about) those that are merged at a time: whole anchors, so that the arrays of a merge
+#: stay in the cache. An anchor with more snippets is merged in one piece.
+SHARD, MERGED = 1 << 14, 1 << 16
+#: Symbols by which a round of a merge refines the order.
+STEP = 5
 _P = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 #: Never part of UTF-8: ends a snippet.
@@ -68,20 +72,21 @@ class Pack:
     """Texts of a pack in order of their ids, as one byte array."""
 
     def __init__(self, rows: pa.Table):
-        got: list[tuple[int, bytes]] = []
+        got: list[tuple[int, bool, bytes]] = []
         decode = zstandard.ZstdDecompressor()
-        for ids, sizes, blob in zip(*(rows.column(c).to_pylist() for c in ("ids", "sizes", "blob")), strict=True):
+        for ids, nulls, sizes, blob in zip(*(rows.column(c).to_pylist() for c in ("ids", "nulls", "sizes", "blob")), strict=True):
             data = decode.decompress(blob, max_output_size=int(sum(np.frombuffer(sizes, np.int64))) + 1)
             at = 0
-            for i, n in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(sizes, np.int64).tolist(), strict=True):
-                got.append((i, data[at : at + n]))
+            for i, null, n in zip(*(np.frombuffer(x, kind).tolist() for x, kind in ((ids, np.int64), (nulls, bool), (sizes, np.int64))), strict=True):
+                got.append((i, null, data[at : at + n]))
                 at += n
         # Equal ids are ordered by their text, so that every pass over a pack sees the same order.
         got.sort()
         self.ids = np.array([g[0] for g in got], np.int64)
-        self.sizes = np.array([len(g[1]) for g in got], np.int64)
+        self.null = [g[1] for g in got]
+        self.sizes = np.array([len(g[2]) for g in got], np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.data = np.frombuffer(b"".join(g[1] for g in got), np.uint8)
+        self.data = np.frombuffer(b"".join(g[2] for g in got), np.uint8)
 
     def anchors(self, block: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Position and hash of each anchor, and the first and last window that it stands for."""
@@ -114,6 +119,7 @@ def _packer(n_packs: int):
         for batch in batches:
             pack = np.asarray(batch.column("pack"))
             ids = batch.column("doc_id").fill_null(_LAST).to_numpy(zero_copy_only=False)
+            null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             data = [b"" if t is None else t.encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             order = np.argsort(pack, kind="stable")
             cuts = np.r_[0, np.flatnonzero(np.diff(pack[order])) + 1, len(order)] if len(order) else np.zeros(1, int)
@@ -122,10 +128,11 @@ def _packer(n_packs: int):
                 [
                     pa.array(np.array([pack[r[0]] for r in rows], np.int64)),
                     pa.array([ids[r].astype(np.int64).tobytes() for r in rows], pa.binary()),
+                    pa.array([null[r].tobytes() for r in rows], pa.binary()),
                     pa.array([np.array([len(data[k]) for k in r], np.int64).tobytes() for r in rows], pa.binary()),
                     pa.array([press.compress(b"".join(data[k] for k in r)) for r in rows], pa.binary()),
                 ],
-                names=["pack", "ids", "sizes", "blob"],
+                names=["pack", "ids", "nulls", "sizes", "blob"],
             )
 
     return run
@@ -236,45 +243,63 @@ class Shard:
         padded = np.concatenate([data, np.zeros(8, np.uint8)])
         for k in range(8):
             key = key << np.uint64(8) | np.where(left > k, padded[k : k + n], 0).astype(np.uint64)
-        _, rank = np.unique(key, return_inverse=True)
+        classes, rank = np.unique(key, return_inverse=True)
         rank, step = rank + 1, 8
-        while step < int(size.max()):
+        # Where no class is parted any more, its members are equal to their ends.
+        known = 0
+        while known < len(classes) < n and step < int(size.max()):
             after = np.zeros(n, np.int64)
             far = np.flatnonzero(left > step)
             after[far] = rank[far + step]
-            _, rank = np.unique(rank * np.int64(n + 2) + after, return_inverse=True)
+            known = len(classes)
+            classes, rank = np.unique(rank * np.int64(n + 2) + after, return_inverse=True)
             rank, step = rank + 1, 2 * step
-        order = np.lexsort((number, rank))
-        before = np.where(order == start[number[order]], start[number[order]] + size[number[order]] - 1, order - 1)
+        order = np.argsort(rank, kind="stable")
+        own = number[order]
+        before = np.where(order == start[own], start[own] + size[own] - 1, order - 1)
         self.symbol = data[before]
-        place = np.empty(n, np.int64)
+        place = np.empty(n, np.int32)
         place[order] = np.arange(n)
         self.back = place[before]
-        self.snippet = number[order] + first
-        self.offset = order - start[number[order]]
-        self.ends = np.flatnonzero(self.offset == size[number[order]] - 1)
-
-
-def merge(shards: list[Shard], rounds: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Merged order of all suffixes by their first ``rounds`` symbols, and the number of each one's block of equal ones.
-
-    Each round reads the symbols before the suffixes in the present interleave and deals the suffixes one symbol longer
-    into symbol blocks, keeping their order: the interleave of the shards refined by one symbol. Ends differ from all else.
+        self.snippet = own + first
+        self.offset = order - start[own]
+        # STEP symbols back at a time: the suffix that begins there, and the symbols it begins with. Suffixes without so
+        # much before them make way for the shortest ones, which hold an end among those symbols and differ from all others.
+        far = np.arange(n, dtype=np.int32)
+        for _ in range(STEP):
+            far = self.back[far]
+        shortest = np.zeros(n, bool)
+        for k in range(STEP):
+            far[place[start + k]] = place[start + size - 1 - k]
+            shortest[place[start + size - 1 - k]] = True
+        self.far, self.shortest = far, shortest
+        begin = np.zeros(n, np.uint64)
+        for k in range(STEP):
+            begin = begin << np.uint64(8) | np.where(left > k, padded[k : k + n], _END).astype(np.uint64)
+        self.symbols = begin[order[far]]
+
+
+def merge(shards: list[Shard], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Merged order of all suffixes by their first ``length`` symbols, and the number of each one's block of equal ones.
+
+    Each round reads the ``STEP`` symbols before the suffixes in the present interleave and deals the suffixes that much
+    longer into symbol blocks, keeping their order: the interleave of the shards refined by ``STEP`` symbols. ``length``
+    is a multiple of ``STEP``, and no snippet is shorter.
     """
-    base = np.cumsum([0] + [len(s.symbol) for s in shards])
-    symbol = np.concatenate([s.symbol for s in shards])
-    back = np.concatenate([s.back + b for s, b in zip(shards, base, strict=False)])
-    ends = np.concatenate([s.ends + b for s, b in zip(shards, base, strict=False)])
-    n = len(symbol)
-    order, block = np.arange(n), np.zeros(n, np.int32)
-    for _ in range(rounds):
-        seen = symbol[order]
+    base = np.cumsum([0] + [len(s.far) for s in shards])
+    shortest = np.concatenate([s.shortest for s in shards])
+    far = np.concatenate([s.far + np.int32(b) for s, b in zip(shards, base, strict=False)])
+    alphabet, symbols = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)
+    symbols = symbols.astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
+    n = len(far)
+    order, block, border = np.arange(n, dtype=np.int32), np.zeros(n, np.int32), np.ones(n, bool)
+    for _ in range(length // STEP):
+        seen = symbols[order]
         turn = np.argsort(seen, kind="stable")
-        inner = turn[: n - len(ends)]
-        came, sym = block[inner], seen[inner]
-        border = np.ones(n, bool)
-        border[1 : len(inner)] = (sym[1:] != sym[:-1]) | (came[1:] != came[:-1])
-        order = np.concatenate([back[order[inner]], ends])
+        came, seen = block[turn], seen[turn]
+        order = far[order[turn]]
+        border[1:] = (seen[1:] != seen[:-1]) | (came[1:] != came[:-1])
+        border |= shortest[order]
         block = np.cumsum(border, dtype=np.int32)
     return order, block
 
@@ -324,12 +349,16 @@ def _judge(rows: pa.Table) -> pa.Table:
     which, key_of = np.array(which), np.array(key_of, np.uint32)
     owner = np.full(len(snippets), _LAST)
     np.minimum.at(owner, which, flat_docs)
-    # Windows of a snippet that is alone with its anchor have that snippet's document; all others are merged.
-    _, group, n = np.unique(key_of, return_inverse=True, return_counts=True)
-    mixed = np.flatnonzero(n[group] > 1)
-    answer: list[np.ndarray] = [np.array([d]) for d in owner]
-    if len(mixed):
-        for k, least in zip(mixed.tolist(), earliest([snippets[k] for k in mixed.tolist()], owner[mixed]), strict=True):
+    # Equal windows have equal anchors: snippets of an anchor are merged together, those of several anchors at a time.
+    turn = np.argsort(key_of, kind="stable")
+    ends = np.cumsum([len(snippets[k]) + 1 for k in turn])
+    heads = np.flatnonzero(np.r_[True, np.diff(key_of[turn]) != 0])
+    reached = ends[np.r_[heads[1:], len(turn)] - 1] // MERGED
+    cuts = [*heads[np.flatnonzero(np.r_[True, np.diff(reached) != 0])].tolist(), len(turn)]
+    answer: list[np.ndarray] = [owner[:0]] * len(snippets)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        some = turn[a:b].tolist()
+        for k, least in zip(some, earliest([snippets[k] for k in some], owner[some]), strict=True):
             answer[k] = least
     runs: list[tuple[bytes, np.ndarray]] = []
     for s, least in zip(snippets, answer, strict=True):
@@ -384,11 +413,11 @@ def _apply(as_text: bool):
         if rows.num_rows:
             pack = Pack(rows)
             gone = _covered(pack, answers) if answers.num_rows else np.zeros(len(pack.data), bool)
-            for i, a, b in zip(pack.ids.tolist(), (pack.ends - pack.sizes).tolist(), pack.ends.tolist(), strict=True):
+            for i, null, a, b in zip(pack.ids.tolist(), pack.null, (pack.ends - pack.sizes).tolist(), pack.ends.tolist(), strict=True):
                 own = gone[a:b]
                 n = int(own.sum())
                 kept = pack.data[a:b][~own].tobytes() if n else pack.data[a:b].tobytes()
-                i = None if i == _LAST else i
+                i = None if null else i
                 if as_text:
                     # A cut inside a character leaves no half of it.
                     mark = xxhash.xxh64_intdigest(pack.data[a:b].tobytes(), seed=42)
@@ -415,7 +444,7 @@ def remove_repeats(documents: DataFrame, as_text: bool = False) -> DataFrame:
     packs = max(1, -(-total // PACK))
     bits = max(3, int(total * 0.08 / KEYS).bit_length())
     buckets = max(parts(spark), int(total / SNIPPETS))
-    packed = docs.withColumn("pack", F.pmod(F.xxhash64("doc_id"), F.lit(packs))).mapInArrow(_packer(packs), "pack long, ids binary, sizes binary, blob binary")
+    packed = docs.withColumn("pack", F.pmod(F.xxhash64("doc_id"), F.lit(packs))).mapInArrow(_packer(packs), "pack long, ids binary, nulls binary, sizes binary, blob binary")
     packed = packed.repartition(max(parts(spark), min(packs, 4 * parts(spark))), "pack")
     announced = packed.groupBy("pack").applyInArrow(_announce(bits), _SENT)
     answers = announced.groupBy("bucket").applyInArrow(_shared, "pack long, bucket long, bits binary, n long")

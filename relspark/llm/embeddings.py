@@ -1,7 +1,9 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Every pass gives each vector a key of 64 random hyperplane signs, sorts all vectors by (label, key) over the whole
-cluster and compares each with a bounded window of followers. Verified pairs of all passes are united into components.
+cluster and compares each with a bounded window of followers. Passes carry one byte for each component and the length of the
+rounding error, so a pair counts as verified only if no rounding can take it below the threshold. Verified pairs of all
+passes are united into components.
 A cover then compares all distinct vectors of a label with each other in pairs of blocks: it counts every link and hands
 on those between different components, so the result does not rest on what comes near in a pass, at any size or density.
 """
@@ -59,8 +61,19 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _coded(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One signed byte for each component, the size of a step of each row, and the length of each row's rounding error."""
+    step = np.abs(unit).max(axis=1) / 127
+    code = np.rint(unit / step[:, None])
+    return code.astype(np.int8), step, np.linalg.norm(unit - code * step[:, None], axis=1)
+
+
+_KEYED = "pass int, label string, dim int, key long, rep long, code binary, step double, error double"
+_CARRIED = pa.schema([("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("key", pa.int64()), ("rep", pa.int64()), ("code", pa.binary()), ("step", pa.float64()), ("error", pa.float64())])
+
+
 def _keyed(passes: int, seed: int):
-    """Adds one row per pass with the sort key: 64 hyperplane signs as an order-preserving signed long."""
+    """One row per pass with the sort key: 64 hyperplane signs as an order-preserving signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -70,29 +83,35 @@ def _keyed(passes: int, seed: int):
                 part = batch.filter(pa.array(sizes == dim)) if (sizes != dim).any() else batch
                 if dim not in planes:
                     planes[dim] = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), passes * BITS))
-                signs = _unit(part.column("vec")) @ planes[dim] >= 0
+                unit = _unit(part.column("vec"))
+                code, step, error = _coded(unit)
+                code = pa.array([row.tobytes() for row in code], pa.binary())
+                signs = unit @ planes[dim] >= 0
                 keys = np.packbits(signs.reshape(len(signs), passes, BITS), axis=2).view(">u8")[:, :, 0]
                 keys = (keys ^ np.uint64(1 << 63)).astype(np.uint64).view(np.int64)
                 for k in range(passes):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(signs), k, np.int32)), part.column("label"), part.column("dim"), pa.array(keys[:, k]), part.column("rep"), part.column("vec")],
-                        names=["pass", "label", "dim", "key", "rep", "vec"],
-                    )
+                    columns = [pa.array(np.full(len(signs), k, np.int32)), part.column("label"), part.column("dim"), pa.array(keys[:, k]), part.column("rep"), code, pa.array(step), pa.array(error)]
+                    yield pa.RecordBatch.from_arrays(columns, names=_CARRIED.names)
 
     return run
 
 
 def _window_links(batch: pa.Table, window: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of verified pairs at most ``window`` apart, within one pass, label and dimension."""
-    group = np.stack([np.asarray(batch.column(c)) for c in ("pass", "label", "dim")])
-    cuts = np.r_[0, np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1, batch.num_rows]
+    """Positions of surely linked pairs at most ``window`` apart, within one pass, label and dimension."""
+    changed = [(x[1:] != x[:-1]) for x in (np.asarray(batch.column(c)) for c in ("pass", "label", "dim"))]
+    cuts = np.r_[0, np.flatnonzero(np.any(changed, axis=0)) + 1, batch.num_rows]
+    steps, errors = np.asarray(batch.column("step")), np.asarray(batch.column("error"))
     left, right = [], []
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         if hi - lo < 2:
             continue
-        unit = _unit(batch.column("vec").slice(lo, hi - lo).combine_chunks())
+        code = np.frombuffer(b"".join(batch.column("code").slice(lo, hi - lo).to_pylist()), np.int8).reshape(hi - lo, -1)
+        near, error = (code * steps[lo:hi, None]).astype(np.float32), errors[lo:hi]
+        rounding = (code.shape[1] + 8) * 2.0**-22
         for s in range(1, min(window, hi - lo - 1) + 1):
-            hit = np.flatnonzero(np.einsum("ij,ij->i", unit[:-s], unit[s:]) >= threshold)
+            # |u.v - u'.v'| <= |u - u'| + |v - v'| + |u - u'||v - v'| for unit vectors u and v.
+            slack = error[:-s] + error[s:] + error[:-s] * error[s:] + rounding
+            hit = np.flatnonzero(np.einsum("ij,ij->i", near[:-s], near[s:]) >= threshold + slack)
             left.append(hit + lo)
             right.append(hit + lo + s)
     none = np.zeros(0, np.int64)
@@ -111,7 +130,7 @@ def _stars(rows: pa.Table, window: int, threshold: float) -> tuple[np.ndarray, n
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _windows(window: int, threshold: float, schema: pa.Schema):
+def _windows(window: int, threshold: float, schema: pa.Schema = _CARRIED):
     """Edges of a sorted partition, and its first and last rows for the comparison across the partition's border."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,24 +234,23 @@ def near_duplicates(
 
     Exact copies are one representative through all passes, so a vector that a third of the rows repeat is compared once.
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label, link with
-    nothing; vectors of different length neither. A repeated id keeps its rows (each copy counts as a row); an empty
-    table gives an empty result. Other columns, whatever their names, are not read.
+    nothing; vectors of different length neither. Labels keep their type: they are equal if Spark holds them for equal
+    (0.0 and -0.0 are; 1.2 and 1.7 are not). A repeated id keeps its rows (each copy counts as a row); an empty table gives
+    an empty result. Other columns, whatever their names, are not read.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"), F.col(label_col).cast("long").alias("label"))
+    # Text stands for any type of label; adding 0.0 makes one zero of two.
+    label = F.col(label_col) + F.lit(0.0).cast(vectors.schema[label_col].dataType) if vectors.schema[label_col].dataType.typeName() in ("float", "double") else F.col(label_col)
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"), label.cast("string").alias("label"))
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     good = F.coalesce((F.size("vec") > 0) & F.forall("vec", number) & F.exists("vec", lambda x: x != 0) & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False))
     rows = rows.withColumn("dim", F.size("vec")).withColumn("vec", F.when(good, F.col("vec")))
     copies = rows.where("vec is not null").groupBy("label", "dim", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     copies = materialize(copies, "vectors")
-    inner = vectors.schema[vec_col].dataType.simpleString()
-    payload = f"pass int, label long, dim int, key long, rep long, vec {inner}"
-    keyed = copies.select("label", "dim", "rep", "vec").mapInArrow(_keyed(passes, seed), payload)
+    keyed = copies.select("label", "dim", "rep", "vec").mapInArrow(_keyed(passes, seed), _KEYED)
     order = ["pass", "label", "dim", "key", "rep"]
     ranged = keyed.repartitionByRange(parts(spark), *order).sortWithinPartitions(*order)
-    vec_type = pa.list_(pa.float32() if "float" in inner else pa.float64())
-    schema = pa.schema([("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int32()), ("key", pa.int64()), ("rep", pa.int64()), ("vec", vec_type)])
-    walked = materialize(ranged.mapInArrow(_windows(window, threshold, schema), f"a long, b long, border int, {payload}"), "windows")
+    walked = materialize(ranged.mapInArrow(_windows(window, threshold), f"a long, b long, border int, {_KEYED}"), "windows")
     across = walked.where("border is not null").groupBy("border").applyInArrow(_across(window, threshold), "a long, b long")
     edges = walked.where("a is not null").select("a", "b").union(across)
     component = materialize(connected_components(edges).withColumnRenamed("node", "rep"), "components")
@@ -251,7 +269,9 @@ def near_duplicates(
     component = member.join(joined, "component", "left").select("rep", F.coalesce("joined", "component").alias("component"))
     classes = copies.join(component, "rep", "left").join(links, "rep", "left")
     classes = classes.select("label", "dim", "vec", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("component"))
-    found = rows.join(classes, ["label", "dim", "vec"], "left")
+    # Rows that link with nothing are many of one key: they need no join.
+    alone = rows.where("vec is null").select("vec_id", F.lit(None).cast("long").alias("n"), F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("component"))
+    found = rows.where("vec is not null").join(classes, ["label", "dim", "vec"], "left").select("vec_id", "n", "links", "component").unionByName(alone)
     component_id = F.coalesce("component", "vec_id")
     return found.select(
         "vec_id",

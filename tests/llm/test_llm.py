@@ -117,6 +117,40 @@ def test_embeddings_of_a_concentrated_label_miss_nothing(spark):
         assert (root[a] == root[b]).all() and got.kept.sum() == len(set(root))
 
 
+def test_embedding_labels_keep_their_type_and_empty_tables(spark):
+    v, w = [1.0, 0.0], [0.999, 0.01]
+    for kind, a, b in (("double", 1.2, 1.7), ("string", "x", "y"), ("boolean", True, False)):
+        rows = [(1, v, a, 0), (2, w, a, 0), (3, v, b, 0), (4, v, None, 0), (4, v, None, 0)]
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}, key int").withColumns({"rep": F.lit("r"), "code": F.lit(0), "n": F.lit(9), "component": F.lit("c")})
+        got = sorted(tuple(r) for r in embeddings.near_duplicates(df).collect())
+        assert got == [(1, 1, 1, True, 1), (2, 1, 1, False, 1), (3, 0, 3, True, 1), (4, 0, 4, True, 1), (4, 0, 4, True, 1)]
+        assert embeddings.near_duplicates(df.limit(0)).count() == 0
+    zeros = spark.createDataFrame([(1, v, 0.0), (2, v, -0.0)], "vec_id long, embedding array<double>, label double")
+    assert {r.component_id for r in embeddings.near_duplicates(zeros).collect()} == {1}
+
+
+def test_passes_alone_find_planted_pairs():
+    """Windows over codes accept no pair below the threshold and nearly all planted ones of a label of 20 000."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(rng.standard_normal((10_000, 64)))
+    turn = rng.standard_normal((10_000, 64))
+    turn = unit(turn - (turn * base).sum(axis=1, keepdims=True) * base)
+    vectors = np.concatenate([base, 0.96 * base + np.sqrt(1 - 0.96**2) * turn])
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 64).cast(pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(["1"] * len(vectors)), pa.array(np.full(len(vectors), 64, np.int32)), pa.array(np.arange(len(vectors))), flat], names=["label", "dim", "rep", "vec"])
+    found = set()
+    for rows in embeddings._keyed(embeddings.PASSES, 20)(iter([batch])):
+        rows = pa.Table.from_batches([rows]).sort_by("key")
+        a, b = embeddings._window_links(rows, embeddings.WINDOW, embeddings.THRESHOLD)
+        rep = np.asarray(rows.column("rep"))
+        found |= set(zip(np.minimum(rep[a], rep[b]).tolist(), np.maximum(rep[a], rep[b]).tolist(), strict=True))
+    assert all(vectors[i] @ vectors[j] >= 0.93 for i, j in found)
+    assert len(found & {(k, k + 10_000) for k in range(10_000)}) > 9_900
+
+
 def test_account_values_are_masked_whole():
     automaton = pii.anchors()
     key = "Zm9v.YmFy/" * 9 + "q+Q="

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 
 def eligible(sources: DataFrame, search: bool, genre: str | None, skip: int, given: Sequence[str]) -> DataFrame:
-    """Adds ``refused``: null, or why a catalogue can't take part. ``extras`` holds structs ``name, required, options``."""
+    """Adds ``refused``: null, or why a catalogue can't take part. ``extras`` holds structs ``name, required, options``.
+
+    A genre other than ``None`` needs a genre extra that lists it, lists a null (any genre), or lists nothing.
+    """
     has = lambda n: F.exists("extras", lambda e: e["name"] == n)
     reasons = [F.when(~has("search"), "no search")] if search else []
-    if genre is not None:
-        reasons.append(F.when(~F.exists("extras", lambda e: (e["name"] == "genre") & F.array_contains(e["options"], genre)), "genre not offered"))
+    if genre is not None and genre != "None":
+        admits = lambda o: o.isNull() | (F.size(o) == 0) | F.exists(o, lambda x: x.isNull() | (x == genre))
+        reasons.append(F.when(~F.exists("extras", lambda e: (e["name"] == "genre") & admits(e["options"])), "genre not offered"))
     if skip:
         reasons.append(F.when(~has("skip"), "no paging"))
     missing = F.exists("extras", lambda e: e["required"] & ~e["name"].isin(*given) if given else e["required"])

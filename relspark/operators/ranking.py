@@ -117,7 +117,7 @@ def shuffled(key: Column, seed: int) -> Column:
 
 
 def greedy_unique(rows: DataFrame, key_columns: Sequence[str], title: str | None, by: str, group: str | None = None) -> DataFrame:
-    """First-wins dedup in which only kept rows add their keys, while titles of all rows are remembered.
+    """First-wins dedup in which a row that goes leaves neither its keys nor its title behind.
 
     With one key and no title this is :func:`winner`; otherwise each group is walked in order by one task.
     """
@@ -135,10 +135,9 @@ def greedy_unique(rows: DataFrame, key_columns: Sequence[str], title: str | None
             own = {(c, row[c]) for c in key_columns if row[c] is not None and row[c] == row[c]}
             t = row[title] if title else None
             good = not (own & keys) and (t is None or t not in titles)
-            if t is not None:
-                titles.add(t)
             if good:
                 keys |= own
+                titles |= {t} - {None}
             kept.append(good)
         return frame[kept]
 
@@ -179,21 +178,93 @@ def duplicate_groups(rows: DataFrame, key: str, pos: str, keys_column: str) -> D
     return rows.groupBy(key).applyInPandas(unite, T.StructType([*rows.schema.fields, T.StructField("dup_group", T.LongType())]))
 
 
-def dedup_mode(rows: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
-    """Drop whole classes inside a duplicate group: ``aggressive`` keeps the best class present, ``conservative`` drops
-    uncached rows of services that also have a cached one, and p2p rows once anything is cached; ``keep_all`` drops nothing."""
-    w = Window.partitionBy(*keys)
-    cached = F.coalesce(F.max(F.col("cached").cast("int")).over(w), F.lit(0)) == 1
-    uncached = F.coalesce(F.max((~F.col("cached")).cast("int")).over(w), F.lit(0)) == 1
-    p2p = F.col("type") == "p2p"
+#: Types whose rows are told apart by whether their service holds them (fixed values).
+DIVIDED = ("debrid", "usenet", "stremio-usenet")
+
+
+def dedup_class() -> Column:
+    """Class of a row inside a duplicate group: ``cached`` or ``uncached`` for a row with a service, else its type."""
+    divided = F.col("type").isin(*DIVIDED) & F.col("service_id").isNotNull()
+    return F.when(divided, F.when(F.coalesce("cached", F.lit(False)), "cached").otherwise("uncached")).otherwise(F.col("type"))
+
+
+def dedup_mode(rows: DataFrame, keys: Sequence[str], mode: str, class_: Column | None = None) -> DataFrame:
+    """Drop whole classes inside a duplicate group; classes other than cached, uncached and p2p always stay.
+
+    ``aggressive``: cached rows drive out uncached and p2p ones, else p2p rows the uncached ones. ``conservative``: cached
+    rows drive out p2p ones and the uncached ones of their own service. ``keep_all`` drops nothing.
+    """
+    if mode == "keep_all":
+        return rows
+    rows = rows.withColumn("_class", dedup_class() if class_ is None else class_)
+    has = lambda c, *more: F.max(F.coalesce(F.col("_class") == c, F.lit(False))).over(Window.partitionBy(*keys, *more))
+    is_ = lambda c: F.coalesce(F.col("_class") == c, F.lit(False))
     if mode == "aggressive":
-        bad = (cached & ~F.coalesce(F.col("cached"), F.lit(False))) | (~cached & uncached & p2p)
+        bad = (has("cached") & (is_("uncached") | is_("p2p"))) | (has("p2p") & is_("uncached"))
     elif mode == "conservative":
-        own = F.coalesce(F.max(F.col("cached").cast("int")).over(Window.partitionBy(*keys, "service_id")), F.lit(0)) == 1
-        bad = (F.coalesce(~F.col("cached"), F.lit(False)) & own) | (p2p & (cached | uncached))
+        bad = (is_("uncached") & has("cached", "service_id")) | (is_("p2p") & has("cached"))
     else:
-        bad = F.lit(False)
-    return rows.withColumn("_bad", F.coalesce(bad, F.lit(False))).where("not _bad").drop("_bad")
+        raise ValueError(f"unknown mode {mode}")
+    return rows.withColumn("_bad", bad).where("not _bad").drop("_bad", "_class")
+
+
+def dedup_order(mode: str, services: Sequence[str], sources: Sequence[str], types: Sequence[str], pos: str = "pos") -> list[Column]:
+    """Order in which rows of a class win under a mode. Unknown seeders count as 0, which makes the order total."""
+    counted = F.col("_class").isin("p2p", "uncached")
+    seeders = F.when(counted, F.coalesce("seeders", F.lit(0))).otherwise(0).desc()
+    service, source, type_ = (rank_in(F.col(c), known) for c, known in (("service_id", services), ("source_id", sources), ("type", types)))
+    return {
+        "single_result": [service, seeders, source, type_, F.col(pos)],
+        "per_service": [source, type_, seeders, F.col(pos)],
+        "per_addon": [service, seeders, F.col(pos)],
+    }[mode]
+
+
+#: What one row stands for under each mode, besides its group and class (fixed values).
+MODE_KEYS = {"single_result": (), "per_service": ("service_id",), "per_addon": ("source_id",)}
+#: Modes of the classes where none is given (fixed values); a class without a mode stays, in the strict form it goes.
+MODES = {"cached": "per_addon", "uncached": "per_addon", "p2p": "per_addon", "http": "disabled", "live": "disabled", "youtube": "disabled", "external": "disabled"}
+
+
+def dedup_winners(
+    rows: DataFrame, keys: Sequence[str], mode: str, services: Sequence[str] = (), sources: Sequence[str] = (), types: Sequence[str] = (), pos: str = "pos"
+) -> DataFrame:
+    """One row of each group and class under one mode; ``per_service`` over a row without a service is an error."""
+    rows = rows.withColumn("_class", dedup_class())
+    if mode == "per_service":
+        rows = rows.withColumn("service_id", F.coalesce("service_id", F.raise_error(F.lit("per_service needs a service in every row")).cast("string")))
+    return winner(rows, [*keys, "_class", *MODE_KEYS[mode]], dedup_order(mode, services, sources, types, pos)).drop("_class")
+
+
+def deduplicate(
+    rows: DataFrame, request: str, keys_column: str, multi_group: str = "aggressive", modes: dict[str, str] | None = None, services: Sequence[str] = (), sources: Sequence[str] = (),
+    types: Sequence[str] = (), excluded: Column | None = None, passthrough: Column | None = None, strict: bool = False, pos: str = "pos",
+) -> DataFrame:
+    """The whole dedup of a request's rows: groups from shared keys, classes that drive out others, winners by mode.
+
+    Rows of excluded sources always stay, yet take part in the groups and may win in them. Passthrough rows always stay and
+    compete with no row. A class without a mode stays; with ``strict`` it goes. One shuffle on the request, then windows.
+    """
+    modes = MODES | (modes or {})
+    false = F.lit(False)
+    grouped = duplicate_groups(rows.withColumn("_free", F.coalesce(passthrough, false) if passthrough is not None else false).withColumn("_out", F.coalesce(excluded, false) if excluded is not None else false), request, pos, keys_column)
+    keys, own = [request, "dup_group"], F.when(~F.col("_free"), dedup_class())
+    grouped = grouped.withColumn("_class", own)
+    # Rows that a class drives out are only marked, for an excluded row among them stays.
+    stays = dedup_mode(grouped, keys, multi_group, F.col("_class")).withColumn("_class", own)
+    known = {c: m for c, m in modes.items() if m != "disabled"}
+    mode = F.coalesce(*[F.when(F.col("_class") == c, F.lit(m)) for c, m in known.items()])
+    compared = stays.withColumn("_mode", mode)
+    kept = None
+    for name, more in MODE_KEYS.items():
+        part = winner(compared.where(F.col("_mode") == name), [*keys, "_class", *more], dedup_order(name, services, sources, types, pos))
+        kept = part if kept is None else kept.unionByName(part)
+    disabled = F.col("_class").isin(*[c for c, m in modes.items() if m == "disabled"])
+    listed = F.col("_class").isin(*modes)
+    free = compared.where(F.col("_mode").isNull() & (F.col("_free") | F.coalesce(disabled, false) | (false if strict else ~F.coalesce(listed, false))))
+    chosen = kept.unionByName(free).select(request, pos)
+    always = grouped.where("_out").select(request, pos)
+    return rows.join(chosen.union(always).distinct(), [request, pos], "left_semi")
 
 
 def clones(rows: DataFrame, when: Column, **changed: Column) -> DataFrame:

@@ -41,9 +41,18 @@ def catalog_dedup_id(spark, sf_dir):
     return rk.greedy_unique(_items(spark, sf_dir), ["title"], None, "pos", group="page").select("page", "pos")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_ITEMS.replace("ELSE 0 END AS yr", "END AS yr")},
+placed AS (SELECT page, pos, 's' || source AS ka, 'y' || CAST(yr AS VARCHAR) AS kb, 't' || title AS kt, row_number() OVER (PARTITION BY page ORDER BY pos) AS place FROM i),
+walk AS (
+    SELECT page, CAST(0 AS BIGINT) AS place, CAST(0 AS BIGINT) AS pos, false AS good, CAST([] AS VARCHAR[]) AS seen FROM placed GROUP BY page
+    UNION ALL
+    SELECT page, place, pos, good, CASE WHEN good THEN list_concat(seen, own) ELSE seen END
+    FROM (SELECT *, NOT list_has_any(seen, own) AS good
+        FROM (SELECT p.page, p.place, CAST(p.pos AS BIGINT) AS pos, w.seen, list_filter([p.ka, p.kb, p.kt], lambda x: x IS NOT NULL) AS own
+            FROM walk w JOIN placed p ON p.page = w.page AND p.place = w.place + 1)))
+SELECT page, pos FROM walk WHERE good""")
 def catalog_dedup_greedy(spark, sf_dir):
-    """Ids or titles: only kept items add their ids, all add their titles (the tests state it sequentially)."""
+    """Ids or titles: only items that stay leave their ids and titles behind."""
     return rk.greedy_unique(_items(spark, sf_dir), ["source", "year"], "title", "pos", group="page").select("page", "pos")
 
 
@@ -65,19 +74,24 @@ def capability_union(spark, sf_dir):
     return cat.capability_union(rows, "resource").select("resource", F.array_join("types", ",").alias("types"), F.array_join("prefixes", ",").alias("prefixes"))
 
 
-@query("""WITH e AS (SELECT 'c' || CAST(i AS VARCHAR) AS source, i FROM range(1, 9) t(i)) SELECT source, CASE WHEN i % 2 = 0 THEN 'no search' WHEN i % 3 = 0 THEN 'genre not offered' WHEN i = 5 THEN 'required extra missing' END AS refused FROM e""")
+@query("""SELECT 'c' || CAST(i AS VARCHAR) AS source,
+    CASE WHEN i % 2 = 0 THEN 'no search' WHEN i % 3 = 0 THEN 'genre not offered' WHEN i = 7 THEN 'genre not offered' WHEN i = 5 THEN 'required extra missing' END AS refused,
+    CASE WHEN i % 2 = 0 THEN 'no search' WHEN i = 5 THEN 'required extra missing' END AS refused_for_any
+FROM range(1, 12) t(i)""")
 def catalog_eligibility(spark, sf_dir):
-    """Why a catalogue can't take part."""
+    """Why a catalogue can't take part: a genre extra without options, or with a null among them, admits every genre."""
     i = F.col("id")
     extra = lambda name, required, options: F.struct(F.lit(name).alias("name"), required.alias("required"), options.alias("options"))
-    none = F.array().cast("array<string>")
+    none, nothing = F.array().cast("array<string>"), F.array().cast("array<struct<name:string,required:boolean,options:array<string>>>")
+    options = F.when(i == 1, F.array(F.lit("Drama"))).when(i == 7, F.array(F.lit("Comedy"))).when(i == 11, F.array(F.lit("Comedy"), F.lit(None).cast("string"))).otherwise(none)
     extras = F.concat(
-        F.when(i % 2 != 0, F.array(extra("search", F.lit(False), none))).otherwise(F.array().cast("array<struct<name:string,required:boolean,options:array<string>>>")),
-        F.array(extra("genre", F.lit(False), F.when(i % 3 != 0, F.array(F.lit("Drama"))).otherwise(none))),
+        F.when(i % 2 != 0, F.array(extra("search", F.lit(False), none))).otherwise(nothing),
+        F.when(i % 3 != 0, F.array(extra("genre", F.lit(False), options))).otherwise(nothing),
         F.array(extra("region", i == 5, none)),
     )
-    rows = spark.range(1, 9).select(F.concat(F.lit("c"), i.cast("string")).alias("source"), extras.alias("extras"))
-    return cat.eligible(rows, True, "Drama", 0, ["search", "genre"]).select("source", "refused")
+    rows = spark.range(1, 12).select(F.concat(F.lit("c"), i.cast("string")).alias("source"), extras.alias("extras"))
+    first = cat.eligible(rows, True, "Drama", 0, ["search", "genre"])
+    return cat.eligible(first.withColumnRenamed("refused", "given"), True, "None", 0, ["search", "genre"]).select("source", F.col("given").alias("refused"), F.col("refused").alias("refused_for_any"))
 
 
 @query("""WITH p AS (SELECT p_partkey AS k, unnest(list_distinct(list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda w: w <> ''))) AS token FROM part), t AS (SELECT p_partkey AS k, 0 AS tier FROM part WHERE p_name = 'red widget' UNION ALL SELECT p_partkey, 1 FROM part WHERE starts_with(p_name, 'red') UNION ALL SELECT k, 2 FROM p WHERE token = 'widget')

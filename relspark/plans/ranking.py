@@ -86,56 +86,107 @@ def range_rules(spark, sf_dir):
     return flt.decide(inc.withColumn("type", F.lit("p2p")), flt.Profile(excluded_ranges={"age_hours": flt.Range(50000, 100)})).select("id", "included", F.when(F.col("keep"), 0).otherwise(1).alias("excluded"))
 
 
-def _winner_sql(keys: str, by: str) -> str:
-    return f"WITH {RELEASES} SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS rn FROM releases) WHERE rn = 1"
-
-
-_SEED = "CASE WHEN type = 'p2p' OR cached = false THEN coalesce(seeders, 0) ELSE 0 END DESC"
-
-
-@query(_winner_sql("request_id, title, type", f"{_case('service_id', SERVICES)}, {_SEED}, source_id, {_case('type', TYPES)}, pos"))
+#: The class of a row, and rows that have one.
+_CLASSED = f"""{RELEASES}, classed AS (
+    SELECT *, CASE WHEN type IN ('debrid', 'usenet', 'stremio-usenet') AND service_id IS NOT NULL
+        THEN CASE WHEN coalesce(cached, false) THEN 'cached' ELSE 'uncached' END ELSE type END AS class FROM releases)"""
+SOURCES = ("src3", "src0", "src5", "src1")
+_SEED = "CASE WHEN class IN ('p2p', 'uncached') THEN coalesce(seeders, 0) ELSE 0 END DESC"
+_BY = {
+    "single_result": f"{_case('service_id', SERVICES)}, {_SEED}, {_case('source_id', SOURCES)}, {_case('type', TYPES)}, pos",
+    "per_service": f"{_case('source_id', SOURCES)}, {_case('type', TYPES)}, {_SEED}, pos",
+    "per_addon": f"{_case('service_id', SERVICES)}, {_SEED}, pos",
+}
+
+
+def _winner_sql(keys: str, mode: str, where: str = "true") -> str:
+    return f"""WITH {_CLASSED}, ranked AS (
+    SELECT id, row_number() OVER (PARTITION BY {keys} ORDER BY {_BY[mode]}) AS place FROM classed WHERE {where})
+SELECT id FROM ranked WHERE place = 1"""
+
+
+@query(_winner_sql("request_id, title, class", "single_result"))
 def dedup_single(spark, sf_dir):
-    """One row of each group and type; seeders count for p2p and uncached rows only, in a total order."""
-    seeders = F.when((F.col("type") == "p2p") | F.coalesce(~F.col("cached"), F.lit(False)), F.coalesce("seeders", F.lit(0))).otherwise(0)
-    by = [rk.rank_in(F.col("service_id"), SERVICES), seeders.desc(), F.col("source_id"), rk.rank_in(F.col("type"), TYPES), F.col("pos")]
-    return rk.winner(releases(spark, sf_dir), ["request_id", "title", "type"], by).select("id")
+    """One row of each group and class; seeders count for p2p and uncached rows only, in a total order."""
+    return rk.dedup_winners(releases(spark, sf_dir), ["request_id", "title"], "single_result", SERVICES, SOURCES, TYPES).select("id")
 
 
-@query(_winner_sql("request_id, title, type, service_id", f"source_id, {_case('type', TYPES)}, coalesce(seeders, 0) DESC, pos"))
+@query(_winner_sql("request_id, title, class, service_id", "per_service", "service_id IS NOT NULL"))
 def dedup_per_service(spark, sf_dir):
-    """One row of each group, type and service."""
-    return rk.winner(releases(spark, sf_dir), ["request_id", "title", "type", "service_id"], [F.col("source_id"), rk.rank_in(F.col("type"), TYPES), F.coalesce("seeders", F.lit(0)).desc(), F.col("pos")]).select("id")
+    """One row of each group, class and service, among rows that have a service."""
+    rows = releases(spark, sf_dir).where("service_id is not null")
+    return rk.dedup_winners(rows, ["request_id", "title"], "per_service", SERVICES, SOURCES, TYPES).select("id")
 
 
-@query(_winner_sql("request_id, title, source_id", f"{_case('service_id', SERVICES)}, coalesce(seeders, 0) DESC, pos"))
+@query(_winner_sql("request_id, title, class, source_id", "per_addon"))
 def dedup_per_source(spark, sf_dir):
-    """One row of each group and source."""
-    return rk.winner(releases(spark, sf_dir), ["request_id", "title", "source_id"], [rk.rank_in(F.col("service_id"), SERVICES), F.coalesce("seeders", F.lit(0)).desc(), F.col("pos")]).select("id")
+    """One row of each group, class and source."""
+    return rk.dedup_winners(releases(spark, sf_dir), ["request_id", "title"], "per_addon", SERVICES, SOURCES, TYPES).select("id")
 
 
-_GROUP = f"""WITH {RELEASES}, g AS (SELECT *, max(CASE WHEN cached THEN 1 ELSE 0 END) OVER w AS c, max(CASE WHEN cached = false THEN 1 ELSE 0 END) OVER w AS u,
-    max(CASE WHEN cached THEN 1 ELSE 0 END) OVER (PARTITION BY request_id, title, service_id) AS s FROM releases WINDOW w AS (PARTITION BY request_id, title)) SELECT id FROM g WHERE """
+_GROUP = f"""WITH {_CLASSED}, g AS (
+    SELECT *, bool_or(class = 'cached') OVER w AS c, bool_or(class = 'p2p') OVER w AS p, bool_or(class = 'cached') OVER (w PARTITION BY request_id, title, service_id) AS s
+    FROM classed WINDOW w AS (PARTITION BY request_id, title))
+SELECT id FROM g WHERE """.replace("(w PARTITION BY request_id, title, service_id)", "(PARTITION BY request_id, title, service_id)")
 
 
-@query(_GROUP + "NOT ((c = 1 AND NOT coalesce(cached, false)) OR (c = 0 AND u = 1 AND type = 'p2p'))")
+@query(_GROUP + "NOT (c AND class IN ('uncached', 'p2p')) AND NOT (p AND class = 'uncached')")
 def dedup_aggressive(spark, sf_dir):
-    """Only the best class of a group stays: cached, else uncached, else p2p."""
+    """Cached rows drive out uncached and p2p ones; without them p2p rows drive out uncached ones."""
     return rk.dedup_mode(releases(spark, sf_dir), ["request_id", "title"], "aggressive").select("id")
 
 
-@query(_GROUP + "NOT (coalesce(cached = false, false) AND s = 1) AND NOT (type = 'p2p' AND (c = 1 OR u = 1))")
+@query(_GROUP + "NOT (class = 'uncached' AND s) AND NOT (class = 'p2p' AND c)")
 def dedup_conservative(spark, sf_dir):
-    """Uncached rows go only where their own service has a cached one."""
+    """Uncached rows go only where their own service has a cached one, p2p rows where anything is cached."""
     return rk.dedup_mode(releases(spark, sf_dir), ["request_id", "title"], "conservative").select("id")
 
 
-@query(f"""WITH RECURSIVE {RELEASES}, k AS (SELECT request_id, pos, 's' || source_id AS key FROM releases UNION ALL SELECT request_id, pos, 'z' || CAST(size // 1000000000 AS VARCHAR) || resolution FROM releases WHERE resolution IS NOT NULL),
-reach(request_id, pos, to_pos) AS (SELECT request_id, pos, pos FROM releases UNION SELECT r.request_id, r.pos, b.pos FROM reach r JOIN k a ON a.request_id = r.request_id AND a.pos = r.to_pos JOIN k b ON b.request_id = a.request_id AND b.key = a.key)
+_KEYS = """k AS (
+    SELECT request_id, pos, 's' || source_id AS key FROM releases
+    UNION ALL SELECT request_id, pos, 'z' || CAST(size // 1000000000 AS VARCHAR) || resolution FROM releases WHERE resolution IS NOT NULL)"""
+_REACH = f"""{_KEYS}, reach(request_id, pos, to_pos) AS (
+    SELECT request_id, pos, pos FROM releases
+    UNION SELECT r.request_id, r.pos, b.pos FROM reach r
+        JOIN k a ON a.request_id = r.request_id AND a.pos = r.to_pos JOIN k b ON b.request_id = a.request_id AND b.key = a.key)"""
+_DRIVER_MODES = {"cached": "single_result", "uncached": "per_service", "p2p": "per_addon", "http": "disabled"}
+_DRIVER = f"""WITH RECURSIVE {_CLASSED}, {_REACH},
+groups AS (SELECT request_id, pos, min(to_pos) AS dup_group FROM reach GROUP BY request_id, pos),
+grouped AS (
+    SELECT c.* EXCLUDE (class), g.dup_group, source_id = 'src7' AS kept_out, quality = 'HDTV' AS free, CASE WHEN NOT coalesce(quality = 'HDTV', false) THEN class END AS class
+    FROM classed c JOIN groups g USING (request_id, pos)),
+present AS (
+    SELECT *, coalesce(bool_or(class = 'cached') OVER w, false) AS c, coalesce(bool_or(class = 'p2p') OVER w, false) AS p
+    FROM grouped WINDOW w AS (PARTITION BY request_id, dup_group)),
+stays AS (SELECT * FROM present WHERE class IS NULL OR (NOT (c AND class IN ('uncached', 'p2p')) AND NOT (p AND class = 'uncached'))),
+ranked AS (
+    SELECT id, class, kept_out,
+        row_number() OVER (PARTITION BY request_id, dup_group, class ORDER BY {_BY["single_result"]}) AS one,
+        row_number() OVER (PARTITION BY request_id, dup_group, class, service_id ORDER BY {_BY["per_service"]}) AS each_service,
+        row_number() OVER (PARTITION BY request_id, dup_group, class, source_id ORDER BY {_BY["per_addon"]}) AS each_source
+    FROM stays)
+SELECT id FROM ranked WHERE class IS NULL OR class = 'http' OR (class = 'cached' AND one = 1) OR (class = 'uncached' AND each_service = 1) OR (class = 'p2p' AND each_source = 1)
+UNION SELECT id FROM grouped WHERE kept_out"""
+
+
+def _shared_keys() -> F.Column:
+    step = F.floor(F.col("size") / 1_000_000_000).cast("string")
+    return F.array_compact(F.array(F.concat(F.lit("s"), "source_id"), F.concat(F.lit("z"), step, "resolution")))
+
+
+@query(_DRIVER)
+def dedup_driver(spark, sf_dir):
+    """Groups from shared keys, classes that drive out others, a mode for each class, excluded sources, passthrough rows."""
+    rows = releases(spark, sf_dir).withColumn("pos", F.col("pos").cast("long")).withColumn("keys", _shared_keys())
+    kept = rk.deduplicate(rows, "request_id", "keys", "aggressive", _DRIVER_MODES, SERVICES, SOURCES, TYPES, F.col("source_id") == "src7", F.col("quality") == "HDTV")
+    return kept.select("id")
+
+
+@query(f"""WITH RECURSIVE {RELEASES}, {_REACH}
 SELECT request_id, CAST(pos AS BIGINT) AS pos, CAST(min(to_pos) AS BIGINT) AS dup_group FROM reach GROUP BY request_id, pos""")
 def dedup_components(spark, sf_dir):
     """Rows of a request that share any key, joined transitively."""
-    keys = F.array_compact(F.array(F.concat(F.lit("s"), "source_id"), F.concat(F.lit("z"), F.floor(F.col("size") / 1_000_000_000).cast("string"), "resolution")))
-    rows = releases(spark, sf_dir).select("request_id", F.col("pos").cast("long").alias("pos"), keys.alias("keys"))
+    rows = releases(spark, sf_dir).select("request_id", F.col("pos").cast("long").alias("pos"), _shared_keys().alias("keys"))
     return rk.duplicate_groups(rows, "request_id", "pos", "keys").select("request_id", "pos", "dup_group")
 
 
@@ -145,9 +196,27 @@ def limit_single_dim(spark, sf_dir):
     return rk.top_per(releases(spark, sf_dir), ["request_id", "resolution"], [F.col("size").desc(), F.col("pos")], 2).select("id")
 
 
-@query()
+_WALK = f"""WITH RECURSIVE {RELEASES},
+placed AS (
+    SELECT request_id, id, source_id, resolution, type, row_number() OVER (PARTITION BY request_id ORDER BY size DESC, pos) AS place FROM releases),
+walk AS (
+    SELECT request_id, CAST(0 AS BIGINT) AS place, CAST('' AS VARCHAR) AS id, false AS good, CAST(0 AS BIGINT) AS passed, MAP {{'': CAST(0 AS BIGINT)}} AS seen
+    FROM placed GROUP BY request_id
+    UNION ALL
+    SELECT request_id, place, id, reached = 4, passed + CASE WHEN reached = 4 THEN 1 ELSE 0 END,
+        map_concat(seen, CASE WHEN reached >= 1 THEN MAP {{ka: na}} ELSE MAP {{'': CAST(0 AS BIGINT)}} END,
+            CASE WHEN reached >= 2 AND kb IS NOT NULL THEN MAP {{coalesce(kb, ''): nb}} ELSE MAP {{'': CAST(0 AS BIGINT)}} END,
+            CASE WHEN reached >= 3 THEN MAP {{kc: nc}} ELSE MAP {{'': CAST(0 AS BIGINT)}} END)
+    FROM (SELECT *, CASE WHEN passed >= 8 THEN 0 WHEN na > 2 THEN 1 WHEN kb IS NOT NULL AND nb > 3 THEN 2 WHEN nc > 6 THEN 3 ELSE 4 END AS reached
+        FROM (SELECT *, coalesce(seen[ka], 0) + 1 AS na, coalesce(seen[kb], 0) + 1 AS nb, coalesce(seen[kc], 0) + 1 AS nc
+            FROM (SELECT p.request_id, p.place, p.id, w.passed, w.seen, 'a' || p.source_id AS ka, 'b' || p.resolution AS kb, 'c' || p.type AS kc
+                FROM walk w JOIN placed p ON p.request_id = w.request_id AND p.place = w.place + 1))))
+SELECT request_id, CAST(place AS INT) AS place, id FROM walk WHERE good"""
+
+
+@query(_WALK)
 def limit_greedy(spark, sf_dir):
-    """Several limits at once, walked in order (see the tests for the sequential statement)."""
+    """Several limits at once, walked in order: counters raised before the one that rejects stay raised."""
     rows = rk.ranked(releases(spark, sf_dir).select("request_id", "pos", "id", "source_id", "resolution", "type", "size"), ["request_id"], [F.col("size").desc(), F.col("pos")], "place")
     return rk.greedy_limit(rows, {"source_id": 2, "resolution": 3, "type": 6}, total=8).select("request_id", "place", "id")
 

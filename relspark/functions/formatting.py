@@ -26,10 +26,10 @@ def format_bytes(n: Column, k: int = 1000) -> Column:
 
 
 def format_duration(ms: Column) -> Column:
-    """``1h:02m:03s`` without leading zero hours."""
+    """``1h:2m:3s``; below an hour ``2m:3s``, or ``2m`` for whole minutes."""
     s = F.floor(ms / 1000)
     h, m, r = F.floor(s / 3600).cast("long"), F.floor(s % 3600 / 60).cast("long"), (s % 60).cast("long")
-    return F.when(h > 0, F.format_string("%dh:%dm:%ds", h, m, r)).when(m > 0, F.format_string("%dm:%ds", m, r)).otherwise(F.format_string("%ds", r))
+    return F.when(h > 0, F.format_string("%dh:%dm:%ds", h, m, r)).when(r > 0, F.format_string("%dm:%ds", m, r)).otherwise(F.format_string("%dm", m))
 
 
 def format_hours(hours: Column) -> Column:

@@ -19,9 +19,13 @@ CHANNEL_TOKENS = (("7.1", "7[. ]1"), ("6.1", "6[. ]1"), ("5.1", "5[. ]1"), ("2.0
 VISUAL_TOKENS = (("HDR10+", "hdr10\\+|hdr10plus"), ("HDR10", "hdr10"), ("HDR", "hdr"), ("DV", "dv|dovi|dolby[ ._-]?vision"), ("10bit", "10[ .-]?bit"), ("3D", "3d"), ("IMAX", "imax"), ("SDR", "sdr"))
 
 
+#: Signs that may stand directly before and behind a token (fixed values).
+_BEFORE, _BEHIND = r"\s\[(_\-.,", r"\s)\]_.\-,"
+
+
 def token(pattern: str) -> str:
     """Case-blind pattern of a whole token: nothing word-like on its left, a separator or the end on its right."""
-    return rf"(?i)(?<![^\s\[(_\-.,])(?:{pattern})(?=[\s)\]_.\-,]|$)"
+    return rf"(?i)(?<![^{_BEFORE}])(?:{pattern})(?=[{_BEHIND}]|$)"
 
 
 def first_token(name: Column, vocabulary: Sequence[tuple[str, str]]) -> Column:
@@ -47,9 +51,9 @@ def season_episode(name: Column) -> Column:
 
 
 def release_year(name: Column, as_of: int) -> Column:
-    """The last year between 1900 and the year after ``as_of``."""
+    """The first year between 1900 and the year after ``as_of``."""
     years = F.filter(F.transform(F.regexp_extract_all(name, F.lit(r"(?<!\d)((?:19|20)\d{2})(?!\d)"), F.lit(1)), lambda y: y.cast("int")), lambda y: (y >= 1900) & (y <= as_of + 1))
-    return F.try_element_at(years, F.lit(-1))
+    return F.try_element_at(years, F.lit(1))
 
 
 def info_hash(url: Column) -> Column:
@@ -64,21 +68,29 @@ def size_bytes(text: Column) -> Column:
 
 
 def duration_ms(text: Column) -> Column:
-    """Milliseconds of hours, minutes and seconds in a text; 0 if there is none."""
-    part = lambda u: F.coalesce(F.nullif(F.regexp_extract(text, rf"(?i)(\d+)\s?{u}", 1), F.lit("")).cast("long"), F.lit(0))
-    return (part("h") * 3600 + part("m(?![a-z])") * 60 + part("s(?![a-z])")) * 1000
+    """Milliseconds of the first hours, minutes and seconds in a text that stand as a token of their own; 0 without one.
+
+    A smaller unit follows its larger one directly, behind a colon or behind a blank.
+    """
+    whole = rf"(?i)(?<![^{_BEFORE}])(\d+h(?:[:\s]?\d+m(?:[:\s]?\d+s)?)?|\d+m(?:[:\s]?\d+s)?|\d+s)(?=[{_BEHIND}]|$)"
+    found = F.regexp_extract(text, whole, 1)
+    part = lambda u: F.coalesce(F.nullif(F.regexp_extract(found, rf"(?i)(\d+){u}", 1), F.lit("")).cast("long"), F.lit(0))
+    return (part("h") * 3600 + part("m") * 60 + part("s")) * 1000
 
 
 def age_hours(text: Column) -> Column:
-    """Hours of an age such as 3d, 12h, 2m (30 days) or 1y (365 days)."""
-    number, unit = F.nullif(F.regexp_extract(text, r"(?i)^\s*(\d+(?:\.\d+)?)\s*([hdmy])", 1), F.lit("")).cast("double"), F.lower(F.regexp_extract(text, r"(?i)^\s*(\d+(?:\.\d+)?)\s*([hdmy])", 2))
-    return number * F.when(unit == "h", 1).when(unit == "d", 24).when(unit == "m", 24 * 30).when(unit == "y", 24 * 365)
+    """Hours of an age such as 3d, 12h, 30m (minutes) or 1y (365 days); null for any other text."""
+    form = r"^(\d+)([A-Za-z])$"
+    number, unit = F.nullif(F.regexp_extract(text, form, 1), F.lit("")).cast("double"), F.lower(F.regexp_extract(text, form, 2))
+    return F.when(unit == "h", number).when(unit == "d", number * 24).when(unit == "m", number / 60).when(unit == "y", number * 24 * 365)
 
 
 def bitrate_bps(text: Column) -> Column:
-    """Bits a second of a rate such as 5.5 Mbps."""
-    number, unit = F.nullif(F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?)\s*([kmg]?)bps", 1), F.lit("")).cast("double"), F.lower(F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?)\s*([kmg]?)bps", 2))
-    return number * F.when(unit == "k", 1e3).when(unit == "m", 1e6).when(unit == "g", 1e9).otherwise(1.0)
+    """Bits a second of a text that is a rate such as 5.5 Mbps, or a plain number; null for any other text."""
+    form = r"(?i)^(\d+(?:\.\d+)?)(?:\s*([kmgt]?)bps)?$"
+    text = F.trim(text)
+    number, unit = F.nullif(F.regexp_extract(text, form, 1), F.lit("")).cast("double"), F.lower(F.regexp_extract(text, form, 2))
+    return number * F.when(unit == "k", 1e3).when(unit == "m", 1e6).when(unit == "g", 1e9).when(unit == "t", 1e12).otherwise(1.0)
 
 
 def service_of(name: Column, services: Sequence[tuple[str, str]], cached: str = "+", uncached: str = "download") -> Column:
@@ -98,25 +110,36 @@ def stream_type(service: Column, is_live: Column, nzb: Column, info: Column, url
     )
 
 
-#: Identifier forms in order of trial (fixed values): name, pattern with value, season and episode.
-ID_FORMS = (
-    ("imdb", r"^(?:imdb:)?(tt\d+)(?::(\d+))?(?::(\d+))?$"),
-    ("tmdb", r"^(?:tmdb):(\d+)(?::(\d+))?(?::(\d+))?$"),
-    ("tvdb", r"^(?:tvdb):(\d+)(?::(\d+))?(?::(\d+))?$"),
-    ("kitsu", r"^(?:kitsu):(\d+)()(?::(\d+))?$"),
-    ("mal", r"^(?:mal):(\d+)()(?::(\d+))?$"),
-    ("anilist", r"^(?:anilist):(\d+)()(?::(\d+))?$"),
-    ("anidb", r"^(?:anidb):(\d+)()(?::(\d+))?$"),
+#: Identifier namespaces in order of trial (fixed values): name, prefixes, characters of the value, what may follow it.
+ID_SPACES = (
+    ("imdb", ("tt", "imdb"), r"\d", "season episode"),
+    ("mal", ("mal",), r"\d", "episode"),
+    ("tvdb", ("tvdb",), r"\d", "season episode"),
+    ("tmdb", ("tmdb",), r"\d", "season episode"),
+    ("kitsu", ("kitsu",), r"\d", "episode"),
+    ("anilist", ("anilist",), r"\d", "episode"),
+    ("anidb", ("anidb", "anidb_id", "anidbid"), r"\d", "episode"),
+    ("animeplanet", ("animeplanet", "ap"), r"\d", ""),
+    ("animecountdown", ("acd",), r"\d", ""),
+    ("anisearch", ("anisearch",), r"\d", ""),
+    ("notifymoe", ("notifymoe", "nm"), r"[A-Za-z0-9]", ""),
+    ("simkl", ("simkl",), r"\d", ""),
 )
+_FOLLOWS = {"season episode": r"(?::(\d+):(\d+))?", "episode": r"()(?::(\d+))?", "": "()()"}
 
 
 def parse_id(text: Column) -> Column:
-    """Struct ``type, value, season, episode`` of an identifier, or null."""
+    """Struct ``type, value, season, episode`` of an identifier, or null.
+
+    A prefix is followed by a colon, a hyphen or nothing; an imdb value is written with ``tt`` whatever its prefix was.
+    """
     out: Column = F.lit(None).cast("struct<type:string,value:string,season:int,episode:int>")
-    for name, pattern in reversed(ID_FORMS):
+    for name, prefixes, signs, follows in reversed(ID_SPACES):
+        pattern = f"^(?:{'|'.join(prefixes)})[:-]?({signs}+){_FOLLOWS[follows]}$"
         part = lambda k, pattern=pattern: F.regexp_extract(text, pattern, k)
         number = lambda k, part=part: F.nullif(part(k), F.lit("")).cast("int")
-        out = F.when(text.rlike(pattern), F.struct(F.lit(name).alias("type"), part(1).alias("value"), number(2).alias("season"), number(3).alias("episode"))).otherwise(out)
+        value = F.concat(F.lit("tt"), part(1)) if name == "imdb" else part(1)
+        out = F.when(text.rlike(pattern), F.struct(F.lit(name).alias("type"), value.alias("value"), number(2).alias("season"), number(3).alias("episode"))).otherwise(out)
     return out
 
 
@@ -126,14 +149,18 @@ def query_map(text: Column) -> Column:
 
 
 def title_key(text: Column, words: int = 12) -> Column:
-    """Lower case, separators to blanks, other signs dropped, the first words joined by blanks."""
-    clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[._\-]+", " "), r"[^a-z0-9 ]+", ""))
-    return F.array_join(F.slice(F.filter(F.split(clean, " +"), lambda w: w != ""), F.lit(1), F.lit(words)), " ")
+    """Lower case, separators to blanks, signs other than letters and digits of any script dropped, the first words joined."""
+    return F.array_join(F.slice(_title_words(text), F.lit(1), F.lit(words)), " ")
+
+
+def _title_words(text: Column) -> Column:
+    clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[._\-]+", " "), r"[^\p{L}\p{N} ]+", ""))
+    return F.filter(F.split(clean, " +"), lambda w: w != "")
 
 
 def lookup_title(text: Column) -> Column:
-    """A title key without words of one character."""
-    return F.array_join(F.filter(F.split(title_key(text, 12), " "), lambda w: F.length(w) > 1), " ")
+    """The first twelve words of more than one character."""
+    return F.array_join(F.slice(F.filter(_title_words(text), lambda w: F.length(w) > 1), F.lit(1), F.lit(12)), " ")
 
 
 def season_bucket(season: Column) -> Column:
@@ -159,16 +186,21 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def episodes(json: Column) -> Column:
-    """Struct ``season, first, last, n`` of the lowest season in a nested map of seasons and episodes."""
+    """Struct ``season, first, last, n`` of a nested map that holds exactly one season; nulls and 0 for any other.
+
+    Keys that are no numbers are passed over; a season key that is none counts as no season.
+    """
     seasons = F.from_json(json, "map<string,map<string,string>>")
-    keys = F.transform(F.map_keys(seasons), lambda k: k.cast("int"))
-    season = F.array_min(keys)
-    eps = F.transform(F.map_keys(F.element_at(seasons, season.cast("string"))), lambda k: k.cast("int"))
-    return F.when(F.size(keys) > 0, F.struct(season.alias("season"), F.array_min(eps).alias("first"), F.array_max(eps).alias("last"), F.size(eps).alias("n")))
+    one = F.size(F.map_keys(seasons)) == 1
+    season = F.when(one, F.try_element_at(F.map_keys(seasons), F.lit(1)).try_cast("int"))
+    inside = F.when(season.isNotNull(), F.map_keys(F.try_element_at(F.map_values(seasons), F.lit(1))))
+    eps = F.filter(F.transform(inside, lambda k: k.try_cast("int")), lambda k: k.isNotNull())
+    return F.struct(season.alias("season"), F.array_min(eps).alias("first"), F.array_max(eps).alias("last"), F.coalesce(F.array_size(eps), F.lit(0)).alias("n"))
 
 
 def content_class(n: Column) -> Column:
-    return F.when(n == 1, "episode").when(n <= 10, "multi_episode").otherwise("season_pack")
+    """Class by the number of episodes named: none or more than ten is a whole season."""
+    return F.when(n == 1, "episode").when(n.between(2, 10), "multi_episode").otherwise("season_pack")
 
 
 def dedup_keys(filename: Column, info: Column, file_index: Column, fingerprint: Column) -> Column:

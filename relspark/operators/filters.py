@@ -187,7 +187,7 @@ def reason_statistics(decided: DataFrame, *keys: str) -> DataFrame:
     return decided.where("reason is not null").rollup(*keys, "reason").agg(F.count("*").alias("n")).where(" and ".join(f"{k} is not null" for k in keys) or "true")
 
 
-def synthetic_tags(tags: Column, original: Column | None = None) -> Column:
+def synthetic_tags(tags: Column) -> Column:
     """``HDR+DV`` before the first of both, ``DV Only`` and ``HDR Only`` behind all."""
     hdr, dv = F.exists(tags, lambda t: t.startswith("HDR")), F.array_contains(tags, "DV")
     first = F.array_min(F.transform(tags, lambda t, i: F.when(t.startswith("HDR") | (t == "DV"), i)))
@@ -209,4 +209,4 @@ def derived_bitrate(bitrate: Column, size: Column, folder_size: Column, runtime_
 def message_class(message: Column) -> Column:
     """Error class of a log message."""
     m = F.lower(message)
-    return F.when(m.contains("timeout") | m.contains("timed out"), "timeout").when(m.contains("403") | m.contains("forbidden"), "forbidden").when(m.contains("429") | m.contains("rate"), "ratelimit").otherwise("hard")
+    return F.when(m.contains("timeout") | m.contains("timed out"), "timeout").when(m.contains("403") | m.contains("forbidden"), "forbidden").when(m.contains("429") | m.rlike(r"\brate[ _-]?limit|too many requests"), "ratelimit").otherwise("hard")

@@ -31,11 +31,39 @@ def prefixes(text: Column, drop: int = 3, least: int = 3) -> Column:
 
 
 def prefix_match(probes: DataFrame, variants: DataFrame, probe: str, title: str, variant: str, by: Sequence[Column]) -> DataFrame:
-    """Variants that begin with a form of the probe's title, longest form first, bucketed by the first word of both."""
-    forms = probes.withColumn("prefix", F.explode(prefixes(F.col(title)))).withColumn("_w", F.substring_index("prefix", " ", 1))
-    found = forms.join(variants.withColumn("_w", F.substring_index(variant, " ", 1)), "_w").where(F.col(variant).startswith(F.col("prefix")))
-    w = Window.partitionBy(probe).orderBy(F.length("prefix").desc(), *by)
-    return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_w")
+    """The best variant that begins with a form of the probe's title, longest form first.
+
+    Every distinct form finds its one best variant first: each variant is spread over its own beginnings of the lengths
+    that forms have, so all joins are on equal text, and a common first word is no hot key of candidates.
+    """
+    forms = probes.select(probe, F.explode(prefixes(F.col(title))).alias("prefix"))
+    wanted = forms.select("prefix").distinct()
+    lengths = wanted.agg(F.collect_set(F.length("prefix"))).scalar()
+    spread = variants.withColumn("_lengths", lengths).withColumn("_n", F.explode("_lengths")).where(F.col("_n") <= F.length(variant))
+    spread = spread.withColumn("prefix", F.expr(f"substring({variant}, 1, _n)")).drop("_n", "_lengths").join(wanted, "prefix", "left_semi")
+    best = spread.withColumn("_n", F.row_number().over(Window.partitionBy("prefix").orderBy(*by))).where("_n = 1").drop("_n")
+    found = forms.join(best, "prefix")
+    longest = found.withColumn("_n", F.row_number().over(Window.partitionBy(probe).orderBy(F.length("prefix").desc()))).where("_n = 1").drop("_n")
+    return probes.join(longest, probe)
+
+
+def similar_titles(names: DataFrame, column: str, threshold: float) -> DataFrame:
+    """Pairs ``a < b`` of distinct titles with ``score``, their word similarity, at least ``threshold``.
+
+    Words are ordered by how many titles hold them. Two titles that similar share one of their ``n - ceil(t * n) + 1``
+    rarest words, and the shorter has at least ``t`` times the words of the longer.
+    """
+    words = names.select(F.col(column).alias("t"), F.array_distinct(F.filter(F.split(column, " "), lambda w: w != "")).alias("ws")).where("size(ws) > 0")
+    held = words.select("t", F.explode("ws").alias("w"))
+    ordered = held.join(held.groupBy("w").agg(F.count("*").alias("n")), "w").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("s"))
+    size = F.size("s")
+    prefix = F.slice("s", F.lit(1), size - F.ceil(size * F.lit(threshold) - 1e-9).cast("int") + 1)
+    probes = ordered.select("t", F.transform("s", lambda x: x["w"]).alias("ws"), F.explode(F.transform(prefix, lambda x: x["w"])).alias("w"))
+    side = lambda n: probes.select("w", F.col("t").alias(n), F.col("ws").alias(f"_{n}"))
+    short, long_ = F.least(F.size("_a"), F.size("_b")), F.greatest(F.size("_a"), F.size("_b"))
+    pairs = side("a").join(side("b"), "w").where((F.col("a") < F.col("b")) & (short >= long_ * F.lit(threshold) - 1e-9)).drop("w").dropDuplicates(["a", "b"])
+    score = F.size(F.array_intersect("_a", "_b")) / F.size(F.array_union("_a", "_b"))
+    return pairs.select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
 
 
 def cascade(tiers: Sequence[DataFrame], key: str) -> DataFrame:
@@ -48,11 +76,20 @@ def cascade(tiers: Sequence[DataFrame], key: str) -> DataFrame:
     return both.withColumn("_t", F.min("tier").over(w)).where("tier = _t").drop("_t")
 
 
-def latest_start(probes: DataFrame, mappings: DataFrame, on: Sequence[str], probe: Sequence[str], at: str, start: str, by: Sequence[Column] = ()) -> DataFrame:
-    """As-of pick: the mapping with the greatest start that is not behind the probe."""
-    found = probes.join(mappings, list(on), "left").where(F.col(start).isNull() | (F.col(start) <= F.col(at)))
-    w = Window.partitionBy(*probe).orderBy(F.desc_nulls_last(start), *by)
-    return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+def latest_start(probes: DataFrame, mappings: DataFrame, on: Sequence[str], at: str, start: str, values: Sequence[str] = (), fallback: bool = False) -> DataFrame:
+    """As-of pick: probes with the mapping of the greatest start that is not behind them, ``matched`` where there is one.
+
+    A probe before all starts stays, with nulls, or with the key's first mapping where ``fallback`` is set. Both sides are
+    sorted together once, so a key with many probes and mappings never multiplies them.
+    """
+    side = lambda df, n, p, m: df.select(*on, F.col(at if n else start).alias("_at"), F.lit(n).alias("_side"), p.alias("_p"), m.alias("_m"))
+    mapping = F.struct(start, *values)
+    both = side(mappings, 0, F.lit(None), mapping).unionByName(side(probes, 1, F.struct(*probes.columns), F.lit(None)))
+    w = Window.partitionBy(*on).orderBy("_at", "_side", "_m")
+    found = both.withColumn("_last", F.last("_m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    found = found.withColumn("_first", F.min("_m").over(Window.partitionBy(*on))).where("_side = 1")
+    chosen = F.coalesce("_last", "_first") if fallback else F.col("_last")
+    return found.withColumn("_c", chosen).select("_p.*", *[F.col("_c")[c].alias(c) for c in (start, *values)], F.col("_last").isNotNull().alias("matched"))
 
 
 def overlapping(a_start: Column, a_end: Column, b_start: Column, b_end: Column, tolerance: int = 0) -> Column:
@@ -61,9 +98,12 @@ def overlapping(a_start: Column, a_end: Column, b_start: Column, b_end: Column,
 
 
 def capable(requests: DataFrame, capabilities: DataFrame, id_column: str = "id") -> DataFrame:
-    """Sources for each request: resource and type agree, and the id has one of the source's prefixes (none: any id)."""
+    """Sources for each request: resource and type agree, and the id has one of the source's prefixes (none: any id).
+
+    Spark broadcasts the capabilities if they are as small as a registry of sources is.
+    """
     fits = F.col("prefixes").isNull() | (F.size("prefixes") == 0) | F.exists("prefixes", lambda p: F.col(id_column).startswith(p))
-    return requests.join(F.broadcast(capabilities), ["resource", "type"]).where(fits)
+    return requests.join(capabilities, ["resource", "type"]).where(fits)
 
 
 def two_step_tags(rows: DataFrame, hashes: DataFrame, groups: DataFrame, request: str, hash_column: str, group_column: str) -> DataFrame:
@@ -76,15 +116,21 @@ def two_step_tags(rows: DataFrame, hashes: DataFrame, groups: DataFrame, request
 
 
 def decide_candidate(candidates: DataFrame, probe: str, similarity: Column, year_gap: Column, popularity: Column, candidate: str) -> DataFrame:
-    """Best candidate of each probe by weighted score, with ``status``: ambiguous close to a runner-up, weak or off by years."""
+    """Best candidate of each probe by weighted score, with ``status``.
+
+    Ambiguous: another candidate at most 25 below, similarity under 0.74, or years apart (one year needs 0.92). Strong: one
+    year apart, or an unknown year and similarity under 0.92. Exact: all else.
+    """
     year = F.when(year_gap == 0, 120).when(year_gap == 1, 40).when(year_gap.isNotNull(), -70).otherwise(0)
     scored = candidates.withColumn("score", 300 * similarity + year + F.least(popularity, F.lit(50.0)))
     w = Window.partitionBy(probe).orderBy(F.desc("score"), F.col(candidate))
     top = scored.withColumn("_n", F.row_number().over(w)).withColumn("_top", F.first(candidate).over(w))
     second = F.max(F.when(F.col(candidate) != F.col("_top"), F.col("score"))).over(Window.partitionBy(probe))
     best = top.withColumn("_second", second).where("_n = 1")
-    unclear = (F.col("score") - F.col("_second") < 25) | (similarity < 0.74) | (year_gap > 1) | ((year_gap == 1) & (similarity < 0.92))
-    status = F.when(F.coalesce(unclear, F.lit(False)), "ambiguous").when(similarity >= 0.98, "exact").otherwise("strong")
+    off = (year_gap > 1) | ((year_gap == 1) & (similarity < 0.92))
+    unclear = (F.col("_second") >= F.col("score") - 25) | (similarity < 0.74) | off
+    weaker = (year_gap == 1) | (year_gap.isNull() & (similarity < 0.92))
+    status = F.when(F.coalesce(unclear, F.lit(False)), "ambiguous").when(F.coalesce(weaker, F.lit(False)), "strong").otherwise("exact")
     return best.withColumn("status", status).drop("_n", "_top", "_second")
 
 

@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` replace those of ``old`` with the same key; columns that ``new`` lacks become null."""
+def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Rows of ``new`` replace those of ``old`` with the same key; columns that ``new`` lacks become null.
+
+    Of rows of ``new`` that repeat a key the last one by ``order`` stands (by all its columns where no order is given).
+    """
+    by = [F.col(c).desc_nulls_last() for c in order or [c for c in new.columns if c not in key]]
+    if by:
+        new = new.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*by))).where("_n = 1").drop("_n")
+    else:
+        new = new.dropDuplicates(list(key))
     kept = old.join(new.select(*key), list(key), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True).select(*old.columns)
 
@@ -68,8 +76,8 @@ def latest_slice(rows: DataFrame, at: str, cursor: Column, minutes: int, before:
 def publish(df: DataFrame, root: str, version: str, checks: dict[str, Column]) -> dict[str, int]:
     """Write a version, assert its contract, and only then point ``CURRENT`` at it.
 
-    The pointer is replaced by a rename of the file system that holds ``root``; a failed check leaves the old version
-    current. Returns the number of rows that break each check.
+    The pointer is replaced by one rename that overwrites, so there is a current version at every moment; a failed check
+    leaves the old version current. Returns the number of rows that break each check.
     """
     spark = df.sparkSession
     path = f"{root}/{version}"
@@ -86,9 +94,10 @@ def publish(df: DataFrame, root: str, version: str, checks: dict[str, Column]) -
     out = fs.create(fresh, True)
     out.write(bytearray(version.encode()))
     out.close()
-    fs.delete(pointer, False)
-    if not fs.rename(fresh, pointer):
-        raise OSError(f"{root}/CURRENT could not be replaced")
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fresh, pointer, options)
     return broken
 
 

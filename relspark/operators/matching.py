@@ -68,22 +68,32 @@ def identified(rows: DataFrame, class_column: str, needs_id: Sequence[str], ids:
 def allow_list(rows: DataFrame, key: str, score: str, eligible: Column, top: int, least: float, explore: float, seed: int) -> DataFrame:
     """Up to ``top`` sources: eligible ones with the score, then others by score, and a seeded exploration of the rest.
 
-    Adds ``why``: core, backfill or explore. Exploration takes ``ceil(top * explore)`` sources, at least one.
+    Adds ``why``: core, backfill or explore. Exploration takes ``ceil(top * explore)`` sources, at least one, in order of a
+    digest of seed and key. Both choices are top-n queries; no step sorts all sources in one task.
     """
     core = F.coalesce(eligible & (F.col(score) >= least), F.lit(False))
-    ranked = rows.withColumn("_core", core).withColumn("_n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_core"), F.desc_nulls_last(score), F.col(key))))
-    n = max(1, -int(-top * explore // 1))
-    rest = F.row_number().over(Window.partitionBy(F.col("_n") <= top).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)))
-    why = F.when((F.col("_n") <= top) & F.col("_core"), "core").when(F.col("_n") <= top, "backfill").when(F.col("_r") <= n, "explore")
-    return ranked.withColumn("_r", rest).withColumn("why", why).where("why is not null").drop("_core", "_n", "_r")
+    first = rows.withColumn("_core", core).orderBy(F.desc("_core"), F.desc_nulls_last(score), key).limit(top)
+    first = first.withColumn("why", F.when(F.col("_core"), "core").otherwise("backfill")).drop("_core")
+    turn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    rest = rows.join(first.select(key), key, "left_anti").orderBy(turn, key).limit(max(1, -int(-top * explore // 1)))
+    return first.unionByName(rest.withColumn("why", F.lit("explore")))
 
 
-def fast_slow(rows: DataFrame, key: str, latency: str, fast: int = 8) -> DataFrame:
-    """The fastest sources and the rest; reports hold one row for each source."""
-    n = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last(latency), F.col(key)))
-    return rows.withColumn("lane", F.when(n <= fast, "fast").otherwise("slow"))
+def fast_slow(rows: DataFrame, key: str, by: Sequence[str], fast: int = 8) -> DataFrame:
+    """Adds ``lane``: fast for the first sources by the given columns, highest first, and slow for the rest."""
+    first = rows.orderBy(*[F.desc_nulls_last(c) for c in by], key).limit(fast).select(key, F.lit("fast").alias("lane"))
+    return rows.join(F.broadcast(first), key, "left").withColumn("lane", F.coalesce("lane", F.lit("slow")))
 
 
-def low_value(title: Column, members: Column, noise: Column) -> Column:
-    """Why a cluster is not worth resolving, or null."""
-    return F.when(F.coalesce(F.length(title), F.lit(0)) < 2, "empty_title").when(title.rlike(r"^[0-9 ]+$"), "digits_only").when((members <= 1) & (noise >= 6), "noisy_single")
+def low_value(titles: Column, members: Column, noise: Column) -> Column:
+    """Why a cluster is not worth resolving, or null.
+
+    ``titles`` are its normal titles, best first, and ``noise`` their noise scores; the first three that are not empty count.
+    """
+    pairs = F.slice(F.filter(F.arrays_zip(titles.alias("t"), noise.alias("n")), lambda p: p["t"] != ""), F.lit(1), F.lit(3))
+    return (
+        F.when(F.size(pairs) == 0, "no_clean_titles")
+        .when(F.forall(pairs, lambda p: p["t"].rlike(r"^\d+( \d+)?$")), "cluster_numeric_only")
+        .when(F.forall(pairs, lambda p: p["n"] >= 6), "cluster_noise_only")
+        .when(members <= 0, "empty_cluster")
+    )

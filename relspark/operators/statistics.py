@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Weights and gates of the scores (fixed values).
+#: Weights and gates of the scores (fixed values); the 95th percentile is in seconds.
 PROBE = {"success": 0.40, "latency": 0.30, "volume": 0.20, "penalty": -0.10}
 PROBE_GATES = {"success": 0.70, "p95": 6.0, "errors": 0.20, "score": 0.55}
 USAGE = {"hits": 0.35, "seeders": 0.25, "recency": 0.20, "reliability": 0.20}
@@ -31,12 +33,15 @@ def normalised(value: Column, over: Sequence[str] = (), inverted: bool = False)
     return F.when(high <= low, F.lit(1.0)).otherwise(1 - scaled if inverted else scaled)
 
 
-def scaled_by(rows: DataFrame, column: str, name: str, inverted: bool = False) -> DataFrame:
-    """Min-max scaling of a whole table through one aggregated row, without a global window."""
-    ends = rows.agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
-    scaled = (F.col(column) - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    value = F.when(F.col("_high") <= F.col("_low"), F.lit(1.0)).otherwise(1 - scaled if inverted else scaled)
-    return rows.join(F.broadcast(ends)).withColumn(name, value).drop("_low", "_high")
+def scaled_by(rows: DataFrame, columns: dict[str, str], inverted: Sequence[str] = ()) -> DataFrame:
+    """Min-max scaling of columns (name to new name) of a whole table through one aggregated row; 1 where all are equal."""
+    ends = rows.agg(*[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))])
+    out = rows.join(F.broadcast(ends))
+    for c, name in columns.items():
+        low, high = F.col(f"_low_{c}"), F.col(f"_high_{c}")
+        scaled = (F.col(c) - low) / (high - low)
+        out = out.withColumn(name, F.when(high <= low, F.lit(1.0)).otherwise(1 - scaled if c in inverted else scaled))
+    return out.drop(*ends.columns)
 
 
 def probe_stats(probes: DataFrame, key: str, ok: Column, latency: str, items: str) -> DataFrame:
@@ -46,6 +51,22 @@ def probe_stats(probes: DataFrame, key: str, ok: Column, latency: str, items: st
     )
 
 
+def probe_score(stats: DataFrame) -> DataFrame:
+    """Adds ``score`` and ``included`` to rows of :func:`probe_stats` with latencies in seconds.
+
+    Success, latency (min-max scaled over the sources, the fastest 1) and items (up to their 90th percentile) count for a
+    source, errors against it; every part and the score are held between 0 and 1.
+    """
+    held = lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
+    cap = stats.agg(F.percentile("mean_items", 0.9).alias("_cap"))
+    rows = scaled_by(stats, {"p95": "_speed"}, inverted=["p95"]).join(F.broadcast(cap))
+    volume = F.col("mean_items") / F.when(F.col("_cap") > 0, F.col("_cap")).otherwise(1.0)
+    score = PROBE["success"] * held(F.col("success")) + PROBE["latency"] * held(F.col("_speed")) + PROBE["volume"] * held(volume) + PROBE["penalty"] * held(F.col("errors"))
+    rows = rows.withColumn("score", held(score))
+    gates = (F.col("success") >= PROBE_GATES["success"]) & (F.col("p95") <= PROBE_GATES["p95"]) & (F.col("errors") <= PROBE_GATES["errors"]) & (F.col("score") >= PROBE_GATES["score"])
+    return rows.withColumn("included", gates).drop("_speed", "_cap")
+
+
 def stability(rates: DataFrame, key: str, repeat: str, success: str, nonempty: str) -> DataFrame:
     """Per source: one less the weighted population deviations of the rates of its repeats, at least 0."""
     per = rates.groupBy(key, repeat).agg(F.avg(success).alias("s"), F.avg(nonempty).alias("e"))
@@ -53,10 +74,13 @@ def stability(rates: DataFrame, key: str, repeat: str, success: str, nonempty: s
     return per.groupBy(key).agg(F.greatest(F.lit(0.0), 1 - (0.6 * spread("e") + 0.4 * spread("s"))).alias("stability"))
 
 
-def truncated_p95(values: Column) -> Column:
-    """95th percentile by index truncation of the sorted values."""
-    kept = F.array_sort(F.collect_list(values))
-    return F.element_at(kept, F.greatest(F.floor(F.size(kept) * 0.95).cast("int"), F.lit(1)))
+def truncated_p95(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """95th percentile of each group by index truncation of the sorted values, from a histogram of the distinct ones."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*keys)
+    reached = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    asked = F.greatest(F.floor(F.sum("_n").over(w) * 0.95), F.lit(1))
+    return counted.withColumn("_ok", reached >= asked).where("_ok").groupBy(*keys).agg(F.min(value).alias(name))
 
 
 def mode_first(rows: DataFrame, keys: Sequence[str], value: str, pos: str) -> DataFrame:
@@ -98,10 +122,40 @@ def slo_status(percent: Column, green: float = 80, amber: float = 60) -> Column:
 
 
 def change_ratio(before: Column, after: Column) -> Column:
-    """Symmetric difference over union of two sets; 0 for two empty ones."""
-    union = F.size(F.array_union(before, after))
+    """Members that came or went over the size of the larger set; 0 for two empty sets."""
     moved = F.size(F.array_except(before, after)) + F.size(F.array_except(after, before))
-    return F.when(union > 0, moved / union).otherwise(0.0)
+    most = F.greatest(F.size(F.array_distinct(before)), F.size(F.array_distinct(after)))
+    return F.when(most > 0, moved / most).otherwise(0.0)
+
+
+#: What a probed kind of content adds to the support of a source, the hit rate that it takes, the support that counts, and
+#: words in a source's name that hint at a kind (fixed values).
+SUPPORT = {"probe": 0.45, "rate": 0.05, "least": 0.40}
+NAME_HINTS = {
+    "anime": (0.55, ("anime", "nyaa", "subsplease", "bangumi", "tokyo", "dmhy", "mikan", "shana")),
+    "movies": (0.25, ("yts", "movie", "dvdr", "bluray", "4k")),
+    "series": (0.25, ("eztv", "series", "tv", "episode")),
+}
+KINDS = ("movies", "series", "anime")
+
+
+def content_support(probes: DataFrame, source: str, service: str, kind: str, hit: Column, ok: Column, name: str) -> DataFrame:
+    """Kinds of content that each source supports, and its state.
+
+    Every service whose probes of a kind hit often enough adds to that kind, and so does the source's name; a source that
+    reaches no kind counts for films and series. ``empty``: no service had items; ``degraded``: none succeeded half the time.
+    """
+    probes = probes.withColumn("_hit", (hit & ok).cast("double")).withColumn("_ok", ok.cast("double")).withColumn("_some", hit.cast("double"))
+    per = probes.groupBy(source, service).agg(
+        *[F.avg(F.when(F.col(kind) == k, F.col("_hit"))).alias(f"_{k}") for k in KINDS], F.avg("_ok").alias("_success"), F.avg("_some").alias("_filled"), F.min(name).alias("_name")
+    )
+    low = F.lower(F.min("_name"))
+    hints = {k: F.when(functools.reduce(operator.or_, [low.contains(w) for w in words]), weight).otherwise(0.0) for k, (weight, words) in NAME_HINTS.items()}
+    support = {k: F.sum(F.when(F.col(f"_{k}") >= SUPPORT["rate"], SUPPORT["probe"]).otherwise(0.0)) + hints[k] for k in KINDS}
+    found = per.groupBy(source).agg(*[s.alias(k) for k, s in support.items()], F.max("_success").alias("_success"), F.max("_filled").alias("_filled"))
+    kinds = F.array_compact(F.array(*[F.when(F.col(k) >= SUPPORT["least"], k) for k in KINDS]))
+    status = F.when(F.col("_filled") == 0, "empty").when(F.col("_success") < 0.5, "degraded").otherwise("working")
+    return found.withColumn("kinds", F.when(F.size(kinds) > 0, kinds).otherwise(F.array(F.lit("movies"), F.lit("series")))).withColumn("status", status).drop("_success", "_filled")
 
 
 def sticky_owner(scores: DataFrame, key: str, owner: str, score: str, order: str, previous: str, margin: float) -> DataFrame:

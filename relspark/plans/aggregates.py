@@ -28,24 +28,22 @@ def usage_scores(spark, sf_dir):
     penalty = sum((w * F.count_if(kind == k) for k, w in st.PENALTY.items()), F.lit(0.0)) / F.count("*")
     failed = recent.where("event_type = 'error'").groupBy(F.col("user_id").alias("source")).agg(penalty.alias("penalty"))
     rows = used.join(failed, "source", "left").withColumn("reliability", 1 - F.coalesce("penalty", F.lit(0.0)))
-    rows = st.scaled_by(st.scaled_by(st.scaled_by(rows, "hits", "h"), "seeders", "s"), "days", "d", inverted=True)
+    rows = st.scaled_by(rows, {"hits": "h", "seeders": "s", "days": "d"}, inverted=["days"])
     w = st.USAGE
     score = w["hits"] * F.col("h") + w["seeders"] * F.col("s") + w["recency"] * F.col("d") + w["reliability"] * F.col("reliability")
     return rows.select("source", "hits", F.round(score, 6).alias("score"))
 
 
-@query("""WITH p AS (SELECT user_id AS source, count(*) AS n, avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) AS success, quantile_cont(value, 0.95) AS p95, avg(length(props)) AS mean_items FROM events GROUP BY 1),
-c AS (SELECT quantile_cont(mean_items, 0.9) AS cap FROM p), s AS (SELECT *, 0.4 * success + 0.3 * greatest(0, 1 - p95 / 600) + 0.2 * least(mean_items / cap, 1) - 0.1 * (1 - success) AS score FROM p, c)
-SELECT source, CAST(n AS BIGINT) AS n, round(success, 6) AS success, round(p95, 4) AS p95, round(mean_items, 6) AS mean_items, round(score, 6) AS score, success >= 0.7 AND 1 - success <= 0.2 AND score >= 0.55 AS included FROM s""")
+@query("""WITH p AS (SELECT user_id AS source, count(*) AS n, avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) AS success, quantile_cont(value / 25, 0.95) AS p95, avg(length(props)) AS mean_items FROM events GROUP BY 1),
+c AS (SELECT min(p95) AS low, max(p95) AS high, quantile_cont(mean_items, 0.9) AS cap FROM p),
+s AS (SELECT *, greatest(least(0.4 * success + 0.3 * CASE WHEN high = low THEN 1 ELSE 1 - (p95 - low) / (high - low) END + 0.2 * greatest(least(mean_items / cap, 1), 0) - 0.1 * (1 - success), 1), 0) AS score FROM p, c)
+SELECT source, CAST(n AS BIGINT) AS n, round(success, 6) AS success, round(p95, 4) AS p95, round(mean_items, 6) AS mean_items, round(score, 6) AS score,
+    success >= 0.7 AND p95 <= 6 AND 1 - success <= 0.2 AND score >= 0.55 AS included FROM s""")
 def probe_scores(spark, sf_dir):
-    """Probe statistics per source with exact interpolated percentiles, capped volume and inclusion gates."""
-    stats = st.probe_stats(table(spark, sf_dir, "events").withColumn("items", F.length("props")), "user_id", F.col("event_type") != "error", "value", "items")
-    cap = stats.agg(F.percentile("mean_items", 0.9).alias("cap"))
-    w = st.PROBE
-    score = w["success"] * F.col("success") + w["latency"] * F.greatest(F.lit(0.0), 1 - F.col("p95") / 600) + w["volume"] * F.least(F.col("mean_items") / F.col("cap"), F.lit(1.0)) + w["penalty"] * (1 - F.col("success"))
-    rows = stats.join(F.broadcast(cap)).withColumn("score", score)
-    gates = (F.col("success") >= 0.7) & (1 - F.col("success") <= 0.2) & (F.col("score") >= 0.55)
-    return rows.select(F.col("user_id").alias("source"), "n", *[F.round(c, d).alias(c) for c, d in (("success", 6), ("p95", 4), ("mean_items", 6), ("score", 6))], gates.alias("included"))
+    """Probe statistics per source with exact interpolated percentiles, scaled latency, capped volume and inclusion gates."""
+    probes = table(spark, sf_dir, "events").withColumn("items", F.length("props")).withColumn("seconds", F.col("value") / 25)
+    rows = st.probe_score(st.probe_stats(probes, "user_id", F.col("event_type") != "error", "seconds", "items"))
+    return rows.select(F.col("user_id").alias("source"), "n", *[F.round(c, d).alias(c) for c, d in (("success", 6), ("p95", 4), ("mean_items", 6), ("score", 6))], "included")
 
 
 @query("""WITH r AS (SELECT user_id AS source, CAST(ts AS DATE) AS d, avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) AS s, avg(CASE WHEN value > 20 THEN 1.0 ELSE 0.0 END) AS e FROM events GROUP BY 1, 2)
@@ -61,7 +59,8 @@ def probe_stability(spark, sf_dir):
 def request_summary(spark, sf_dir):
     """Median, truncated-index percentile and conditional counts."""
     rows = table(spark, sf_dir, "events").where("value is not null")
-    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.median("value"), 6).alias("median_s"), st.truncated_p95(F.col("value")).alias("p95_s"), F.count_if(F.col("value") == 0).alias("zero"), F.count_if(F.col("value") > 100).alias("slow"))
+    counts = rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.median("value"), 6).alias("median_s"), F.count_if(F.col("value") == 0).alias("zero"), F.count_if(F.col("value") > 100).alias("slow"))
+    return counts.join(st.truncated_p95(rows, ["event_type"], "value", "p95_s"), "event_type")
 
 
 @query("""WITH a AS (SELECT event_type, median(value) AS m, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1), b AS (SELECT event_type, median(value) AS m, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1)
@@ -159,9 +158,9 @@ def overlap_resolution(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT user_id % 10 AS k, list(DISTINCT event_type || CAST(CAST(value AS INT) % 5 AS VARCHAR)) AS s FROM events WHERE ts < TIMESTAMP '2024-01-02' AND value IS NOT NULL GROUP BY 1), b AS (SELECT user_id % 10 AS k, list(DISTINCT event_type || CAST(CAST(value AS INT) % 5 AS VARCHAR)) AS s FROM events WHERE ts >= TIMESTAMP '2024-01-29' AND value IS NOT NULL GROUP BY 1)
-SELECT k, round((len(a.s) + len(b.s) - 2 * len(list_intersect(a.s, b.s))) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 6) AS ratio FROM a JOIN b USING (k)""")
+SELECT k, round((len(a.s) + len(b.s) - 2 * len(list_intersect(a.s, b.s))) / greatest(len(a.s), len(b.s)), 6) AS ratio FROM a JOIN b USING (k)""")
 def membership_change(spark, sf_dir):
-    """Symmetric-difference ratio of two member sets."""
+    """Members that came or went over the size of the larger set."""
     rows = table(spark, sf_dir, "events").where("value is not null").withColumn("k", F.col("user_id") % 10).withColumn("m", F.concat("event_type", (F.bround("value").cast("int") % 5).cast("string")))
     side = lambda c, n: rows.where(c).groupBy("k").agg(F.collect_set("m").alias(n))
     both = side("ts < timestamp_ntz'2024-01-02 00:00:00'", "a").join(side("ts >= timestamp_ntz'2024-01-29 00:00:00'", "b"), "k")
@@ -188,14 +187,30 @@ def bounded_samples(spark, sf_dir):
     return st.bounded_samples(releases(spark, sf_dir).where("resolution is not null"), "resolution", [F.col("size").desc(), F.col("request_id"), F.col("pos")], 3).select("resolution", "id")
 
 
-@query("""WITH t AS (SELECT user_id AS source, event_type AS kind, avg(CASE WHEN value > 20 THEN 1.0 ELSE 0.0 END) AS rate, count(*) AS n FROM events GROUP BY 1, 2),
-s AS (SELECT source, least(sum(CASE WHEN rate >= 0.5 THEN 0.45 ELSE 0 END), 1) AS support, sum(n * rate) / sum(n) AS hit FROM t GROUP BY 1)
-SELECT source, round(support, 6)::DOUBLE AS support, support >= 0.4 AS supported, CASE WHEN hit >= 0.6 THEN 'working' WHEN hit > 0 THEN 'degraded' ELSE 'empty' END AS status FROM s""")
+_KIND = "CASE event_type WHEN 'view' THEN 'movies' WHEN 'click' THEN 'series' WHEN 'signup' THEN 'anime' ELSE 'other' END"
+_PROVIDER = "CASE user_id % 4 WHEN 0 THEN 'Tokyo' WHEN 1 THEN 'EzTV' WHEN 2 THEN 'Plain' ELSE 'Movie4K' END || ' ' || user_id % 40"
+
+
+@query(f"""WITH e AS (SELECT user_id % 40 AS source, user_id // 40 % 2 AS service, {_KIND} AS kind, {_PROVIDER.replace("user_id % 40", "CAST(user_id % 40 AS VARCHAR)")} AS name,
+    coalesce(value > CASE user_id % 5 WHEN 0 THEN 1000 ELSE 110 END, false) AS hit, coalesce(value > 15 + user_id % 40, false) AS ok FROM events),
+p AS (SELECT source, service, kind, avg(CASE WHEN hit AND ok THEN 1.0 ELSE 0.0 END) AS rate FROM e GROUP BY ALL),
+s AS (SELECT source, max(success) AS success, max(filled) AS filled, lower(min(name)) AS name FROM (SELECT source, service, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) AS success, avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END) AS filled, min(name) AS name FROM e GROUP BY ALL) GROUP BY 1),
+c AS (SELECT source, success, filled,
+    0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'movies' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'yts|movie|dvdr|bluray|4k') THEN 0.25 ELSE 0 END AS movies,
+    0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'series' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'eztv|series|tv|episode') THEN 0.25 ELSE 0 END AS series,
+    0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'anime' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'anime|nyaa|subsplease|bangumi|tokyo|dmhy|mikan|shana') THEN 0.55 ELSE 0 END AS anime FROM s)
+SELECT source, round(movies, 6)::DOUBLE AS movies, round(series, 6)::DOUBLE AS series, round(anime, 6)::DOUBLE AS anime,
+    coalesce(nullif(concat_ws(',', CASE WHEN movies >= 0.4 THEN 'movies' END, CASE WHEN series >= 0.4 THEN 'series' END, CASE WHEN anime >= 0.4 THEN 'anime' END), ''), 'movies,series') AS kinds,
+    CASE WHEN filled = 0 THEN 'empty' WHEN success < 0.5 THEN 'degraded' ELSE 'working' END AS status FROM c""")
 def content_support(spark, sf_dir):
-    """Support of a source by the hit rates of its kinds, and its working state."""
-    per = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("source"), F.col("event_type").alias("kind")).agg(st.share(F.col("value") > 20).alias("rate"), F.count("*").alias("n"))
-    s = per.groupBy("source").agg(F.least(F.sum(F.when(F.col("rate") >= 0.5, 0.45).otherwise(0.0)), F.lit(1.0)).alias("support"), (F.sum(F.col("n") * F.col("rate")) / F.sum("n")).alias("hit"))
-    return s.select("source", F.round("support", 6).alias("support"), (F.col("support") >= 0.4).alias("supported"), F.when(F.col("hit") >= 0.6, "working").when(F.col("hit") > 0, "degraded").otherwise("empty").alias("status"))
+    """Kinds of content that a source supports, by probes of its services and by its name, and its state."""
+    k = F.col("user_id")
+    name = F.concat(F.when(k % 4 == 0, "Tokyo").when(k % 4 == 1, "EzTV").when(k % 4 == 2, "Plain").otherwise("Movie4K"), F.lit(" "), (k % 40).cast("string"))
+    probes = table(spark, sf_dir, "events").select((k % 40).alias("source"), (F.floor(k / 40) % 2).alias("service"), F.expr(_KIND).alias("kind"), name.alias("name"), k.alias("k"), "value")
+    hit = F.coalesce(F.col("value") > F.when(F.col("k") % 5 == 0, 1000).otherwise(110), F.lit(False))
+    ok = F.coalesce(F.col("value") > 15 + F.col("k") % 40, F.lit(False))
+    found = st.content_support(probes, "source", "service", "kind", hit, ok, "name")
+    return found.select("source", *[F.round(c, 6).alias(c) for c in st.KINDS], F.array_join("kinds", ",").alias("kinds"), "status")
 
 
 @query("""WITH s AS (SELECT l_orderkey, l_linenumber AS season, count(*) AS eps FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, CAST(season AS INT) AS season, CAST(coalesce(sum(eps) OVER (PARTITION BY l_orderkey ORDER BY season ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,

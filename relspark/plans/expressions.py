@@ -80,7 +80,7 @@ def token_enums(spark, sf_dir):
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(floor(l_quantity * CASE l_linenumber % 4 WHEN 0 THEN 1024 WHEN 1 THEN 1048576 WHEN 2 THEN 1073741824 ELSE 1099511627776 END) AS BIGINT) AS size,
-    CAST((l_linenumber * 3600 + floor(l_quantity) * 60 + 5) * 1000 AS BIGINT) AS ms, (l_quantity * CASE l_linenumber % 4 WHEN 0 THEN 1 WHEN 1 THEN 24 WHEN 2 THEN 720 ELSE 8760 END)::DOUBLE AS age, (l_quantity * CASE l_linenumber % 2 WHEN 0 THEN 1e6 ELSE 1e3 END)::DOUBLE AS rate FROM lineitem""")
+    CAST((l_linenumber * 3600 + floor(l_quantity) * 60 + 5) * 1000 AS BIGINT) AS ms, (l_quantity * CASE l_linenumber % 4 WHEN 0 THEN 1 WHEN 1 THEN 24 WHEN 2 THEN 1 / 60 ELSE 8760 END)::DOUBLE AS age, (l_quantity * CASE l_linenumber % 2 WHEN 0 THEN 1e6 ELSE 1e3 END)::DOUBLE AS rate FROM lineitem""")
 def units_parse(spark, sf_dir):
     """Sizes, durations, ages and bitrates written as text and read back."""
     q, n = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber")
@@ -92,21 +92,28 @@ def units_parse(spark, sf_dir):
 
 @query("""WITH s AS (SELECT o_orderkey, CAST(floor(o_totalprice * 1000) AS BIGINT) AS n FROM orders), u AS (SELECT *, CASE WHEN n >= 1e9 THEN 3 WHEN n >= 1e6 THEN 2 WHEN n >= 1e3 THEN 1 ELSE 0 END AS e FROM s)
 SELECT o_orderkey, regexp_replace(regexp_replace(printf('%.2f', floor(n / power(1000, e) * 100 + 0.5) / 100), '0+$', ''), '\\.$', '') || ' ' || ['B', 'KB', 'MB', 'GB'][e + 1] AS size,
-    CASE WHEN n // 3600000 > 0 THEN printf('%dh:%dm:%ds', n // 3600000, n // 60000 % 60, n // 1000 % 60) WHEN n // 60000 > 0 THEN printf('%dm:%ds', n // 60000, n // 1000 % 60) ELSE printf('%ds', n // 1000) END AS length FROM u""")
+    CASE WHEN n // 3600000 > 0 THEN printf('%dh:%dm:%ds', n // 3600000, n // 60000 % 60, n // 1000 % 60) WHEN n // 1000 % 60 > 0 THEN printf('%dm:%ds', n // 60000, n // 1000 % 60) ELSE printf('%dm', n // 60000) END AS length FROM u""")
 def format_numbers(spark, sf_dir):
     """Bytes and durations for people."""
     n = F.floor(F.col("o_totalprice") * 1000).cast("long")
     return table(spark, sf_dir, "orders").select("o_orderkey", fm.format_bytes(n).alias("size"), fm.format_duration(n).alias("length"))
 
 
-@query("""WITH i AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'tt' || CAST(page_id AS VARCHAR) || ':2:7' WHEN 1 THEN 'kitsu:' || CAST(page_id AS VARCHAR) || ':12' WHEN 2 THEN 'tmdb:' || CAST(page_id AS VARCHAR) WHEN 3 THEN 'tt' || CAST(page_id AS VARCHAR) ELSE url END AS t FROM pages)
-SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'imdb' WHEN 1 THEN 'kitsu' WHEN 2 THEN 'tmdb' WHEN 3 THEN 'imdb' END AS kind, CASE page_id % 5 WHEN 0 THEN 'tt' || CAST(page_id AS VARCHAR) WHEN 3 THEN 'tt' || CAST(page_id AS VARCHAR) WHEN 4 THEN NULL ELSE CAST(page_id AS VARCHAR) END AS value,
-    CAST(CASE page_id % 5 WHEN 0 THEN 2 END AS INT) AS season, CAST(CASE page_id % 5 WHEN 0 THEN 7 WHEN 1 THEN 12 END AS INT) AS episode FROM i""")
+_IDS = {
+    0: ("'tt' || n || ':2:7'", "imdb", "'tt' || n", 2, 7), 1: ("'kitsu:' || n || ':12'", "kitsu", "n", None, 12), 2: ("'tmdb-' || n", "tmdb", "n", None, None), 3: ("'imdb' || n", "imdb", "'tt' || n", None, None),
+    4: ("'anidb_id:' || n || ':3'", "anidb", "n", None, 3), 5: ("'ap' || n", "animeplanet", "n", None, None), 6: ("'acd:' || n", "animecountdown", "n", None, None), 7: ("'nm-a' || n", "notifymoe", "'a' || n", None, None),
+    8: ("'simkl' || n", "simkl", "n", None, None), 9: ("'anisearch:' || n", "anisearch", "n", None, None), 10: ("'tvdb:' || n || ':1:2'", "tvdb", "n", 1, 2), 11: ("'tvdb:' || n || ':1'", None, "NULL", None, None),
+    12: ("'mal' || n || ':9'", "mal", "n", None, 9), 13: ("'anilist-' || n", "anilist", "n", None, None), 14: ("'http://' || n", None, "NULL", None, None),
+}
+_ID_CASE = lambda k: "CASE page_id % 15 " + " ".join(f"WHEN {i} THEN {('NULL' if v[k] is None else repr(v[k])) if k in (1, 3, 4) else v[k]}" for i, v in _IDS.items()) + " END"
+
+
+@query(f"""WITH p AS (SELECT page_id, CAST(page_id AS VARCHAR) AS n FROM pages)
+SELECT page_id, {_ID_CASE(1)} AS kind, {_ID_CASE(2)} AS value, CAST({_ID_CASE(3)} AS INT) AS season, CAST({_ID_CASE(4)} AS INT) AS episode FROM p""")
 def id_parse(spark, sf_dir):
-    """Identifiers of several namespaces."""
-    p = F.col("page_id").cast("string")
-    text = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("tt"), p, F.lit(":2:7"))).when(F.col("page_id") % 5 == 1, F.concat(F.lit("kitsu:"), p, F.lit(":12"))).when(F.col("page_id") % 5 == 2, F.concat(F.lit("tmdb:"), p)).when(F.col("page_id") % 5 == 3, F.concat(F.lit("tt"), p)).otherwise(F.col("url"))
-    return table(spark, sf_dir, "pages").select("page_id", ps.parse_id(text).alias("i")).select("page_id", F.col("i.type").alias("kind"), "i.value", "i.season", "i.episode")
+    """Identifiers of all namespaces, with every separator."""
+    rows = table(spark, sf_dir, "pages").selectExpr("page_id", "cast(page_id as string) AS n").selectExpr("page_id", f"{_ID_CASE(0)} AS t")
+    return rows.select("page_id", ps.parse_id(F.col("t")).alias("i")).select("page_id", F.col("i.type").alias("kind"), "i.value", "i.season", "i.episode")
 
 
 @query("""SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref FROM pages""")
@@ -122,13 +129,14 @@ def props_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-@query("""WITH e AS (SELECT l_orderkey, min(l_linenumber) AS season FROM lineitem GROUP BY 1) SELECT l_orderkey, CAST(season AS INT) AS season, CAST(min(l_partkey % 30) AS INT) AS "first", CAST(max(l_partkey % 30) AS INT) AS "last", CAST(count(DISTINCT l_partkey % 30) AS INT) AS n,
-    CASE WHEN count(DISTINCT l_partkey % 30) = 1 THEN 'episode' WHEN count(DISTINCT l_partkey % 30) <= 10 THEN 'multi_episode' ELSE 'season_pack' END AS class FROM lineitem JOIN e USING (l_orderkey) WHERE l_linenumber = season GROUP BY 1, 2""")
+@query("""WITH s AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS seasons, min(l_linenumber) AS season, min(l_partkey % 30) AS a, max(l_partkey % 30) AS b, count(DISTINCT l_partkey % 30) AS n FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CAST(CASE WHEN seasons = 1 THEN season END AS INT) AS season, CAST(CASE WHEN seasons = 1 THEN a END AS INT) AS "first", CAST(CASE WHEN seasons = 1 THEN b END AS INT) AS "last",
+    CAST(CASE WHEN seasons = 1 THEN n ELSE 0 END AS INT) AS n, CASE WHEN seasons > 1 THEN 'season_pack' WHEN n = 1 THEN 'episode' WHEN n <= 10 THEN 'multi_episode' ELSE 'season_pack' END AS class FROM s""")
 def episodes_json(spark, sf_dir):
-    """Nested maps of seasons and episodes written as JSON and read back."""
+    """Nested maps of seasons and episodes written as JSON and read back: several seasons name no episode."""
     per = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.collect_set((F.col("l_partkey") % 30).cast("string")).alias("eps"))
-    season = F.map_from_arrays(F.array(F.col("l_linenumber").cast("string")), F.array(F.map_from_arrays("eps", F.transform("eps", lambda e: F.lit("")))))
-    doc = per.groupBy("l_orderkey").agg(F.collect_list(season).alias("ms")).select("l_orderkey", F.to_json(F.aggregate("ms", F.expr("cast(map() as map<string,map<string,string>>)"), lambda a, m: F.map_concat(a, m))).alias("json"))
+    season = F.struct(F.col("l_linenumber").cast("string").alias("s"), F.map_from_arrays("eps", F.transform("eps", lambda e: F.lit(""))).alias("e"))
+    doc = per.groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.collect_list(season))).alias("json"))
     e = ps.episodes(F.col("json"))
     return doc.select("l_orderkey", e.alias("e")).select("l_orderkey", "e.season", "e.first", "e.last", "e.n", ps.content_class(F.col("e.n")).alias("class"))
 

@@ -58,14 +58,17 @@ def cascade_match(spark, sf_dir):
     return per.select("probe", F.col("m.tier").alias("tier"), F.col("m.cand").alias("candidate"))
 
 
-@query(f"""WITH {RELEASES}, q AS (SELECT DISTINCT request_id, season AS at FROM releases), m AS (SELECT DISTINCT request_id, season AS start FROM releases WHERE season % 2 = 1)
-SELECT request_id, CAST(at AS INT) AS "at", CAST(max(start) AS INT) AS start FROM q LEFT JOIN m USING (request_id) WHERE start <= at OR start IS NULL GROUP BY 1, 2""".replace("season AS at", 'season AS "at"').replace("CAST(at AS", 'CAST("at" AS').replace("start <= at", 'start <= "at"'))
+@query(f"""WITH {RELEASES}, q AS (SELECT DISTINCT request_id, season AS asked FROM releases),
+m AS (SELECT DISTINCT request_id, season AS start FROM releases WHERE season % 2 = 0),
+j AS (SELECT request_id, asked, max(start) FILTER (start <= asked) AS last_start, min(start) AS first_start FROM q LEFT JOIN m USING (request_id) GROUP BY 1, 2)
+SELECT request_id, CAST(asked AS INT) AS asked, CAST(last_start AS INT) AS start, CAST(coalesce(last_start, first_start) AS INT) AS chosen, last_start IS NOT NULL AS matched FROM j""")
 def asof_mapping(spark, sf_dir):
-    """The greatest start that is not behind the asked episode."""
+    """The greatest start that is not behind the asked episode, and the first mapping where there is none."""
     rows = releases(spark, sf_dir)
-    q = rows.select("request_id", F.col("season").alias("at")).distinct()
-    m = rows.where("season % 2 = 1").select("request_id", F.col("season").alias("start")).distinct()
-    return idt.latest_start(q, m, ["request_id"], ["request_id", "at"], "at", "start").select("request_id", "at", "start")
+    q = rows.select("request_id", F.col("season").alias("asked")).distinct()
+    m = rows.where("season % 2 = 0").select("request_id", F.col("season").alias("start")).distinct()
+    chosen = idt.latest_start(q, m, ["request_id"], "asked", "start", fallback=True)
+    return chosen.select("request_id", "asked", F.when(F.col("matched"), F.col("start")).alias("start"), F.col("start").alias("chosen"), "matched")
 
 
 @query("""WITH a AS (SELECT o_custkey AS k, CAST(min(year(o_orderdate)) AS INT) AS s, CAST(max(year(o_orderdate)) AS INT) AS e FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_custkey AS k, CAST(min(year(o_orderdate)) AS INT) AS s, CAST(max(year(o_orderdate)) AS INT) AS e FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
@@ -102,7 +105,8 @@ def two_step_tags(spark, sf_dir):
 @query("""WITH c AS (SELECT DISTINCT l_orderkey AS probe, p_partkey AS cand, (p_size % 30 + 70) / 100.0 AS sim, CASE WHEN p_size % 5 = 0 THEN NULL ELSE abs(p_size % 4 - 1) END AS gap, p_retailprice / 100 AS pop FROM lineitem JOIN part ON l_partkey = p_partkey),
 s AS (SELECT *, 300 * sim + CASE WHEN gap = 0 THEN 120 WHEN gap = 1 THEN 40 WHEN gap IS NOT NULL THEN -70 ELSE 0 END + least(pop, 50) AS score FROM c), r AS (SELECT *, row_number() OVER w AS rn, first_value(cand) OVER w AS top FROM s WINDOW w AS (PARTITION BY probe ORDER BY score DESC, cand)),
 x AS (SELECT *, max(CASE WHEN cand <> top THEN score END) OVER (PARTITION BY probe) AS second FROM r)
-SELECT probe, cand, round(score, 4)::DOUBLE AS score, CASE WHEN coalesce(score - second < 25, false) OR sim < 0.74 OR coalesce(gap > 1, false) OR coalesce(gap = 1 AND sim < 0.92, false) THEN 'ambiguous' WHEN sim >= 0.98 THEN 'exact' ELSE 'strong' END AS status FROM x WHERE rn = 1""")
+SELECT probe, cand, round(score, 4)::DOUBLE AS score, CASE WHEN coalesce(second >= score - 25, false) THEN 'ambiguous' WHEN sim < 0.74 THEN 'ambiguous'
+    WHEN gap IS NULL THEN CASE WHEN sim < 0.92 THEN 'strong' ELSE 'exact' END WHEN gap = 0 THEN 'exact' WHEN gap = 1 AND sim >= 0.92 THEN 'strong' ELSE 'ambiguous' END AS status FROM x WHERE rn = 1""")
 def candidate_decision(spark, sf_dir):
     """Top candidate against its runner-up."""
     c = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("probe"), "l_partkey").distinct().join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -135,21 +139,23 @@ def metadata_merge(spark, sf_dir):
     return merged.select("c_custkey", "title", F.array_join("names", ",").alias("names"))
 
 
-@query("""WITH d AS (SELECT p_partkey, p_name || '  Part.' || CAST(p_size AS VARCHAR) || ' [x]' AS t FROM part), n AS (SELECT p_partkey, list_filter(string_split(trim(regexp_replace(regexp_replace(lower(t), '[._\\-]+', ' ', 'g'), '[^a-z0-9 ]+', '', 'g')), ' '), lambda w: w <> '') AS w FROM d)
-SELECT p_partkey, array_to_string(w[1:12], ' ') AS title_key, array_to_string(list_filter(w[1:12], lambda x: length(x) > 1), ' ') AS lookup_title, 'movie' || '␟' || array_to_string(w[1:12], ' ') || '␟' AS movie_key FROM n""")
+@query("""WITH d AS (SELECT p_partkey, p_name || '  Part.' || CAST(p_size AS VARCHAR) || ' [x] é Мир a b c d e f g h i j k' AS t FROM part),
+n AS (SELECT p_partkey, list_filter(string_split(trim(regexp_replace(regexp_replace(lower(t), '[._\\-]+', ' ', 'g'), '[^\\p{L}\\p{N} ]+', '', 'g')), ' '), lambda w: w <> '') AS w FROM d)
+SELECT p_partkey, array_to_string(w[1:12], ' ') AS title_key, array_to_string(list_filter(w, lambda x: length(x) > 1)[1:12], ' ') AS lookup_title,
+    'movie' || '␟' || array_to_string(w[1:12], ' ') || '␟' AS movie_key FROM n""")
 def title_keys(spark, sf_dir):
-    """Normal forms and composite keys of titles."""
-    t = F.concat("p_name", F.lit("  Part."), F.col("p_size").cast("string"), F.lit(" [x]"))
+    """Normal forms and composite keys of titles in any script."""
+    t = F.concat("p_name", F.lit("  Part."), F.col("p_size").cast("string"), F.lit(" [x] é Мир a b c d e f g h i j k"))
     return table(spark, sf_dir, "part").select("p_partkey", ps.title_key(t).alias("title_key"), ps.lookup_title(t).alias("lookup_title"), ps.compound_key(F.lit("movie"), ps.title_key(t), F.lit(None)).alias("movie_key"))
 
 
-@query("""WITH n AS (SELECT DISTINCT p_name AS x FROM part) SELECT a.x AS a, b.x AS b, round(len(list_intersect(string_split(a.x, ' '), string_split(b.x, ' '))) / len(list_distinct(list_concat(string_split(a.x, ' '), string_split(b.x, ' ')))), 6)::DOUBLE AS score
-FROM n a JOIN n b ON split_part(a.x, ' ', 1) = split_part(b.x, ' ', 1) AND a.x <> b.x""")
+@query("""WITH n AS (SELECT DISTINCT p_name || ' ' || p_brand || ' ' || p_type AS x FROM part), w AS (SELECT x, list_distinct(string_split(x, ' ')) AS ws FROM n),
+j AS (SELECT a.x AS a, b.x AS b, len(list_intersect(a.ws, b.ws)) / len(list_distinct(list_concat(a.ws, b.ws))) AS score FROM w a JOIN w b ON a.x < b.x)
+SELECT a, b, round(score, 6)::DOUBLE AS score FROM j WHERE score >= 0.6""")
 def jaccard_pairs(spark, sf_dir):
-    """Word similarity of distinct titles that share the first word."""
-    names = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("w", F.substring_index("p_name", " ", 1))
-    pairs = names.withColumnRenamed("p_name", "a").join(names.withColumnRenamed("p_name", "b"), "w").where("a <> b")
-    return pairs.select("a", "b", F.round(ps.jaccard(F.col("a"), F.col("b")), 6).alias("score"))
+    """Distinct titles whose words reach a similarity of 0.6: pairs share a word of both prefixes, rarest words first."""
+    names = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("x")).distinct()
+    return idt.similar_titles(names, "x", 0.6).withColumn("score", F.round("score", 6))
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")

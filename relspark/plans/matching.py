@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import parsing as ps
 from ..operators import matching as mc
 from ..operators import statistics as st
 from .bridge import RELEASES, releases
@@ -43,22 +44,37 @@ def id_required(spark, sf_dir):
     return mc.identified(rows, "o_orderstatus", ["F", "P"], ["imdb"]).select("o_orderkey", "dropped")
 
 
-@query("""WITH s AS (SELECT user_id, avg(value) AS score, count(*) AS n, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1) SELECT user_id, CASE WHEN row_number() OVER (ORDER BY p95, user_id) <= 8 THEN 'fast' ELSE 'slow' END AS lane FROM s""")
+@query("""WITH s AS (SELECT user_id, round(avg(value), 6) AS score, count(*) AS samples, round(avg(length(props)), 6) AS quality FROM events GROUP BY 1)
+SELECT user_id, CASE WHEN row_number() OVER (ORDER BY score DESC, samples DESC, quality DESC, user_id) <= 8 THEN 'fast' ELSE 'slow' END AS lane FROM s""")
 def fast_slow_split(spark, sf_dir):
-    """Eight fastest sources."""
-    s = table(spark, sf_dir, "events").groupBy("user_id").agg(F.percentile("value", 0.95).alias("p95"))
-    return mc.fast_slow(s, "user_id", "p95").select("user_id", "lane")
+    """Eight best sources by score, samples and quality of their rows."""
+    s = table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("score"), F.count("*").alias("samples"), F.round(F.avg(F.length("props")), 6).alias("quality"))
+    return mc.fast_slow(s, "user_id", ["score", "samples", "quality"]).select("user_id", "lane")
 
 
-@query()
+@query("""WITH s AS (SELECT user_id, round(avg(value) / 100, 6) AS score, avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) < 0.25 AS eligible FROM events GROUP BY 1),
+c AS (SELECT *, coalesce(eligible AND score >= 0.4, false) AS core FROM s), r AS (SELECT *, row_number() OVER (ORDER BY core DESC, score DESC NULLS LAST, user_id) AS place FROM c),
+e AS (SELECT user_id, row_number() OVER (ORDER BY md5('7:' || CAST(user_id AS VARCHAR)), user_id) AS turn FROM r WHERE place > 20)
+SELECT user_id, CASE WHEN core THEN 'core' ELSE 'backfill' END AS why FROM r WHERE place <= 20 UNION ALL SELECT user_id, 'explore' FROM e WHERE turn <= 2""")
 def allow_list(spark, sf_dir):
-    """Core sources, backfill and seeded exploration (the hash order is Spark's own)."""
-    s = table(spark, sf_dir, "events").groupBy("user_id").agg((F.avg("value") / 100).alias("score"), st.share(F.col("event_type") == "error").alias("errors"))
-    return mc.allow_list(s, "user_id", "score", F.col("errors") < 0.25, 20, 0.2, 0.1, 7).select("user_id", "why")
+    """Core sources, backfill and seeded exploration."""
+    s = table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(F.avg("value") / 100, 6).alias("score"), st.share(F.col("event_type") == "error").alias("errors"))
+    return mc.allow_list(s, "user_id", "score", F.col("errors") < 0.25, 20, 0.4, 0.1, 7).select("user_id", "why")
 
 
-@query(f"""WITH {RELEASES}, c AS (SELECT title, count(*) AS members, max(length(title)) AS l FROM releases GROUP BY 1) SELECT title, CASE WHEN l < 2 THEN 'empty_title' WHEN regexp_matches(title, '^[0-9 ]+$') THEN 'digits_only' WHEN members <= 1 AND 0 >= 6 THEN 'noisy_single' END AS reason FROM c""")
+_HEAVY, _LIGHT = ("widget", "bolt"), ("small", "red")
+_NOISE = " + ".join(f"{n} * len(list_filter(string_split(x, ' '), lambda w: w IN {words}))" for n, words in ((3, _HEAVY), (1, _LIGHT)))
+
+
+@query(f"""WITH c AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN ['', ''] WHEN p_partkey % 5 = 0 THEN ['2019 07', '', '12'] WHEN p_partkey % 3 = 0 THEN [p_name || ' widget bolt', ''] ELSE [p_name, '2019'] END AS ts, p_size % 4 - 1 AS members FROM part),
+k AS (SELECT p_partkey, members, list_filter(ts, lambda x: x <> '')[1:3] AS ts FROM c)
+SELECT p_partkey, CASE WHEN len(ts) = 0 THEN 'no_clean_titles' WHEN len(list_filter(ts, lambda x: NOT regexp_full_match(x, '[0-9]+( [0-9]+)?'))) = 0 THEN 'cluster_numeric_only'
+    WHEN len(list_filter(ts, lambda x: {_NOISE} < 6)) = 0 THEN 'cluster_noise_only' WHEN members <= 0 THEN 'empty_cluster' END AS reason FROM k""")
 def low_value_clusters(spark, sf_dir):
-    """Clusters that are not worth resolving."""
-    c = releases(spark, sf_dir).groupBy("title").agg(F.count("*").alias("members"))
-    return c.select("title", mc.low_value(F.col("title"), F.col("members"), F.lit(0)).alias("reason"))
+    """Clusters that are not worth resolving: no titles, numbers, noise, no members."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    lit = lambda *xs: F.array(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    titles = F.when(k % 7 == 0, lit("", "")).when(k % 5 == 0, lit("2019 07", "", "12")).when(k % 3 == 0, lit(F.concat(name, F.lit(" widget bolt")), "")).otherwise(lit(name, "2019"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", titles.alias("titles"), (F.col("p_size") % 4 - 1).alias("members"))
+    noise = F.transform("titles", lambda t: ps.noise(t, _HEAVY, _LIGHT))
+    return rows.select("p_partkey", mc.low_value(F.col("titles"), F.col("members"), noise).alias("reason"))

@@ -106,11 +106,15 @@ def rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def overridden(rule_rows: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Rules with their overrides by pattern or name: renamed, rescored, or dropped when disabled."""
-    o = overrides.select(F.col("key").alias("_k"), F.col("name").alias("_name"), F.col("score").alias("_score"), F.col("disabled").alias("_off"))
-    hit = (F.col("pattern") == F.col("_k")) | (F.col("name") == F.col("_k"))
-    joined = rule_rows.join(F.broadcast(o), hit, "left").where(~F.coalesce("_off", F.lit(False)))
-    return joined.select(F.coalesce("_name", "name").alias("name"), "pattern", F.coalesce("_score", "score").alias("score"))
+    """Rules with their overrides by pattern, else by name: renamed, rescored, or dropped when disabled.
+
+    A rule has one override at most: the one of its pattern before the one of its name, of repeated keys the smallest.
+    """
+    first = overrides.groupBy("key").agg(F.min(F.struct("name", "score", "disabled")).alias("o"))
+    by = lambda c, n: first.select(F.col("key").alias(c), F.col("o").alias(n))
+    o = F.coalesce("_by_pattern", "_by_name")
+    joined = rule_rows.join(by("pattern", "_by_pattern"), "pattern", "left").join(by("name", "_by_name"), "name", "left").where(~F.coalesce(o["disabled"], F.lit(False)))
+    return joined.select(F.coalesce(o["name"], "name").alias("name"), "pattern", F.coalesce(o["score"], "score").alias("score"))
 
 
 def jdbc(spark: SparkSession, url: str, query: str, key: str, low: int, high: int, splits: int) -> DataFrame:

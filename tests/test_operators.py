@@ -52,7 +52,112 @@ def test_greedy_limit_is_sequential(spark):
 
 def test_greedy_unique_only_kept_rows_add_keys(spark):
     df = spark.createDataFrame([(1, "a", "p", "t1"), (2, "a", "q", "t2"), (3, "b", "q", "t3"), (4, "c", "r", "t2")], "pos int, k string, m string, title string")
-    assert [r.pos for r in rk.greedy_unique(df, ["k", "m"], "title", "pos").orderBy("pos").collect()] == [1, 3]
+    assert [r.pos for r in rk.greedy_unique(df, ["k", "m"], "title", "pos").orderBy("pos").collect()] == [1, 3, 4]
+
+
+def grouped(spark, *rows):
+    """Rows (id, type, service, cached, seeders, source) of one duplicate group."""
+    full = [(1, "t", k, *r) for k, r in enumerate(rows)]
+    return spark.createDataFrame(full, "request_id int, title string, pos long, id string, type string, service_id string, cached boolean, seeders int, source_id string")
+
+
+def kept_by(df, mode):
+    return sorted(r.id for r in rk.dedup_mode(df, ["request_id", "title"], mode).collect())
+
+
+def test_classes_that_drive_out_others(spark):
+    c, u, u2, p, h = ("c", "debrid", "a", True, None, "s"), ("u", "debrid", "a", False, 5, "s"), ("u2", "usenet", "b", None, 5, "s"), ("p", "p2p", None, None, 9, "s"), ("h", "http", None, None, None, "s")
+    everything = grouped(spark, c, u, u2, p, h)
+    assert kept_by(everything, "aggressive") == ["c", "h"]
+    assert kept_by(everything, "conservative") == ["c", "h", "u2"]
+    assert kept_by(everything, "keep_all") == ["c", "h", "p", "u", "u2"]
+    without_cached = grouped(spark, u, u2, p, h)
+    assert kept_by(without_cached, "aggressive") == ["h", "p"]
+    assert kept_by(without_cached, "conservative") == ["h", "p", "u", "u2"]
+    assert kept_by(grouped(spark, u, u2), "aggressive") == ["u", "u2"]
+    # A service type without a service is no uncached row.
+    assert kept_by(grouped(spark, p, ("d", "debrid", None, False, None, "s")), "aggressive") == ["d", "p"]
+
+
+def test_winners_of_each_mode(spark):
+    rows = [("a", "debrid", "x", True, 50, "s2"), ("b", "debrid", "y", True, 1, "s1"), ("c", "debrid", "y", True, 90, "s1"), ("d", "p2p", None, None, 3, "s1"), ("e", "p2p", None, None, 7, "s1")]
+    win = lambda mode, df: sorted(r.id for r in rk.dedup_winners(df, ["request_id", "title"], mode, ["y", "x"], ["s2", "s1"], ["debrid", "p2p"]).collect())
+    df = grouped(spark, *rows)
+    # Seeders decide between p2p rows, never between cached ones.
+    assert win("single_result", df) == ["b", "e"]
+    assert win("per_addon", df) == ["a", "b", "e"]
+    assert win("per_service", df.where("service_id is not null")) == ["a", "b"]
+    with pytest.raises(Exception, match="needs a service"):
+        win("per_service", df)
+
+
+def test_dedup_driver_keeps_excluded_and_passthrough_rows(spark):
+    rows = [("a", "debrid", "x", True, 1, "s1"), ("b", "debrid", "x", False, 1, "out"), ("c", "debrid", "x", True, 1, "s1"), ("d", "live", None, None, None, "s1"), ("e", "archive", None, None, None, "s1"), ("f", "debrid", "x", True, 1, "s1")]
+    df = grouped(spark, *rows).withColumn("keys", F.when(F.col("id") != "f", F.array(F.lit("k"))))
+    run = lambda **more: sorted(r.id for r in rk.deduplicate(df, "request_id", "keys", excluded=F.col("source_id") == "out", **more).collect())
+    assert run() == ["a", "b", "d", "e", "f"]
+    assert run(strict=True) == ["a", "b", "d", "f"]
+    assert run(passthrough=F.col("id") == "c") == ["a", "b", "c", "d", "e", "f"]
+    assert run(modes={"cached": "disabled"}) == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_as_of_keeps_probes_before_all_starts(spark):
+    probes = spark.createDataFrame([(1, 1), (1, 5), (1, 9), (2, 3)], "k int, at int")
+    mappings = spark.createDataFrame([(1, 4, "x"), (1, 8, "y")], "k int, start int, name string")
+    run = lambda **more: [tuple(r) for r in idt.latest_start(probes, mappings, ["k"], "at", "start", ["name"], **more).orderBy("k", "at").collect()]
+    assert run() == [(1, 1, None, None, False), (1, 5, 4, "x", True), (1, 9, 8, "y", True), (2, 3, None, None, False)]
+    assert run(fallback=True)[0] == (1, 1, 4, "x", False)
+
+
+def test_units_of_text(spark):
+    hours = lambda t: one(spark, ps.age_hours(F.lit(t)))[0]
+    assert [hours(t) for t in ("30m", "12h", "3D", "1y", "3 d", "2.5h", "5w")] == [0.5, 12.0, 72.0, 8760.0, None, None, None]
+    rate = lambda t: one(spark, ps.bitrate_bps(F.lit(t)))[0]
+    assert [rate(t) for t in ("5 Mbps", "1.5tbps", "640", "x 5 Mbps", "5 MB")] == [5e6, 1.5e12, 640.0, None, None]
+    ms = lambda t: one(spark, ps.duration_ms(F.lit(t)))[0]
+    assert [ms(t) for t in ("1h 2m 3s", "x [45m]", "1h:30m", "abc5m", "5mb", "7s")] == [3723000, 2700000, 5400000, 0, 0, 7000]
+    length = lambda x: one(spark, fm.format_duration(F.lit(x)))[0]
+    assert [length(x) for x in (300_000, 30_000, 61_000, 3_600_000)] == ["5m", "0m:30s", "1m:1s", "1h:0m:0s"]
+
+
+def test_episode_maps(spark):
+    e = lambda t: tuple(one(spark, ps.episodes(F.lit(t)))[0])
+    assert e('{"1": {"5": {}, "7": {}}}') == (1, 5, 7, 2) and e('{"1": {"1": {}}, "2": {"1": {}}}') == (None, None, None, 0)
+    assert e("{}") == (None, None, None, 0) and e('{"3": {}}') == (3, None, None, 0)
+    assert one(spark, ps.content_class(F.lit(0)), ps.content_class(F.lit(11)), ps.content_class(F.lit(10))) == ("season_pack", "season_pack", "multi_episode")
+
+
+def test_candidate_bands(spark):
+    rows = [(1, "a", 0.95, 0, 10.0), (2, "a", 0.93, 1, 0.0), (3, "a", 0.9, 1, 0.0), (4, "a", 0.9, None, 0.0), (5, "a", 0.93, None, 0.0), (6, "a", 0.99, 2, 0.0), (7, "a", 0.9, 0, 25.0), (7, "b", 0.9, 0, 0.0), (8, "a", 0.7, 0, 0.0)]
+    df = spark.createDataFrame(rows, "probe int, cand string, sim double, gap int, pop double")
+    got = {r.probe: r.status for r in idt.decide_candidate(df, "probe", F.col("sim"), F.col("gap"), F.col("pop"), "cand").collect()}
+    assert got == {1: "exact", 2: "strong", 3: "ambiguous", 4: "strong", 5: "exact", 6: "ambiguous", 7: "ambiguous", 8: "ambiguous"}
+
+
+def test_upsert_takes_the_last_of_repeated_keys(spark):
+    old, new = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "x"), (2, "y"), (3, "z")], "k int, v string")
+    assert sorted(tuple(r) for r in mt.upsert(old, new, ["k"]).collect()) == [(1, "a"), (2, "y"), (3, "z")]
+
+
+def test_overrides_hit_a_rule_once(spark):
+    rules = spark.createDataFrame([("n", "p", 1.0), ("m", "q", 2.0)], "name string, pattern string, score double")
+    over = spark.createDataFrame([("p", "by pattern", 5.0, False), ("n", "by name", 6.0, False), ("m", None, None, True)], "key string, name string, score double, disabled boolean")
+    assert [tuple(r) for r in readers.overridden(rules, over).collect()] == [("by pattern", "p", 5.0)]
+
+
+def test_error_classes(spark):
+    kinds = [one(spark, flt.message_class(F.lit(m)))[0] for m in ("HTTP 429", "Too many requests", "rate limit hit", "could not generate", "Request timed out", "403")]
+    assert kinds == ["ratelimit", "ratelimit", "ratelimit", "hard", "timeout", "forbidden"]
+
+
+def test_publish_replaces_the_pointer_in_one_step(spark, tmp_path):
+    root = f"file://{tmp_path}/t"
+    for version, n in (("v1", 3), ("v2", 5)):
+        mt.publish(spark.range(n), root, version, {"some": F.col("id") >= 0})
+    assert mt.current(spark, root).count() == 5
+    with pytest.raises(ValueError):
+        mt.publish(spark.range(2), root, "v3", {"none": F.col("id") < 0})
+    assert mt.current(spark, root).count() == 5
 
 
 def test_duplicate_groups_are_transitive_and_order_free(spark):
@@ -142,8 +247,8 @@ def test_identity_helpers(spark):
 
 def test_statistics_helpers(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
-    assert [r.n for r in st.scaled_by(df, "x", "n").collect()] == [1.0, 1.0]
-    assert one(spark, st.change_ratio(F.array(F.lit(1), F.lit(2)), F.array(F.lit(2), F.lit(3))))[0] == pytest.approx(2 / 3)
+    assert [r.n for r in st.scaled_by(df, {"x": "n"}).collect()] == [1.0, 1.0]
+    assert one(spark, st.change_ratio(F.array(F.lit(1), F.lit(2)), F.array(F.lit(2), F.lit(3))))[0] == pytest.approx(2 / 2)
 
 
 def test_sources_and_sinks(spark, tmp_path):

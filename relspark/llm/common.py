@@ -55,6 +55,19 @@ def _delete(spark: SparkSession, name: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written() -> int:
+    """How many tables :func:`materialize` has left so far; a mark for :func:`release`."""
+    return len(_written)
+
+
+def release(docs: DataFrame, mark: int) -> None:
+    """Delete tables written since ``mark`` that ``docs`` does not read: for steps whose results have been written whole."""
+    read = {name.split("/")[-2] for name in docs.inputFiles()}
+    for path in [p for p in _written[mark:] if p.rsplit("/", 1)[-1] not in read]:
+        _written.remove(path)
+        _delete(docs.sparkSession, path)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete what :func:`materialize` has written in this process; call it when no result needs it any more."""
     while _written:

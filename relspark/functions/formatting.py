@@ -25,6 +25,27 @@ def format_bytes(n: Column, k: int = 1000) -> Column:
     return F.concat(text, F.lit(" "), unit)
 
 
+def _smart(n: Column, k: int, units: list[str], zero: str) -> Column:
+    """Three figures: no decimals from 100 on, one from 10 on (none if it is 0), else two without trailing zeros."""
+    power: Column = F.lit(0)
+    for i in range(1, len(units)):
+        power = F.when(n >= float(k) ** i, i).otherwise(power)
+    raw = n / F.pow(F.lit(float(k)), power)
+    short = lambda digits: F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", half_up(raw, digits)), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    text = F.when(raw >= 100, F.format_string("%.0f", half_up(raw))).when(raw >= 10, short(1)).otherwise(short(2))
+    return F.when(n <= 0, zero).otherwise(F.concat(text, F.lit(" "), F.element_at(F.array(*[F.lit(u) for u in units]), power + 1)))
+
+
+def smart_bytes(n: Column, k: int = 1000) -> Column:
+    """Size in three figures."""
+    return _smart(n.cast("double"), k, ["B", "KB", "MB", "GB", "TB"] if k == 1000 else ["B", "KiB", "MiB", "GiB", "TiB"], "0 B")
+
+
+def smart_bitrate(n: Column) -> Column:
+    """Bitrate in three figures; ``0 bps`` where it is not known."""
+    return _smart(F.coalesce(n.cast("double"), F.lit(0.0)), 1000, ["bps", "Kbps", "Mbps", "Gbps", "Tbps"], "0 bps")
+
+
 def format_duration(ms: Column) -> Column:
     """``1h:2m:3s``; below an hour ``2m:3s``, or ``2m`` for whole minutes."""
     s = F.floor(ms / 1000)

@@ -42,6 +42,56 @@ def order(criteria: Sequence[tuple[Column, str]], pos: str = "pos") -> list[Colu
     return [*(c.desc_nulls_last() if d == "desc" else c.asc_nulls_last() for c, d in criteria), F.col(pos).asc()]
 
 
+#: Columns of the sort keys that are plain numbers or flags, unknown as 0 (fixed values).
+_NUMBERS = {
+    "size": "size", "bitrate": "bitrate", "seeders": "seeders", "age": "age_hours", "library": "library", "private": "private", "streamExpressionScore": "sel_score",
+    "regexScore": "regex_score", "keyword": "keyword",
+}
+#: Columns of the sort keys that are ranked by a preference list, and of those that hold several values (fixed values).
+_LISTED = {"encode": "encode", "resolution": "resolution", "quality": "quality", "streamType": "type", "addon": "source_id", "service": "service_id", "releaseGroup": "release_group"}
+_TAGGED = {"visualTag": "tags", "audioTag": "audio_tags", "language": "languages"}
+_PLACED = {"regexPatterns": "regex_index", "streamExpressionMatched": "sel_index"}
+
+
+def sort_key(key: str, preferred: Sequence[str] | None = None) -> Column:
+    """Value of a sort key, higher is better: numbers as they are, places in a preference list negated, unlisted lowest.
+
+    A missing value of a listed attribute counts as ``Unknown``; without a list the key says nothing. The best of several
+    values counts; languages without a listed one share the place behind the list, tags the lowest one.
+    """
+    lowest, nothing = F.lit(-INFINITY), F.lit(0.0)
+    if key in _NUMBERS:
+        return F.coalesce(F.col(_NUMBERS[key]).cast("double"), nothing)
+    if key in _PLACED:
+        return F.coalesce(-F.col(_PLACED[key]).cast("double"), lowest)
+    if key == "cached":
+        return F.when(F.coalesce(F.col("cached"), F.lit(True)), 1.0).otherwise(0.0)
+    if key == "seadex":
+        return F.when(F.coalesce("seadex_best", F.lit(False)), 2.0).when(F.coalesce("seadex", F.lit(False)), 1.0).otherwise(0.0)
+    if preferred is None or (key == "releaseGroup" and not preferred):
+        return nothing
+    if key in _TAGGED:
+        held = F.when(F.coalesce(F.size(_TAGGED[key]), F.lit(0)) > 0, F.col(_TAGGED[key])).otherwise(F.array(F.lit("Unknown")))
+        return -rank_of_any(held, preferred, float(len(preferred)) if key == "language" else INFINITY)
+    if key in _LISTED:
+        value = F.col(_LISTED[key]) if key in ("streamType", "addon", "service") else F.coalesce(F.col(_LISTED[key]), F.lit("Unknown"))
+        return -rank_in(F.lower(value), [p.lower() for p in preferred]) if key == "releaseGroup" else -rank_in(value, preferred)
+    raise ValueError(f"unknown sort key {key}")
+
+
+def sort_order(criteria: Sequence[tuple[str, str]], preferences: dict[str, Sequence[str]], pos: str = "pos") -> list[Column]:
+    """Sort columns of criteria ``(key, asc or desc)``; of equal rows the earlier one comes first."""
+    by = [sort_key(key, preferences.get(key)) for key, _ in criteria]
+    return [*(c.asc() if d == "asc" else c.desc() for c, (_, d) in zip(by, criteria, strict=True)), F.col(pos).asc()]
+
+
+def criteria_for(kind: str, criteria: dict[str, Sequence[tuple[str, str]]]) -> tuple[Sequence[tuple[str, str]], ...]:
+    """Primary, cached and uncached criteria for a request of a kind: those of the kind where they are given, else the global ones."""
+    name = {"movie": "movies", "series": "series", "anime": "anime"}.get(kind, "")
+    pick = lambda own, fallback: (name and criteria.get(own)) or criteria.get(fallback) or ()
+    return pick(name, "global"), pick(f"cached{name.capitalize()}", "cached"), pick(f"uncached{name.capitalize()}", "uncached")
+
+
 def ranked(rows: DataFrame, keys: Sequence[str], by: Sequence[Column], name: str = "rank") -> DataFrame:
     """Adds the row's place (from 1) within its keys."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))

@@ -238,24 +238,26 @@ def dedup_class() -> Column:
     return F.when(divided, F.when(F.coalesce("cached", F.lit(False)), "cached").otherwise("uncached")).otherwise(F.col("type"))
 
 
-def dedup_mode(rows: DataFrame, keys: Sequence[str], mode: str, class_: Column | None = None) -> DataFrame:
+def _driven_out(keys: Sequence[str], mode: str) -> Column:
+    """Whether a class of the group drives out the row, by its ``_class``."""
+    has = lambda c, *more: F.max(F.coalesce(F.col("_class") == c, F.lit(False))).over(Window.partitionBy(*keys, *more))
+    is_ = lambda c: F.coalesce(F.col("_class") == c, F.lit(False))
+    if mode == "aggressive":
+        return (has("cached") & (is_("uncached") | is_("p2p"))) | (has("p2p") & is_("uncached"))
+    if mode == "conservative":
+        return (is_("uncached") & has("cached", "service_id")) | (is_("p2p") & has("cached"))
+    if mode == "keep_all":
+        return F.lit(False)
+    raise ValueError(f"unknown mode {mode}")
+
+
+def dedup_mode(rows: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
     """Drop whole classes inside a duplicate group; classes other than cached, uncached and p2p always stay.
 
     ``aggressive``: cached rows drive out uncached and p2p ones, else p2p rows the uncached ones. ``conservative``: cached
     rows drive out p2p ones and the uncached ones of their own service. ``keep_all`` drops nothing.
     """
-    if mode == "keep_all":
-        return rows
-    rows = rows.withColumn("_class", dedup_class() if class_ is None else class_)
-    has = lambda c, *more: F.max(F.coalesce(F.col("_class") == c, F.lit(False))).over(Window.partitionBy(*keys, *more))
-    is_ = lambda c: F.coalesce(F.col("_class") == c, F.lit(False))
-    if mode == "aggressive":
-        bad = (has("cached") & (is_("uncached") | is_("p2p"))) | (has("p2p") & is_("uncached"))
-    elif mode == "conservative":
-        bad = (is_("uncached") & has("cached", "service_id")) | (is_("p2p") & has("cached"))
-    else:
-        raise ValueError(f"unknown mode {mode}")
-    return rows.withColumn("_bad", bad).where("not _bad").drop("_bad", "_class")
+    return rows.withColumn("_class", dedup_class()).withColumn("_bad", _driven_out(keys, mode)).where("not _bad").drop("_bad", "_class")
 
 
 def dedup_order(mode: str, services: Sequence[str], sources: Sequence[str], types: Sequence[str], pos: str = "pos") -> list[Column]:
@@ -295,26 +297,21 @@ def deduplicate(
     Rows of excluded sources always stay, yet take part in the groups and may win in them. Passthrough rows always stay and
     compete with no row. A class without a mode stays; with ``strict`` it goes. One shuffle on the request, then windows.
     """
-    modes = MODES | (modes or {})
-    false = F.lit(False)
-    grouped = duplicate_groups(rows.withColumn("_free", F.coalesce(passthrough, false) if passthrough is not None else false).withColumn("_out", F.coalesce(excluded, false) if excluded is not None else false), request, pos, keys_column)
-    keys, own = [request, "dup_group"], F.when(~F.col("_free"), dedup_class())
-    grouped = grouped.withColumn("_class", own)
-    # Rows that a class drives out are only marked, for an excluded row among them stays.
-    stays = dedup_mode(grouped, keys, multi_group, F.col("_class")).withColumn("_class", own)
-    known = {c: m for c, m in modes.items() if m != "disabled"}
-    mode = F.coalesce(*[F.when(F.col("_class") == c, F.lit(m)) for c, m in known.items()])
-    compared = stays.withColumn("_mode", mode)
-    kept = None
+    modes, false = MODES | (modes or {}), F.lit(False)
+    flag = lambda c: false if c is None else F.coalesce(c, false)
+    marked = duplicate_groups(rows.withColumns({"_free": flag(passthrough), "_out": flag(excluded)}), request, pos, keys_column)
+    keys = [request, "dup_group"]
+    marked = marked.withColumn("_class", F.when(~F.col("_free"), dedup_class())).withColumn("_bad", _driven_out(keys, multi_group))
+    wins = false
     for name, more in MODE_KEYS.items():
-        part = winner(compared.where(F.col("_mode") == name), [*keys, "_class", *more], dedup_order(name, services, sources, types, pos))
-        kept = part if kept is None else kept.unionByName(part)
-    disabled = F.col("_class").isin(*[c for c, m in modes.items() if m == "disabled"])
-    listed = F.col("_class").isin(*modes)
-    free = compared.where(F.col("_mode").isNull() & (F.col("_free") | F.coalesce(disabled, false) | (false if strict else ~F.coalesce(listed, false))))
-    chosen = kept.unionByName(free).select(request, pos)
-    always = grouped.where("_out").select(request, pos)
-    return rows.join(chosen.union(always).distinct(), [request, pos], "left_semi")
+        own = [c for c, m in modes.items() if m == name]
+        place = F.row_number().over(Window.partitionBy(*keys, "_bad", "_class", *more).orderBy(*dedup_order(name, services, sources, types, pos)))
+        marked = marked.withColumn(f"_{name}", place)
+        wins = wins | (F.col("_class").isin(*own) & (F.col(f"_{name}") == 1) if own else false)
+    idle = F.col("_class").isin(*[c for c, m in modes.items() if m == "disabled"])
+    unlisted = false if strict else ~F.col("_class").isin(*modes)
+    stays = F.col("_out") | F.col("_free") | (~F.col("_bad") & (flag(wins) | flag(idle) | flag(unlisted)))
+    return marked.where(stays).select(*rows.columns)
 
 
 def clones(rows: DataFrame, when: Column, **changed: Column) -> DataFrame:

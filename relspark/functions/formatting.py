@@ -70,7 +70,18 @@ def season_label(seasons: Column, prefix: str = "S") -> Column:
     return F.when(F.size(seasons) > 0, F.concat(F.lit(prefix), two(low), F.when(high > low, F.concat(F.lit("-"), two(high))).otherwise(F.lit(""))))
 
 
+#: Bins of sizes below 5 GiB (fixed values): bounds in MiB, label.
+SIZE_BINS = ((0, 100, "0-100MB"), (100, 300, "100-300MB"), (300, 500, "300-500MB"), (500, 1024, "500MB-1GB"), (1024, 2048, "1-2GB"), (2048, 3072, "2-3GB"), (3072, 4096, "3-4GB"), (4096, 5120, "4-5GB"))
+
+
 def size_bin(n: Column) -> Column:
-    """Label of a size: below 1 GB, then steps of one half more."""
-    gb = n / 1e9
-    return F.when(gb < 1, "small").otherwise(F.format_string("%.2f", half_up(F.pow(F.lit(1.5), F.floor(F.log(gb) / F.log(F.lit(1.5)))), 2)))
+    """Label of a size in bytes: fixed bins below 5 GiB, then whole GiB at powers of 1.5; null for 0 and null.
+
+    A size on the border of two fixed bins lies in neither and has ``5GB+``.
+    """
+    mib, gib = n / 2**20, n / 2**30
+    small = F.coalesce(*[F.when((mib < high) & ((mib > low) if low else F.lit(True)), F.lit(label)) for low, high, label in SIZE_BINS], F.lit("5GB+"))
+    step = F.floor(F.log(gib) / F.log(F.lit(1.5)))
+    low, high = (F.floor(F.pow(F.lit(1.5), step + k)).cast("string") for k in (0, 1))
+    large = F.when(low == high, F.concat(high, F.lit("GB+"))).otherwise(F.concat(low, F.lit("-"), high, F.lit("GB")))
+    return F.when(F.coalesce(n, F.lit(0)) != 0, F.when(gib < 5, small).otherwise(large))

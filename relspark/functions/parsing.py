@@ -285,3 +285,30 @@ def refined_series_title(title: Column, season: Column, dropped: Sequence[str])
     kept = F.array_join(F.filter(F.split(title, " "), lambda w: ~w.isin(*dropped) if dropped else F.lit(True)), " ")
     tail = F.regexp_extract(kept, r" 0*(\d+)$", 1)
     return F.when(F.nullif(tail, F.lit("")).cast("int") == season, F.regexp_replace(kept, r" \d+$", "")).otherwise(kept)
+
+
+def epoch_seconds(text: Column, otherwise: Column) -> Column:
+    """Seconds since 1970 of ``2024-01-31T12:00:00`` with Z, a fraction and Z, or an offset; ``otherwise`` for any other text."""
+    known = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:(?:\.\d{1,6})?Z|[+-]\d{2}:?\d{2})$")
+    with_colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.coalesce(F.when(known, with_colon.try_cast("timestamp").cast("long")), otherwise.cast("long"))
+
+
+def days_since(date: Column, as_of: Column) -> Column:
+    """Whole days from one midnight to another; negative for dates to come, null for unknown ones."""
+    return F.datediff(as_of, date)
+
+
+def text_hash(text: Column) -> Column:
+    """Identity of a text over runs and machines."""
+    return F.sha2(text, 256)
+
+
+def search_text(parts: Sequence[Column], year: Column, season: Column, first: Column, last: Column, keys: Sequence[Column]) -> Column:
+    """All that a row is searched by, in one text: parts, year, season and episodes in two forms, keys; empty ones are left out.
+
+    A last episode equal to the first adds nothing.
+    """
+    both = lambda word, n: F.concat(F.lit(f"{word} "), n.cast("string"), F.lit(f" {word[0]}"), F.when(n < 100, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string")))
+    until = F.when(~last.eqNullSafe(first), last)
+    return F.concat_ws(" ", *[F.nullif(p, F.lit("")) for p in parts], year.cast("string"), both("season", season), both("episode", first), both("episode", until), *[F.nullif(k, F.lit("")) for k in keys])

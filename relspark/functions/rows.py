@@ -115,3 +115,25 @@ def wrong_episode(episodes: Column, asked: Column, others: Sequence[Column] = ()
     for other in others:
         named = named | F.coalesce(F.array_contains(episodes, other), F.lit(False))
     return stands & asked.isNotNull() & ~named
+
+
+#: Endings of videos, and of files that are none (fixed values).
+VIDEO_ENDINGS = "3g2 3gp amv asf avi drc f4a f4b f4p f4v flv gif gifv iso m2v m4p m4v mkv mov mp2 mp4 mpg mpeg mpv mng mpe mxf nsv ogg ogv qt rm rmvb roq svi webm wmv yuv m3u8 m2ts"
+OTHER_ENDINGS = (
+    "txt jpg jpeg png gif bmp svg webp nfo sfv srt ass sub idx cue log doc docx xls xlsx ppt pptx pdf rtf odt ods odp csv tsv exe bat apk dll"
+    " zip rar 7z tar gz bz2 xz md json xml ini dat db dbf bak"
+)
+
+
+def _ends(name: Column, endings: str, more: str = "") -> Column:
+    return F.coalesce(name.rlike(rf"\.(?:{endings.replace(' ', '|')}{more})$"), F.lit(False))
+
+
+def is_video(name: Column, mime: Column) -> Column:
+    """Whether the type says video or the name ends like one; case counts."""
+    return F.coalesce(mime.contains("video"), F.lit(False)) | _ends(name, VIDEO_ENDINGS)
+
+
+def is_not_video(name: Column, mime: Column) -> Column:
+    """Whether a known type is no video, or the name ends like another file or a numbered archive part; both may hold for one file."""
+    return F.coalesce((mime != "") & ~mime.contains("video"), F.lit(False)) | _ends(name, OTHER_ENDINGS, r"|7z\.\d+")

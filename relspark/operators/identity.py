@@ -148,3 +148,39 @@ def best_file(files: DataFrame, key: str, score: Column, index: str = "file_inde
     """The file with the highest score, not below 0; the first one on ties."""
     w = Window.partitionBy(key).orderBy(F.desc("file_score"), F.col(index))
     return files.withColumn("file_score", F.greatest(score, F.lit(0.0))).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def crosswalk(requests: DataFrame, mappings: DataFrame, ids: Sequence[str], request: str, order: str, listed: Sequence[str]) -> DataFrame:
+    """One mapping for each request (``id_type, id_value, season, episode``), looked up by whatever kind of id it has.
+
+    Mappings have one column for each kind of id, ``kind``, ``starts`` (source, season, episode) and ``synonyms``. Kinds
+    that do not suit the season go, unless none would stay. The greatest start not behind the episode wins (``start``; of
+    equal ones the first source, whose source 1 counts for ``listed`` ids only), then a synonym that names the season, then
+    the first mapping by ``order``. Requests without a mapping stay, with nulls.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("id_type"), F.col(i).cast("string").alias("id_value")) for i in ids]))
+    long_ = mappings.withColumn("_id", pairs).select("_id.*", *[c for c in mappings.columns if c not in ids]).where("id_value is not null")
+    found = requests.join(long_, ["id_type", "id_value"], "left")
+    season, episode, kind = F.col("season"), F.col("episode"), F.col("kind")
+    fits = (kind == "UNKNOWN") | F.when(season.isNull(), kind == "MOVIE").when(season == 0, kind.isin("SPECIAL", "OVA", "ONA")).otherwise(kind == "TV")
+    w = Window.partitionBy(request)
+    found = found.withColumn("_fits", F.coalesce(fits, F.lit(False))).withColumn("_any", F.max("_fits").over(w)).where("_fits or not _any")
+    valid = F.filter("starts", lambda s: (s["season"] == season) & (s["episode"] <= episode) & ((s["source"] == 0) | F.col("id_type").isin(*listed)))
+    best = F.array_max(F.transform(valid, lambda s: F.struct(s["episode"].alias("episode"), (-s["source"]).alias("source"))))
+    pattern = F.concat(F.lit(r"(?i)season[\s_-]*"), season.cast("string"))
+    named = F.coalesce(episode.isNotNull() & F.exists("synonyms", lambda s: F.regexp_like(s, pattern)), F.lit(False))
+    ranked = found.withColumn("_best", best).withColumn("_named", named)
+    ranked = ranked.withColumn("_n", F.row_number().over(w.orderBy(F.col("_best").desc_nulls_last(), F.col("_named").desc(), order))).where("_n = 1")
+    return ranked.withColumn("start", F.col("_best.episode")).drop("_n", "_any", "_fits", "_best", "_named")
+
+
+def candidate_rank(title: Column, source: Column, noise: Column, trusted: str) -> Column:
+    """Rank of one reading of a title; the least is best.
+
+    A leading number before other words takes one from the noise, a single word of the trusted source adds two.
+    """
+    words = F.filter(F.split(title, r"\s+"), lambda w: w != "")
+    n = F.size(words)
+    number = F.coalesce(F.try_element_at(words, F.lit(1)).rlike(r"^\d+$"), F.lit(False)) & (n >= 2)
+    score = noise - F.when(number, 1).otherwise(0) + F.when((source == trusted) & (n <= 1), 2).otherwise(0)
+    return F.struct(score.alias("score"), F.when(source == trusted, 0).otherwise(1).alias("source"), (-n).alias("words"), F.length(title).alias("length"))

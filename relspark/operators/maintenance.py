@@ -125,3 +125,19 @@ def early_exit(batches: DataFrame, key: str, order: str, condition: Column) -> D
     w = Window.partitionBy(key).orderBy(order)
     done = F.max(condition.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return batches.withColumn("_done", F.coalesce(done, F.lit(0))).where("_done = 0").drop("_done")
+
+
+def counts_under(tables: dict[str, DataFrame], keys: DataFrame, key: str) -> DataFrame:
+    """``table_name, row_count`` of the rows of each table under the keys, 0 where there are none; a repeated key counts once."""
+    out = None
+    for name, rows in tables.items():
+        n = rows.join(keys, key, "left_semi").agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def reclaimable(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """Counts with ``reclaimed``, the bytes of so many mean rows; 0 for tables without statistics."""
+    known = (F.col("estimated_rows") > 0) & (F.col("total_bytes") > 0) & (F.col("row_count") > 0)
+    size = (F.col("total_bytes") / F.col("estimated_rows") * F.col("row_count")).cast("long")
+    return counts.join(stats, "table_name", "left").withColumn("reclaimed", F.when(known, size).otherwise(F.lit(0).cast("long"))).drop("estimated_rows", "total_bytes")

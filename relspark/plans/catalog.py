@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, catalogs, expressions, identity, maintenance, matching, ranking, rows  # noqa: F401
+from . import aggregates, catalogs, expressions, identity, lookups, maintenance, matching, ranking, rows  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "top_releases"

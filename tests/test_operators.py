@@ -309,3 +309,36 @@ def test_more_parsing(spark):
         ps.preprocessed(F.lit("One / Two"), F.array(F.lit("one"))), ps.preprocessed(F.lit("A/B"), F.array(F.lit("a/b"))), ps.preprocessed(F.lit("Name (x)"), F.array(F.lit("name"))), ps.refined_series_title(F.lit("show complete 02"), F.lit(2), ["complete"]),
     )
     assert got == (pytest.approx(0.9), True, "English", 1999, 0, ["rocky ii", "rocky 2"], True, "One", "A/B", "Name", "show")
+
+
+def test_size_bins_leave_borders_out(spark):
+    mib, gib = 2**20, 2**30
+    got = one(spark, *[fm.size_bin(F.lit(n).cast("long")).alias(str(i)) for i, n in enumerate((None, 0, 1, 100 * mib, 100 * mib + 1, gib, gib + 1, 5 * gib, 6 * gib, 12 * gib))])
+    assert got == (None, None, "0-100MB", "5GB+", "100-300MB", "5GB+", "1-2GB", "3-5GB", "5-7GB", "11-17GB")
+
+
+def test_epochs_and_search_text(spark):
+    other = F.lit(7)
+    got = one(spark, *[ps.epoch_seconds(F.lit(t), other).alias(str(i)) for i, t in enumerate(("1970-01-01T00:01:00Z", "1970-01-01T00:01:00.999Z", "1970-01-01T01:01:00+0100", "1970-01-01 00:01:00", "", None, "1970-13-01T00:00:00Z"))])
+    assert got == (60, 60, 60, 7, 7, 7, 7)
+    text = lambda last: ps.search_text([F.lit("a b"), F.lit(""), F.lit(None).cast("string")], F.lit(1999), F.lit(3), F.lit(7), F.lit(last).cast("int"), [F.lit("k")])
+    got = one(spark, text(7).alias("a"), text(101).alias("b"), text(None).alias("c"))
+    assert got == ("a b 1999 season 3 s03 episode 7 e07 k", "a b 1999 season 3 s03 episode 7 e07 episode 101 e101 k", "a b 1999 season 3 s03 episode 7 e07 k")
+
+
+def test_crosswalk_branches(spark):
+    schema = "m int, imdb string, mal int, kind string, starts array<struct<source:int,season:int,episode:int>>, synonyms array<string>"
+    mappings = spark.createDataFrame(
+        [(1, "t1", 10, "TV", [(0, 1, 1)], ["x"]), (2, "t1", None, "TV", [(0, 1, 13)], []), (3, "t1", 12, "MOVIE", None, None), (4, "t1", 13, "TV", [(1, 1, 13)], ["X SEASON-3 part"]), (5, None, 14, "TV", [(1, 1, 5)], None), (6, "t2", 15, "TV", [], [])],
+        schema,
+    )
+    asked = [(1, "imdb", "t1", 1, 12), (2, "imdb", "t1", 1, 13), (3, "imdb", "t1", None, None), (4, "imdb", "t1", 3, 2), (5, "imdb", "t1", 4, 2), (6, "mal", "14", 1, 9), (7, "imdb", "t2", None, None), (8, "imdb", "t9", 1, 1), (9, "imdb", None, 1, 1), (10, "imdb", "t1", 0, 1)]
+    requests = spark.createDataFrame(asked, "r int, id_type string, id_value string, season int, episode int")
+    got = {x.r: (x.m, x.start) for x in idt.crosswalk(requests, mappings, ["imdb", "mal"], "r", "m", ["imdb"]).collect()}
+    assert got == {1: (1, 1), 2: (2, 13), 3: (3, None), 4: (4, None), 5: (1, None), 6: (5, None), 7: (6, None), 8: (None, None), 9: (None, None), 10: (1, None)}
+
+
+def test_reclaim_needs_statistics(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 0), ("d", 3)], "table_name string, row_count long")
+    stats = spark.createDataFrame([("a", 2.0, 5.0), ("b", 0.0, 5.0), ("c", 2.0, 5.0)], "table_name string, estimated_rows double, total_bytes double")
+    assert {r.table_name: r.reclaimed for r in mt.reclaimable(counts, stats).collect()} == {"a": 7, "b": 0, "c": 0, "d": 0}

@@ -342,3 +342,41 @@ def test_reclaim_needs_statistics(spark):
     counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 0), ("d", 3)], "table_name string, row_count long")
     stats = spark.createDataFrame([("a", 2.0, 5.0), ("b", 0.0, 5.0), ("c", 2.0, 5.0)], "table_name string, estimated_rows double, total_bytes double")
     assert {r.table_name: r.reclaimed for r in mt.reclaimable(counts, stats).collect()} == {"a": 7, "b": 0, "c": 0, "d": 0}
+
+
+def test_release_titles_by_form(spark):
+    from relspark.functions import titles as tt
+
+    names = {
+        "The.Film.1999.1080p.BluRay.x264-GRP.mkv": ("The Film", 1999), "[Sub] Some Show v2 [x][ABCDEF12].episode": ("Some Show", None), "A.I.Story.2001.DVD": ("A.I. Story", 2001),
+        "Dr.Who.A.B.1996.x": ("Dr. Who A.B.", 1996), "2012.2009.BluRay": ("2012", 2009), "1999 - Long Title": ("Long Title", 1999), "d41d8cd98f00b204e9800998ecf8427e": None, "...": None, "ABC xyz": None,
+        "no year": None, "": None, None: None,
+    }
+    rows = spark.createDataFrame(list(enumerate(names)), "k int, raw string").select("k", tt.release_title(F.col("raw")).alias("s")).orderBy("k").collect()
+    assert [r.s and (r.s.title, r.s.year) for r in rows] == list(names.values())
+    mirrored = spark.sql("SELECT 'p027.9991.mliF' AS raw").select(tt.release_title(F.col("raw")).alias("s")).first().s
+    assert (mirrored.title, mirrored.year) == ("Film", 1999)
+    both = spark.sql("SELECT 'Film / Movie 2004' AS raw").select(tt.release_title(F.col("raw")).alias("s")).first().s
+    assert both.titles == ["Film / Movie", "Film", "Movie"]
+
+
+def test_movie_titles_and_latin(spark):
+    from relspark.functions import titles as tt
+
+    rows = spark.createDataFrame([("The Lord of the Rings",), ("2012",), ("Ça & là",), (None,), ("Größe",), ("ábc",)], "t string").select(tt.movie_title(F.col("t")).alias("f")).collect()
+    assert [r.f for r in rows] == ["lordrings", "2012", "cala", "", "groesse", "bc"]
+    assert spark.sql("SELECT 'Москва Ёж plain' AS t").select(tt.latin(F.col("t")).alias("f")).first().f == "Moskva Ezh plain"
+
+
+def test_groups_stop_at_the_first_failed_condition(spark):
+    from relspark.operators import resolution as rs
+
+    rows = spark.createDataFrame([("q", None, 5), ("q", 1, 9), ("q", 2, 1), ("q", 3, 1)], "request_id string, group_no int, elapsed int")
+    found = lambda conditions, sequential: sorted((r.group_no or 0) for r in rs.fetched_groups(rows, conditions, sequential).collect())
+    yes, no = (lambda *a: F.lit(True)), (lambda *a: F.lit(False))
+    assert found([None, yes, no, yes], True) == [0, 1]
+    assert found([None, None, None, None], True) == [0, 1, 2, 3]
+    assert found([None, None, yes, None], False) == [0, 2]
+    assert found([None, yes, lambda pn, an, pt, at: at == 14, yes], True) == [0, 1, 2, 3]
+    assert found([None, yes, lambda pn, an, pt, at: at == 9, yes], False) == [0, 1, 2, 3]
+    assert found([None, lambda *a: F.lit(None).cast("boolean"), yes], True) == [0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,6 +62,28 @@ def doomed(rows: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
     return rows.where(~gone), rows.where(gone)
 
 
+def prune(rows: DataFrame, condition: Column, undrained: DataFrame) -> DataFrame:
+    """Rows that stay once all that must be drained first is gone; raises while ``undrained`` has a row."""
+    if not undrained.isEmpty():
+        raise ValueError("rows that are not drained yet block pruning")
+    return doomed(rows, condition)[0]
+
+
+def run_phases(spark: SparkSession, root: str, phases: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]]) -> dict[str, int]:
+    """A job of phases that can be resumed: each writes its own folder, and a phase written whole is not run again.
+
+    A phase gets the tables of the phases before it by name. A folder without Spark's mark of success is what a lost run
+    left, and is written anew. Returns the rows of every phase.
+    """
+    tables: dict[str, DataFrame] = {}
+    for name, phase in phases:
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS")
+        if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+            phase(tables).write.mode("overwrite").parquet(f"{root}/{name}")
+        tables[name] = spark.read.parquet(f"{root}/{name}")
+    return {name: df.count() for name, df in tables.items()}
+
+
 def salvage(old: DataFrame, live: DataFrame, key: str, casts: dict[str, tuple[str, object]]) -> DataFrame:
     """Readable rows that the live table lacks, every column cast or defaulted."""
     lost = old.join(live.select(key), key, "left_anti")

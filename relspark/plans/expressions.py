@@ -152,3 +152,14 @@ def log_carry_forward(spark, sf_dir):
 def season_labels(spark, sf_dir):
     """Season labels and buckets."""
     return releases(spark, sf_dir).select("id", (F.col("season") >= 4).alias("late"), fm.season_label(F.array("season")).alias("label"), ps.season_bucket(F.col("season")).alias("bucket"))
+
+
+@query(f"""WITH {RELEASES}, m AS (SELECT id, pos, type = 'debrid' AND coalesce(cached, false) AS hit, type = 'p2p' AS p2p, count(*) OVER (PARTITION BY request_id) > 60 AS many, season FROM releases)
+SELECT id, CASE WHEN p2p THEN false WHEN hit THEN true END AS all_stages, CASE WHEN p2p AND many THEN 'limit,dedup' WHEN p2p THEN 'limit,title' WHEN hit THEN '' END AS stages, coalesce(hit OR (p2p AND many), false) OR season = 1 AS passes_dedup FROM m""")
+def sel_passthrough(spark, sf_dir):
+    """Rows that expressions let through all or some stages; a conditional marks rows in the branch that it takes only."""
+    rows = releases(spark, sf_dir)
+    rows = sel.mark_passthrough(rows, "passthrough(cached(type(streams, 'debrid')))")
+    rows = sel.mark_passthrough(rows, "merge(passthrough(type(streams, 'p2p'), 'limit'), count(streams) > 60 ? passthrough(type(streams, 'p2p'), 'dedup', 'limit') : passthrough(type(streams, 'p2p'), 'title'))")
+    p = F.col("passthrough")
+    return rows.select("id", p["all"].alias("all_stages"), F.array_join(p["stages"], ",").alias("stages"), sel.passes("dedup", p, F.col("season") == 1).alias("passes_dedup"))

@@ -151,15 +151,31 @@ def _rate(x: Any) -> float:
     return float(m[1]) * {"": 1, "k": 1e3, "m": 1e6, "g": 1e9}[m[2].lower()] if m else float(x)
 
 
+#: Stages that a row may pass unseen, and what a request says where it says nothing (fixed values).
+STAGES = ("filter", "language", "dedup", "limit", "excluded", "required", "title", "year", "episode", "digitalRelease")
+DEFAULTS: dict[str, Any] = {
+    "queryType": "", "isAnime": False, "season": -1, "episode": -1, "genres": [], "title": "", "year": 0, "yearEnd": 0, "daysSinceRelease": -1, "runtime": 0, "absoluteEpisode": -1,
+    "originalLanguage": "", "hasSeaDex": False, "hasNextEpisode": False, "daysUntilNextEpisode": -1, "daysSinceFirstAired": -1, "daysSinceLastAired": -1, "latestSeason": -1,
+}
+
+
 class Compiler:
-    """Compiles a tree over the columns of ``releases``; ``constants`` are request values (columns or numbers)."""
+    """Compiles a tree over the columns of ``releases``; ``constants`` are request values (columns or numbers).
+
+    ``marks`` collects what ``passthrough`` calls ask for: masks and stages in order of evaluation, inside a branch of a
+    conditional only where that branch is taken.
+    """
 
     ATTRIBUTES = {"size": "size", "seeders": "seeders", "age": "age_hours", "bitrate": "bitrate", "folderSize": "folder_size", "regexScore": "regex_score", "streamExpressionScore": "sel_score", "duration": "duration"}
     SERVICES: tuple[str, ...] = ()
 
     def __init__(self, columns: list[str], key: str = "request_id", by: str = "pos", constants: dict[str, Any] | None = None):
-        self.columns, self.key, self.by, self.constants = set(columns), key, by, constants or {}
+        self.columns, self.key, self.by, self.constants = set(columns), key, by, DEFAULTS | (constants or {})
+        ongoing = F.lit(self.constants["hasNextEpisode"]) & (F.lit(self.constants["season"]) == F.lit(self.constants["latestSeason"]))
+        self.constants.setdefault("ongoingSeason", ongoing)
         self.w = Window.partitionBy(key)
+        self.marks: list[tuple[Column, tuple[str, ...]]] = []
+        self.guard: Column | None = None
 
     def rows(self, x: Any) -> Rows:
         """A row-set; a boolean is all or none, an empty list none."""
@@ -186,8 +202,8 @@ class Compiler:
                 return self.constants[tree[1]]
             raise SelError(f"unknown name {tree[1]!r}")
         if kind == "if":
-            test, yes, no = (self.run(t) for t in tree[1:])
-            test = self.column(test)
+            test = F.coalesce(self.column(self.run(tree[1])), F.lit(False))
+            yes, no = self.branch(test, tree[2]), self.branch(~test, tree[3])
             if isinstance(yes, (Rows, list, bool)) or isinstance(no, (Rows, list, bool)):
                 return Rows(F.when(test, self.rows(yes).mask).otherwise(self.rows(no).mask))
             return F.when(test, self.column(yes)).otherwise(self.column(no))
@@ -198,6 +214,13 @@ class Compiler:
             return self.operate(tree[1], self.run(tree[2]), self.run(tree[3]))
         return self.call(tree[1], [self.run(t) for t in tree[2:]])
 
+    def branch(self, test: Column, tree: tuple) -> Any:
+        outer = self.guard
+        self.guard = test if outer is None else outer & test
+        found = self.run(tree)
+        self.guard = outer
+        return found
+
     def column(self, x: Any) -> Column:
         if isinstance(x, Column):
             return x
@@ -217,6 +240,16 @@ class Compiler:
                 raise SelError(f"{name} needs a row-set")
             mask = self.rows(args[0]).mask
             return Rows(mask & F.coalesce(_FILTERS[name](self, *args[1:]), F.lit(False)))
+        if name == "passthrough":
+            chosen = self.rows(args[0])
+            if not set(args[1:]) <= set(STAGES):
+                raise SelError(f"unknown stage in {args[1:]}")
+            self.marks.append((chosen.mask if self.guard is None else chosen.mask & self.guard, tuple(args[1:])))
+            return chosen
+        if name == "random":
+            # One number for each request, the same whenever it is asked.
+            part = F.pmod(F.xxhash64(F.lit("random"), F.col(self.key)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+            return part * (self.column(args[0]) if args else F.lit(1.0))
         if name == "count":
             return F.sum(F.when(self.rows(args[0]).mask, 1).otherwise(0)).over(self.w)
         if name == "negate":
@@ -374,6 +407,29 @@ def select_rows(rows: DataFrame, text: str, **more: Any) -> DataFrame:
     return rows.withColumn("_in", compile_rows(text, rows, **more)).where("_in").drop("_in")
 
 
+def mark_passthrough(rows: DataFrame, text: str, key: str = "request_id", by: str = "pos", constants: dict[str, Any] | None = None) -> DataFrame:
+    """Rows with what the expression's ``passthrough`` calls say of them, as ``passthrough: struct<all, stages>``.
+
+    A call without stages sets ``all``; a call with stages adds them to the row's stages and takes ``all`` back.
+    """
+    c = Compiler(rows.columns, key, by, constants)
+    c.rows(c.run(Parser(text).parse()))
+    kind = "struct<all boolean, stages array<string>>"
+    now = F.col("passthrough") if "passthrough" in rows.columns else F.lit(None).cast(kind)
+    none = F.array().cast("array<string>")
+    for mask, stages in c.marks:
+        before = F.coalesce(F.when(~now["all"], now["stages"]), none)
+        new = F.struct(F.lit(False).alias("all"), F.array_union(before, F.array(*[F.lit(x) for x in stages])).alias("stages")) if stages else F.struct(F.lit(True).alias("all"), none.alias("stages"))
+        now = F.when(F.coalesce(mask, F.lit(False)), new.cast(kind)).otherwise(now)
+    return rows.withColumn("passthrough", now)
+
+
+def passes(stage: str, passthrough: Column, whole_source: Column | None = None) -> Column:
+    """Whether a row passes a stage unseen: all of its source does, or the row for all stages or for this one."""
+    own = F.coalesce(passthrough["all"] | F.array_contains(passthrough["stages"], stage), F.lit(False))
+    return own if whole_source is None else own | F.coalesce(whole_source, F.lit(False))
+
+
 def exclude_in_turn(rows: DataFrame, rules: list[str], **more: Any) -> DataFrame:
     """Every rule removes its rows from what the rules before it left."""
     for rule in rules:

@@ -380,3 +380,41 @@ def test_groups_stop_at_the_first_failed_condition(spark):
     assert found([None, yes, lambda pn, an, pt, at: at == 14, yes], True) == [0, 1, 2, 3]
     assert found([None, yes, lambda pn, an, pt, at: at == 9, yes], False) == [0, 1, 2, 3]
     assert found([None, lambda *a: F.lit(None).cast("boolean"), yes], True) == [0]
+
+
+def test_pruning_waits_for_the_drain(spark):
+    from relspark.operators import maintenance as mt
+
+    rows, left = spark.range(10), spark.range(1)
+    with pytest.raises(ValueError):
+        mt.prune(rows, F.col("id") > 5, left)
+    assert mt.prune(rows, F.col("id") > 5, left.where("id > 5")).count() == 6
+
+
+def test_phases_resume(spark, tmp_path):
+    from relspark.operators import maintenance as mt
+
+    ran = []
+
+    def phase(name, make):
+        return name, lambda tables: ran.append(name) or make(tables)
+
+    first, second = phase("a", lambda t: spark.range(5)), phase("b", lambda t: t["a"].where("id > 1"))
+    broken = phase("b", lambda t: t["a"].select(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        mt.run_phases(spark, str(tmp_path), [first, broken])
+    assert mt.run_phases(spark, str(tmp_path), [first, second]) == {"a": 5, "b": 3}
+    assert ran == ["a", "b", "b"]
+
+
+def test_request_constants_and_random(spark):
+    from relspark.plans import sel
+
+    rows = spark.createDataFrame([("q", 1, "p2p"), ("q", 2, "http"), ("r", 1, "http")], "request_id string, pos int, type string")
+    value = lambda text, **c: [r.v for r in rows.withColumn("v", sel.compile_value(text, rows, constants=c)).orderBy("request_id", "pos").collect()]
+    assert value("season") == [-1] * 3 and value("ongoingSeason") == [False] * 3
+    assert value("ongoingSeason", hasNextEpisode=True, season=2, latestSeason=2) == [True] * 3
+    a = value("random(10)")
+    assert a[0] == a[1] != a[2] and all(0 <= x < 10 for x in a)
+    with pytest.raises(sel.SelError):
+        sel.mark_passthrough(rows, "passthrough(streams, 'nothing')")

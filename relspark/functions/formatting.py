@@ -13,15 +13,16 @@ def half_up(x: Column, digits: int = 0) -> Column:
     return F.floor(x * 10**digits + 0.5) / 10**digits
 
 
-def format_bytes(n: Column, k: int = 1000) -> Column:
-    """Size with two decimals and the largest unit below it; 0 is ``0 B``."""
+def format_bytes(n: Column, k: int = 1000, rounded: bool = False) -> Column:
+    """Size with two decimals, or ``rounded`` to none, and the largest unit below it; 0 is ``0 B``."""
     units = ["B", "KB", "MB", "GB", "TB", "PB"] if k == 1000 else ["B", "KiB", "MiB", "GiB", "TiB", "PiB"]
     value, unit = n.cast("double"), F.lit(units[0])
     for i, u in reversed(list(enumerate(units))[1:]):
         value = F.when(n >= float(k) ** i, n / float(k) ** i).otherwise(value) if i == len(units) - 1 else F.when((n >= float(k) ** i) & (n < float(k) ** (i + 1)), n / float(k) ** i).otherwise(value)
     for i, u in enumerate(units[1:], 1):
         unit = F.when(n >= float(k) ** i, u).otherwise(unit)
-    text = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", half_up(value, 2)), r"0+$", ""), r"\.$", "")
+    shown = half_up(half_up(value, 2)) if rounded else half_up(value, 2)
+    text = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", shown), r"0+$", ""), r"\.$", "")
     return F.concat(text, F.lit(" "), unit)
 
 

@@ -8,15 +8,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Token vocabularies in order of preference (fixed values): label, pattern of the token.
-RESOLUTION_TOKENS = (("2160p", "2160p|4k|uhd"), ("1440p", "1440p"), ("1080p", "1080p|fhd"), ("720p", "720p"), ("576p", "576p"), ("480p", "480p"), ("360p", "360p"), ("240p", "240p"), ("144p", "144p"))
+RESOLUTION_TOKENS = (
+    ("2160p", r"(bd|hd|m)?(4k|2160(p|i)?)|u(ltra)?[ .\-_]?hd|3840\s?x\s?(\d{4})"), ("1440p", r"(bd|hd|m)?(1440(p|i)?)|2k|w?q(uad)?[ .\-_]?hd|2560\s?x(\d{4})"),
+    ("1080p", r"(bd|hd|m)?(1080(p|i)?)|f(ull)?[ .\-_]?hd|1920\s?x\s?(\d{3,4})"), ("720p", r"(bd|hd|m)?((720|800)(p|i)?)|hd|1280\s?x\s?(\d{3,4})"),
+    ("576p", r"(bd|hd|m)?((576|534)(p|i)?)"), ("480p", r"(bd|hd|m)?(480(p|i)?)|sd"), ("360p", r"(bd|hd|m)?(360(p|i)?)"), ("240p", r"(bd|hd|m)?((240|266)(p|i)?)"), ("144p", r"(bd|hd|m)?(144(p|i)?)"),
+)
 QUALITY_TOKENS = (
-    ("BluRay REMUX", "(?:bluray|bdrip|bd)[ ._-]*remux"), ("BluRay", "blu-?ray"), ("WEB-DL", "web[ ._-]?dl"), ("WEBRip", "web[ ._-]?rip"), ("HDRip", "hdrip"),
-    ("DVDRip", "dvd[ ._-]?rip"), ("HDTV", "hdtv"), ("CAM", "cam|camrip"), ("TS", "ts|telesync"), ("TC", "tc|telecine"), ("SCR", "scr|screener"),
+    ("BluRay REMUX", r"(bd|br|b|uhd)?remux"), ("BluRay", r"(?<!remux.{0,255})(bd|blu[ .\-_]?ray|((bd|br)[ .\-_]?rip))(?!.*remux)"), ("WEB-DL", r"web[ .\-_]?(dl)?(?![ .\-_]?(rip|DLRip|cam))"),
+    ("WEBRip", r"web[ .\-_]?rip"), ("HDRip", r"hd[ .\-_]?rip|web[ .\-_]?dl[ .\-_]?rip"), ("HC HD-Rip", r"hc|hd[ .\-_]?rip"), ("DVDRip", r"dvd[ .\-_]?(rip|mux|r|full|5|9)?"),
+    ("HDTV", r"(hd|pd)tv|tv[ .\-_]?rip|hdtv[ .\-_]?rip|dsr(ip)?|sat[ .\-_]?rip"), ("CAM", r"cam|hdcam|cam[ .\-_]?rip"), ("TS", r"telesync|ts|hd[ .\-_]?ts|pdvd|predvd(rip)?"),
+    ("TC", r"telecine|tc|hd[ .\-_]?tc"), ("SCR", r"((dvd|bd|web|hd)?[ .\-_]?)?(scr(eener)?)"),
+)
+VISUAL_TOKENS = (
+    ("10bit", r"10[ .\-_]?bit"), ("HDR10+", r"hdr[ .\-_]?10[ .\-_]?(p(lus)?|[+])"), ("HDR10", r"hdr[ .\-_]?10(?![ .\-_]?(?:\+|p(lus)?))"), ("HDR", r"hdr(?![ .\-_]?10)(?![ .\-_]?(?:\+|p(lus)?))"),
+    ("HLG", r"hlg"), ("DV", r"do?(lby)?[ .\-_]?vi?(sion)?(?:[ .\-_]?atmos)?|dv"), ("3D", r"(bd)?(3|three)[ .\-_]?(d(imension)?(al)?)"), ("IMAX", r"imax"), ("AI", r"ai[ .\-_]?(upscale|enhanced|remaster)?"),
+    ("SDR", r"sdr"), ("H-OU", r"h?(alf)?[ .\-_]?(ou|over[ .\-_]?under)"), ("H-SBS", r"h?(alf)?[ .\-_]?(sbs|side[ .\-_]?by[ .\-_]?side)"),
+)
+AUDIO_TOKENS = (
+    ("Atmos", r"atmos|ddpa\d?"), ("DD+", r"(d(olby)?[ .\-_]?d(igital)?[ .\-_]?((p(lus)?|\+)a?)(?:[ .\-_]?(2[ .\-_]?0|5[ .\-_]?1|7[ .\-_]?1))?)|e[ .\-_]?ac[ .\-_]?3"),
+    ("DD", r"(d(olby)?[ .\-_]?d(igital)?(?:[ .\-_]?(5[ .\-_]?1|7[ .\-_]?1|2[ .\-_]?0?))?)|(?<!e[ .\-_]?)ac[ .\-_]?3"), ("DTS:X", r"dts[ .\-:_]?x"), ("DTS-HD MA", r"dts[ .\-_]?hd[ .\-_]?ma"),
+    ("DTS-HD", r"dts[ .\-_]?hd(?![ .\-_]?ma)"), ("DTS-ES", r"dts[ .\-_]?es"), ("DTS", r"dts(?![ .\-:_]?(x(?=[\s)\]_.\-,]|$)|hd[ .\-_]?(ma)?|es))"), ("TrueHD", r"true[ .\-_]?hd"), ("OPUS", r"opus"),
+    ("AAC", r"q?aac(?:[ .\-_]?2)?"), ("FLAC", r"flac(?:[ .\-_]?(lossless|2\.0|x[2-4]))?"),
 )
-ENCODE_TOKENS = (("AV1", "av1"), ("HEVC", "hevc|x265|h[ .]?265"), ("AVC", "avc|x264|h[ .]?264"), ("XviD", "xvid"), ("DivX", "divx"))
-AUDIO_TOKENS = (("Atmos", "atmos"), ("TrueHD", "true[ ._-]?hd"), ("DTS-HD MA", "dts[ ._-]?hd[ ._-]?ma"), ("DTS", "dts"), ("DD+", "ddp|dd\\+|eac3"), ("DD", "dd|ac3"), ("AAC", "aac"), ("FLAC", "flac"), ("OPUS", "opus"))
-CHANNEL_TOKENS = (("7.1", "7[. ]1"), ("6.1", "6[. ]1"), ("5.1", "5[. ]1"), ("2.0", "2[. ]0"))
-VISUAL_TOKENS = (("HDR10+", "hdr10\\+|hdr10plus"), ("HDR10", "hdr10"), ("HDR", "hdr"), ("DV", "dv|dovi|dolby[ ._-]?vision"), ("10bit", "10[ .-]?bit"), ("3D", "3d"), ("IMAX", "imax"), ("SDR", "sdr"))
+_BEFORE_CHANNELS = r"(d(olby)?[ .\-_]?d(igital)?[ .\-_]?((p(lus)?|\+)a?)?)?"
+CHANNEL_TOKENS = (("2.0", r"(d(olby)?[ .\-_]?d(igital)?)?2[ .\-_]?0(ch)?"), *((f"{n}.1", rf"{_BEFORE_CHANNELS}{n}[ .\-_]?1(ch)?") for n in (5, 6, 7)))
+ENCODE_TOKENS = (("HEVC", r"hevc[ .\-_]?(10)?|[xh][ .\-_]?265"), ("AVC", r"avc|[xh][ .\-_]?264"), ("AV1", r"av1"), ("XviD", r"xvid"), ("DivX", r"divx|dvix"))
 
 
 #: Signs that may stand directly before and behind a token (fixed values).

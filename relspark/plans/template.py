@@ -56,6 +56,17 @@ def _chunks(template: str) -> list[tuple[bool, str]]:
     return [*out, (False, ("{" if depth else "") + template[start:])]
 
 
+def _rate(x: Column, rounded: bool) -> Column:
+    return F.regexp_replace(fm.format_bytes(F.greatest(x, F.lit(0.0)), 1000, rounded), "B$", "bps")
+
+
+def _stars(x: Column, padded: bool) -> Column:
+    """A star for each 20 of 100, half a one from a rest of 10 on, and hollow ones up to five where ``padded``."""
+    full, half = F.floor(x / 20).cast("int"), F.when(x % 20 >= 10, 1).otherwise(0)
+    marks = [F.repeat(F.lit("★"), full), F.repeat(F.lit("⯪"), half)]
+    return F.concat(*marks, *([F.repeat(F.lit("☆"), 5 - full - half)] if padded else []))
+
+
 class Template:
     """Compiler over a mapping ``section.name -> (column, kind)`` with kind ``text``, ``number``, ``flag`` or ``list``."""
 
@@ -136,7 +147,8 @@ class Template:
             return self.modify_with(field, call[1], args)
         name = step.lower()
         if name == "exists":
-            return (F.coalesce(self.truth(x, "text" if kind == "flag" else kind), F.lit(False)), "flag")
+            there = x.rlike(r"\S") if kind == "text" else self.truth(x, "text" if kind == "flag" else kind)
+            return (F.coalesce(there, F.lit(False)), "flag")
         if kind == "flag" and name in ("istrue", "isfalse"):
             flag = F.coalesce(x, F.lit(False))
             return (flag if name == "istrue" else ~flag, "flag")
@@ -154,8 +166,9 @@ class Template:
             made = {
                 "comma": lambda: F.format_number(n, 0), "hex": lambda: F.lower(F.hex(n)), "octal": lambda: F.conv(n.cast("string"), 10, 8), "binary": lambda: F.bin(n), "string": lambda: self.shown(x, "number"),
                 "bytes": lambda: fm.format_bytes(x), "bytes10": lambda: fm.format_bytes(x), "bytes2": lambda: fm.format_bytes(x, 1024), "time": lambda: fm.format_duration(x),
-                "rbytes": lambda: fm.format_bytes(fm.half_up(x)), "bitrate": lambda: F.regexp_replace(fm.format_bytes(x), "B$", "bps"),
-                "star": lambda: F.concat(F.expr("''"), F.repeat(F.lit("★"), F.floor(x / 20 + 0.5).cast("int")), F.repeat(F.lit("☆"), (5 - F.floor(x / 20 + 0.5)).cast("int"))),
+                "rbytes": lambda: fm.format_bytes(x, 1000, True), "rbytes10": lambda: fm.format_bytes(x, 1000, True), "rbytes2": lambda: fm.format_bytes(x, 1024, True),
+                "sbytes": lambda: fm.smart_bytes(x), "sbytes10": lambda: fm.smart_bytes(x), "sbytes2": lambda: fm.smart_bytes(x, 1024),
+                "bitrate": lambda: _rate(x, False), "rbitrate": lambda: _rate(x, True), "sbitrate": lambda: fm.smart_bitrate(x), "star": lambda: _stars(x, False), "pstar": lambda: _stars(x, True),
             }
             return (made[name](), "text") if name in made else None
         return None

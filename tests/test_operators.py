@@ -418,3 +418,30 @@ def test_request_constants_and_random(spark):
     assert a[0] == a[1] != a[2] and all(0 <= x < 10 for x in a)
     with pytest.raises(sel.SelError):
         sel.mark_passthrough(rows, "passthrough(streams, 'nothing')")
+
+
+def test_vocabularies_of_names(spark):
+    vocabularies = {"r": ps.RESOLUTION_TOKENS, "q": ps.QUALITY_TOKENS, "e": ps.ENCODE_TOKENS}
+    lists = {"v": ps.VISUAL_TOKENS, "a": ps.AUDIO_TOKENS, "c": ps.CHANNEL_TOKENS}
+    cases = [
+        ("Film.2019.UHD.BluRay.REMUX.HDR10+.DV.TrueHD.7.1.Atmos.H.265", ("2160p", "BluRay REMUX", "HEVC"), (["HDR10+", "DV"], ["Atmos", "TrueHD"], ["7.1"])),
+        ("Film.1920x1080.BDRip.x264.DTS-HD.MA.5.1.10bit", ("1080p", "BluRay", "AVC"), (["10bit"], ["DTS-HD MA"], ["5.1"])),
+        ("Show 1080i WEB DDP5.1 HDR10 H264", ("1080p", "WEB-DL", "AVC"), (["HDR10"], ["DD+"], ["5.1"])),
+        ("Show.FHD.WEB-DLRip.AV1.EAC3.2.0.SDR", ("1080p", "HDRip", "AV1"), (["SDR"], ["DD+"], ["2.0"])),
+        ("Old.SD.HDCAM.DivX.DTS", ("480p", "CAM", "DivX"), ([], ["DTS"], [])),
+        ("Old.800p.HC.xvid.3D.HSBS.DTS-X.FLAC", ("720p", "HC HD-Rip", "XviD"), (["3D", "H-SBS"], ["DTS:X", "FLAC"], [])),
+        ("premux bluray none", (None, None, None), ([], [], [])),
+    ]
+    rows = spark.createDataFrame([(i, n) for i, (n, *_) in enumerate(cases)], "i int, n string")
+    n = F.col("n")
+    got = rows.select("i", *[ps.first_token(n, v).alias(k) for k, v in vocabularies.items()], *[ps.all_tokens(n, v).alias(k) for k, v in lists.items()]).orderBy("i").collect()
+    for r, (name, one_of, many) in zip(got, cases, strict=True):
+        assert ((r.r, r.q, r.e), (r.v, r.a, r.c)) == (one_of, many), name
+
+
+def test_number_modifiers(spark):
+    t = Template({"s.n": (F.lit(1_254_600_000.0), "number"), "s.p": (F.lit(70.0), "number"), "s.z": (F.lit(0.0), "number"), "s.b": (F.lit("  "), "text")})
+    shown = lambda text: one(spark, t.compile(text))[0]
+    assert shown("{s.n::bytes} {s.n::rbytes} {s.n::rbytes2} {s.n::sbytes} {s.n::bitrate} {s.n::rbitrate}") == "1.25 GB 1 GB 1 GiB 1.25 GB 1.25 Gbps 1 Gbps"
+    assert shown("{s.p::star} {s.p::pstar} {s.z::pstar} {s.z::bitrate}{s.z::sbitrate}") == "★★★⯪ ★★★⯪☆ ☆☆☆☆☆ 0 bps0 bps"
+    assert shown('{s.b::exists["yes"||"no"]}') == "no"

@@ -15,7 +15,7 @@ import operator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, table
 
 #: Base phrases and their labels (fixed values).
 PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
@@ -66,13 +66,21 @@ def scan(documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
 
     ``score`` is 1 with a base phrase, else the greatest containment of a template that meets the threshold, else 0.
     Null and empty texts have no words, labels or places. Rows that repeat an id are told apart by their text; whole
-    copies of a row get the same result each. Templates are a bounded parameter, so their index is broadcast.
+    copies of a row get the same result each, an empty table stays empty, and other columns are not read. Templates are a
+    bounded parameter, so their index is broadcast.
     """
     sets = [(label, sorted(set(text.split()))) for label, text in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
+    least = min(math.ceil(threshold * len(ws) - 1e-9) for _, ws in sets)
     docs = documents.select("doc_id", F.xxhash64(F.col("doc_id"), F.col("text")).alias("row"), words_of(F.col("text")).alias("words"))
-    held = docs.select(F.explode(F.array_intersect("words", _literal(vocabulary))).alias("word")).groupBy("word").count()
-    frequency = {r["word"]: r["count"] for r in held.collect()}
+    docs = docs.withColumn("held", F.array_intersect("words", _literal(vocabulary)))
+    # Texts are read and cut into words once; what is written holds the template words of every block, not the texts.
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(STRIDE))
+    blocks = F.transform(starts, lambda s: F.array_intersect(F.slice("words", s, F.lit(WINDOW)), _literal(vocabulary)))
+    blocks = F.when(F.size("held") >= least, F.filter(blocks, lambda own: F.size(own) >= least)).otherwise(F.array().cast("array<array<string>>"))
+    digest = materialize(docs.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), _places().alias("places"), "held", blocks.alias("blocks")), "licenses")
+    counted = digest.select(F.explode("held").alias("word")).groupBy("word").count()
+    frequency = {r["word"]: r["count"] for r in counted.collect()}
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
     needed, index = {}, []
     for k, (label, ws) in enumerate(sets):
@@ -83,16 +91,13 @@ def scan(documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
     spark = documents.sparkSession
     prefixes = spark.createDataFrame(index, "rank int, template int, at int")
     facts = spark.createDataFrame([(k, label, ranks, need) for k, (label, ranks, need) in needed.items()], "template int, label string, ranks array<int>, need int")
-    least = min(need for _, _, need in needed.values())
 
-    near = docs.where(F.arrays_overlap("words", _literal(first_words)))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(STRIDE))
-    blocks = near.select("doc_id", "row", "words", F.explode(starts).alias("start")).select("doc_id", "row", "start", F.slice("words", F.col("start"), F.lit(WINDOW)).alias("words"))
+    near = digest.where(F.arrays_overlap("held", _literal(first_words)))
     rank_of = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
-    blocks = blocks.select("doc_id", "row", "start", F.array_sort(F.transform(F.array_intersect("words", _literal(vocabulary)), lambda w: rank_of[w])).alias("own"))
-    blocks = blocks.where(F.size("own") >= least)
+    blocks = near.select("doc_id", "row", F.explode("blocks").alias("words")).where(F.arrays_overlap("words", _literal(first_words)))
+    blocks = blocks.select("doc_id", "row", F.array_sort(F.transform("words", lambda w: rank_of[w])).alias("own"))
     # The shortest overlap asked for bounds the block's prefix.
-    probes = blocks.select("doc_id", "row", "start", "own", F.posexplode(F.slice("own", F.lit(1), F.size("own") - least + 1)).alias("own_at", "rank"))
+    probes = blocks.select("doc_id", "row", "own", F.posexplode(F.slice("own", F.lit(1), F.size("own") - least + 1)).alias("own_at", "rank"))
     pairs = probes.join(F.broadcast(prefixes), "rank").join(F.broadcast(facts), "template")
     rest = F.least(F.size("ranks") - F.col("at"), F.size("own") - F.col("own_at"))
     pairs = pairs.where((F.size("own") >= F.col("need")) & (rest >= F.col("need") - F.least("at", "own_at")))
@@ -100,10 +105,9 @@ def scan(documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD
     pairs = pairs.withColumn("overlap", overlap).where("overlap >= need")
     labelled = pairs.groupBy("doc_id", "row").agg(F.collect_set("label").alias("found"), F.max(F.col("overlap") / F.size("ranks")).alias("best"))
 
-    based = docs.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), _places().alias("places"))
     base = F.filter(F.array(*[F.when(F.size(F.get("places", F.lit(k))) > 0, label) for k, (_, label) in enumerate(PHRASES)]), lambda x: x.isNotNull())
     flat = F.flatten("places")
-    based = based.select(
+    based = digest.select(
         "doc_id", "row", "n_words", F.size(flat).cast("long").alias("n_base"), F.array_min(flat).cast("long").alias("first_word"), F.array_max(flat).cast("long").alias("last_word"), base.alias("base")
     )
     labelled = labelled.withColumnRenamed("doc_id", "its_id").withColumnRenamed("row", "its_row")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ FORMS = (
 )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over a value that is stated once, so that steps on steps don't multiply the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _marked() -> tuple[str, str]:
     """Every letter that is one other letter with marks, and that letter, by the Unicode tables."""
     pairs = []
@@ -81,18 +87,20 @@ def undotted(title: Column) -> Column:
 
     A digit is no such letter, and ``a`` is one only before another single character.
     """
-    parts = F.split(title, r"\.")
 
-    def short(i: Column) -> Column:
-        part, after = F.get(parts, i), F.coalesce(F.get(parts, i + 1), F.lit(""))
-        low = F.lower(part)
-        return ((F.length(part) == 1) & (low != "a") & ~part.rlike(r"^\d$")) | ((low == "a") & (F.length(after) == 1)) | (low == "dr")
+    def joined(parts: Column) -> Column:
+        def short(i: Column) -> Column:
+            part, after = F.get(parts, i), F.coalesce(F.get(parts, i + 1), F.lit(""))
+            low = F.lower(part)
+            return ((F.length(part) == 1) & (low != "a") & ~part.rlike(r"^\d$")) | ((low == "a") & (F.length(after) == 1)) | (low == "dr")
 
-    def shown(part: Column, i: Column) -> Column:
-        before = F.when((i > 0) & F.coalesce(short(i - 1), F.lit(False)), F.lit(" ")).otherwise(F.lit(""))
-        return F.when(short(i), F.concat(part, F.lit("."))).otherwise(F.concat(before, part, F.lit(" ")))
+        def shown(part: Column, i: Column) -> Column:
+            before = F.when((i > 0) & F.coalesce(short(i - 1), F.lit(False)), F.lit(" ")).otherwise(F.lit(""))
+            return F.when(short(i), F.concat(part, F.lit("."))).otherwise(F.concat(before, part, F.lit(" ")))
 
-    return F.when(title.contains("."), F.trim(F.array_join(F.transform(parts, shown), ""))).otherwise(title)
+        return F.trim(F.array_join(F.transform(parts, shown), ""))
+
+    return F.when(title.contains("."), _let(F.split(title, r"\."), joined)).otherwise(title)
 
 
 def release_title(raw: Column) -> Column:
@@ -101,23 +109,33 @@ def release_title(raw: Column) -> Column:
     Null for names without a letter or digit, for digests and placeholders, and where no form fits. ``titles`` holds the
     title and then what stands on either side of AKA or a lone slash, in brackets too; a repeated title stands once.
     """
-    text = F.trim(raw)
-    readable = text.rlike(r"[\p{L}\p{N}]") & ~text.rlike("|".join(f"(?:{p})" for p in NO_TITLES))
-    text = F.when(text.rlike(MIRRORED), F.reverse(text)).otherwise(text)
-    name = F.translate(F.regexp_replace(F.regexp_replace(text, FILE_ENDING, ""), r"^[-_]+|[-_]+$", ""), "【】", "[]")
-    simple = name
-    for pattern in CUT:
-        simple = F.regexp_replace(simple, pattern, "")
-    found = F.array(*[
-        F.struct(F.regexp_extract(simple, form, title).alias("t"), (F.nullif(F.regexp_extract(simple, form, year), F.lit("")).cast("int") if year else F.lit(None).cast("int")).alias("y"))
-        for form, title, year in FORMS
-    ])
-    best = F.get(F.filter(found, lambda f: ~f["t"].isin("", "(")), F.lit(0))
-    spaced = F.regexp_replace(F.translate(best["t"], "_", " "), r"(?i) +A\.K\.A\. +", " AKA ")
-    title = F.trim(F.regexp_replace(undotted(F.trim(F.regexp_replace(spaced, r"^(?:\[.+?\])+", ""))), r"\s+", " "))
-    sides = F.split(F.regexp_replace(title, r"(?i)^(.*) \( *AKA +(.*)\)$", "$1 AKA $2"), r"(?i) +(?:AKA|/) +")
-    titles = F.array_distinct(F.concat(F.array(title), F.filter(F.transform(sides, F.trim), lambda t: t != "")))
-    imdb = F.nullif(F.lower(F.regexp_extract(name, r"(?i)tt\d{7,8}", 0)), F.lit(""))
-    tmdb = F.nullif(F.regexp_extract(name, r"(?i)tmdb(?:id)?[-_]?(\d+)", 1), F.lit("")).cast("long")
-    said = F.struct(title.alias("title"), best["y"].alias("year"), titles.alias("titles"), imdb.alias("imdb_id"), tmdb.alias("tmdb_id"), name.alias("release_title"))
-    return F.when(readable & best.isNotNull(), said)
+
+    def of_text(text: Column) -> Column:
+        readable = text.rlike(r"[\p{L}\p{N}]") & ~text.rlike("|".join(f"(?:{p})" for p in NO_TITLES))
+        turned = F.when(text.rlike(MIRRORED), F.reverse(text)).otherwise(text)
+        name = F.translate(F.regexp_replace(F.regexp_replace(turned, FILE_ENDING, ""), r"^[-_]+|[-_]+$", ""), "【】", "[]")
+        return F.when(readable, _let(name, of_name))
+
+    def of_name(name: Column) -> Column:
+        simple = name
+        for pattern in CUT:
+            simple = F.regexp_replace(simple, pattern, "")
+        return _let(_let(simple, first_form), lambda best: F.when(best.isNotNull(), _let(title_of(best["t"]), lambda title: said(name, title, best["y"]))))
+
+    def first_form(simple: Column) -> Column:
+        year_of = lambda form, group: F.nullif(F.regexp_extract(simple, form, group), F.lit("")).cast("int") if group else F.lit(None).cast("int")
+        found = F.array(*[F.struct(F.regexp_extract(simple, form, title).alias("t"), year_of(form, year).alias("y")) for form, title, year in FORMS])
+        return F.get(F.filter(found, lambda f: ~f["t"].isin("", "(")), F.lit(0))
+
+    def title_of(text: Column) -> Column:
+        spaced = F.regexp_replace(F.translate(text, "_", " "), r"(?i) +A\.K\.A\. +", " AKA ")
+        return F.trim(F.regexp_replace(_let(F.trim(F.regexp_replace(spaced, r"^(?:\[.+?\])+", "")), undotted), r"\s+", " "))
+
+    def said(name: Column, title: Column, year: Column) -> Column:
+        sides = F.split(F.regexp_replace(title, r"(?i)^(.*) \( *AKA +(.*)\)$", "$1 AKA $2"), r"(?i) +(?:AKA|/) +")
+        titles = F.array_distinct(F.concat(F.array(title), F.filter(F.transform(sides, F.trim), lambda t: t != "")))
+        imdb = F.nullif(F.lower(F.regexp_extract(name, r"(?i)tt\d{7,8}", 0)), F.lit(""))
+        tmdb = F.nullif(F.regexp_extract(name, r"(?i)tmdb(?:id)?[-_]?(\d+)", 1), F.lit("")).cast("long")
+        return F.struct(title.alias("title"), year.alias("year"), titles.alias("titles"), imdb.alias("imdb_id"), tmdb.alias("tmdb_id"), name.alias("release_title"))
+
+    return _let(F.trim(raw), of_text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, language, licenses, minhash, oracles, packing, pieces, pii, quality, substrings, toxicity
+from . import codes, divergence, embeddings, language, licenses, minhash, oracles, packing, pieces, pii, quality, substrings, toxicity, treepack
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,9 @@ QUERIES = {
         minhash.op8_minhash_neardup,
         licenses.op9_license_scan,
         pieces.op10_sentencepiece,
+        divergence.op11_source_divergence,
+        treepack.op12_tree_packing,
+        codes.op13_vector_codes,
     )
 }
 
@@ -25,4 +28,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_suffix_dedup": oracles.SUFFIXES,
     "op8_minhash_neardup": oracles.MINHASH,
     "op9_license_scan": licenses.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
+    "op13_vector_codes": codes.oracle_sql(),
 }

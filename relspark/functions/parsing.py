@@ -180,7 +180,9 @@ def lookup_title(text: Column) -> Column:
 
 
 def season_bucket(season: Column) -> Column:
-    return F.when(season.isNull(), "none").otherwise(F.concat(F.lit("s"), F.lpad(season.cast("string"), 2, "0")))
+    """``s01``, ``s12``, ``s100``; empty without a season."""
+    digits = season.cast("string")
+    return F.when(season.isNull(), "").otherwise(F.concat(F.lit("s"), F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)))
 
 
 def compound_key(*columns: Column) -> Column:
@@ -272,14 +274,17 @@ def leading_year(text: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(text, r"((?:19|20)\d{2})", 1), F.lit("")).cast("int"), F.lit(0))
 
 
-def roman_variants(title: Column, most: int = 10) -> Column:
-    """The title, and its forms with Roman and Arabic numbers exchanged, word by word."""
-    roman = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x")[:most]
-    words = F.split(title, " ")
-    there = F.create_map(*[F.lit(x) for n, r in enumerate(roman, 1) for x in (r, str(n))])
-    back = F.create_map(*[F.lit(x) for n, r in enumerate(roman, 1) for x in (str(n), r)])
-    form = lambda table: F.array_join(F.transform(words, lambda w: F.coalesce(table[w], w)), " ")
-    return F.array_distinct(F.array(title, form(there), form(back)))
+#: Roman numbers that titles exchange with Arabic ones, from 1 (fixed values).
+ROMAN = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii", "xiii", "xiv", "xv", "xvi", "xvii", "xviii", "xix", "xx", "xxi")
+
+
+def roman_variants(title: Column) -> Column:
+    """The title, and for each number a form with it exchanged wherever it stands, inside words and longer numbers too.
+
+    Every form exchanges one number in one direction; numbers that do not occur add no form.
+    """
+    swaps = [(x, y) for n, roman in enumerate(ROMAN, 1) for x, y in ((str(n), roman), (roman, str(n)))]
+    return F.array_distinct(F.array(title, *[F.replace(title, F.lit(x), F.lit(y)) for x, y in swaps]))
 
 
 def in_script(text: Column, script: str = "Cyrillic") -> Column:

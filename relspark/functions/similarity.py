@@ -1,14 +1,19 @@
-"""Text normal forms and fuzzy scores that need Unicode tables or dynamic programming: Arrow-batched pandas functions."""
+"""Text normal forms and fuzzy scores that need Unicode tables or common subsequences: Arrow-batched pandas functions."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from .subsequence import common_lengths, window_lengths
+
+#: Spellings of letters with two dots, sharp s and the ampersand (fixed values).
 _UMLAUTS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue", "&": "and"})
 
 
@@ -19,27 +24,6 @@ def _normalised(text: str | None) -> str | None:
     return "".join(c for c in plain if not unicodedata.combining(c) and (c.isalnum() or c == "+")).lower()
 
 
-def _ratio(a: str, b: str) -> float:
-    """Twice the longest common subsequence over both lengths, 0 to 100."""
-    if not a and not b:
-        return 100.0
-    previous = [0] * (len(b) + 1)
-    for x in a:
-        row = [0]
-        for j, y in enumerate(b):
-            row.append(previous[j] + 1 if x == y else max(previous[j + 1], row[j]))
-        previous = row
-    return 200.0 * previous[-1] / (len(a) + len(b))
-
-
-def _partial(a: str, b: str) -> float:
-    """Best ratio of the shorter text with a window of the longer one."""
-    short, long = sorted((a, b), key=len)
-    if not short:
-        return 100.0 if not long else 0.0
-    return max(_ratio(short, long[k : k + len(short)]) for k in range(len(long) - len(short) + 1))
-
-
 @F.pandas_udf(StringType())
 def normalise_title(text: pd.Series) -> pd.Series:
     """Umlauts spelled out, marks stripped, letters, digits and plus signs kept, lower case."""
@@ -67,11 +51,33 @@ def compatible_form(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
+def ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Twice the longest common subsequence over both lengths, 0 to 100; two empty texts have 100."""
+    both = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], float)
+    return np.where(both == 0, 100.0, 200.0 * common_lengths(a, b) / np.maximum(both, 1))
+
+
+def partial_ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Best ratio of the shorter text with a stretch as long as itself of the longer one; an empty text has 0 with others."""
+    least = np.array([min(len(x), len(y)) for x, y in zip(a, b, strict=True)], float)
+    most = np.array([max(len(x), len(y)) for x, y in zip(a, b, strict=True)], float)
+    return np.where(most == 0, 100.0, 100.0 * window_lengths(a, b) / np.maximum(least, 1))
+
+
+def _scored(a: pd.Series, b: pd.Series, score) -> pd.Series:
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    out[known] = score(a[known].tolist(), b[known].tolist())
+    return pd.Series(out).astype(object).where(known, None)
+
+
 @F.pandas_udf(DoubleType())
 def fuzzy_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """:func:`ratios` of two columns; null where either is."""
+    return _scored(a, b, ratios)
 
 
 @F.pandas_udf(DoubleType())
 def fuzzy_partial(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else _partial(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """:func:`partial_ratios` of two columns; null where either is."""
+    return _scored(a, b, partial_ratios)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.parsing import season_bucket
+
 
 def grouped_children(parents: DataFrame, children: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Each parent with its children as an array of structs in order of the fields."""
@@ -24,29 +26,64 @@ def best_match(probes: DataFrame, variants: DataFrame, on: Sequence[str], probe:
 
 
 def prefixes(text: Column, drop: int = 3, least: int = 3) -> Column:
-    """The text and its forms without up to ``drop`` trailing words, none shorter than ``least`` characters."""
-    words = F.split(text, " ")
-    forms = F.transform(F.sequence(F.lit(0), F.least(F.lit(drop), F.size(words) - 1)), lambda k: F.array_join(F.slice(words, F.lit(1), F.size(words) - k), " "))
+    """Forms of a text without its last one to ``drop`` words, longest first; never the whole text, nor under ``least`` characters."""
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    forms = F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.lit(drop), F.size(words) - 1), F.lit(1))), lambda k: F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - k, F.lit(0))), " "))
     return F.filter(forms, lambda p: F.length(p) >= least)
 
 
-def prefix_match(probes: DataFrame, variants: DataFrame, probe: str, title: str, variant: str, by: Sequence[Column]) -> DataFrame:
-    """The best variant that begins with a form of the probe's title, longest form first.
+def prefix_match(probes: DataFrame, variants: DataFrame, probe: str, title: str, variant: str, by: Sequence[Column], on: Sequence[str] = (), least: int = 3) -> DataFrame:
+    """The best variant that begins with a form of the probe's title and agrees in the columns ``on``, longest form first.
 
-    Every distinct form finds its one best variant first: each variant is spread over its own beginnings of the lengths
-    that forms have, so all joins are on equal text, and a common first word is no hot key of candidates.
+    Every distinct form finds its one best variant first: each variant is spread over those of its own beginnings that are
+    as long as a form with the same first ``least`` characters, so all joins are on equal text, and a common first word is
+    no hot key of candidates.
     """
-    forms = probes.select(probe, F.explode(prefixes(F.col(title))).alias("prefix"))
-    wanted = forms.select("prefix").distinct()
-    lengths = wanted.agg(F.collect_set(F.length("prefix"))).scalar()
-    spread = variants.withColumn("_lengths", lengths).withColumn("_n", F.explode("_lengths")).where(F.col("_n") <= F.length(variant))
-    spread = spread.withColumn("prefix", F.expr(f"substring({variant}, 1, _n)")).drop("_n", "_lengths").join(wanted, "prefix", "left_semi")
-    best = spread.withColumn("_n", F.row_number().over(Window.partitionBy("prefix").orderBy(*by))).where("_n = 1").drop("_n")
-    found = forms.join(best, "prefix")
+    on = list(on)
+    head = lambda c: F.substring(c, 1, least).alias("_head")
+    forms = probes.select(probe, *on, F.explode(prefixes(F.col(title), least=least)).alias("prefix"))
+    wanted = forms.select(*on, "prefix").distinct()
+    lengths = wanted.groupBy(*on, head("prefix")).agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+    spread = variants.withColumn("_head", head(F.col(variant))).join(lengths, [*on, "_head"])
+    spread = spread.withColumn("_n", F.explode("_lengths")).where(F.col("_n") <= F.length(variant))
+    spread = spread.withColumn("prefix", F.expr(f"substring({variant}, 1, _n)")).drop("_n", "_lengths", "_head").join(wanted, [*on, "prefix"], "left_semi")
+    best = spread.withColumn("_n", F.row_number().over(Window.partitionBy(*on, "prefix").orderBy(*by))).where("_n = 1").drop("_n")
+    found = forms.join(best, [*on, "prefix"]).drop(*on)
     longest = found.withColumn("_n", F.row_number().over(Window.partitionBy(probe).orderBy(F.length("prefix").desc()))).where("_n = 1").drop("_n")
     return probes.join(longest, probe)
 
 
+def media_kind(content_class: Column) -> Column:
+    """``series`` for episodes, packs and their anime forms, ``movie`` for all else."""
+    return F.when(content_class.isin("episode", "multi_episode", "season_pack", "anime_episode", "anime_pack"), "series").otherwise("movie")
+
+
+def canonical_lookup(probes: DataFrame, variants: DataFrame, families: DataFrame) -> DataFrame:
+    """The family of every probe (``probe, title, year, content_class, season``) that has one, with ``how``.
+
+    Variants have ``media_kind, normalized_title, season_bucket, year_hint, evidence, family_key``; families ``family_key,
+    family_evidence, tmdb_id`` and more. A variant must agree in kind, title and season. Those with an equal or unknown year
+    come first (``exact``; without a year all of them), then any year (``no_year``); series then try beginnings of the title,
+    longest first, among families with a TMDB id (``prefix``). More evidence of the variant, then of the family, stands;
+    of equal ones the smallest family key.
+    """
+    asked = probes.where(F.coalesce("title", F.lit("")) != "").select(
+        "probe", F.col("title").alias("normalized_title"), F.nullif("year", F.lit(0)).alias("_year"), media_kind(F.col("content_class")).alias("media_kind"), season_bucket(F.col("season")).alias("season_bucket"),
+    )
+    known = variants.join(families, "family_key")
+    strength = [F.coalesce(-F.col(c).cast("double"), F.lit(float("inf"))).alias(f"_{c}") for c in ("evidence", "family_evidence")]
+    fits = F.col("_year").isNull() | F.col("year_hint").isNull() | (F.col("year_hint") == F.col("_year"))
+    facts = [F.col(c) for c in families.columns if c != "family_key"]
+    rank = F.struct(F.when(fits, 0).otherwise(1).alias("tier"), *strength, F.col("family_key"), *facts)
+    exact = asked.join(known, ["media_kind", "normalized_title", "season_bucket"]).groupBy("probe").agg(F.min(rank).alias("_b"))
+    names = ["family_key", *[c for c in families.columns if c != "family_key"]]
+    exact = exact.select("probe", *[F.col("_b")[c].alias(c) for c in names], F.when(F.col("_b.tier") == 0, "exact").otherwise("no_year").alias("how"))
+    rest = asked.where(F.col("media_kind") == "series").join(exact.select("probe"), "probe", "left_anti").select("probe", "media_kind", "season_bucket", F.col("normalized_title").alias("title"))
+    by = [F.desc_nulls_last("evidence"), F.desc_nulls_last("family_evidence"), F.col("family_key")]
+    found = prefix_match(rest, known.where("tmdb_id is not null"), "probe", "title", "normalized_title", by, ["media_kind", "season_bucket"])
+    return exact.unionByName(found.select("probe", *names, F.lit("prefix").alias("how")))
+
+
 def similar_titles(names: DataFrame, column: str, threshold: float) -> DataFrame:
     """Pairs ``a < b`` of distinct titles with ``score``, their word similarity, at least ``threshold``.
 
@@ -165,7 +202,9 @@ def crosswalk(requests: DataFrame, mappings: DataFrame, ids: Sequence[str], requ
     fits = (kind == "UNKNOWN") | F.when(season.isNull(), kind == "MOVIE").when(season == 0, kind.isin("SPECIAL", "OVA", "ONA")).otherwise(kind == "TV")
     w = Window.partitionBy(request)
     found = found.withColumn("_fits", F.coalesce(fits, F.lit(False))).withColumn("_any", F.max("_fits").over(w)).where("_fits or not _any")
-    valid = F.filter("starts", lambda s: (s["season"] == season) & (s["episode"] <= episode) & ((s["source"] == 0) | F.col("id_type").isin(*listed)))
+    # A start that names no episode begins with the first.
+    starts = F.transform("starts", lambda s: F.struct(s["source"].alias("source"), s["season"].alias("season"), F.coalesce(s["episode"], F.lit(1)).alias("episode")))
+    valid = F.filter(starts, lambda s: (s["season"] == season) & (s["episode"] <= episode) & ((s["source"] == 0) | F.col("id_type").isin(*listed)))
     best = F.array_max(F.transform(valid, lambda s: F.struct(s["episode"].alias("episode"), (-s["source"]).alias("source"))))
     pattern = F.concat(F.lit(r"(?i)season[\s_-]*"), season.cast("string"))
     named = F.coalesce(episode.isNotNull() & F.exists("synonyms", lambda s: F.regexp_like(s, pattern)), F.lit(False))

@@ -26,6 +26,61 @@ def title_match(rows: DataFrame, title: str, wanted: str, threshold: float = 0.8
     return keyed.join(hits.withColumn("title_ok", F.lit(True)), "_key", "left").withColumn("title_ok", F.coalesce("title_ok", F.lit(False))).drop("_key")
 
 
+def _lost_pairs(size: Column, threshold: float) -> Column:
+    """Pairs of neighbouring characters that a text may lack in another whose ratio with it meets the threshold.
+
+    Two are lost for each character that the other lacks, one for each that it has besides; the shorter the other text may
+    be, the more.
+    """
+    other = F.ceil(size * F.lit(threshold / (2 - threshold)) - 1e-9)
+    return F.floor(2 * size + other - F.lit(1.5 * threshold) * (size + other) + 1e-9).cast("int")
+
+
+def _scarce(threshold: float) -> int:
+    """The greatest length at which two texts that meet the threshold may share no pair of neighbours."""
+    longest, n = 0, 1
+    while n <= 4 * longest + 64:
+        other = -int(-(n * threshold / (2 - threshold) - 1e-9) // 1)
+        if n - 1 - int((2 * n + other - 1.5 * threshold * (n + other) + 1e-9) // 1) < 1:
+            longest = n
+        n += 1
+    return longest
+
+
+def fuzzy_join(left: DataFrame, right: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """``left, right, score``: all pairs of distinct texts of two one-column tables whose ratio is at least the threshold.
+
+    Candidates come from an equi-join. Texts are bags of pairs of neighbouring characters, ordered by how many texts hold
+    them; two texts that meet the threshold share one of the rarest pairs that each cannot lack. Texts so short that they
+    might share none are joined on single characters. A pair that shares several is kept at the first one only, so nothing
+    is made distinct afterwards. Nulls and empty texts match nothing. Thresholds of two thirds or less have no such bound
+    and raise.
+    """
+    if not 2 / 3 < threshold <= 1:
+        raise ValueError("the threshold must be above two thirds and at most 1")
+    side = lambda df, n: df.select(F.col(df.columns[0]).alias("t")).where("t != ''").distinct().withColumn("side", F.lit(n))
+    both = side(left, 0).unionByName(side(right, 1)).withColumn("size", F.length("t"))
+    numbered = lambda g: F.transform(g, lambda x, i: F.concat(x, F.size(F.filter(F.slice(g, F.lit(1), i), lambda y: y == x)).cast("string")))
+    pairs = F.when(F.col("size") > 1, F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda i: F.substring("t", i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    grams = both.withColumn("grams", pairs).withColumn("grams", numbered(F.col("grams")))
+    held = grams.select("t", "side", "size", F.explode("grams").alias("gram"))
+    ranked = held.join(held.groupBy("gram").agg(F.count("*").alias("n")), "gram").groupBy("t", "side", "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
+    chosen = ranked.select("t", "side", "size", F.slice(F.col("grams.gram"), F.lit(1), _lost_pairs(F.col("size"), threshold) + 1).alias("keys"))
+    short = _scarce(threshold)
+    # The last place of a numbered pair is a digit, so three characters and more; single characters can't be taken for one.
+    if short:
+        most = int(short * (2 - threshold) / threshold + 1e-9)
+        letters = both.where(F.col("size") <= most).select("t", "side", "size", F.array_remove(F.array_distinct(F.split("t", "")), "").alias("keys"))
+        chosen = chosen.unionByName(letters).groupBy("t", "side", "size").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    keyed = chosen.select("t", "side", "size", "keys", F.explode("keys").alias("key"))
+    named = lambda n, name: keyed.where(F.col("side") == n).select("key", F.col("t").alias(name), F.col("size").alias(f"_{name}"), F.col("keys").alias(f"{name}_keys"))
+    found = named(0, "left").join(named(1, "right"), "key")
+    near = 2 * F.least("_left", "_right") >= F.lit(threshold - 1e-9) * (F.col("_left") + F.col("_right"))
+    first = F.get(F.array_intersect("left_keys", "right_keys"), F.lit(0)) == F.col("key")
+    scored = found.where(near & first).select("left", "right", (sim.fuzzy_ratio("left", "right") / 100).alias("score"))
+    return scored.where(F.col("score") >= threshold - 1e-12)
+
+
 def year_match(year: Column, start: Column, end: Column, tolerance: int = 1, strict: bool = False) -> Column:
     """Year inside a range of years with a tolerance; a missing year fails only strict rules."""
     inside = (year >= start - tolerance) & (year <= F.coalesce(end, start) + tolerance)

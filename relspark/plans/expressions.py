@@ -148,10 +148,12 @@ def log_carry_forward(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.length("text")), ignorenulls=True).over(w).cast("long").alias("carried"))
 
 
-@query(f"""WITH {RELEASES} SELECT id, season >= 4 AS late, 'S' || lpad(CAST(season AS VARCHAR), 2, '0') AS label, CASE WHEN season IS NULL THEN 'none' ELSE 's' || lpad(CAST(season AS VARCHAR), 2, '0') END AS bucket FROM releases""")
+@query(f"""WITH {RELEASES} SELECT id, season >= 4 AS late, 'S' || lpad(CAST(season AS VARCHAR), 2, '0') AS label, CASE WHEN season = 3 THEN '' WHEN season = 4 THEN 's104' ELSE 's' || lpad(CAST(season AS VARCHAR), 2, '0') END AS bucket FROM releases""")
 def season_labels(spark, sf_dir):
-    """Season labels and buckets."""
-    return releases(spark, sf_dir).select("id", (F.col("season") >= 4).alias("late"), fm.season_label(F.array("season")).alias("label"), ps.season_bucket(F.col("season")).alias("bucket"))
+    """Season labels and buckets, of unknown seasons and of three digits too."""
+    season = F.col("season")
+    bucket = ps.season_bucket(F.when(season == 4, season + 100).when(season != 3, season))
+    return releases(spark, sf_dir).select("id", (season >= 4).alias("late"), fm.season_label(F.array("season")).alias("label"), bucket.alias("bucket"))
 
 
 @query(f"""WITH {RELEASES}, m AS (SELECT id, pos, type = 'debrid' AND coalesce(cached, false) AS hit, type = 'p2p' AS p2p, count(*) OVER (PARTITION BY request_id) > 60 AS many, season FROM releases)

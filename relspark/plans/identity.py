@@ -31,7 +31,7 @@ def variant_lookup(spark, sf_dir):
 
 
 _PREFIX = """v AS (SELECT p_name AS variant, max(p_retailprice) AS evidence FROM part GROUP BY 1), q AS (SELECT p_partkey AS probe, p_name || ' season ' || CAST(p_size AS VARCHAR) AS title FROM part),
-f AS (SELECT probe, array_to_string(w[1:len(w) - k], ' ') AS prefix FROM (SELECT probe, string_split(title, ' ') AS w FROM q), unnest(range(0, 4)) u(k) WHERE len(w) - k >= 1),
+f AS (SELECT probe, array_to_string(w[1:len(w) - k], ' ') AS prefix FROM (SELECT probe, string_split(title, ' ') AS w FROM q), unnest(range(1, 4)) u(k) WHERE len(w) - k >= 1),
 m AS (SELECT probe, variant, prefix, row_number() OVER (PARTITION BY probe ORDER BY length(prefix) DESC, evidence DESC, variant) AS rn FROM f JOIN v ON starts_with(variant, prefix) WHERE length(prefix) >= 3)"""
 
 

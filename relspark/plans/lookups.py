@@ -30,7 +30,7 @@ def id_crosswalk(spark, sf_dir):
     """Mapping of a title known by any kind of id: kinds that suit the season, then starts, synonyms and the first."""
     synonyms = F.expr("array(p_name, concat('Second Season_', cast(p_size % 4 as string)))")
     starts = F.expr(
-        "array(named_struct('source', 0, 'season', cast(1 + p_size % 3 as bigint), 'episode', cast(CASE WHEN p_size % 4 <> 0 THEN p_size % 20 ELSE 1 END as bigint)),"
+        "array(named_struct('source', 0, 'season', cast(1 + p_size % 3 as bigint), 'episode', cast(CASE WHEN p_size % 4 <> 0 THEN p_size % 20 END as bigint)),"
         " named_struct('source', 1, 'season', cast(p_size % 3 as bigint), 'episode', cast(p_partkey % 17 as bigint)))"
     )
     ids = {"imdb": "concat('tt', cast(p_partkey div 6 as string))", "tvdb": "CASE WHEN p_partkey % 3 <> 0 THEN cast(p_partkey div 4 as string) END", "mal": "cast(p_partkey as string)"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +27,9 @@ def query(sql: str | None = None) -> Callable[[Plan], Plan]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale-factor folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stated(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    """A SELECT over tables of a scale-factor folder, named after FROM and JOIN; no view is left in the session."""
+    text = re.sub(rf"\b(FROM|JOIN) ({'|'.join(names)})\b", r"\1 {\2}", sql)
+    return spark.sql(text, **{n: table(spark, sf_dir, n) for n in names})

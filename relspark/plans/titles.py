@@ -48,10 +48,15 @@ def latin_titles(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", tt.latin(shown).alias("latin"), ps.in_script(shown).alias("cyrillic"))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_size, p_name AS n, p_size % 4 AS k FROM part)
+_NUMERALS = "('1', 'i'), ('2', 'ii'), ('3', 'iii'), ('4', 'iv'), ('5', 'v'), ('6', 'vi'), ('7', 'vii'), ('8', 'viii'), ('9', 'ix'), ('10', 'x'), ('11', 'xi'), ('12', 'xii'), ('13', 'xiii'), ('14', 'xiv'), ('15', 'xv'), ('16', 'xvi'), ('17', 'xvii'), ('18', 'xviii'), ('19', 'xix'), ('20', 'xx'), ('21', 'xxi')"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, p_size, p_name AS n, p_size % 4 AS k FROM part),
+r(arabic, roman) AS (VALUES {_NUMERALS}), swaps AS (SELECT arabic AS x, roman AS y FROM r UNION ALL SELECT roman, arabic FROM r),
+numbered AS (SELECT p_partkey, n || ' xi ' || CAST(p_size AS VARCHAR) AS t FROM p), forms AS (SELECT p_partkey, t FROM numbered UNION SELECT p_partkey, replace(t, x, y) FROM numbered, swaps WHERE contains(t, x)),
+v AS (SELECT p_partkey, string_agg(t, ',' ORDER BY t) AS variants FROM forms GROUP BY 1)
 SELECT p_partkey, CASE k WHEN 3 THEN n || ' aka other' ELSE n END AS cut,
-    CASE WHEN p_size % 3 = 0 THEN n ELSE n || ' ' || CAST(p_size AS VARCHAR) END AS refined,
-    n || ' ii,' || n || ' 2' AS variants FROM p""")
+    CASE WHEN p_size % 3 = 0 THEN n ELSE n || ' ' || CAST(p_size AS VARCHAR) END AS refined, variants FROM p JOIN v USING (p_partkey)""")
 def title_forms(spark, sf_dir):
     """Titles cut at AKA, slashes and brackets, without season numbers and dropped words, and with Roman numbers."""
     name, k = F.col("p_name"), F.col("p_size") % 4
@@ -61,7 +66,7 @@ def title_forms(spark, sf_dir):
     season = F.when(F.col("p_size") % 3 == 0, F.col("p_size")).otherwise(F.lit(-1))
     return table(spark, sf_dir, "part").select(
         "p_partkey", ps.preprocessed(long_, asked).alias("cut"), ps.refined_series_title(numbered, season, ["uncensored"]).alias("refined"),
-        F.array_join(ps.roman_variants(F.concat(name, F.lit(" ii"))), ",").alias("variants"),
+        F.array_join(F.array_sort(ps.roman_variants(F.concat(name, F.lit(" xi "), F.col("p_size").cast("string")))), ",").alias("variants"),
     )
 
 

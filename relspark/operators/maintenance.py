@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import exists, replace_file
+
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``new`` replace those of ``old`` with the same key; columns that ``new`` lacks become null.
@@ -77,8 +79,7 @@ def run_phases(spark: SparkSession, root: str, phases: Sequence[tuple[str, Calla
     """
     tables: dict[str, DataFrame] = {}
     for name, phase in phases:
-        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS")
-        if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        if not exists(spark, f"{root}/{name}/_SUCCESS"):
             phase(tables).write.mode("overwrite").parquet(f"{root}/{name}")
         tables[name] = spark.read.parquet(f"{root}/{name}")
     return {name: df.count() for name, df in tables.items()}
@@ -109,17 +110,7 @@ def publish(df: DataFrame, root: str, version: str, checks: dict[str, Column]) -
     broken = {n: row[n] for n in checks}
     if row["rows"] == 0 or any(broken.values()):
         raise ValueError(f"version {version} breaks its contract: {broken or 'no rows'}")
-    jvm = spark._jvm
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT.{version}")
-    out = fs.create(fresh, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fresh, pointer, options)
+    replace_file(spark, f"{root}/CURRENT", version, version)
     return broken
 
 

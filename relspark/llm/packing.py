@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -28,8 +28,8 @@ CAPACITY = 2048
 END = 0
 #: Chunks that a worker remembers before it starts anew.
 MEMORY = 200_000
-#: Fillings that the search may try beyond the first descent: the only bound on it.
-NODES = 8_000
+#: Fillings that the search may try beyond the first descent, and steps that it may take in all to find them: its only bounds.
+NODES, WORK = 8_000, 500_000
 #: Fillings kept around one piece, and steps taken to find them, in the first pass; each further pass has twice and four times
 #: as many, until a pass leaves nothing out.
 WIDTH, STEPS = 4, 400
@@ -99,6 +99,8 @@ def tokenize(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 Pattern = tuple[tuple[int, ...], int]
+#: Lengths of a sequence in falling order, each with how often it occurs.
+Filling = tuple[tuple[int, int], ...]
 
 
 class _Histogram:
@@ -108,9 +110,9 @@ class _Histogram:
         self.n = dict(counts)
         self.bits = sum(1 << k for k, c in counts.items() if c > 0)
 
-    def take(self, lengths: tuple[int, ...], times: int) -> None:
-        for x in lengths:
-            self.n[x] = self.n.get(x, 0) - times
+    def take(self, filling: Iterable[tuple[int, int]], times: int) -> None:
+        for x, many in filling:
+            self.n[x] = self.n.get(x, 0) - times * many
             self.bits = self.bits | 1 << x if self.n[x] else self.bits & ~(1 << x)
 
     def below(self, limit: int) -> int:
@@ -118,56 +120,57 @@ class _Histogram:
         return (self.bits & ((1 << (limit + 1)) - 1)).bit_length() - 1 if limit > 0 and self.bits & ((1 << (limit + 1)) - 1) else 0
 
 
-def _fillings(left: _Histogram, room: int, most_waste: int, width: int, steps: int) -> tuple[list[tuple[int, ...]], bool]:
-    """Undominated fillings of ``room``, least waste first, and whether these are all that can matter.
+def _fillings(left: _Histogram, room: int, most_waste: int, width: int, steps: int) -> tuple[list[Filling], bool, int]:
+    """Undominated fillings of ``room``, least waste first, whether these are all that can matter, and the steps taken.
 
-    Lengths are chosen in falling order. One piece that fills the room dominates all else; a filling into which a piece
-    left over would still fit is dominated by the one that takes it, and so never listed. Fillings that waste more than
-    ``most_waste`` cannot lead below the incumbent.
+    Lengths are decided in falling order, each with how often it is taken, so the recursion is as deep as a filling has
+    different lengths. One piece that fills the room dominates all else; a filling into which a piece left over would still
+    fit is dominated by the one that takes it, and so never listed. Fillings that waste more than ``most_waste`` cannot lead
+    below the incumbent.
     """
-    best: list[tuple[int, tuple[int, ...]]] = [_largest_first(left, room)]
-    budget, whole = steps, True
+    best: list[tuple[int, Filling]] = [_largest_first(left, room)]
+    budget, whole, used = steps, True, {}
 
-    def extend(room: int, top: int, chosen: tuple[int, ...]) -> bool:
+    def extend(room: int, top: int) -> bool:
         nonlocal budget, whole
         x = left.below(min(room, top))
-        while x and left.n[x] <= chosen.count(x):
-            x = left.below(x - 1)
-        if not x:
-            # A longer piece that was passed over may still fit: then this filling is dominated.
-            fits = left.below(room)
-            while fits and left.n[fits] <= chosen.count(fits):
-                fits = left.below(fits - 1)
-            if not fits:
-                best.append((room, chosen))
-            return room == 0
         while x:
-            if budget <= 0:
-                whole = False
-                return False
-            budget -= 1
-            if left.n[x] > chosen.count(x) and extend(room - x, x, (*chosen, x)):
-                return True
+            for many in range(min(left.n[x], room // x), 0, -1):
+                if budget <= 0:
+                    whole = False
+                    return False
+                budget -= 1
+                used[x] = many
+                perfect = extend(room - many * x, x - 1)
+                if not perfect:
+                    del used[x]
+                else:
+                    return True
             x = left.below(x - 1)
-        return False
-
-    perfect = extend(room, room, ())
-    best.sort(key=lambda b: (b[0], len(b[1]), tuple(-x for x in b[1])))
+        # A longer piece that was passed over may still fit: then this filling is dominated.
+        fits = left.below(room)
+        while fits and left.n[fits] <= used.get(fits, 0):
+            fits = left.below(fits - 1)
+        if not fits:
+            best.append((room, tuple(used.items())))
+        return room == 0
+
+    perfect = extend(room, room)
+    size = lambda f: sum(many for _, many in f)
+    best.sort(key=lambda b: (b[0], size(b[1]), [(-x, -many) for x, many in b[1]]))
     good = [c for w, c in dict.fromkeys(best) if w <= most_waste]
-    return good[:width] or [best[0][1]], perfect or (whole and len(good) <= width)
+    return good[:width] or [best[0][1]], perfect or (whole and len(good) <= width), steps - budget
 
 
-def _largest_first(left: _Histogram, room: int) -> tuple[int, tuple[int, ...]]:
-    """The room that is left, and the pieces, if always the largest one that fits is taken."""
-    chosen: list[int] = []
+def _largest_first(left: _Histogram, room: int) -> tuple[int, Filling]:
+    """The room that is left, and the filling, if always the largest piece that fits is taken."""
+    chosen: list[tuple[int, int]] = []
     x = left.below(room)
     while x:
-        if left.n[x] > chosen.count(x):
-            chosen.append(x)
-            room -= x
-            x = left.below(min(room, x))
-        else:
-            x = left.below(x - 1)
+        many = min(left.n[x], room // x)
+        chosen.append((x, many))
+        room -= many * x
+        x = left.below(min(room, x - 1))
     return room, tuple(chosen)
 
 
@@ -202,13 +205,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [(content, times) for entries in rooms.values() for content, times in entries if content]
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
+def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, work: int = WORK) -> list[Pattern]:
     """Patterns ``(lengths, times)`` that hold all pieces in as few sequences as the search finds.
 
     Depth-first branch-and-bound: each level fills sequences around the largest piece left, as often as the filling can be
-    repeated. A branch ends when its waste exceeds what a solution better than the incumbent may waste. Passes grow
-    broader until one has left nothing out, the lower bound (tokens over capacity, rounded up) is reached, or ``nodes``
-    fillings have been tried, not counting those before a pass first goes back. Lengths outside 1..capacity raise.
+    repeated, or once, after which the same piece may be filled again in any way. A branch ends when its waste exceeds what a
+    solution better than the incumbent may waste. Passes grow broader until one has left nothing out, the lower bound (tokens
+    over capacity, rounded up) is reached, or ``nodes`` fillings have been tried, not counting those that a pass keeps before
+    it first goes back, or ``work`` steps have been taken after a first descent. Lengths outside 1..capacity raise.
     """
     counts = {int(k): int(v) for k, v in counts.items() if v > 0}
     if not counts:
@@ -216,9 +220,9 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     if min(counts) < 1 or max(counts) > capacity:
         raise ValueError("lengths must be between 1 and the capacity")
     best = best_fit(counts, capacity)
-    width, steps = WIDTH, STEPS
-    while sum(t for _, t in best) > lower_bound(counts, capacity) and nodes > 0:
-        best, nodes, whole = _search(counts, capacity, best, nodes, width, steps)
+    width, steps, left = WIDTH, STEPS, [nodes, work]
+    while sum(t for _, t in best) > lower_bound(counts, capacity) and min(left) > 0:
+        best, whole = _search(counts, capacity, best, left, width, steps)
         if whole:
             break
         width, steps = 2 * width, 4 * steps
@@ -230,56 +234,58 @@ def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
     return -(-sum(k * v for k, v in counts.items()) // capacity)
 
 
-def _search(counts: dict[int, int], capacity: int, best: list[Pattern], nodes: int, width: int, steps: int) -> tuple[list[Pattern], int, bool]:
-    """One pass: the best patterns, the fillings still allowed, and whether no filling that matters was left out."""
+def _search(counts: dict[int, int], capacity: int, best: list[Pattern], left: list[int], width: int, steps: int) -> tuple[list[Pattern], bool]:
+    """One pass: the best patterns, and whether no filling that matters was left out; lowers the nodes and steps ``left``."""
     total, bound = sum(k * v for k, v in counts.items()), lower_bound(counts, capacity)
     size = sum(t for _, t in best)
-    left, path, waste = _Histogram(counts), [], 0
+    rest, path, waste = _Histogram(counts), [], 0
     stack: list[list] = []
     first_descent = whole = True
 
     def open_() -> None:
         nonlocal whole
-        first = left.below(capacity)
-        left.take((first,), 1)
-        found, all_ = _fillings(left, capacity - first, (size - 1) * capacity - total - waste, width, steps)
-        left.take((first,), -1)
+        first = rest.below(capacity)
+        rest.take([(first, 1)], 1)
+        found, all_, taken = _fillings(rest, capacity - first, (size - 1) * capacity - total - waste, width, steps)
+        rest.take([(first, 1)], -1)
+        left[1] -= taken
         whole = whole and all_
+        joined = [((first, 1 + f[0][1]), *f[1:]) if f and f[0][0] == first else ((first, 1), *f) for f in found]
         # A filling is tried as often as it can be repeated, then once.
-        stack.append([((first, *f), many) for f in found for many in (True, False)])
+        stack.append([(f, many) for f in reversed(joined) for many in (False, True)])
 
     open_()
-    while stack and size > bound and nodes > 0:
+    while stack and size > bound and left[0] > 0 and (first_descent or left[1] > 0):
         if not stack[-1]:
             first_descent = False
             stack.pop()
             if path:
-                lengths, times, lost = path.pop()
-                left.take(lengths, -times)
+                filling, times, lost = path.pop()
+                rest.take(filling, -times)
                 waste -= lost
             continue
-        lengths, many = stack[-1].pop(0)
-        most = min(left.n[x] // lengths.count(x) for x in set(lengths))
+        filling, many = stack[-1].pop()
+        most = min(rest.n[x] // n for x, n in filling)
         if not many and most == 1:
             continue
-        nodes -= not first_descent
         times = most if many else 1
-        whole = whole and most <= 2
-        lost = (capacity - sum(lengths)) * times
+        lost = (capacity - sum(x * n for x, n in filling)) * times
         # The last sequence may stay open: its waste is no loss against the rounded bound.
-        if waste + lost > (size - 1) * capacity - total and sum(left.n[x] for x in set(lengths)) > len(lengths) * times:
+        pruned = waste + lost > (size - 1) * capacity - total and sum(rest.n[x] for x, _ in filling) > times * sum(n for _, n in filling)
+        left[0] -= pruned or not first_descent
+        if pruned:
             continue
-        left.take(lengths, times)
-        path.append((lengths, times, lost))
+        rest.take(filling, times)
+        path.append((filling, times, lost))
         waste += lost
-        if left.bits:
+        if rest.bits:
             open_()
             continue
         found = sum(t for _, t, _ in path)
         if found < size:
-            best, size = [(p, t) for p, t, _ in path], found
+            best, size = [(tuple(x for x, n in f for _ in range(n)), t) for f, t, _ in path], found
         stack.append([])
-    return best, nodes, whole and not stack
+    return best, whole and not stack
 
 
 def _assigner(patterns: list[Pattern]):

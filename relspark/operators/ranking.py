@@ -196,36 +196,46 @@ def greedy_unique(rows: DataFrame, key_columns: Sequence[str], title: str | None
     return out if group else out.drop("_all")
 
 
+#: Rounds in which every row takes the least label among the rows it shares a key with; longer chains are finished pair by pair.
+ROUNDS = 3
+
+
+def _united(pairs: Column) -> Column:
+    """Map from each label of the pairs to the least label connected with it."""
+    empty = F.array().cast("array<struct<root:bigint,members:array<bigint>>>")
+
+    def join(groups: Column, pair: Column) -> Column:
+        touched = lambda g: F.array_contains(g["members"], pair["low"]) | F.array_contains(g["members"], pair["label"])
+        mine = F.filter(groups, touched)
+        members = F.array_union(F.flatten(F.transform(mine, lambda g: g["members"])), F.array(pair["low"], pair["label"]))
+        return F.concat(F.filter(groups, lambda g: ~touched(g)), F.array(F.struct(F.array_min(members).alias("root"), members.alias("members"))))
+
+    groups = F.aggregate(pairs, empty, join)
+    return F.map_from_entries(F.flatten(F.transform(groups, lambda g: F.transform(g["members"], lambda m: F.struct(m, g["root"])))))
+
+
 def duplicate_groups(rows: DataFrame, key: str, pos: str, keys_column: str) -> DataFrame:
     """Adds ``dup_group``: the smallest ``pos`` among rows of the request that are connected by shared keys.
 
-    Rows with a key in common are joined transitively (union-find inside a request); rows without keys stand alone.
+    Rows with a key in common are joined transitively; rows without keys (an empty or null array, null keys) stand alone. Labels
+    spread along shared keys in a fixed number of windows over the request, which are all sorted from one shuffle. Keys that
+    still hold more than one label after that join those labels in pairs, which each request unites by itself; only chains
+    longer than the rounds leave any.
     """
-
-    def unite(group: pd.DataFrame) -> pd.DataFrame:
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        owner: dict[str, int] = {}
-        positions = group[pos].tolist()
-        for p, ks in zip(positions, group[keys_column], strict=True):
-            parent.setdefault(p, p)
-            for k in ks if ks is not None else ():
-                if k in owner:
-                    a, b = find(owner[k]), find(p)
-                    parent[max(a, b)] = min(a, b)
-                else:
-                    owner[k] = p
-        return group.assign(dup_group=[find(p) for p in positions])
-
-    from pyspark.sql import types as T
-
-    return rows.groupBy(key).applyInPandas(unite, T.StructType([*rows.schema.fields, T.StructField("dup_group", T.LongType())]))
+    given = F.array_compact(F.coalesce(keys_column, F.array().cast(rows.schema[keys_column].dataType)))
+    each = rows.repartition(key).withColumn("_key", F.explode_outer(given)).withColumn("_label", F.col(pos).cast("long"))
+    shared, row = Window.partitionBy(key, "_key"), Window.partitionBy(key, pos)
+    for _ in range(ROUNDS):
+        each = each.withColumn("_label", F.when(F.col("_key").isNull(), F.col("_label")).otherwise(F.min("_label").over(shared)))
+        each = each.withColumn("_label", F.min("_label").over(row))
+    low = F.when(F.col("_key").isNotNull(), F.min("_label").over(shared))
+    each = each.withColumn("_low", low)
+    pair = F.when(F.col("_low") < F.col("_label"), F.struct(F.col("_low").alias("low"), F.col("_label").alias("label")))
+    open_ = each.where(pair.isNotNull()).groupBy(key).agg(F.collect_set(pair).alias("_pairs"))
+    roots = open_.select(F.col(key).alias("_of"), _united(F.col("_pairs")).alias("_roots"))
+    once = each.withColumn("_n", F.row_number().over(row.orderBy("_label"))).where("_n = 1")
+    joined = once.join(roots, F.col(key).eqNullSafe(F.col("_of")), "left")
+    return joined.select(*rows.columns, F.coalesce(F.col("_roots")[F.col("_label")], F.col("_label")).alias("dup_group"))
 
 
 #: Types whose rows are told apart by whether their service holds them (fixed values).

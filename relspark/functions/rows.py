@@ -68,12 +68,17 @@ def marked_seeders(description: Column) -> Column:
     return F.nullif(F.regexp_extract(description, rf"[{SEEDER_MARKS}]\s*(\d+)", 1), F.lit("")).cast("int")
 
 
-def marked_indexer(description: Column) -> Column:
-    """The text behind the first mark of an indexer, up to the next emoji or the end of the line; null without a mark."""
-    pattern = rf"(?:{'|'.join(INDEXER_MARKS)})\s*([^{_EMOJI}\n]*?)(?=[{_EMOJI}]|$|\n)"
+def text_behind(description: Column, marks: Sequence[str]) -> Column:
+    """The text behind the first of the marks, up to the next emoji or the end of the line; null without a mark."""
+    pattern = rf"(?:{'|'.join(marks)})\s*([^{_EMOJI}\n]*?)(?=[{_EMOJI}]|$|\n)"
     return F.when(description.rlike(pattern), F.trim(F.regexp_extract(description, pattern, 1)))
 
 
+def marked_indexer(description: Column) -> Column:
+    """The name of an indexer, behind its mark."""
+    return text_behind(description, INDEXER_MARKS)
+
+
 def fallback(*arrays: Column) -> Column:
     """The first array that holds anything, or null."""
     return F.coalesce(*[F.when(F.coalesce(F.size(a), F.lit(0)) > 0, a) for a in arrays])
@@ -84,10 +89,14 @@ def merged(*arrays: Column) -> Column:
     return F.array_distinct(F.concat(*[F.coalesce(a, F.array().cast("array<string>")) for a in arrays]))
 
 
+#: Letters that end a name like a file's, with a dot before them or not (fixed values).
+NAME_ENDINGS = "mkv mp4 avi mov wmv flv webm m4v mpg mpeg 3gp 3g2 m2ts ts vob ogv ogm divx xvid rm rmvb asf mxf mka mks mk3d f4v f4p f4a f4b"
+
+
 def folder_name(folder: Column, name: Column) -> Column:
-    """The folder, unless it says the same as the file."""
-    plain = lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}\p{N}+]+", ""))
-    return F.when(~F.coalesce(plain(folder) == plain(name), F.lit(False)), folder)
+    """The folder, unless it says the same as the file, whatever their endings."""
+    plain = lambda x: F.lower(F.regexp_replace(F.regexp_replace(x, rf"(?i)(?:{NAME_ENDINGS.replace(' ', '|')})$", ""), r"[^\p{L}\p{N}+]+", ""))
+    return F.when(~F.coalesce((folder != "") & (name != "") & (plain(folder) == plain(name)), F.lit(False)), folder)
 
 
 def folder_size(folder: Column, size: Column) -> Column:

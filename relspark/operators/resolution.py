@@ -69,13 +69,14 @@ def fetched_groups(rows: DataFrame, conditions: Sequence[Condition | None], sequ
 
     The first group always counts and holds rows without a group. Later groups in sequence count without a condition too,
     while parallel ones without a condition are passed over. Times add up in sequence; in parallel the longest counts.
+    A condition may also look at the rows: ``_in`` marks those so far, ``_prev`` those of the group before.
     """
     number = F.coalesce(F.col(group), F.lit(0))
     size = lambda g: F.sum(F.when(number == g, 1).otherwise(0)).over(Window.partitionBy(key))
     time = lambda g: F.coalesce(F.max(F.when(number == g, F.col(elapsed))).over(Window.partitionBy(key)), F.lit(0))
     n = range(len(conditions))
     out = rows.withColumns({f"_n{g}": size(g) for g in n} | {f"_t{g}": time(g) for g in n})
-    out = out.withColumns({"_going": F.lit(True), "_in": number == 0, "_pn": F.col("_n0"), "_an": F.col("_n0"), "_pt": F.col("_t0"), "_at": F.col("_t0")})
+    out = out.withColumns({"_going": F.lit(True), "_in": number == 0, "_prev": number == 0, "_pn": F.col("_n0"), "_an": F.col("_n0"), "_pt": F.col("_t0"), "_at": F.col("_t0")})
     for g in n[1:]:
         condition = conditions[g]
         if condition is None and not sequential:
@@ -85,7 +86,7 @@ def fetched_groups(rows: DataFrame, conditions: Sequence[Condition | None], sequ
         total = F.col("_at") + F.col(f"_t{g}") if sequential else F.greatest("_at", f"_t{g}")
         moved = lambda now, then: F.when(F.col("_going"), now).otherwise(F.col(then))
         out = out.withColumns({
-            "_in": F.col("_in") | (F.col("_going") & (number == g)), "_pn": moved(F.col(f"_n{g}"), "_pn"), "_an": moved(F.col("_an") + F.col(f"_n{g}"), "_an"),
+            "_in": F.col("_in") | (F.col("_going") & (number == g)), "_prev": moved(number == g, "_prev"), "_pn": moved(F.col(f"_n{g}"), "_pn"), "_an": moved(F.col("_an") + F.col(f"_n{g}"), "_an"),
             "_pt": moved(F.col(f"_t{g}"), "_pt"), "_at": moved(total, "_at"),
         })
     return out.where("_in").select(*rows.columns)

@@ -8,6 +8,7 @@ from ..functions import parsing as ps
 from ..operators import filters as fl
 from ..operators import resolution as rs
 from ..sources import sinks
+from . import sel
 from .bridge import RELEASES, releases
 from .registry import query, table
 
@@ -53,9 +54,10 @@ SELECT r.id, true AS sequential FROM r JOIN q USING (request_id) WHERE g = 0 OR
 UNION ALL SELECT r.id, false FROM r JOIN p USING (request_id) WHERE g = 0 OR (g = 2 AND far) OR (g = 3 AND far AND n2 >= 2)""")
 def group_fetch(spark, sf_dir):
     """Groups of sources that come in turn while a condition on what came before holds; in sequence and in parallel."""
-    rows = releases(spark, sf_dir).select("id", "request_id", F.expr(_GROUP).alias("group_no"), (100 + F.col("pos") * 10).alias("elapsed"))
-    in_turn = [None, lambda pn, an, pt, at: an < 12, lambda pn, an, pt, at: (an < 20) & (at < 900), None]
-    at_once = [None, None, lambda pn, an, pt, at: (an < 20) & (at < 450), lambda pn, an, pt, at: pn >= 2]
+    rows = releases(spark, sf_dir).withColumns({"group_no": F.expr(_GROUP), "elapsed": 100 + F.col("pos") * 10})
+    said = lambda text: sel.group_condition(text, rows)
+    in_turn = [None, said("count(totalStreams) < 12"), said("count(merge(totalStreams, previousStreams)) < 20 and totalTimeTaken < 900"), None]
+    at_once = [None, None, said("count(totalStreams) < 20 and previousGroupTimeTaken < 450"), said("count(previousStreams) >= 2")]
     a, b = rs.fetched_groups(rows, in_turn, True), rs.fetched_groups(rows, at_once, False)
     return a.select("id", F.lit(True).alias("sequential")).unionByName(b.select("id", F.lit(False).alias("sequential")))
 

@@ -7,6 +7,7 @@ request, so a rule such as ``count(cached(streams)) == 0 ? uncached(streams) : [
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -169,7 +170,8 @@ class Compiler:
     ATTRIBUTES = {"size": "size", "seeders": "seeders", "age": "age_hours", "bitrate": "bitrate", "folderSize": "folder_size", "regexScore": "regex_score", "streamExpressionScore": "sel_score", "duration": "duration"}
     SERVICES: tuple[str, ...] = ()
 
-    def __init__(self, columns: list[str], key: str = "request_id", by: str = "pos", constants: dict[str, Any] | None = None):
+    def __init__(self, columns: list[str], key: str = "request_id", by: str = "pos", constants: dict[str, Any] | None = None, all_rows: tuple[str, ...] = ("streams", "rows")):
+        self.all_rows = all_rows
         self.columns, self.key, self.by, self.constants = set(columns), key, by, DEFAULTS | (constants or {})
         ongoing = F.lit(self.constants["hasNextEpisode"]) & (F.lit(self.constants["season"]) == F.lit(self.constants["latestSeason"]))
         self.constants.setdefault("ongoingSeason", ongoing)
@@ -196,7 +198,7 @@ class Compiler:
         if kind == "list":
             return [self.run(t) for t in tree[1:]]
         if kind == "name":
-            if tree[1] in ("streams", "rows"):
+            if tree[1] in self.all_rows:
                 return Rows(F.lit(True))
             if tree[1] in self.constants:
                 return self.constants[tree[1]]
@@ -214,6 +216,14 @@ class Compiler:
             return self.operate(tree[1], self.run(tree[2]), self.run(tree[3]))
         return self.call(tree[1], [self.run(t) for t in tree[2:]])
 
+    def truth(self, x: Any) -> Column:
+        """A condition's result; a row-set is always true, as any object is."""
+        if isinstance(x, (Rows, list)):
+            return F.lit(True)
+        if isinstance(x, (bool, int, float)):
+            return F.lit(bool(x))
+        return F.coalesce(self.column(x).cast("boolean"), F.lit(False))
+
     def branch(self, test: Column, tree: tuple) -> Any:
         outer = self.guard
         self.guard = test if outer is None else outer & test
@@ -271,9 +281,11 @@ class Compiler:
             column = self.ATTRIBUTES[args[1]]
             value = F.col(column).cast("double") if column in self.columns else F.lit(None).cast("double")
             return Numbers(F.when(self.rows(args[0]).mask & ~F.isnan(F.coalesce(value, F.lit(0.0))), value))
-        if name in _STATISTICS:
+        if name in _STATISTICS or name == "mode":
             if not isinstance(args[0], Numbers):
                 raise SelError(f"{name} needs values")
+            if name == "mode":
+                return F.coalesce(_mode(args[0].value, self.key, self.by), F.lit(0.0))
             return F.coalesce(_STATISTICS[name](args[0].value, self.w, *args[1:]), F.lit(0.0))
         if name in ("sqrt",):
             return F.sqrt(self.column(args[0]))
@@ -347,20 +359,15 @@ _FILTERS = {
 }
 
 
-def _mode(x: Column, w) -> Column:
-    """The value that first reaches the highest frequency in order of appearance."""
-    xs = F.collect_list(x).over(w)
-    best = F.aggregate(
-        xs,
-        F.struct(F.map_from_arrays(F.array().cast("array<double>"), F.array().cast("array<int>")).alias("seen"), F.lit(0).alias("n"), F.lit(None).cast("double").alias("v")),
-        lambda a, v: F.struct(
-            F.map_concat(F.map_filter(a["seen"], lambda k, _: k != v), F.create_map(v, F.coalesce(F.try_element_at(a["seen"], v), F.lit(0)) + 1)).alias("seen"),
-            F.greatest(a["n"], F.coalesce(F.try_element_at(a["seen"], v), F.lit(0)) + 1).alias("n"),
-            F.when(F.coalesce(F.try_element_at(a["seen"], v), F.lit(0)) + 1 > a["n"], v).otherwise(a["v"]).alias("v"),
-        ),
-        lambda a: a["v"],
-    )
-    return best
+def _mode(x: Column, key: str, by: str) -> Column:
+    """The value that first reaches the highest frequency in order of appearance.
+
+    Each row counts its value so far; of the rows with the greatest count the first one has the mode. Nothing is collected.
+    """
+    request = Window.partitionBy(key)
+    seen = F.when(x.isNotNull(), F.row_number().over(Window.partitionBy(key, x).orderBy(by)))
+    first = F.min(F.when(seen == F.max(seen).over(request), F.struct(F.col(by).alias("at"), x.alias("value")))).over(request)
+    return first["value"]
 
 
 def _quantile(x: Column, w, p: Any) -> Column:
@@ -384,7 +391,6 @@ _STATISTICS = {
     "variance": lambda x, w: F.var_pop(x).over(w),
     "stddev": lambda x, w: F.stddev_pop(x).over(w),
     "range": lambda x, w: F.max(x).over(w) - F.min(x).over(w),
-    "mode": _mode,
     "skewness": lambda x, w: F.when((F.count(x).over(w) >= 3) & (F.stddev_pop(x).over(w) > 0), F.skewness(x).over(w)),
     "kurtosis": lambda x, w: F.when((F.count(x).over(w) >= 4) & (F.stddev_pop(x).over(w) > 0), F.kurtosis(x).over(w)),
 }
@@ -402,6 +408,24 @@ def compile_value(text: str, rows: DataFrame, key: str = "request_id", by: str =
     return c.column(c.run(Parser(text).parse()))
 
 
+def group_condition(text: str, rows: DataFrame, key: str = "request_id", by: str = "pos", query_type: str = "") -> Callable[[Column, Column, Column, Column], Column]:
+    """Condition of a group of sources for :func:`~relspark.operators.resolution.fetched_groups`, from its text.
+
+    It sees ``previousStreams`` (the rows of the group before), ``totalStreams`` (all rows so far), ``previousGroupTimeTaken``,
+    ``totalTimeTaken`` and ``queryType``, and all functions of the language. A text that can't be compiled raises here, for its
+    group alone; numbers count as true unless they are 0.
+    """
+    tree = Parser(text).parse()
+
+    def condition(_: Column, __: Column, previous_time: Column, total_time: Column) -> Column:
+        names = {"previousStreams": Rows(F.col("_prev")), "totalStreams": Rows(F.col("_in")), "previousGroupTimeTaken": previous_time, "totalTimeTaken": total_time, "queryType": query_type}
+        value = Compiler(rows.columns, key, by, names, ())
+        return value.truth(value.run(tree))
+
+    condition(F.lit(0), F.lit(0), F.lit(0), F.lit(0))
+    return condition
+
+
 def select_rows(rows: DataFrame, text: str, **more: Any) -> DataFrame:
     """Rows that the expression selects."""
     return rows.withColumn("_in", compile_rows(text, rows, **more)).where("_in").drop("_in")

@@ -178,7 +178,7 @@ STRATEGIES: dict[str, dict[str, Field]] = {
     # A store: usenet by its name, the hash at the end of the group.
     "store": {
         "type": lambda: F.when(_has("name", "Usenet"), "usenet").otherwise(_type()),
-        "info_hash": lambda: F.when(F.col("type") != "usenet", F.lower(_match(F.col("binge_group"), r"([a-fA-F0-9]{40})$"))),
+        "info_hash": lambda: F.when(~F.col("type").eqNullSafe("usenet"), F.lower(_match(F.col("binge_group"), r"([a-fA-F0-9]{40})$"))),
     },
     "usenet": {"type": lambda: F.lit("usenet")},
 }

@@ -137,6 +137,17 @@ NAME_HINTS = {
     "series": (0.25, ("eztv", "series", "tv", "episode")),
 }
 KINDS = ("movies", "series", "anime")
+#: What probes call the kinds (fixed values); each name that is probed counts by itself.
+PROBED = {"movies": ("movies", "movie"), "series": ("series",), "anime": ("anime",)}
+
+
+def named_usage(usage: DataFrame, known: DataFrame, name: str, key: str) -> DataFrame:
+    """Usage rows (``name``) of known sources (``name, key``), whatever the case of the name; rows of unknown names are skipped.
+
+    Of known names that differ in case only, the one that sorts last stands.
+    """
+    folded = known.groupBy(F.lower(name).alias("_low")).agg(F.max(F.struct(F.col(name).alias("known_name"), key)).alias("_k")).select("_low", "_k.*")
+    return usage.withColumn("_low", F.lower(name)).join(folded, "_low").drop("_low")
 
 
 def content_support(probes: DataFrame, source: str, service: str, kind: str, hit: Column, ok: Column, name: str) -> DataFrame:
@@ -144,14 +155,18 @@ def content_support(probes: DataFrame, source: str, service: str, kind: str, hit
 
     Every service whose probes of a kind hit often enough adds to that kind, and so does the source's name; a source that
     reaches no kind counts for films and series. ``empty``: no service had items; ``degraded``: none succeeded half the time.
+    A source's name is its most frequent one, of equally frequent ones the smallest; kinds are named in any case.
     """
     probes = probes.withColumn("_hit", (hit & ok).cast("double")).withColumn("_ok", ok.cast("double")).withColumn("_some", hit.cast("double"))
     per = probes.groupBy(source, service).agg(
-        *[F.avg(F.when(F.col(kind) == k, F.col("_hit"))).alias(f"_{k}") for k in KINDS], F.avg("_ok").alias("_success"), F.avg("_some").alias("_filled"), F.min(name).alias("_name")
+        *[F.avg(F.when(F.lower(F.trim(F.col(kind))) == p, F.col("_hit"))).alias(f"_{p}") for ps in PROBED.values() for p in ps], F.avg("_ok").alias("_success"), F.avg("_some").alias("_filled")
     )
-    low = F.lower(F.min("_name"))
+    counted = probes.groupBy(source, name).agg(F.count("*").alias("_n"))
+    per = per.join(counted.groupBy(source).agg(F.min(F.struct(-F.col("_n"), F.col(name).alias("_name"))).alias("_first")), source)
+    low = F.lower(F.min("_first._name"))
     hints = {k: F.when(functools.reduce(operator.or_, [low.contains(w) for w in words]), weight).otherwise(0.0) for k, (weight, words) in NAME_HINTS.items()}
-    support = {k: F.sum(F.when(F.col(f"_{k}") >= SUPPORT["rate"], SUPPORT["probe"]).otherwise(0.0)) + hints[k] for k in KINDS}
+    reached = lambda p: F.sum(F.when(F.col(f"_{p}") >= SUPPORT["rate"], SUPPORT["probe"]).otherwise(0.0))
+    support = {k: sum((reached(p) for p in PROBED[k]), F.lit(0.0)) + hints[k] for k in KINDS}
     found = per.groupBy(source).agg(*[s.alias(k) for k, s in support.items()], F.max("_success").alias("_success"), F.max("_filled").alias("_filled"))
     kinds = F.array_compact(F.array(*[F.when(F.col(k) >= SUPPORT["least"], k) for k in KINDS]))
     status = F.when(F.col("_filled") == 0, "empty").when(F.col("_success") < 0.5, "degraded").otherwise("working")

@@ -187,7 +187,7 @@ def bounded_samples(spark, sf_dir):
     return st.bounded_samples(releases(spark, sf_dir).where("resolution is not null"), "resolution", [F.col("size").desc(), F.col("request_id"), F.col("pos")], 3).select("resolution", "id")
 
 
-_KIND = "CASE event_type WHEN 'view' THEN 'movies' WHEN 'click' THEN 'series' WHEN 'signup' THEN 'anime' ELSE 'other' END"
+_KIND = "CASE event_type WHEN 'view' THEN 'movies' WHEN 'click' THEN 'series' WHEN 'signup' THEN 'anime' WHEN 'purchase' THEN 'Movie' ELSE 'other' END"
 _PROVIDER = "CASE user_id % 4 WHEN 0 THEN 'Tokyo' WHEN 1 THEN 'EzTV' WHEN 2 THEN 'Plain' ELSE 'Movie4K' END || ' ' || user_id % 40"
 
 
@@ -196,7 +196,7 @@ _PROVIDER = "CASE user_id % 4 WHEN 0 THEN 'Tokyo' WHEN 1 THEN 'EzTV' WHEN 2 THEN
 p AS (SELECT source, service, kind, avg(CASE WHEN hit AND ok THEN 1.0 ELSE 0.0 END) AS rate FROM e GROUP BY ALL),
 s AS (SELECT source, max(success) AS success, max(filled) AS filled, lower(min(name)) AS name FROM (SELECT source, service, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) AS success, avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END) AS filled, min(name) AS name FROM e GROUP BY ALL) GROUP BY 1),
 c AS (SELECT source, success, filled,
-    0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'movies' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'yts|movie|dvdr|bluray|4k') THEN 0.25 ELSE 0 END AS movies,
+    0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND lower(kind) IN ('movies', 'movie') AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'yts|movie|dvdr|bluray|4k') THEN 0.25 ELSE 0 END AS movies,
     0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'series' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'eztv|series|tv|episode') THEN 0.25 ELSE 0 END AS series,
     0.45 * (SELECT count(*) FROM p WHERE p.source = s.source AND kind = 'anime' AND rate >= 0.05) + CASE WHEN regexp_matches(name, 'anime|nyaa|subsplease|bangumi|tokyo|dmhy|mikan|shana') THEN 0.55 ELSE 0 END AS anime FROM s)
 SELECT source, round(movies, 6)::DOUBLE AS movies, round(series, 6)::DOUBLE AS series, round(anime, 6)::DOUBLE AS anime,
@@ -213,6 +213,18 @@ def content_support(spark, sf_dir):
     return found.select("source", *[F.round(c, 6).alias(c) for c in st.KINDS], F.array_join("kinds", ",").alias("kinds"), "status")
 
 
+@query("""WITH u AS (SELECT CASE l_linenumber % 3 WHEN 0 THEN upper(s_name) WHEN 1 THEN lower(s_name) ELSE s_name || 'x' END AS tracker, l_quantity AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT s_name AS known_name, s_suppkey, CAST(count(*) AS BIGINT) AS uses, sum(n) AS total FROM u JOIN supplier ON lower(s_name) = lower(tracker) GROUP BY 1, 2""")
+def name_join(spark, sf_dir):
+    """Usage of known names in any case; other names are skipped."""
+    suppliers = table(spark, sf_dir, "supplier")
+    line = table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    k = F.col("l_linenumber") % 3
+    usage = line.select(F.when(k == 0, F.upper("s_name")).when(k == 1, F.lower("s_name")).otherwise(F.concat("s_name", F.lit("x"))).alias("name"), F.col("l_quantity").alias("n"))
+    found = st.named_usage(usage, suppliers.select(F.col("s_name").alias("name"), "s_suppkey"), "name", "s_suppkey")
+    return found.groupBy("known_name", "s_suppkey").agg(F.count("*").alias("uses"), F.sum("n").alias("total"))
+
+
 @query("""WITH s AS (SELECT l_orderkey, l_linenumber AS season, count(*) AS eps FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, CAST(season AS INT) AS season, CAST(coalesce(sum(eps) OVER (PARTITION BY l_orderkey ORDER BY season ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,
     CAST(lead(season) OVER (PARTITION BY l_orderkey ORDER BY season) AS INT) AS next_season FROM s""")
 def absolute_offset(spark, sf_dir):

@@ -74,13 +74,13 @@ def capability_union(spark, sf_dir):
     return cat.capability_union(rows, "resource").select("resource", F.array_join("types", ",").alias("types"), F.array_join("prefixes", ",").alias("prefixes"))
 
 
-@query("""SELECT 'c' || CAST(i AS VARCHAR) AS source,
+@query("""SELECT p_partkey AS source,
     CASE WHEN i % 2 = 0 THEN 'no search' WHEN i % 3 = 0 THEN 'genre not offered' WHEN i = 7 THEN 'genre not offered' WHEN i = 5 THEN 'required extra missing' END AS refused,
     CASE WHEN i % 2 = 0 THEN 'no search' WHEN i = 5 THEN 'required extra missing' END AS refused_for_any
-FROM range(1, 12) t(i)""")
+FROM (SELECT p_partkey, 1 + p_size % 11 AS i FROM part)""")
 def catalog_eligibility(spark, sf_dir):
     """Why a catalogue can't take part: a genre extra without options, or with a null among them, admits every genre."""
-    i = F.col("id")
+    i = 1 + F.col("p_size") % 11
     extra = lambda name, required, options: F.struct(F.lit(name).alias("name"), required.alias("required"), options.alias("options"))
     none, nothing = F.array().cast("array<string>"), F.array().cast("array<struct<name:string,required:boolean,options:array<string>>>")
     options = F.when(i == 1, F.array(F.lit("Drama"))).when(i == 7, F.array(F.lit("Comedy"))).when(i == 11, F.array(F.lit("Comedy"), F.lit(None).cast("string"))).otherwise(none)
@@ -89,7 +89,7 @@ def catalog_eligibility(spark, sf_dir):
         F.when(i % 3 != 0, F.array(extra("genre", F.lit(False), options))).otherwise(nothing),
         F.array(extra("region", i == 5, none)),
     )
-    rows = spark.range(1, 12).select(F.concat(F.lit("c"), i.cast("string")).alias("source"), extras.alias("extras"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("source"), extras.alias("extras"))
     first = cat.eligible(rows, True, "Drama", 0, ["search", "genre"])
     return cat.eligible(first.withColumnRenamed("refused", "given"), True, "None", 0, ["search", "genre"]).select("source", F.col("given").alias("refused"), F.col("refused").alias("refused_for_any"))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relspark.functions import strategies as st
-from relspark.operators import counters, ranking
+from relspark.operators import counters, ranking, statistics
 from relspark.operators import resolution as rs
 from relspark.plans import sel
 
@@ -122,3 +122,18 @@ def test_duplicate_groups_of_long_chains(spark):
     out = ranking.duplicate_groups(df, "request_id", "pos", "keys")
     assert {(r.request_id, r.pos): r.dup_group for r in out.collect()} == root and out.count() == len(rows)
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_content_support_names_and_kinds(spark):
+    rows = [(1, 0, "movie", True, "Plain")] * 3 + [(1, 0, "Movies ", True, "Tokyo")] + [(2, 0, "movie", True, "a"), (2, 0, "series", False, "eztv"), (2, 0, "x", True, "EZTV"), (2, 0, "x", True, "EZTV")]
+    df = spark.createDataFrame(rows, "source int, service int, kind string, hit boolean, name string")
+    got = {r.source: r for r in statistics.content_support(df, "source", "service", "kind", F.col("hit"), F.lit(True), "name").collect()}
+    # Both names of the kind count; the name of most probes hints, not the smallest.
+    assert (got[1].movies, got[1].series, got[1].anime, got[1].kinds) == (pytest.approx(0.9), 0.0, 0.0, ["movies"])
+    assert (got[2].movies, got[2].series, got[2].kinds) == (pytest.approx(0.45), pytest.approx(0.25), ["movies"])
+
+
+def test_names_join_in_any_case(spark):
+    usage = spark.createDataFrame([("NYAA", 1), ("nyaa", 2), ("other", 3), (None, 4)], "name string, n int")
+    known = spark.createDataFrame([("Nyaa", 7), ("nyaa", 8), ("None", 9)], "name string, id int")
+    assert sorted(tuple(r) for r in statistics.named_usage(usage, known, "name", "id").select("n", "known_name", "id").collect()) == [(1, "nyaa", 8), (2, "nyaa", 8)]

@@ -29,22 +29,65 @@ def _texts(items: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class Range:
-    """Bounds of a numeric rule; ``None`` is unbounded. ``on`` restricts the rule to rows of these types."""
+    """Bounds of a numeric rule; ``None`` is unbounded. ``on`` restricts the rule to rows of these types or classes.
+
+    The classes ``cached`` and ``uncached`` are the debrid rows of that state; an unknown state is uncached.
+    """
 
     low: float | None = None
     high: float | None = None
     on: tuple[str, ...] = ()
 
     def applies(self) -> Column:
-        return F.col("type").isin(*self.on) if self.on else F.lit(True)
+        if not self.on:
+            return F.lit(True)
+        state = {"cached": True, "uncached": False}
+        types = F.col("type").isin(*[t for t in self.on if t not in state])
+        held = [(F.col("type") == "debrid") & (F.coalesce("cached", F.lit(False)) == state[t]) for t in self.on if t in state]
+        return F.coalesce(functools.reduce(operator.or_, held, types), F.lit(False))
 
     @classmethod
     def normalised(cls, low: float | None, high: float | None, least: float, most: float, on: tuple[str, ...] = ()) -> Range | None:
-        """A bound at its default extreme is no bound; two of them are no rule."""
-        low, high = (None if low is not None and low <= least else low), (None if high is not None and high >= most else high)
+        """A bound that is its default extreme is no bound, one beyond it is; two such bounds are no rule."""
+        low, high = (None if low == least else low), (None if high == most else high)
         return None if low is None and high is None else cls(low, high, on)
 
 
+@dataclass(frozen=True)
+class KindRanges:
+    """Ranges by kind of request; one that is not set leaves the rows to the next wider rule."""
+
+    movies: Range | None = None
+    series: Range | None = None
+    anime: Range | None = None
+
+
+def _kind_range(branch: str, own: KindRanges | None, general: KindRanges | None) -> Range | None:
+    """The range that holds: of the resolution before the general one; for anime its own before that of series."""
+    kinds = {"movies": ("movies",), "series": ("series",), "anime": ("anime", "series")}[branch]
+    return next((r for kind in kinds for ranges in (own, general) if ranges and (r := getattr(ranges, kind))), None)
+
+
+def outside_kind_range(column: str, by_resolution: dict[str, KindRanges], general: KindRanges | None, request_type: Column, is_anime: Column, zero: bool) -> Column:
+    """Whether a row is outside the range of its resolution and the kind of its request.
+
+    Films are requests of type ``movie``, anime among all others those so marked. A missing value is never outside; with
+    ``zero`` unset (sizes) neither is 0, and a bound of 0 is none.
+    """
+    value = F.col(column) if zero else F.nullif(column, F.lit(0))
+    film, anime = F.coalesce(request_type == "movie", F.lit(False)), F.coalesce(is_anime, F.lit(False))
+    branches = {"movies": film, "anime": ~film & anime, "series": ~film & ~anime}
+    resolution, out = F.coalesce("resolution", F.lit("")), F.lit(False)
+    for own in (None, *by_resolution):
+        here = resolution == own if own else ~resolution.isin(*by_resolution)
+        for branch, holds in branches.items():
+            r = _kind_range(branch, by_resolution.get(own), general)
+            bounds = [(value < r.low) if r and r.low is not None and (r.low or zero) else None, (value > r.high) if r and r.high is not None and (r.high or zero) else None]
+            for bound in filter(lambda b: b is not None, bounds):
+                out = out | (here & holds & F.coalesce(bound, F.lit(False)))
+    return out
+
+
 @dataclass(frozen=True)
 class Dimension:
     """Included, excluded and required values of one attribute."""
@@ -86,6 +129,11 @@ class Profile:
     size_by_resolution: dict[str, Range] = field(default_factory=dict)
     size: Range | None = None
     bitrate: Range | None = None
+    #: Ranges by resolution and kind of request; rows then have ``request_type`` and ``is_anime``.
+    kind_sizes: dict[str, KindRanges] = field(default_factory=dict)
+    kind_size: KindRanges | None = None
+    kind_bitrates: dict[str, KindRanges] = field(default_factory=dict)
+    kind_bitrate: KindRanges | None = None
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -170,14 +218,23 @@ def ladder(p: Profile, text_columns: Sequence[str] = ("filename", "release_group
         steps.append(("removed", "size range", _any(own + rest)))
     if p.bitrate:
         steps.append(("removed", "bitrate range", _bounds("bitrate", p.bitrate, True, None)))
+    for column, by_resolution, general in (("size", p.kind_sizes, p.kind_size), ("bitrate", p.kind_bitrates, p.kind_bitrate)):
+        if by_resolution or general:
+            outside = outside_kind_range(column, by_resolution, general, F.col("request_type"), F.col("is_anime"), column == "bitrate")
+            steps.append(("removed", f"{column} range", outside))
     return steps
 
 
+#: Columns that patterns look at, those of them that the rows have (fixed values).
+PATTERN_COLUMNS = ("filename", "folder_name", "indexer", "release_group")
+
+
 def decide(rows: DataFrame, profile: Profile, passthrough: Column | None = None) -> DataFrame:
     """Adds ``keep`` and ``reason`` (null when nothing spoke) from one CASE over the ladder; passthrough rows stay first of all."""
     steps = [("included", "passthrough", passthrough)] if passthrough is not None else []
     reason: Column = F.lit(None).cast("string")
-    for verdict, name, condition in reversed(steps + ladder(profile)):
+    texts = [c for c in PATTERN_COLUMNS if c in rows.columns]
+    for verdict, name, condition in reversed(steps + ladder(profile, texts)):
         reason = F.when(condition, f"{verdict}: {name}").otherwise(reason)
     return rows.withColumn("reason", reason).withColumn("keep", F.coalesce(~F.col("reason").startswith("removed"), F.lit(True)))
 
@@ -195,6 +252,18 @@ def synthetic_tags(tags: Column) -> Column:
     return F.when(hdr & dv, both).when(dv, F.concat(tags, F.array(F.lit("DV Only")))).when(hdr, F.concat(tags, F.array(F.lit("HDR Only")))).otherwise(tags)
 
 
+def release_survivors(rows: DataFrame, open_: Column, sources: Sequence[str] = ()) -> DataFrame:
+    """Rows whose request's gate is open, rows that pass this stage unseen, and rows of sources that the gate does not watch.
+
+    ``sources`` are the watched ones; none means all.
+    """
+    watched = F.col("source_id").isin(*sources) if sources else F.lit(True)
+    free = F.lit(False)
+    if "passthrough" in rows.columns:
+        free = F.coalesce(F.col("passthrough")["all"] | F.array_contains(F.col("passthrough")["stages"], "digitalRelease"), F.lit(False))
+    return rows.where(F.coalesce(open_, F.lit(False)) | free | ~F.coalesce(watched, F.lit(False)))
+
+
 def release_gate(days_since: Column, enabled: Column, tolerance: int = 0) -> Column:
     """Request-level gate on a release day: missing day or disabled allows, within tolerance or past allows, future blocks."""
     return ~enabled | days_since.isNull() | (F.abs(days_since) <= tolerance) | (days_since >= 0)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strategies as st
 from ..operators import counters as ct
+from ..operators import filters as flt
 from . import sel
 from .bridge import RELEASES, releases
 from .registry import query, stated, table
@@ -90,3 +91,26 @@ def source_rows(spark, sf_dir):
     read = st.source_rows(raw, sources, [("svc_a", "[SA")], st.STRATEGIES | {"labelled": st.tagged("svc_t")})
     fields = ["failure", "filename", "folder", "size", "folder_size", "indexer", "duration", "type", "library", "age", "message", "info_hash", "seeders", "file_index"]
     return read.select("row_id", *fields, F.col("service.id").alias("service"), F.col("service.cached").alias("cached"))
+
+
+@query(f"""WITH {RELEASES}, r AS (SELECT *, CASE request_id % 3 WHEN 0 THEN 'movie' ELSE 'series' END AS kind, request_id % 4 = 1 AS anime, CASE WHEN pos % 9 > 0 THEN size * 8 // 5400 END AS rate FROM releases),
+o AS (SELECT *, CASE WHEN kind = 'movie' THEN CASE WHEN resolution = '2160p' THEN size < 4000000000 WHEN resolution = '720p' THEN size > 6000000000 ELSE size < 2000000000 END
+        WHEN anime THEN CASE WHEN resolution = '2160p' THEN size > 7000000000 ELSE size > 5000000000 END ELSE CASE WHEN resolution = '720p' THEN size < 1500000000 ELSE size < 3000000000 END END AS by_size,
+    coalesce(CASE WHEN kind = 'movie' THEN false WHEN anime THEN rate < 3000000 ELSE resolution = '1080p' AND rate > 9000000 END, false) AS by_rate,
+    coalesce((type = 'p2p' AND coalesce(seeders, 0) < 10) OR (type = 'debrid' AND coalesce(cached, false) AND coalesce(seeders, 0) < 20), false) AS by_seeders FROM r)
+SELECT id, CASE WHEN by_seeders THEN 'removed: required seeders range' WHEN coalesce(by_size, false) THEN 'removed: size range' WHEN by_rate THEN 'removed: bitrate range' END AS reason,
+    NOT (source_id IN ('src1', 'src2') AND request_id % 5 = 0) AS survives FROM o""")
+def kind_ranges(spark, sf_dir):
+    """Ranges by class, by resolution and by kind of request; and rows that a closed release gate leaves, those of sources it does not watch."""
+    r, k = flt.Range, flt.KindRanges
+    rows = releases(spark, sf_dir).withColumns({"request_type": F.when(F.col("request_id") % 3 == 0, "movie").otherwise("series"), "is_anime": F.col("request_id") % 4 == 1, "bitrate": F.when(F.col("pos") % 9 > 0, F.expr("size * 8 div 5400"))})
+    sizes = {"2160p": k(movies=r(low=4e9), anime=r(high=7e9)), "720p": k(movies=r(high=6e9), series=r(low=1.5e9))}
+    profile = flt.Profile(
+        required_ranges={"seeders": r(low=10, on=("p2p",))}, kind_sizes=sizes, kind_size=k(movies=r(low=2e9), series=r(low=3e9), anime=r(high=5e9)),
+        kind_bitrates={"1080p": k(series=r(high=9e6))}, kind_bitrate=k(anime=r(low=3e6)),
+    )
+    cached = flt.Profile(required_ranges={"seeders": r(low=20, on=("cached",))})
+    marked = flt.decide(rows, profile).withColumn("one", F.col("reason")).drop("reason", "keep")
+    both = flt.decide(marked, cached).withColumn("reason", F.coalesce("reason", "one"))
+    left = flt.release_survivors(both, F.col("request_id") % 5 != 0, ["src1", "src2"]).select("id", F.lit(True).alias("_left"))
+    return both.join(left, "id", "left").select("id", "reason", F.coalesce("_left", F.lit(False)).alias("survives"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relspark.functions import strategies as st
-from relspark.operators import counters, ranking, statistics
+from relspark.operators import counters, filters, ranking, statistics
 from relspark.operators import resolution as rs
 from relspark.plans import sel
 
@@ -137,3 +137,24 @@ def test_names_join_in_any_case(spark):
     usage = spark.createDataFrame([("NYAA", 1), ("nyaa", 2), ("other", 3), (None, 4)], "name string, n int")
     known = spark.createDataFrame([("Nyaa", 7), ("nyaa", 8), ("None", 9)], "name string, id int")
     assert sorted(tuple(r) for r in statistics.named_usage(usage, known, "name", "id").select("n", "known_name", "id").collect()) == [(1, "nyaa", 8), (2, "nyaa", 8)]
+
+
+def test_ranges_by_kind_and_class(spark):
+    r, k = filters.Range, filters.KindRanges
+    assert r.normalised(0, 50, 1, 50) == r(0, None) and r.normalised(1, 50, 1, 50) is None  # equality with the extreme, not beyond
+    rows = spark.createDataFrame(
+        [(1, "movie", False, "1080p", 5, 5.0), (2, "movie", True, "720p", 5, 5.0), (3, "series", True, "1080p", 5, 0.0), (4, "series", False, "1080p", 0, None), (5, "series", True, None, 5, 9.0)],
+        "id int, request_type string, is_anime boolean, resolution string, size int, bitrate double",
+    )
+    found = lambda **p: {x.id for x in filters.decide(rows.withColumns({"type": F.lit("http"), "filename": F.lit("f")}), filters.Profile(**p)).where("not keep").collect()}
+    assert found(kind_size=k(movies=r(low=9))) == {1, 2}
+    assert found(kind_sizes={"720p": k(movies=r(low=1))}, kind_size=k(movies=r(low=9))) == {1}
+    assert found(kind_size=k(series=r(low=9))) == {3, 5}  # anime without a range of its own takes that of series; size 0 is unknown
+    assert found(kind_size=k(series=r(low=9), anime=r(low=1))) == set()
+    assert found(kind_sizes={"1080p": k(series=r(high=1))}, kind_size=k(anime=r(low=1))) == set()  # the general anime range stands before the resolution's series
+    assert found(kind_bitrate=k(series=r(low=0, high=0))) == {5} and found(kind_bitrate=k(series=r(low=1))) == {3}
+
+
+def test_patterns_look_at_indexers_and_folders(spark):
+    rows = spark.createDataFrame([(1, "f", "Bad", "x"), (2, "f", "ok", "bad"), (3, "f", "ok", None)], "id int, filename string, indexer string, folder_name string").withColumn("release_group", F.lit(None).cast("string"))
+    assert {r.id for r in filters.decide(rows, filters.Profile(exclude_patterns=("(?i)bad",))).where("keep").collect()} == {3}

@@ -204,6 +204,24 @@ def test_sentencepiece_is_the_library(corpus):
         assert text.decode() == sp.decode(want) == model.decode(want)
 
 
+def test_long_units_of_a_batch_merge_together():
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.PieceModel(path)
+    rnd = random.Random(7)
+    # Letters, repeats whose merges open pairs of the same rank, digits, other scripts; lengths on both sides of the switch.
+    letters = ["abcdefghijklmnopqrstuvwxyz", "a", "ab", "-=", "0123456789", "aéß漢字𝔘", "the"]
+    lengths = [1, 2, pieces.LONG - 2, pieces.LONG - 1, pieces.LONG, pieces.LONG + 1, 700, 1500, 4000]
+    words = ["".join(rnd.choices(s, k=n)) for s in letters for n in lengths] + ["x" * 1_000_001, "".join(rnd.choices("etaoinshr", k=1_000_000))]
+    rnd.shuffle(words)
+    for word, (ids, text) in zip(words, model.encode_units(["▁" + w for w in words]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == sp.encode(word)
+        assert text.decode() == " " + word
+    assert model.encode_units([]) == []
+
+
 def test_packing(spark, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer

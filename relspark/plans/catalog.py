@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, cascades, catalogs, expressions, identity, lookups, maintenance, matching, ranking, reports, resolution, rows, titles, upkeep  # noqa: F401
+from . import aggregates, cascades, catalogs, expressions, identity, lookups, maintenance, matching, ranking, reports, resolution, rows, selection, titles, upkeep  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "top_releases"

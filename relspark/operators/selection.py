@@ -77,7 +77,7 @@ def select_files(requests: DataFrame, files: DataFrame, key: str, check: bool =
     A request without files gets its release as file -1; one whose files have no score (``no file``), or whose best file or
     release holds other episodes (``other episode``, only if ``check`` and both are parsed), gets none.
 
-    One shuffle by the key serves the join, the greatest size and the rank.
+    The shuffle by the key of both sides serves the join, the greatest size and the rank.
     """
     w = Window.partitionBy(key)
     rows = requests.join(files, key, "left")

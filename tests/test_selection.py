@@ -71,7 +71,11 @@ def test_ties_refusals_and_lone_releases(spark):
     assert chosen(spark, [("a.mkv", None, 1, p, True)], asked, release_parsed=("t", None, [2], []), check=False).file_index == 0
 
 
-def test_no_python_and_one_exchange_by_key(spark):
-    request = spark.range(5).select(F.col("id").cast("int").alias("k"), *[F.lit(None).cast(t).alias(n) for n, t in [("release", "string"), ("release_size", "long"), ("release_parsed", PARSED), ("asked", ASKED), ("chosen_index", "int"), ("chosen_name", "string")]])
-    plan = select_files(request.hint("merge"), spark.createDataFrame([], FILE), "k")._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Window" in plan
+def test_no_python_and_no_exchange_behind_the_join(spark):
+    def nulls(schema):
+        types = spark.createDataFrame([], schema).schema.fields
+        return spark.range(5).select(*[(F.col("id") if f.name in ("k", "file_index") else F.lit(None)).cast(f.dataType).alias(f.name) for f in types])
+
+    plan = select_files(nulls(REQUEST).hint("merge"), nulls(FILE), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "SortMergeJoin" in plan and plan.count("Window") >= 2
+    assert plan.count("Exchange hashpartitioning") == 2

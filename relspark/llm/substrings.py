@@ -232,100 +232,97 @@ def _cut(bits: int, buckets: int):
 
 
 class Shard:
-    """Burrows-Wheeler transform of a run of snippets: suffixes in order, the symbol before each, and its place by that symbol."""
+    """Burrows-Wheeler transform of a run of snippets: suffixes in order, the symbols before each, and the place of what they begin."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, first: int):
         """``data`` holds snippets with an end symbol each; ``first`` is the number of the first snippet."""
         n = len(data)
-        number = np.repeat(np.arange(len(size)), size)
-        left = np.repeat(start + size, size) - np.arange(n)
-        key = np.zeros(n, np.uint64)
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        for k in range(8):
-            key = key << np.uint64(8) | np.where(left > k, padded[k : k + n], 0).astype(np.uint64)
-        classes, rank = np.unique(key, return_inverse=True)
-        rank, step = rank + 1, 8
-        # Where no class is parted any more, its members are equal to their ends.
-        known = 0
-        while known < len(classes) < n and step < int(size.max()):
-            after = np.zeros(n, np.int64)
-            far = np.flatnonzero(left > step)
-            after[far] = rank[far + step]
-            known = len(classes)
-            classes, rank = np.unique(rank * np.int64(n + 2) + after, return_inverse=True)
-            rank, step = rank + 1, 2 * step
-        order = np.argsort(rank, kind="stable")
-        own = number[order]
-        before = np.where(order == start[own], start[own] + size[own] - 1, order - 1)
-        self.symbol = data[before]
+        key = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+        for k in (1, 2, 4):
+            key = key[:-k] << np.uint64(8 * k) | key[k:]
+        key = key[:n]
+        grams, bits, step = key >> np.uint64(64 - 8 * STEP), np.uint64((n + 1).bit_length()), 8
+        rank = _rank(key)
+        # As many ranks as 64 bits hold make the next key. Suffixes that are equal to their ends are ordered by what follows.
+        while step < int(size.max()) and int(rank.max()) < n:
+            key, folds = rank, 64 // int(bits)
+            for k in range(1, folds):
+                after = np.zeros(n, np.uint64)
+                after[: max(0, n - k * step)] = rank[k * step :]
+                key = key << bits | after
+            rank, step = _rank(key), folds * step
+        order = np.argsort(rank.astype(np.uint16) if n < 1 << 16 else rank, kind="stable")
         place = np.empty(n, np.int32)
-        place[order] = np.arange(n)
-        self.back = place[before]
+        place[order] = np.arange(n, dtype=np.int32)
+        own = np.repeat(np.arange(len(size)), size)[order]
         self.snippet = own + first
         self.offset = order - start[own]
-        # STEP symbols back at a time: the suffix that begins there, and the symbols it begins with. Suffixes without so
-        # much before them make way for the shortest ones, which hold an end among those symbols and differ from all others.
-        far = np.arange(n, dtype=np.int32)
-        for _ in range(STEP):
-            far = self.back[far]
-        shortest = np.zeros(n, bool)
-        for k in range(STEP):
-            far[place[start + k]] = place[start + size - 1 - k]
-            shortest[place[start + size - 1 - k]] = True
-        self.far, self.shortest = far, shortest
-        begin = np.zeros(n, np.uint64)
-        for k in range(STEP):
-            begin = begin << np.uint64(8) | np.where(left > k, padded[k : k + n], _END).astype(np.uint64)
-        self.symbols = begin[order[far]]
+        # STEP symbols back at a time: the suffix that begins there, and the number of those symbols among the shard's. The
+        # first ones of a snippet have no such suffix and point anywhere; a merge never asks for it.
+        self.far = place[order - STEP]
+        grams = grams[order]
+        new = np.r_[True, grams[1:] != grams[:-1]]
+        self.grams = grams[new]
+        self.symbols = (np.cumsum(new, dtype=np.int32) - 1)[self.far]
+
+
+def _rank(key: np.ndarray) -> np.ndarray:
+    """Number of each key among the distinct ones, from 1."""
+    order = np.argsort(key)
+    key = key[order]
+    rank = np.empty(len(key), np.uint64)
+    rank[order] = np.cumsum(np.r_[True, key[1:] != key[:-1]], dtype=np.uint64)
+    return rank
 
 
 def merge(shards: list[Shard], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Merged order of all suffixes by their first ``length`` symbols, and the number of each one's block of equal ones.
+    """Merged order of all suffixes of ``length`` symbols and an end or more, by those symbols, and the number of each one's block of equal ones.
 
     Each round reads the ``STEP`` symbols before the suffixes in the present interleave and deals the suffixes that much
     longer into symbol blocks, keeping their order: the interleave of the shards refined by ``STEP`` symbols. ``length``
-    is a multiple of ``STEP``, and no snippet is shorter.
+    is a multiple of ``STEP``, and no snippet is shorter. The first interleave has the suffixes with ``length`` symbols
+    before them: all others lead to none that is asked for.
     """
     base = np.cumsum([0] + [len(s.far) for s in shards])
-    shortest = np.concatenate([s.shortest for s in shards])
     far = np.concatenate([s.far + np.int32(b) for s, b in zip(shards, base, strict=False)])
-    alphabet, symbols = np.unique(np.concatenate([s.symbols for s in shards]), return_inverse=True)
-    symbols = symbols.astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
-    n = len(far)
-    order, block, border = np.arange(n, dtype=np.int32), np.zeros(n, np.int32), np.ones(n, bool)
+    alphabet, number = np.unique(np.concatenate([s.grams for s in shards]), return_inverse=True)
+    number = number.astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
+    grams = np.cumsum([0] + [len(s.grams) for s in shards])
+    symbols = np.concatenate([number[g:][s.symbols] for s, g in zip(shards, grams, strict=False)])
+    order = np.flatnonzero(np.concatenate([s.offset for s in shards]) >= length).astype(np.int32)
+    block, border = np.zeros(len(order), np.int32), np.ones(len(order), bool)
     for _ in range(length // STEP):
         seen = symbols[order]
         turn = np.argsort(seen, kind="stable")
         came, seen = block[turn], seen[turn]
         order = far[order[turn]]
         border[1:] = (seen[1:] != seen[:-1]) | (came[1:] != came[:-1])
-        border |= shortest[order]
         block = np.cumsum(border, dtype=np.int32)
     return order, block
 
 
-def earliest(snippets: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For each window of each snippet, the smallest document that holds the same window."""
+def earliest(snippets: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """For each window of each snippet, one snippet after the other, the smallest document that holds the same window."""
     size = np.array([len(s) + 1 for s in snippets], np.int64)
+    data, ends = np.frombuffer(b"\xff".join([*snippets, b""]), np.uint8), np.cumsum(size)
     shards, lo = [], 0
-    cuts = np.searchsorted(np.cumsum(size), np.arange(SHARD, int(size.sum()) + SHARD, SHARD))
+    cuts = np.searchsorted(ends, np.arange(SHARD, int(size.sum()) + SHARD, SHARD))
     for hi in np.unique(np.minimum(cuts + 1, len(snippets))).tolist():
         if hi > lo:
-            data = np.frombuffer(b"".join(s + b"\xff" for s in snippets[lo:hi]), np.uint8)
-            shards.append(Shard(data, np.cumsum(size[lo:hi]) - size[lo:hi], size[lo:hi], lo))
+            at = ends[lo] - size[lo]
+            shards.append(Shard(data[at : ends[hi - 1]], ends[lo:hi] - size[lo:hi] - at, size[lo:hi], lo))
             lo = hi
     order, block = merge(shards)
     snippet = np.concatenate([s.snippet for s in shards])[order]
     offset = np.concatenate([s.offset for s in shards])[order]
-    window = offset <= size[snippet] - 1 - LENGTH
-    value = np.where(window, docs[snippet], _LAST)
-    heads = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    least = np.repeat(np.minimum.reduceat(value, heads), np.diff(np.r_[heads, len(block)]))
-    n = size - LENGTH
-    starts = np.cumsum(n) - n
-    flat = np.empty(int(n.sum()), np.int64)
-    flat[starts[snippet[window]] + offset[window]] = least[window]
-    return np.split(flat, starts[1:])
+    least = np.minimum.reduceat(docs[snippet], np.flatnonzero(np.r_[True, block[1:] != block[:-1]]))
+    windows = size - LENGTH
+    flat = np.empty(len(order), np.int64)
+    flat[(np.cumsum(windows) - windows)[snippet] + offset] = least[block - 1]
+    return flat
+
+
+_RUNS = "pack long, times binary, places binary, runs binary, lengths binary, least binary"
 
 
 def _judge(rows: pa.Table) -> pa.Table:
@@ -334,63 +331,51 @@ def _judge(rows: pa.Table) -> pa.Table:
     docs = [np.frombuffer(unpress(d), np.int64) for d in rows.column("docs").to_pylist()]
     sizes = [np.frombuffer(s, np.uint8).astype(np.int64) for s in rows.column("sizes").to_pylist()]
     keys = np.concatenate([np.frombuffer(k, np.uint32) for k in rows.column("keys").to_pylist()])
-    flat_docs, seen, which, snippets, key_of = np.concatenate(docs), {}, [], [], []
-    at = 0
+    flat_docs, seen, which = np.concatenate(docs), {}, []
     for data, size in zip(map(unpress, rows.column("data").to_pylist()), sizes, strict=True):
         ends = np.cumsum(size).tolist()
-        for a, b in zip([0, *ends[:-1]], ends, strict=True):
-            s = data[a:b]
-            k = seen.setdefault(s, len(seen))
-            if k == len(snippets):
-                snippets.append(s)
-                key_of.append(keys[at])
-            which.append(k)
-            at += 1
-    which, key_of = np.array(which), np.array(key_of, np.uint32)
-    owner = np.full(len(snippets), _LAST)
+        which += [seen.setdefault(data[a:b], len(seen)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    which, snippets = np.array(which, np.int64), list(seen)
+    owner, key_of = np.full(len(snippets), _LAST), np.zeros(len(snippets), np.uint32)
     np.minimum.at(owner, which, flat_docs)
+    key_of[which] = keys
     # Equal windows have equal anchors: snippets of an anchor are merged together, those of several anchors at a time.
     turn = np.argsort(key_of, kind="stable")
-    ends = np.cumsum([len(snippets[k]) + 1 for k in turn])
+    sorted_ = [snippets[k] for k in turn.tolist()]
+    long = np.array([len(s) for s in sorted_], np.int64)
     heads = np.flatnonzero(np.r_[True, np.diff(key_of[turn]) != 0])
-    reached = ends[np.r_[heads[1:], len(turn)] - 1] // MERGED
+    reached = np.cumsum(long + 1)[np.r_[heads[1:], len(turn)] - 1] // MERGED
     cuts = [*heads[np.flatnonzero(np.r_[True, np.diff(reached) != 0])].tolist(), len(turn)]
-    answer: list[np.ndarray] = [owner[:0]] * len(snippets)
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        some = turn[a:b].tolist()
-        for k, least in zip(some, earliest([snippets[k] for k in some], owner[some]), strict=True):
-            answer[k] = least
-    runs: list[tuple[bytes, np.ndarray]] = []
-    for s, least in zip(snippets, answer, strict=True):
-        if len(least) == 1 or (least == least[0]).all():
-            runs.append((bytes([1, len(s) - LENGTH + 1]), least[:1]))
-        else:
-            heads = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-            runs.append((bytes([len(heads), *np.diff(np.r_[heads, len(least)]).tolist()]), least[heads]))
-    cuts = np.cumsum([len(d) for d in docs]).tolist()
-    lengths, least = [], []
-    for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
-        own = which[a:b].tolist()
-        lengths.append(b"".join(runs[k][0] for k in own))
-        least.append(np.concatenate([runs[k][1] for k in own]).tobytes() if own else b"")
-    return pa.table([rows.column("pack"), rows.column("times"), rows.column("places"), pa.array(lengths, pa.binary()), pa.array(least, pa.binary())], names=["pack", "times", "places", "lengths", "least"])
+    least = np.concatenate([earliest(sorted_[a:b], owner[turn[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    # Runs of windows, of all snippets as they were merged; then those of each snippet that was sent.
+    windows = long - LENGTH + 1
+    starts = np.cumsum(windows) - windows
+    new = np.r_[True, least[1:] != least[:-1]]
+    new[starts] = True
+    heads = np.flatnonzero(new)
+    length = np.diff(np.r_[heads, len(least)]).astype(np.uint8)
+    first, many = np.empty(len(turn), np.int64), np.empty(len(turn), np.int64)
+    first[turn], many[turn] = np.searchsorted(heads, starts), np.add.reduceat(new, starts, dtype=np.int64)
+    first, many = first[which], many[which]
+    ends = np.cumsum(many)
+    run = np.repeat(first - ends + many, many) + np.arange(int(many.sum()))
+    length, least = length[run], least[heads][run]
+    cuts = np.cumsum([0] + [len(d) for d in docs])
+    at = np.r_[0, ends][cuts].tolist()
+    cuts = cuts.tolist()
+    many = many.astype(np.uint8)
+    made = [[many[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], *([x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)] for x in (length, least))]
+    return pa.table([rows.column("pack"), rows.column("times"), rows.column("places"), *(pa.array(x, pa.binary()) for x in made)], names=[c.split()[0] for c in _RUNS.split(", ")])
 
 
 def _covered(pack: Pack, answers: pa.Table) -> np.ndarray:
     """True for each byte of the pack that is removed."""
     steps = np.zeros(len(pack.data) + 1, np.int32)
-    for times, places, lengths, least in zip(*(answers.column(c).to_pylist() for c in ("times", "places", "lengths", "least")), strict=True):
-        times, places, least = np.frombuffer(times, np.uint32).astype(np.int64), np.frombuffer(places, np.uint32).astype(np.int64), np.frombuffer(least, np.int64)
-        counts, sizes, at = np.empty(len(times), np.int64), [], 0
-        for k in range(len(times)):
-            n = lengths[at]
-            counts[k] = n
-            sizes.append(lengths[at + 1 : at + 1 + n])
-            at += 1 + n
-        size = np.frombuffer(b"".join(sizes), np.uint8).astype(np.int64)
+    times, places, counts, size, least = (np.frombuffer(b"".join(answers.column(c).to_pylist()), kind).astype(np.int64) for c, kind in (("times", np.uint32), ("places", np.uint32), ("runs", np.uint8), ("lengths", np.uint8), ("least", np.int64)))
+    if len(times):
         first = np.cumsum(counts) - counts
         total = np.cumsum(size)
-        within = total - size - np.repeat((total - size)[first], counts) if len(size) else size
+        within = total - size - np.repeat((total - size)[first], counts)
         # Every occurrence meets every run of its snippet.
         snippet = np.repeat(np.arange(len(times)), times)
         many = counts[snippet]
@@ -450,7 +435,7 @@ def remove_repeats(documents: DataFrame, as_text: bool = False) -> DataFrame:
     answers = announced.groupBy("bucket").applyInArrow(_shared, "pack long, bucket long, bits binary, n long")
     # One plan: the exchange of the packs is written once and read by all three passes over them.
     cut = packed.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(_cut(bits, buckets), _CUT)
-    verdict = cut.groupBy("bucket").applyInArrow(_judge, "pack long, times binary, places binary, lengths binary, least binary")
+    verdict = cut.groupBy("bucket").applyInArrow(_judge, _RUNS)
     return packed.groupBy("pack").cogroup(verdict.groupBy("pack")).applyInArrow(_apply(as_text), _TEXT if as_text else _DIGEST)
 
 

@@ -297,6 +297,32 @@ def test_merged_transforms_sort_all_suffixes():
     assert len({h for h, _ in whole}) == len({b for _, b in whole})
 
 
+def test_merge_carries_only_suffixes_that_lead_to_windows(monkeypatch):
+    rnd = random.Random(6)
+    base = "".join(rnd.choices("abcé \x00", k=400))
+    snippets = sorted({("".join(rnd.choices("ab", k=rnd.randint(0, 9))) + base[(k := rnd.randint(0, 300)) : k + rnd.randint(50, 60)]).encode() for _ in range(300)} | {b"a" * n for n in (50, 51, 76)}, key=lambda s: rnd.random())
+    docs = np.array([rnd.randint(0, 99) for _ in snippets])
+    seen = []
+    true = substrings.merge
+    monkeypatch.setattr(substrings, "merge", lambda shards: seen.append((shards, true(shards))) or seen[-1][1])
+    monkeypatch.setattr(substrings, "SHARD", 1 << 11)
+    got = np.hstack(substrings.earliest(snippets, docs)).tolist()
+    windows = [[s[k : k + 50] for k in range(len(s) - 49)] for s in snippets]
+    least = {}
+    for own, d in zip(windows, docs.tolist(), strict=True):
+        for w in own:
+            least[w] = min(d, least.get(w, d))
+    assert got == [least[w] for own in windows for w in own]
+    shards, (order, block) = seen[-1]
+    assert len(shards) > 5 and len(order) == len(got)
+    for s in shards:
+        suffixes = [(snippets[k] + b"\xff")[o:] for k, o in zip(s.snippet, s.offset, strict=True)]
+        assert suffixes == sorted(suffixes) and len(suffixes) == len(s.far)
+    flat = [(k, o) for s in shards for k, o in zip(s.snippet.tolist(), s.offset.tolist(), strict=True)]
+    heads = [snippets[k][o : o + 50] for k, o in (flat[p] for p in order)]
+    assert heads == sorted(heads) and len(set(zip(heads, block.tolist(), strict=True))) == len(least) == block.max()
+
+
 def shingles(t, n):
     w = t.encode().lower().split()
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])

@@ -65,23 +65,33 @@ def canonical_lookup(probes: DataFrame, variants: DataFrame, families: DataFrame
     family_evidence, tmdb_id`` and more. A variant must agree in kind, title and season. Those with an equal or unknown year
     come first (``exact``; without a year all of them), then any year (``no_year``); series then try beginnings of the title,
     longest first, among families with a TMDB id (``prefix``). More evidence of the variant, then of the family, stands;
-    of equal ones the smallest family key.
+    of equal ones the smallest family key. Variants that agree in all that is asked for are one row, the strongest, before
+    they meet anything, and each distinct question is answered once, so a title that very many share multiplies nothing.
     """
-    asked = probes.where(F.coalesce("title", F.lit("")) != "").select(
-        "probe", F.col("title").alias("normalized_title"), F.nullif("year", F.lit(0)).alias("_year"), media_kind(F.col("content_class")).alias("media_kind"), season_bucket(F.col("season")).alias("season_bucket"),
+    place = ["media_kind", "season_bucket"]
+    on = [*place, "normalized_title"]
+    asked = probes.where(F.col("title") != "").select(
+        "probe", F.col("title").alias("normalized_title"), F.coalesce("year", F.lit(0)).alias("_year"), media_kind(F.col("content_class")).alias("media_kind"), season_bucket(F.col("season")).alias("season_bucket"),
     )
     known = variants.join(families, "family_key")
     strength = [F.coalesce(-F.col(c).cast("double"), F.lit(float("inf"))).alias(f"_{c}") for c in ("evidence", "family_evidence")]
-    fits = F.col("_year").isNull() | F.col("year_hint").isNull() | (F.col("year_hint") == F.col("_year"))
-    facts = [F.col(c) for c in families.columns if c != "family_key"]
-    rank = F.struct(F.when(fits, 0).otherwise(1).alias("tier"), *strength, F.col("family_key"), *facts)
-    exact = asked.join(known, ["media_kind", "normalized_title", "season_bucket"]).groupBy("probe").agg(F.min(rank).alias("_b"))
     names = ["family_key", *[c for c in families.columns if c != "family_key"]]
-    exact = exact.select("probe", *[F.col("_b")[c].alias(c) for c in names], F.when(F.col("_b.tier") == 0, "exact").otherwise("no_year").alias("how"))
-    rest = asked.where(F.col("media_kind") == "series").join(exact.select("probe"), "probe", "left_anti").select("probe", "media_kind", "season_bucket", F.col("normalized_title").alias("title"))
-    by = [F.desc_nulls_last("evidence"), F.desc_nulls_last("family_evidence"), F.col("family_key")]
-    found = prefix_match(rest, known.where("tmdb_id is not null"), "probe", "title", "normalized_title", by, ["media_kind", "season_bucket"])
-    return exact.unionByName(found.select("probe", *names, F.lit("prefix").alias("how")))
+    strongest = F.min(F.struct(*strength, *[F.col(c).alias(f"_of_{c}") for c in names])).alias("_s")
+    rank = lambda tier, short: F.struct(tier.alias("tier"), short.alias("short"), "_s")
+    fits = (F.col("_year") == 0) | F.col("year_hint").isNull() | (F.col("year_hint") == F.col("_year"))
+    exact = F.when(F.col("_s").isNotNull(), rank(F.when(fits, 0).otherwise(1), F.lit(0)))
+    # The series flag is summed up with the rest so that no filter on it separates the plans of this table's uses.
+    settled = asked.select(*on, "_year").distinct().join(known.groupBy(*on, "year_hint").agg(strongest), on, "left")
+    settled = settled.groupBy(*on, "_year").agg(F.min(exact).alias("_b"), F.bool_or(F.col("media_kind") == "series").alias("_series"))
+    open_ = settled.where("_b is null and _series").drop("_b", "_series")
+    wanted = open_.select(F.struct(*on).alias("_asked"), *place, F.col("normalized_title").alias("title")).distinct()
+    begun = known.where("tmdb_id is not null").groupBy(*on).agg(strongest)
+    found = prefix_match(wanted, begun, "_asked", "title", "normalized_title", [F.col("_s")], place)
+    found = found.select("_asked.*", rank(F.lit(2), -F.length("prefix")).alias("_b"))
+    answers = settled.where("_b is not null").drop("_series").unionByName(open_.join(found, on))
+    best = asked.join(answers, [*on, "_year"]).select("probe", "_b").repartition("probe").groupBy("probe").agg(F.min("_b").alias("_b"))
+    how = F.when(F.col("_b.tier") == 0, "exact").when(F.col("_b.tier") == 1, "no_year").otherwise("prefix")
+    return best.select("probe", *[F.col("_b._s")[f"_of_{c}"].alias(c) for c in names], how.alias("how"))
 
 
 def similar_titles(names: DataFrame, column: str, threshold: float) -> DataFrame:

@@ -156,3 +156,32 @@ def test_crosswalk_start_without_an_episode_is_the_first(spark):
     asked = spark.createDataFrame([("a", "imdb", "tt1", 2, 5), ("b", "imdb", "tt1", 2, 12)], "request string, id_type string, id_value string, season int, episode int")
     got = {r.request: (r.mapping, r.start) for r in identity.crosswalk(asked, mappings, ["imdb"], "request", "mapping", ["imdb"]).collect()}
     assert got == {"a": (1, 1), "b": (2, 9)}
+
+
+def most_joined(df):
+    """The most rows that a join of the plan gives."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        below = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if "QueryStage" in kind else [node.children().apply(i) for i in range(node.children().size())]
+        if "Join" in kind:
+            found.append(node.metrics().apply("numOutputRows").value())
+        for x in below:
+            walk(x)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found)
+
+
+def test_families_of_a_title_that_very_many_share(spark):
+    n = 300
+    v = spark.range(n).selectExpr("'series' AS media_kind", "'the show' AS normalized_title", "'' AS season_bucket", "cast(2000 + id % 2 as int) AS year_hint", "cast(id % 7 as int) AS evidence", "id AS family_key")
+    f = spark.range(n).selectExpr("id AS family_key", "1 AS family_evidence", "id AS tmdb_id")
+    probes = spark.range(n).selectExpr("id AS probe", "CASE WHEN id % 3 = 0 THEN 'the show must' ELSE 'the show' END AS title", "cast(2000 + id % 3 as int) AS year", "'episode' AS content_class", "cast(null as int) AS season")
+    found = identity.canonical_lookup(probes, v, f)
+    # The most evidence is 6: of families 6, 13, 20, ...; those of even numbers are of 2000.
+    want = {0: (6, "prefix"), 1: (13, "exact"), 2: (6, "no_year")}
+    assert most_joined(found) <= n
+    assert {r.probe: (r.family_key, r.how) for r in found.collect()} == {i: want[i % 3] for i in range(n)}

@@ -40,17 +40,21 @@ def title_cascade(probes: DataFrame, index: DataFrame, probe: str, title: str, y
     All forms of the probe's title with Roman and Arabic numbers exchanged are looked up at once. The earliest phase wins, in
     it the most popular title, of equally popular ones the smallest id; unknown popularity is the least. Probes with several
     readings have one row for each, and the first ``reading`` that finds anything wins before the phase counts. Null and
-    empty titles find nothing. Matches are reduced as they come, so a form that very many titles share is never sorted.
+    empty titles find nothing. Each distinct title and year is looked up once, and of the index's rows that agree in title
+    and years only the best one, so a form that very many titles share multiplies nothing.
     """
-    order = F.col(reading) if reading else F.lit(0)
-    wanted = F.col(year).cast("int") if year else F.lit(None).cast("int")
-    forms = probes.where(F.col(title) != "").select(
-        F.col(probe).alias("_probe"), order.alias("_reading"), wanted.alias("_year"), F.explode(roman_variants(F.col(title))).alias("title")
-    )
-    found = forms.join(index, "title").where(_year_fits(F.col("_year")))
+    order = [F.col(reading).alias("_reading")] if reading else []
+    wanted = F.coalesce(F.col(year).cast("int"), F.lit(0)) if year else F.lit(0)
+    asked = probes.where(F.col(title) != "").select(F.col(probe).alias("_probe"), *order, wanted.alias("_year"), F.col(title).alias("_title"))
     least_popular = F.coalesce(-F.col("popularity").cast("double"), F.lit(float("inf")))
-    rank = F.struct(F.col("_reading"), F.col("phase"), least_popular.alias("_less"), F.col("id"), F.col("imdb_id"), F.col("year").alias("matched_year"))
-    best = found.groupBy("_probe").agg(F.min(rank).alias("_b"))
-    shown = F.element_at(F.array(*[F.lit(p) for p in PHASES]), F.col("_b.phase") + 1).alias("phase")
-    more = [F.col("_b._reading").alias(reading)] if reading else []
-    return best.select(F.col("_probe").alias(probe), "_b.id", "_b.imdb_id", "_b.matched_year", shown, *more)
+    rank = F.struct("phase", least_popular.alias("_less"), "id", "imdb_id", F.col("year").alias("matched_year"))
+    best = index.groupBy("title", "year", "secondary_year").agg(F.min(rank).alias("_b"))
+    # The hash is never null; it reads all columns so that the questions and the join share one scan of the probes and its shuffles.
+    questions = asked.groupBy("_title", "_year").agg(F.max(F.xxhash64(*asked.columns)).alias("_any")).where("_any is not null")
+    forms = questions.select("_title", "_year", F.explode(roman_variants(F.col("_title"))).alias("title"))
+    answers = forms.join(best, "title").where(_year_fits(F.col("_year"))).groupBy("_title", "_year").agg(F.min("_b").alias("_b"))
+    found = asked.join(answers, ["_title", "_year"]).select("_probe", F.struct(*(["_reading"] if reading else []), "_b").alias("_r"))
+    best = found.repartition("_probe").groupBy("_probe").agg(F.min("_r").alias("_r"))
+    shown = F.element_at(F.array(*[F.lit(p) for p in PHASES]), F.col("_r._b.phase") + 1).alias("phase")
+    more = [F.col("_r._reading").alias(reading)] if reading else []
+    return best.select(F.col("_probe").alias(probe), "_r._b.id", "_r._b.imdb_id", "_r._b.matched_year", shown, *more)

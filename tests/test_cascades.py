@@ -185,3 +185,12 @@ def test_families_of_a_title_that_very_many_share(spark):
     want = {0: (6, "prefix"), 1: (13, "exact"), 2: (6, "no_year")}
     assert most_joined(found) <= n
     assert {r.probe: (r.family_key, r.how) for r in found.collect()} == {i: want[i % 3] for i in range(n)}
+
+
+def test_cascade_of_a_title_that_very_many_share(spark):
+    n = 300
+    index = spark.range(n).selectExpr("'rocky ii' AS title", "1 AS phase", "id", "cast(id as string) AS imdb_id", "cast(2000 + id % 2 as int) AS year", "cast(null as int) AS secondary_year", "double(id % 7) AS popularity")
+    probes = spark.range(n).selectExpr("id AS probe", "'rocky 2' AS title", "cast(1998 + id % 3 as int) AS year")
+    found = cascade.title_cascade(probes, index, "probe", "title", "year")
+    assert most_joined(found) <= n
+    assert {r.probe: (r.id, r.matched_year) for r in found.collect()} == {i: (6, 2000) for i in range(n) if i % 3}

@@ -45,7 +45,8 @@ def fill_only_update(spark, sf_dir):
     return mt.fill_only(old, staged, "o_orderkey", ["a", "b"])
 
 
-@query("""SELECT o_orderkey + CASE WHEN o_orderkey % 50 = 0 THEN 900000 ELSE 0 END AS o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'insert' WHEN o_orderkey % 9 = 0 THEN 'update' ELSE 'noop' END AS action FROM orders""")
+@query("""WITH n AS (SELECT o_orderkey + CASE WHEN o_orderkey % 50 = 0 THEN 900000 ELSE 0 END AS o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders)
+SELECT n.o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderstatus IS NOT DISTINCT FROM o.o_orderstatus AND n.o_totalprice IS NOT DISTINCT FROM o.o_totalprice THEN 'noop' ELSE 'update' END AS action FROM n LEFT JOIN orders o ON n.o_orderkey = o.o_orderkey""")
 def change_detect(spark, sf_dir):
     """Insert, update or noop by null-safe comparison."""
     old = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")

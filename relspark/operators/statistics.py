@@ -181,6 +181,16 @@ def sticky_owner(scores: DataFrame, key: str, owner: str, score: str, order: str
     return best.groupBy(key).agg(F.coalesce(held, F.max(F.when(F.col("_n") == 1, F.col(owner)))).alias("owner"))
 
 
+def steady_mean(value: Column) -> Column:
+    """Mean of a double that does not depend on the order of its rows: values are added as whole billionths.
+
+    Groups with a value that is not finite, or beyond nine billion, have the floating-point mean.
+    """
+    units = F.round(value * 1e9).try_cast("long").cast("decimal(20,0)")
+    exact = F.try_divide(F.sum(units).cast("double"), F.count(units)) / 1e9
+    return F.coalesce(F.when(F.count(units) == F.count(value), exact), F.avg(value))
+
+
 def resolve_overlaps(left: DataFrame, right: DataFrame, key: str, score: str) -> DataFrame:
     """Two ranked lists without common members: a shared key goes to the list that scores it higher (left on ties)."""
     both = left.select(key, F.col(score).alias("l")).join(right.select(key, F.col(score).alias("r")), key, "full")

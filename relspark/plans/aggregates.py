@@ -146,13 +146,17 @@ def hysteresis_owner(spark, sf_dir):
     return st.sticky_owner(now.join(before, "key"), "key", "owner", "score", "owner", "previous", 2.0)
 
 
-@query("""WITH a AS (SELECT user_id, avg(value) AS s FROM events WHERE ts < TIMESTAMP '2024-01-12' GROUP BY 1), b AS (SELECT user_id, avg(value) AS s FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1),
+_UNITS = "TRY_CAST(round(value * 1e9) AS BIGINT)"
+_MEAN = f"coalesce(CASE WHEN count({_UNITS}) = count(value) THEN CAST(sum({_UNITS}) AS DOUBLE) / count(value) / 1e9 END, avg(value))"
+
+
+@query(f"""WITH a AS (SELECT user_id, {_MEAN} AS s FROM events WHERE ts < TIMESTAMP '2024-01-12' GROUP BY 1), b AS (SELECT user_id, {_MEAN} AS s FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1),
 o AS (SELECT user_id, CASE WHEN b.s IS NULL OR a.s >= b.s THEN 'left' ELSE 'right' END AS side, greatest(coalesce(a.s, b.s), coalesce(b.s, a.s)) AS score FROM a FULL JOIN b USING (user_id))
 SELECT user_id, side, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY side ORDER BY score DESC, user_id) AS INT) AS place FROM o""")
 def overlap_resolution(spark, sf_dir):
-    """Two ranked lists made disjoint."""
+    """Two ranked lists made disjoint; equal means are ties, in whatever order their values were added."""
     events = table(spark, sf_dir, "events")
-    side = lambda c: events.where(c).groupBy("user_id").agg(F.avg("value").alias("score"))
+    side = lambda c: events.where(c).groupBy("user_id").agg(st.steady_mean(F.col("value")).alias("score"))
     found = st.resolve_overlaps(side("ts < timestamp_ntz'2024-01-12 00:00:00'"), side("ts >= timestamp_ntz'2024-01-20 00:00:00'"), "user_id", "score")
     return found.withColumn("score", F.round("score", 6))
 

@@ -118,33 +118,21 @@ def top_per(rows: DataFrame, keys: Sequence[str], by: Sequence[Column], n: int)
 def greedy_limit(rows: DataFrame, limits: dict[str, int], total: int | None = None, key: str = "request_id", by: str = "place", passthrough: str | None = None) -> DataFrame:
     """Walk every request in order, counting each limited dimension; a row goes when any counter is past its limit.
 
-    Counters touched before the one that rejects stay raised, so windows cannot state it with several dimensions. The
-    total is checked before passthrough rows are let through. Rows of one request meet in one task: a request holds
-    hundreds of rows.
+    Counters touched before the one that rejects stay raised: a dimension counts exactly the rows that all dimensions before
+    it let through, so its counter is the row number among them. Null and NaN are not counted. Passthrough rows skip the
+    dimensions, but the total, which ends the walk, counts them too. All windows share one shuffle, on ``key``.
     """
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(by)
-        seen: dict[tuple[str, object], int] = {}
-        kept, passed = [], 0
-        free = group[passthrough].tolist() if passthrough else [False] * len(group)
-        columns = {d: group[d].tolist() for d in limits}
-        for i in range(len(group)):
-            good = total is None or passed < total
-            if good and not free[i]:
-                for d, most in limits.items():
-                    value = columns[d][i]
-                    if value is None or value != value:
-                        continue
-                    seen[d, value] = seen.get((d, value), 0) + 1
-                    if seen[d, value] > most:
-                        good = False
-                        break
-            kept.append(good)
-            passed += good
-        return group[kept]
-
-    return rows.groupBy(key).applyInPandas(walk, rows.schema)
+    in_order, kinds = F.col(by).asc_nulls_last(), dict(rows.dtypes)
+    free = F.coalesce(F.col(passthrough), F.lit(False)) if passthrough else F.lit(False)
+    out = rows.repartition(key).withColumn("_free", free)
+    for d, most in limits.items():
+        counted = ~F.col("_free") & F.col(d).isNotNull()
+        if kinds[d] in ("float", "double"):
+            counted = counted & ~F.isnan(d)
+        n = F.row_number().over(Window.partitionBy(key, "_free", d).orderBy(in_order))
+        out = out.withColumn("_n", F.when(counted, n)).where(F.col("_n").isNull() | (F.col("_n") <= most)).drop("_n")
+    out = out.drop("_free")
+    return out if total is None else top_per(out, [key], [in_order], total)
 
 
 def interleave(rows: DataFrame, source: str, pos: str) -> list[Column]:

@@ -50,6 +50,38 @@ def test_greedy_limit_is_sequential(spark):
     assert got == want
 
 
+def test_greedy_limit_by_windows_of_one_shuffle(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, 1, 2, 3]), p, rnd.choice(["a", "b", None]), rnd.choice([1.0, 2.0, float("nan"), None]), rnd.choice("xyz"), rnd.choice([True, False, False, None])) for p in range(160)]
+    df = spark.createDataFrame(rows, "request_id int, place int, a string, b double, c string, free boolean")
+    limits = {"a": 4, "b": 3, "c": 5}
+
+    def walk(total, passthrough):
+        for request in (None, 1, 2, 3):
+            seen, passed = {}, 0
+            for r in [r for r in rows if r[0] == request]:
+                good = total is None or passed < total
+                if good and not (passthrough and r[5]):
+                    for d, value in zip("abc", r[2:5], strict=True):
+                        if value is None or value != value:
+                            continue
+                        seen[d, value] = seen.get((d, value), 0) + 1
+                        if seen[d, value] > limits[d]:
+                            good = False
+                            break
+                if good:
+                    passed += 1
+                    yield r[1]
+
+    for total in (None, 0, 6, 12):
+        for passthrough in (None, "free"):
+            found = rk.greedy_limit(df, limits, total, passthrough=passthrough)
+            assert found.columns == df.columns
+            assert sorted(r.place for r in found.collect()) == sorted(walk(total, passthrough))
+    plan = rk.greedy_limit(df, limits, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
+
+
 def test_greedy_unique_only_kept_rows_add_keys(spark):
     df = spark.createDataFrame([(1, "a", "p", "t1"), (2, "a", "q", "t2"), (3, "b", "q", "t3"), (4, "c", "r", "t2")], "pos int, k string, m string, title string")
     assert [r.pos for r in rk.greedy_unique(df, ["k", "m"], "title", "pos").orderBy("pos").collect()] == [1, 3, 4]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,11 +76,22 @@ def info_hash(url: Column) -> Column:
     return F.lower(F.nullif(F.regexp_extract(url, r"(?<![0-9A-Za-z])([0-9a-fA-F]{40})(?![0-9A-Za-z])", 1), F.lit("")))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is computed once; Spark would put the expression in place of each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _known(text: Column) -> Column:
+    """The text, or null if it is empty."""
+    return F.when(text != "", text)
+
+
 def size_bytes(text: Column) -> Column:
     """Bytes of the first size in a text; units are powers of 1024."""
-    number, unit = F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?)\s?([KMGT]i?B)", 1), F.upper(F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?)\s?([KMGT])i?B", 2))
-    power = F.when(unit == "K", 1).when(unit == "M", 2).when(unit == "G", 3).when(unit == "T", 4)
-    return F.floor(F.nullif(number, F.lit("")).cast("double") * F.pow(F.lit(1024.0), power)).cast("long")
+    number = lambda size: _known(F.regexp_extract(size, r"^[\d.]+", 0)).cast("double")
+    power = lambda size: F.call_function("instr", F.lit("KMGT"), F.upper(F.regexp_extract(size, r"(?i)[KMGT]", 0)))
+    found = F.regexp_extract(text, r"(?i)\d+(?:\.\d+)?\s?[KMGT]i?B", 0)
+    return once(found, lambda size: F.floor(number(size) * F.pow(F.lit(1024.0), power(size))).cast("long"))
 
 
 def duration_ms(text: Column) -> Column:
@@ -89,16 +100,19 @@ def duration_ms(text: Column) -> Column:
     A smaller unit follows its larger one directly, behind a colon or behind a blank.
     """
     whole = rf"(?i)(?<![^{_BEFORE}])(\d+h(?:[:\s]?\d+m(?:[:\s]?\d+s)?)?|\d+m(?:[:\s]?\d+s)?|\d+s)(?=[{_BEHIND}]|$)"
-    found = F.regexp_extract(text, whole, 1)
-    part = lambda u: F.coalesce(F.nullif(F.regexp_extract(found, rf"(?i)(\d+){u}", 1), F.lit("")).cast("long"), F.lit(0))
-    return (part("h") * 3600 + part("m") * 60 + part("s")) * 1000
+    part = lambda found, u: F.coalesce(_known(F.regexp_extract(found, rf"(?i)(\d+){u}", 1)).cast("long"), F.lit(0))
+    return once(F.regexp_extract(text, whole, 1), lambda found: (part(found, "h") * 3600 + part(found, "m") * 60 + part(found, "s")) * 1000)
 
 
 def age_hours(text: Column) -> Column:
     """Hours of an age such as 3d, 12h, 30m (minutes) or 1y (365 days); null for any other text."""
     form = r"^(\d+)([A-Za-z])$"
-    number, unit = F.nullif(F.regexp_extract(text, form, 1), F.lit("")).cast("double"), F.lower(F.regexp_extract(text, form, 2))
-    return F.when(unit == "h", number).when(unit == "d", number * 24).when(unit == "m", number / 60).when(unit == "y", number * 24 * 365)
+
+    def hours(age: Column) -> Column:
+        number, unit = _known(F.regexp_extract(age, form, 1)).cast("double"), F.lower(F.regexp_extract(age, form, 2))
+        return F.when(unit == "h", number).when(unit == "d", number * 24).when(unit == "m", number / 60).when(unit == "y", number * 24 * 365)
+
+    return once(text, hours)
 
 
 def bitrate_bps(text: Column) -> Column:

@@ -68,10 +68,15 @@ def marked_seeders(description: Column) -> Column:
     return F.nullif(F.regexp_extract(description, rf"[{SEEDER_MARKS}]\s*(\d+)", 1), F.lit("")).cast("int")
 
 
+#: A run of signs that are neither emoji nor line feeds, without the ending of the text's last line. All emoji come behind
+#: U+2319, so the long list is asked only for signs behind it.
+_PLAIN = rf"(?:[\x00-\x09\x0B\x0C\x0E-\x84\x86-\x{{2027}}\x{{202A}}-\x{{2319}}]++|\r(?!\n?\z)|[\x85\x{{2028}}\x{{2029}}](?!\z)|[\x{{231A}}-\x{{10FFFF}}&&[^{_EMOJI}]]++)*+"
+
+
 def text_behind(description: Column, marks: Sequence[str]) -> Column:
     """The text behind the first of the marks, up to the next emoji or the end of the line; null without a mark."""
-    pattern = rf"(?:{'|'.join(marks)})\s*([^{_EMOJI}\n]*?)(?=[{_EMOJI}]|$|\n)"
-    return F.when(description.rlike(pattern), F.trim(F.regexp_extract(description, pattern, 1)))
+    mark = rf"(?:{'|'.join(marks)})"
+    return F.when(description.rlike(mark), F.trim(F.regexp_extract(description, rf"{mark}\s*({_PLAIN})", 1)))
 
 
 def marked_indexer(description: Column) -> Column:
@@ -95,7 +100,7 @@ NAME_ENDINGS = "mkv mp4 avi mov wmv flv webm m4v mpg mpeg 3gp 3g2 m2ts ts vob og
 
 def folder_name(folder: Column, name: Column) -> Column:
     """The folder, unless it says the same as the file, whatever their endings."""
-    plain = lambda x: F.lower(F.regexp_replace(F.regexp_replace(x, rf"(?i)(?:{NAME_ENDINGS.replace(' ', '|')})$", ""), r"[^\p{L}\p{N}+]+", ""))
+    plain = lambda x: F.lower(F.regexp_replace(F.regexp_replace(x, rf"(?i)(?=\w{{2,4}}$)(?:{NAME_ENDINGS.replace(' ', '|')})$", ""), r"[^\p{L}\p{N}+]+", ""))
     return F.when(~F.coalesce((folder != "") & (name != "") & (plain(folder) == plain(name)), F.lit(False)), folder)
 
 

@@ -46,13 +46,12 @@ def _match(text: Column, pattern: str, group: int = 1) -> Column:
 
 def _without(text: Column, part: Column) -> Column:
     """The text without the first place of a part."""
-    at = F.call_function("instr", text, part)
-    cut = F.concat(F.substr(text, F.lit(1), at - 1), F.substr(text, at + F.length(part)))
-    return F.when((at > 0) & (part != ""), cut).otherwise(text)
+    cut = lambda t, at: F.concat(F.substr(t, F.lit(1), at - 1), F.substr(t, at + F.length(part)))
+    return ps.once(text, lambda t: ps.once(F.call_function("instr", t, part), lambda at: F.when((at > 0) & (part != ""), cut(t, at)).otherwise(t)))
 
 
 def _positive(x: Column) -> Column:
-    return F.when(x > 0, x.cast("long"))
+    return ps.once(x, lambda v: F.when(v > 0, v.cast("long")))
 
 
 def _failure() -> Column:
@@ -93,7 +92,7 @@ def _default(services: Sequence[tuple[str, str]]) -> dict[str, Field]:
         "folder_size": lambda: _folder_size_of(F.col("hint_folder_size")),
         "indexer": lambda: rw.text_behind(_text(), rw.INDEXER_MARKS),
         "service": lambda: ps.service_of(F.coalesce("name", F.lit("")), services),
-        "duration": lambda: F.nullif(ps.duration_ms(F.coalesce(_text(), F.lit(""))), F.lit(0).cast("long")),
+        "duration": lambda: _positive(ps.duration_ms(F.coalesce(_text(), F.lit("")))),
         "type": _type,
         "library": lambda: F.lit(False),
         "age": lambda: F.lit(None).cast("double"),
@@ -116,16 +115,21 @@ def _both() -> Column:
     return rw.text_behind(_text(), ("📂",))
 
 
-def _beside(k: int) -> Column:
+def _beside(both: Column, k: int) -> Column:
     """What stands before or behind the arrow; null without one."""
-    return F.when(_both().contains(ARROW), F.trim(F.get(F.split(_both(), ARROW), F.lit(k))))
+    return F.when(both.contains(ARROW), F.trim(F.get(F.split(both, ARROW), F.lit(k))))
+
+
+def _arrow_name(both: Column) -> Column:
+    trimmed = F.trim(both)
+    return F.coalesce(_spread(_beside(both, 1)), _spread(F.when(trimmed != "", trimmed)))
 
 
 _ARROW_FOLDER: dict[str, Field] = {
     "skip": lambda: _has("description", REPORT),
     "failure": lambda: F.when(_has("description", "Content Warning"), _text()).otherwise(_failure()),
-    "filename": lambda: F.coalesce(_spread(_beside(1)), _spread(F.nullif(F.trim(_both()), F.lit(""))), rw.file_name(F.col("hint_filename"), _text())),
-    "folder": lambda: _beside(0),
+    "filename": lambda: F.coalesce(ps.once(_both(), _arrow_name), rw.file_name(F.col("hint_filename"), _text())),
+    "folder": lambda: ps.once(_both(), lambda both: _beside(both, 0)),
     "folder_size": lambda: ps.size_bytes(F.trim(_match(_text(), r"💾\s?.*\s?/\s?💾\s?([^💾\n]+)"))),
     "indexer": lambda: rw.text_behind(_text(), ("🔗",)),
 }

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from relspark.functions import rows as rw
 from relspark.functions import strategies as st
 from relspark.operators import counters, filters, ranking, statistics
 from relspark.operators import resolution as rs
@@ -158,3 +159,21 @@ def test_ranges_by_kind_and_class(spark):
 def test_patterns_look_at_indexers_and_folders(spark):
     rows = spark.createDataFrame([(1, "f", "Bad", "x"), (2, "f", "ok", "bad"), (3, "f", "ok", None)], "id int, filename string, indexer string, folder_name string").withColumn("release_group", F.lit(None).cast("string"))
     assert {r.id for r in filters.decide(rows, filters.Profile(exclude_patterns=("(?i)bad",))).where("keep").collect()} == {3}
+
+
+def test_texts_of_a_row_are_read_once(spark):
+    raw = spark.createDataFrame([("f", "a", "b")], "source_id string, name string, title string")
+    sources = spark.createDataFrame([("f", "first_line_folder")], "source_id string, strategy string")
+    plan = st.source_rows(raw, sources, [], st.STRATEGIES | {"labelled": st.tagged("svc_t")})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\d+h(?:") == 1  # the duration
+    assert plan.count("[KMGT]i?B") == 3  # the size by the text and by the name, the folder's size by the text
+    assert plan.count("instr(") == 6  # file and folder are cut out of the text for the size; the units of these sizes and of the hint's
+
+
+def test_text_behind_a_mark_by_its_plain_pattern(spark):
+    rnd = random.Random(3)
+    signs = ["🌐", "⚙️", "🔗", "👤", "💾", "\n", "\r", "\r\n", "\u0085", " ", " ", "⌚", "⌙", "⌜", "☁️", "\U0001f1e6", "a", "b c", " ", "\t", "é", "中", "𝔘", "\x00"]
+    df = spark.createDataFrame([("".join(rnd.choices(signs, k=rnd.randint(0, 9))),) for _ in range(4000)] + [(None,)], "t string")
+    pattern = rf"(?:{'|'.join(rw.INDEXER_MARKS)})\s*([^{rw._EMOJI}\n]*?)(?=[{rw._EMOJI}]|$|\n)"
+    plain = F.when(F.col("t").rlike(pattern), F.trim(F.regexp_extract("t", pattern, 1)))
+    assert df.where(~rw.text_behind(F.col("t"), rw.INDEXER_MARKS).eqNullSafe(plain)).count() == 0
